@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from yearmask.llm import bpe, token_counts
-from yearmask.llm.common import table
+from yearmask.llm import bpe, decontaminate, language, quality, simhash, token_counts
+from yearmask.llm.common import crc_mod, materialize, table
 
 
 @functools.cache
@@ -29,6 +30,40 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, counter, limit=2048)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_bpe": op1_bpe, "op5_token_counts": op5_token_counts}
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), width=10, spans=False)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), decontaminate.items_digest().alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats, _ = materialize(quality.with_statistics(docs).drop("text").withColumn("held_out", crc_mod("doc_id", 5) == 0), "statistics")
+    model = quality.train(stats.where(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    return quality.with_quality(stats, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    prints, _ = materialize(simhash.with_fingerprint(docs).select("doc_id", "fingerprint"), "fingerprints")
+    return simhash.near_duplicates(prints, radius=4).select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_mod("doc_id", 3) == 1)
+    model = language.train(docs.where(~F.col("held_out")))
+    return language.with_language(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op2_decontaminate": op2_decontaminate,
+    "op5_token_counts": op5_token_counts,
+    "op8_quality": op8_quality,
+    "op9_simhash": op9_simhash,
+    "op10_language": op10_language,
+}
 
 ORACLES: dict[str, str] = {}
