@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearmask.llm import bpe, decontaminate, language, quality, simhash, token_counts
+from yearmask.llm import bpe, decontaminate, embeddings, language, quality, simhash, token_counts
 from yearmask.llm.common import crc_mod, materialize, table
 
 
@@ -38,6 +38,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     stats, _ = materialize(quality.with_statistics(docs).drop("text").withColumn("held_out", crc_mod("doc_id", 5) == 0), "statistics")
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op5_token_counts": op5_token_counts,
+    "op6_embeddings": op6_embeddings,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_language": op10_language,
