@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearmask.llm import bpe, chat, decontaminate, embeddings, language, language_model, quality, simhash, token_counts, warc
+from yearmask.llm import bpe, chat, decontaminate, embeddings, language, language_model, oracles, quality, simhash, token_counts, warc
 from yearmask.llm.common import crc_mod, materialize, table
 
 
@@ -92,4 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": oracles.DECONTAMINATE,
+    "op3_chat": oracles.CHAT,
+    "op4_warc_fixity": oracles.WARC,
+    "op6_embeddings": oracles.EMBEDDINGS,
+}
