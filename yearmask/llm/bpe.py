@@ -202,11 +202,11 @@ def with_tokens(docs: DataFrame, codec: Codec, text: str = "text", ids: str = "i
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *new]))
 
 
-def token_digests(docs: DataFrame, codec: Codec) -> DataFrame:
+def token_digests(docs: DataFrame, codec: Codec, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, and the digests of the ids and of what they decode to, for each row of docs (doc_id, text).
 
     A null text counts as empty; a null doc_id stays null; repeated rows stay. Ids and bytes stay inside a task, so the
-    result is small however long texts are.
+    result is small however long texts are, unless ``keep_ids`` adds the column ids.
     """
     shared = docs.sparkSession.sparkContext.broadcast(codec)
 
@@ -214,12 +214,19 @@ def token_digests(docs: DataFrame, codec: Codec) -> DataFrame:
         c = shared.value
         name, digest = c.text_of.__getitem__, hashlib.sha256
         for batch in batches:
-            n, of_ids, of_bytes = [], [], []
-            for t in batch.column(1):
-                ids = c.encode(t.as_py() or "")
-                n.append(len(ids))
-                of_ids.append(digest(",".join(map(name, ids)).encode()).hexdigest())
-                of_bytes.append(digest(c.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, OUT)
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                n, of_ids, of_bytes, kept = [], [], [], []
+                for t in part.column(1):
+                    ids = c.encode(t.as_py() or "")
+                    n.append(len(ids))
+                    of_ids.append(digest(",".join(map(name, ids)).encode()).hexdigest())
+                    of_bytes.append(digest(c.decode(ids)).hexdigest())
+                    if keep_ids:
+                        kept.append(np.array(ids, dtype=np.int32))
+                columns = {"doc_id": part.column(0).cast(pa.int64()), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_bytes, pa.string())}
+                if keep_ids:
+                    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                    columns["ids"] = pa.ListArray.from_arrays(ends, np.concatenate(kept))
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return docs.select("doc_id", "text").mapInArrow(run, OUT + (", ids array<int>" if keep_ids else ""))

@@ -268,15 +268,16 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame, radius: int = 4) -> DataFrame:
-    """Adds component_id, the smallest doc_id reachable by links of at most ``radius`` differing bits, to rows of
-    (doc_id, fingerprint). Rows with a null doc_id take part and are never named; a component of such rows has null.
+    """Adds component_id, the smallest doc_id reachable by links of at most ``radius`` differing bits, and group, the
+    smallest fingerprint of the component, to rows of (doc_id, fingerprint). Rows with a null doc_id take part and are
+    never named; a component of such rows alone has null.
 
     Rows collapse to distinct fingerprints first, so exact copies cost one node however many there are.
     """
-    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    nodes, _ = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "nodes")
     parts = components(links(nodes.select("fingerprint"), radius))
     linked = parts.join(nodes, F.col("node") == F.col("fingerprint"))
     named = linked.groupBy("root").agg(F.min("first").alias("reached"))
-    reached = linked.select("fingerprint", "root").join(named, "root").select("fingerprint", "reached")
-    labels = nodes.join(reached, "fingerprint", "left").select("fingerprint", F.coalesce("reached", "first").alias("component_id"))
+    reached = linked.select("fingerprint", "root").join(named, "root")
+    labels = nodes.join(reached, "fingerprint", "left").select("fingerprint", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("reached")).alias("component_id"), F.coalesce("root", "fingerprint").alias("group"))
     return prints.join(labels, "fingerprint", "left")
