@@ -261,5 +261,6 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     parts = components(found.where("b is not null").select("a", "b")).withColumnsRenamed({"node": "rep"})
     labels = nodes.select("class", "rep", "w").join(weights, "rep", "left").join(parts, "rep", "left")
     labels = labels.select("class", (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("root", "rep").alias("root"))
+    labels, _ = materialize(labels, "labels")  # a plain table: the join below can then split the copies of one vector
     joined = base.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("class")).alias("class")).join(labels, "class", "left")
     return joined.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
