@@ -280,4 +280,5 @@ def near_duplicates(prints: DataFrame, radius: int = 4) -> DataFrame:
     named = linked.groupBy("root").agg(F.min("first").alias("reached"))
     reached = linked.select("fingerprint", "root").join(named, "root")
     labels = nodes.join(reached, "fingerprint", "left").select("fingerprint", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("reached")).alias("component_id"), F.coalesce("root", "fingerprint").alias("group"))
+    labels, _ = materialize(labels, "labels")  # a plain table: the join below can then split the copies of one text
     return prints.join(labels, "fingerprint", "left")
