@@ -164,7 +164,7 @@ def classify_source(source_id: Column) -> Column:
 
 def parse_size(c: Column) -> Column:
     """Bytes of the last size in a text, such as ``12.5M`` (decimal units), rounded; null if there is none."""
-    found = F.element_at(F.regexp_extract_all(F.upper(c), F.lit(r"(?<![\w.])(\d+(?:\.\d+)?\s*[KMGT]?)\s*B?(?!\w)"), 1), F.lit(-1))
+    found = F.try_element_at(F.regexp_extract_all(F.upper(c), F.lit(r"(?<![\w.])(\d+(?:\.\d+)?\s*[KMGT]?)\s*B?(?!\w)"), 1), F.lit(-1))
     unit = F.regexp_extract(found, r"([KMGT]?)\z", 1)
     scale = F.when(unit == "K", 1e3).when(unit == "M", 1e6).when(unit == "G", 1e9).when(unit == "T", 1e12).otherwise(1.0)
     return F.bround(F.regexp_extract(found, r"^([\d.]+)", 1).try_cast("double") * scale).cast("long")

@@ -27,7 +27,7 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = (
         F.when(k % 41 == 0, F.concat(F.lit("bad_host"), k, F.lit("."), "t"))
         .when(k % 37 == 0, F.concat(F.lit("  WWW.C"), k, F.lit("."), F.upper("t"), F.lit(" ")))
-        .when(k % 5 == 0, F.concat(F.lit("a"), k % 7, F.lit(".c"), k % 400, F.lit("."), "t"))
+        .when(k % 5 == 0, F.concat(F.lit("a"), k % 7, F.lit(".n.c"), k % 40, F.lit("."), "t"))
         .otherwise(F.concat(F.lit("c"), k, F.lit("."), "t"))
     )
     return rows.select(
@@ -51,7 +51,7 @@ raw_captures AS (
 named_captures AS (
   SELECT *, CASE WHEN o_custkey % 41 = 0 THEN concat('bad_host', o_custkey, '.', t)
                  WHEN o_custkey % 37 = 0 THEN concat('  WWW.C', o_custkey, '.', upper(t), ' ')
-                 WHEN o_custkey % 5 = 0 THEN concat('a', o_custkey % 7, '.c', o_custkey % 400, '.', t)
+                 WHEN o_custkey % 5 = 0 THEN concat('a', o_custkey % 7, '.n.c', o_custkey % 40, '.', t)
                  ELSE concat('c', o_custkey, '.', t) END AS raw FROM raw_captures),
 captures AS (
   SELECT o_orderkey AS seq, raw, {host_sql("raw")} AS host, CAST(year(o_orderdate) AS INT) AS year, o_orderdate AS ts, o_orderstatus AS status,

@@ -1 +1,346 @@
-"""Queries."""
+"""Scan queries: text lines made from the given tables, read back by the scans, and the scalar functions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from yearmask.functions import hosts as H
+from yearmask.operators import value as A
+from yearmask.plans import derived as D
+from yearmask.plans.registry import query
+from yearmask.sources import lines as L
+from yearmask.sources import sinks
+
+_HOST_OF_URL = "regexp_extract(url, '^https?://([^/?#:]+)', 1)"
+_STAMP = "strftime(ts, '%Y%m%d%H%M%S')"
+
+
+def _stamp() -> F.Column:
+    return F.date_format("ts", "yyyyMMddHHmmss")
+
+
+def _status() -> F.Column:
+    return F.element_at(F.array(*map(F.lit, ("200", "301", "404", "500"))), (F.col("seq") % 4 + 1).cast("int"))
+
+
+@query("a3_cdx_scan", f"""
+WITH {D.CAPTURES} SELECT year, {_STAMP} AS timestamp, concat('http://', trim(raw), '/') AS url, CAST(1 << (year - 1996) AS INT) AS direct_mask FROM captures WHERE year BETWEEN 1996 AND 2001 AND seq % 4 < 2""")
+def a3_cdx_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A3: captures written as CDX rows and scanned."""
+    value = F.concat_ws(" ", F.lit("key"), _stamp(), F.concat(F.lit("http://"), F.trim("raw"), F.lit("/")), F.lit("text/html"), _status(), F.lit("DIGEST 120 0 f.warc"))
+    return L.read_cdx(D.captures(spark, sf).select(value.alias("value")))
+
+
+@query("a4_cdxj_scan", f"""
+WITH {D.CAPTURES} SELECT year, {_STAMP} AS timestamp, concat('http://', trim(raw), '/') AS url, CAST(CASE WHEN year BETWEEN 1996 AND 2001 THEN 1 << (year - 1996) ELSE 0 END AS INT) AS direct_mask FROM captures WHERE seq % 4 < 2""")
+def a4_cdxj_scan(spark: SparkSession, sf: str) -> DataFrame:
+    body = F.to_json(F.struct(F.concat(F.lit("http://"), F.trim("raw"), F.lit("/")).alias("url"), _status().alias("status")))
+    return L.read_cdxj(D.captures(spark, sf).select(F.concat_ws(" ", F.lit("key"), _stamp(), body).alias("value")))
+
+
+@query("a5_cdxj_years", f"WITH {D.CAPTURES} SELECT year, count(*) AS n FROM captures WHERE seq % 4 < 2 AND year IN (1997, 1999) GROUP BY year")
+def a5_cdxj_years(spark: SparkSession, sf: str) -> DataFrame:
+    body = F.to_json(F.struct(F.concat(F.lit("http://"), F.trim("raw"), F.lit("/")).alias("url"), _status().alias("status")))
+    rows = D.captures(spark, sf).select(F.concat_ws(" ", F.lit("key"), _stamp(), body).alias("value"))
+    return L.read_cdxj(rows, years=(1997, 1999)).groupBy("year").agg(F.count("*").alias("n"))
+
+
+@query("a6_jsonl_scan", f"""
+WITH {D.CAPTURES} SELECT host, CASE WHEN year BETWEEN 1996 AND 2001 THEN year END AS year FROM captures WHERE host IS NOT NULL""")
+def a6_jsonl_scan(spark: SparkSession, sf: str) -> DataFrame:
+    record = F.struct(F.col("seq").alias("Id"), F.col("raw").alias("Host"), F.date_format("ts", "yyyy-MM-dd").alias("Date"))
+    return L.read_jsonl(D.captures(spark, sf).select(F.to_json(record).alias("value")))
+
+
+@query("a7_delimited_scan", f"WITH {D.CAPTURES} SELECT host, CASE WHEN year BETWEEN 1996 AND 2001 THEN year END AS year FROM captures WHERE host IS NOT NULL")
+def a7_delimited_scan(spark: SparkSession, sf: str) -> DataFrame:
+    value = F.concat_ws(";", F.lit("x"), "raw", F.date_format("ts", "yyyy-MM-dd"), F.lit("zz"))
+    return L.read_delimited(D.captures(spark, sf).select(value.alias("value")), delimiter=";")
+
+
+@query("a8_squid_scan", f"""
+WITH {D.CAPTURES} SELECT concat('http://', trim(raw), '/a') AS url, year FROM captures WHERE year BETWEEN 1996 AND 2001""")
+def a8_squid_scan(spark: SparkSession, sf: str) -> DataFrame:
+    value = F.concat(F.unix_timestamp("ts"), F.lit(".123 87 10.0.0.1 TCP_MISS/200 512 GET http://"), F.trim("raw"), F.lit("/a - DIRECT/x text/html"))
+    return L.read_squid(D.captures(spark, sf).select(value.alias("value")))
+
+
+@query("a9_format_sniffing", """
+SELECT CAST(r_regionkey AS INT) AS file, ['cdx', 'cdxj', 'jsonl', 'delimited', 'lines'][r_regionkey + 1] AS format, 1.0 AS confidence FROM region""")
+def a9_format_sniffing(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written in five formats, one a region, are told apart."""
+    nation = D.table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("file"))
+    customer = D.table(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    url = F.concat(F.lit("http://c"), "c_custkey", F.lit(".example.com/"))
+    forms = [F.concat(F.lit("k 19980102000000 "), url, F.lit(" text/html 200")), F.concat(F.lit("k 19980102000000 "), F.to_json(F.struct(url.alias("url")))), F.to_json(F.struct(url.alias("url"))), F.concat(F.lit("c"), "c_custkey", F.lit(",1998,x")), F.concat(F.lit("c"), "c_custkey", F.lit(".example.com"))]
+    return L.sniff(customer.select("file", F.element_at(F.array(*forms), F.col("file") + 1).alias("value")))
+
+
+@query("a10_field_inference", """
+SELECT CAST(r_regionkey AS INT) AS file, CASE WHEN r_regionkey = 4 THEN NULL ELSE 'site' END AS host_field, 'seen' AS time_field FROM region""")
+def a10_field_inference(spark: SparkSession, sf: str) -> DataFrame:
+    """Which fields of JSON records hold hosts and times; two equally good host fields are none."""
+    nation = D.table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("file"))
+    customer = D.table(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    site = F.concat(F.lit("c"), "c_custkey", F.lit(".example.com"))
+    record = F.struct(site.alias("site"), F.when(F.col("file") == 4, site).alias("mirror"), F.lit("1999-05-06").alias("seen"), F.col("c_acctbal").cast("string").alias("balance"))
+    return L.infer_fields(customer.select("file", F.to_json(record).alias("value")))
+
+
+@query("a12_directory_dump", """
+SELECT url FROM pages WHERE page_id % 3 <> 0""")
+def a12_directory_dump(spark: SparkSession, sf: str) -> DataFrame:
+    safe = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
+    row = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<link r:resource="'), safe, F.lit('"/>'))).otherwise(F.concat(F.lit('  <ExternalPage about="'), safe, F.lit('">')))
+    return L.read_directory_dump(D.table(spark, sf, "pages").select(row.alias("value")))
+
+
+@query("a13_mail_urls", """
+SELECT url, count(*) AS n FROM (SELECT url FROM pages UNION ALL SELECT concat('http://other.example/', page_id) FROM pages) GROUP BY url""")
+def a13_mail_urls(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.concat(F.lit("See <"), "url", F.lit("> and "), F.lit("http://other.example/"), "page_id", F.lit(". Again <"), "url", F.lit(">, please"))
+    return L.read_mail_urls(D.table(spark, sf, "pages").select(text.alias("value"))).groupBy("url").agg(F.count("*").alias("n"))
+
+
+@query("a14_mailbox_messages", """
+SELECT CAST(1996 + page_id % 6 AS INT) AS year, url FROM pages WHERE page_id % 4 <> 0""")
+def a14_mailbox_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages with exactly one Date header, in the window."""
+    date = F.concat(F.lit("Date: Mon, 5 May "), (F.col("page_id") % 6 + 1996).cast("string"), F.lit(" 10:00:00 +0000\n"))
+    text = F.concat(F.lit("a@b Mon May 5\n"), date, F.when(F.col("page_id") % 4 == 0, date).otherwise(""), F.lit("Subject: x\n\nlook <"), "url", F.lit("> now\n"))
+    return L.mail_messages(D.table(spark, sf, "pages").select(text.alias("value")))
+
+
+@query("a15_warc_headers", "SELECT url, CASE WHEN page_id % 8 < 6 THEN CAST(1996 + page_id % 8 AS INT) END AS year, CAST(CASE WHEN page_id % 8 < 6 THEN 1 << (page_id % 8)::INT ELSE 0 END AS INT) AS hint_mask, CAST(0 AS INT) AS direct_mask FROM pages")
+def a15_warc_headers(spark: SparkSession, sf: str) -> DataFrame:
+    head = F.concat(F.lit("\r\nWARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nWARC-Date: "), (F.col("page_id") % 8 + 1996).cast("string"), F.lit("-03-04T05:06:07Z\r\n\r\n"), F.substring("html", 1, 100))
+    return L.warc_headers(D.table(spark, sf, "pages").select(head.alias("value")))
+
+
+@query("a16_reference_list", f"WITH {D.CAPTURES} SELECT host, CASE WHEN year BETWEEN 1996 AND 2001 THEN year END AS year FROM captures WHERE host IS NOT NULL")
+def a16_reference_list(spark: SparkSession, sf: str) -> DataFrame:
+    return L.read_reference_list(D.captures(spark, sf).select(F.col("raw").alias("value"), F.concat(F.lit("lists/hosts-"), "year", F.lit(".txt")).alias("file")))
+
+
+@query("a17_window_sources", """
+SELECT s_suppkey, CAST(unnest(range(greatest(1996, 1994 + s_suppkey % 8), least(2001, 1995 + s_suppkey % 8) + 1)) AS INT) AS year FROM supplier""")
+def a17_window_sources(spark: SparkSession, sf: str) -> DataFrame:
+    name = F.concat(F.lit("list_"), F.col("s_suppkey") % 8 + 1994, F.lit("_"), F.col("s_suppkey") % 8 + 1995)
+    return D.table(spark, sf, "supplier").select("s_suppkey", F.explode(L.window_years(name)).alias("year"))
+
+
+@query("a18_accepted_captures", f"""
+WITH {D.CAPTURES} SELECT host, year, count(*) AS n FROM captures WHERE host IS NOT NULL AND seq % 4 < 2 AND seq % 5 <> 0 AND year BETWEEN greatest(1996, 1997) AND 2000 GROUP BY host, year""")
+def a18_accepted_captures(spark: SparkSession, sf: str) -> DataFrame:
+    rows = D.captures(spark, sf).where("host is not null").select(
+        "host", F.concat(F.lit("http://"), F.when(F.col("seq") % 5 == 0, F.concat(F.lit("x."), "host")).otherwise(F.col("host")), F.lit(":80/p")).alias("original"), _stamp().alias("timestamp"), _status().alias("status"), F.lit(1997).alias("low"), F.lit(2000).alias("high")
+    )
+    return L.accepted_years(rows, "host", "low", "high").groupBy("host", "year").agg(F.count("*").alias("n"))
+
+
+@query("a19_registration_years", """
+SELECT concat('d', c_custkey, '.com') AS domain, CAST(1994 + c_custkey % 10 AS INT) AS year, concat(1994 + c_custkey % 10, '-02-03T00:00:00Z') AS date FROM customer WHERE c_custkey % 10 BETWEEN 2 AND 7""")
+def a19_registration_years(spark: SparkSession, sf: str) -> DataFrame:
+    y = (F.col("c_custkey") % 10 + 1994).cast("string")
+    event = lambda action, date: F.struct(F.lit(action).alias("eventAction"), date.alias("eventDate"))
+    payload = F.to_json(F.struct(F.array(event("last changed", F.lit("1990-01-01")), event("Registration", F.concat(F.lit("2003"), F.lit("-01-01"))), event("registration", F.concat(y, F.lit("-02-03T00:00:00Z")))).alias("events")))
+    rows = D.table(spark, sf, "customer").select(F.concat(F.lit("d"), "c_custkey", F.lit(".com")).alias("domain"), payload.alias("payload"))
+    return L.registration_years(rows)
+
+
+@query("a20_listing_selection", "SELECT concat('f', p_partkey) AS path, CAST(p_size * 1000 + p_partkey % 7 AS BIGINT) AS length FROM part WHERE p_size * 1000 + p_partkey % 7 BETWEEN 1 AND 9000 ORDER BY 2, 1 LIMIT 100")
+def a20_listing_selection(spark: SparkSession, sf: str) -> DataFrame:
+    listing = D.table(spark, sf, "part").select(F.concat(F.lit("f"), "p_partkey").alias("path"), (F.col("p_size") * 1000 + F.col("p_partkey") % 7).cast("long").alias("length"))
+    return sinks.select_listing(listing, 9000, 100)
+
+
+@query("a21_size_texts", """
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_size * 1000 + 500 WHEN 1 THEN p_size * 1000000 + 500000 WHEN 2 THEN p_size ELSE NULL END AS bytes FROM part""")
+def a21_size_texts(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("p_partkey") % 4
+    text = F.when(k == 0, F.concat("p_size", F.lit(".5K"))).when(k == 1, F.concat(F.lit("2001 "), "p_size", F.lit(".5 MB"))).when(k == 2, F.col("p_size").cast("string")).otherwise("-")
+    return D.table(spark, sf, "part").select("p_partkey", H.parse_size(text).alias("bytes"))
+
+
+@query("s1_hosts_of_urls", rf"""
+SELECT page_id, lower({_HOST_OF_URL}) AS host, list_extract(string_split(lower({_HOST_OF_URL}), '.'), -1) AS tld, CAST(len(string_split({_HOST_OF_URL}, '.')) - 2 AS INT) AS depth, array_to_string(string_split(lower({_HOST_OF_URL}), '.')[-2:], '.') AS parent FROM pages""")
+def s1_hosts_of_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """S1, S2, S3, S5."""
+    h = H.host_of(F.col("url"))
+    return D.table(spark, sf, "pages").select("page_id", h.alias("host"), H.tld(h).alias("tld"), H.depth(h).alias("depth"), H.registrable_parent(h).alias("parent"))
+
+
+@query("s4_years_of_times", "SELECT event_id, CASE WHEN event_id % 4 < 3 THEN CAST(1996 + event_id % 6 AS INT) END AS year FROM events")
+def s4_years_of_times(spark: SparkSession, sf: str) -> DataFrame:
+    y, k = (F.col("event_id") % 6 + 1996).cast("string"), F.col("event_id") % 4
+    text = F.when(k == 0, F.concat(y, F.lit("0102"))).when(k == 1, F.concat(F.lit(" "), y, F.lit("-01-02T00:00:00"))).when(k == 2, y).otherwise(F.concat(y, F.lit("x")))
+    return D.table(spark, sf, "events").select("event_id", H.year_of(text).alias("year"))
+
+
+@query("s7_canonical_urls", r"""
+SELECT page_id, regexp_replace(url, '#.*$', '') AS canonical, concat('src:', sha256(regexp_replace(url, '#.*$', ''))) AS key, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS origin FROM pages""")
+def s7_canonical_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Canonical entry points, their keys and origins."""
+    noisy = F.regexp_replace(F.regexp_replace("url", "^http://([^/?#]+)", "HTTP://$1:80"), "^(HTTP://[^/]*|https://[^/]*)/", "$1/./x/..//")
+    return D.table(spark, sf, "pages").select("page_id", H.canonical_url(noisy).alias("canonical"), H.source_key(noisy).alias("key"), H.origin(noisy).alias("origin"))
+
+
+@query("s8_result_urls", r"""
+WITH u AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages), q AS (SELECT page_id, u, list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT starts_with(lower(p), 'utm_'))) AS parts FROM u)
+SELECT page_id, string_split(u, '?')[1] || CASE WHEN len(parts) > 0 THEN '?' || array_to_string(parts, '&') ELSE '' END AS canonical FROM q""")
+def s8_result_urls(spark: SparkSession, sf: str) -> DataFrame:
+    return D.table(spark, sf, "pages").select("page_id", H.canonical_result_url(F.col("url")).alias("canonical"))
+
+
+@query("s10_result_identity", """
+SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN concat('sha256:', sha256(p_name)) WHEN p_size % 3 = 1 THEN concat('etag:', p_brand, ':', p_size) ELSE concat('url:http://x.example/', p_partkey) END AS artifact,
+ CASE WHEN p_partkey % 2 = 0 THEN concat('10.5281/z.', p_partkey) ELSE concat('meta:', sha256(p_name)) END AS dataset, p_name AS family FROM part""")
+def s10_result_identity(spark: SparkSession, sf: str) -> DataFrame:
+    """Artifact, dataset and family of search results."""
+    p, s = D.table(spark, sf, "part"), F.col("p_size") % 3
+    artifact = F.coalesce(F.when(s == 0, F.concat(F.lit("sha256:"), F.sha2("p_name", 256))), F.when(s == 1, F.concat(F.lit("etag:"), "p_brand", F.lit(":"), "p_size")), F.concat(F.lit("url:http://x.example/"), "p_partkey"))
+    ident = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("https://doi.org/10.5281/Z."), "p_partkey"))
+    title = F.concat(F.initcap("p_name"), F.lit(" (1998) v2.1"))
+    return p.select("p_partkey", artifact.alias("artifact"), F.coalesce(H.doi(ident), F.concat(F.lit("meta:"), F.sha2("p_name", 256))).alias("dataset"), H.family_label(title).alias("family"))
+
+
+@query("s12_relevance", "SELECT p_partkey, 0.45 * (p_size % 2) + 0.35 * (p_partkey % 2) + 0.2 * (p_partkey % 3 // 2) AS relevance FROM part")
+def s12_relevance(spark: SparkSession, sf: str) -> DataFrame:
+    """.45 for the mechanism, .35 for the year, .20 for the kind of artifact."""
+    mechanism, year, artifact = F.col("p_size") % 2 == 1, F.col("p_partkey") % 2 == 1, F.col("p_partkey") % 3 == 2
+    return D.table(spark, sf, "part").select("p_partkey", (0.45 * mechanism.cast("int") + 0.35 * year.cast("int") + 0.2 * artifact.cast("int")).alias("relevance"))
+
+
+@query("s14_year_siblings", """
+SELECT s_suppkey, concat('http://x.example/', s_suppkey, '/list-', y, '.txt') AS sibling FROM supplier, (SELECT unnest(range(1996, 2002)) AS y) WHERE y <> 1996 + s_suppkey % 6""")
+def s14_year_siblings(spark: SparkSession, sf: str) -> DataFrame:
+    """The other years' addresses of a file with one target year in its name."""
+    url = F.concat(F.lit("http://x.example/"), "s_suppkey", F.lit("/list-"), F.col("s_suppkey") % 6 + 1996, F.lit(".txt"))
+    rows = D.table(spark, sf, "supplier").select("s_suppkey", url.alias("url")).withColumn("years", F.array_distinct(F.regexp_extract_all(F.regexp_extract("url", r"([^/]*)\z", 1), F.lit(r"(?<!\d)(199[6-9]|200[01])(?!\d)"), 1))).where("size(years) = 1")
+    return rows.select("s_suppkey", "url", F.col("years")[0].alias("y"), F.explode(F.sequence(F.lit(1996), F.lit(2001))).alias("o")).where("cast(y as int) <> o").select("s_suppkey", F.regexp_replace("url", F.concat(F.lit(r"(?<!\d)"), "y", F.lit(r"(?!\d)")), F.col("o").cast("string")).alias("sibling"))
+
+
+@query("s15_template_expansion", "SELECT concat('http://', lower(replace(n_name, '_', '-')), '.example/', y, '/', f) AS url FROM nation, (SELECT unnest(range(1996, 2002)) AS y), (SELECT unnest(['hosts.txt', 'urls.gz']) AS f)")
+def s15_template_expansion(spark: SparkSession, sf: str) -> DataFrame:
+    """A template over finite lists; lists are literals of the plan, so the expansion is bounded by its row count."""
+    n = D.table(spark, sf, "nation").select(F.lower(F.replace("n_name", F.lit("_"), F.lit("-"))).alias("v"))
+    years = n.select("v", F.explode(F.sequence(F.lit(1996), F.lit(2001))).alias("y")).select("v", "y", F.explode(F.array(F.lit("hosts.txt"), F.lit("urls.gz"))).alias("f"))
+    return years.select(F.concat(F.lit("http://"), "v", F.lit(".example/"), "y", F.lit("/"), "f").alias("url"))
+
+
+@query("s16_payload_hash", f"WITH {D.VALID} SELECT seq, sha256(concat(host, chr(31), year, chr(31), source_id)) AS payload_hash FROM valid")
+def s16_payload_hash(spark: SparkSession, sf: str) -> DataFrame:
+    return D.valid_captures(spark, sf).select("seq", F.sha2(F.concat_ws("\x1f", "host", "year", "source_id"), 256).alias("payload_hash"))
+
+
+@query("s17_action_kinds", f"""
+WITH {D.VALID} SELECT CASE WHEN provider = 'rdap' THEN 'RDAP' WHEN seq % 4 = 0 THEN 'DOMAIN' WHEN seq % 4 = 1 THEN 'EXACT' ELSE 'RANGE' END AS kind, count(*) AS n FROM valid GROUP BY 1""")
+def s17_action_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    s = F.col("seq") % 4
+    rows = D.valid_captures(spark, sf).select("provider", F.lit(1996).alias("a"), F.when(s == 1, 1996).otherwise(2001).alias("b"), F.when(s == 0, "cdx-domain-v1").otherwise("cdx-v1").alias("policy"))
+    return rows.groupBy(H.classify_action(F.col("provider"), F.col("a"), F.col("b"), F.col("policy")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("s18_fraction_selected", f"WITH {D.VALID} SELECT DISTINCT host, CAST('0x' || substr(sha256(host), 1, 15) AS BIGINT) < {int(0.3 * (1 << 60))} AS selected FROM valid")
+def s18_fraction_selected(spark: SparkSession, sf: str) -> DataFrame:
+    return D.valid_captures(spark, sf).select("host").distinct().select("host", H.fraction_selected(F.col("host"), 0.3).alias("selected"))
+
+
+@query("s19_provider_order", f"""
+WITH {D.VALID}, h AS (SELECT DISTINCT host FROM valid), p AS (SELECT unnest(['ia', 'arquivo', 'mirror']) AS provider, unnest([1.0, 0.5, 0.25]) AS w),
+r AS (SELECT host, provider, -ln((CAST('0x' || substr(sha256(concat(host, '|', provider)), 1, 12) AS BIGINT) + 0.5) / 281474976710656.0) / w AS s FROM h, p)
+SELECT host, string_agg(provider, '>' ORDER BY s, provider) AS providers FROM r GROUP BY host""")
+def s19_provider_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Weighted rendezvous order of providers for each host: by -ln(u) / weight, inside the row."""
+    score = lambda p, w: F.struct((-F.log((F.conv(F.substring(F.sha2(F.concat("host", F.lit("|"), F.lit(p)), 256), 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))) / w).alias("s"), F.lit(p).alias("p"))
+    order = F.array_sort(F.array(score("ia", 1.0), score("arquivo", 0.5), score("mirror", 0.25)))
+    return D.valid_captures(spark, sf).select("host").distinct().select("host", F.array_join(F.transform(order, lambda x: x.p), ">").alias("providers"))
+
+
+@query("s20_growth", f"""
+WITH {D.RUNS} SELECT source, round(coalesce(sum(eed) FILTER (WHERE k % 2 = 0) / nullif(sum(eed), 0), 0), 8) AS growth FROM runs GROUP BY source""")
+def s20_growth(spark: SparkSession, sf: str) -> DataFrame:
+    from yearmask.operators.eed import growth
+
+    s = D.runs(spark, sf).groupBy("source").agg(F.sum(F.when(F.col("k") % 2 == 0, F.col("eed"))).alias("n"), F.sum("eed").alias("b"))
+    return s.select("source", F.round(growth(F.col("n"), F.col("b")), 8).alias("growth"))
+
+
+@query("s22_region_bisect", "SELECT p_partkey, 2 * p_partkey + c AS child, CASE WHEN c = 0 THEN 0 ELSE (p_size * 100 + 1) // 2 END AS low, CASE WHEN c = 0 THEN (p_size * 100 + 1) // 2 ELSE p_size * 100 + 1 END AS high FROM part, (SELECT unnest([0, 1]) AS c)")
+def s22_region_bisect(spark: SparkSession, sf: str) -> DataFrame:
+    """Two children of each byte range, without overlap."""
+    p = D.table(spark, sf, "part").select("p_partkey", (F.col("p_size") * 100 + 1).alias("end"))
+    half = F.floor(F.col("end") / 2)
+    child = lambda c, a, b: F.struct((F.col("p_partkey") * 2 + c).alias("child"), a.cast("int").alias("low"), b.cast("int").alias("high"))
+    return p.select("p_partkey", F.explode(F.array(child(0, F.lit(0), half), child(1, half, F.col("end")))).alias("x")).select("p_partkey", "x.*")
+
+
+@query("k16_window_offsets", "SELECT p_partkey, i AS win, CAST(i * (p_size * 1000 - 100) // 3 AS BIGINT) AS \"offset\" FROM part, (SELECT unnest(range(4)) AS i)")
+def k16_window_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Evenly spaced sample windows of a byte range, the first at its start and the last at its end."""
+    p = D.table(spark, sf, "part").select("p_partkey", (F.col("p_size") * 1000 - 100).alias("room"))
+    return p.select("p_partkey", "room", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("win")).select("p_partkey", F.col("win").cast("long").alias("win"), F.floor(F.col("win") * F.col("room") / 3).cast("long").alias("offset"))
+
+
+@query("b8_admission", """
+SELECT p_partkey, CASE WHEN p_size < 5 THEN 'volume_too_small' WHEN p_partkey % 10 < 2 THEN 'not_enumerable' WHEN p_retailprice < 950 THEN 'low_confidence' ELSE 'admitted' END AS reason FROM part""")
+def b8_admission(spark: SparkSession, sf: str) -> DataFrame:
+    """Why a proposal is turned down: the first floor that it misses."""
+    floors = [(F.col("p_size") < 5, "volume_too_small"), (F.col("p_partkey") % 10 < 2, "not_enumerable"), (F.col("p_retailprice") < 950, "low_confidence")]
+    return D.table(spark, sf, "part").select("p_partkey", F.coalesce(*[F.when(c, F.lit(r)) for c, r in floors], F.lit("admitted")).alias("reason"))
+
+
+@query("b9_suppression", f"""
+WITH {D.RUNS}, s AS (SELECT 'SOURCE' AS scope, source AS key, max(ts) AS expires FROM runs WHERE kind = 'error' AND k = 7 GROUP BY source UNION ALL SELECT 'FAMILY', kind, TIMESTAMP '2024-01-20' FROM runs WHERE kind = 'signup' GROUP BY kind)
+SELECT run_id, CASE WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'SOURCE' AND key = source AND expires > r.ts) THEN 'SOURCE' WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'FAMILY' AND key = kind AND expires > r.ts) THEN 'FAMILY' ELSE 'none' END AS reason FROM runs r""")
+def b9_suppression(spark: SparkSession, sf: str) -> DataFrame:
+    """The suppression, not yet over, that holds a row back."""
+    r = D.runs(spark, sf)
+    by_source = r.where("kind = 'error' and k = 7").groupBy("source").agg(F.max("ts").alias("s_until"))
+    by_family = r.where("kind = 'signup'").select("kind", F.lit("2024-01-20").cast("timestamp").alias("f_until")).distinct()
+    j = r.join(by_source, "source", "left").join(by_family, "kind", "left")
+    return j.select("run_id", F.when(F.col("s_until") > F.col("ts"), "SOURCE").when(F.col("f_until") > F.col("ts"), "FAMILY").otherwise("none").alias("reason"))
+
+
+@query("b10_scout_verdict", f"""
+WITH {D.LOG}, m AS (SELECT source_id, count(DISTINCT host) AS hosts, count(DISTINCT CASE WHEN lane = 'N' THEN host END) AS novel FROM log GROUP BY source_id)
+SELECT source_id, CASE WHEN hosts >= 100 AND novel >= 10 AND novel >= 0.01 * hosts THEN 'WARM' ELSE 'HOLD' END AS verdict FROM m""")
+def b10_scout_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    """Warm or hold, by 100 hosts, 10 novel ones and 1 %."""
+    m = D.log(spark, sf).select("source_id", "host", "lane").distinct().groupBy("source_id", "host").agg(F.bool_or(F.col("lane") == "N").alias("n")).groupBy("source_id").agg(F.count("*").alias("hosts"), F.count_if("n").alias("novel"))
+    return m.select("source_id", F.when((F.col("hosts") >= 100) & (F.col("novel") >= 10) & (F.col("novel") >= 0.01 * F.col("hosts")), "WARM").otherwise("HOLD").alias("verdict"))
+
+
+@query("b11_early_rules", f"""
+WITH {D.RUNS}, s AS (SELECT source, min(k % 4) FILTER (WHERE eed > 100) AS accept_stage, count(*) FILTER (WHERE eed = 0) AS zeros, count(*) AS n FROM runs GROUP BY source)
+SELECT source, CASE WHEN accept_stage < 2 THEN 'early_accept' WHEN zeros * 2 > n THEN 'early_reject' ELSE 'continue' END AS decision FROM s""")
+def b11_early_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Decisions from the sample stages seen so far."""
+    s = D.runs(spark, sf).groupBy("source").agg(F.min(F.when(F.col("eed") > 100, F.col("k") % 4)).alias("stage"), F.count_if(F.col("eed") == 0).alias("zeros"), F.count("*").alias("n"))
+    return s.select("source", F.when(F.col("stage") < 2, "early_accept").when(F.col("zeros") * 2 > F.col("n"), "early_reject").otherwise("continue").alias("decision"))
+
+
+@query("b12_region_decision", "SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'drop' WHEN p_retailprice > 1000 AND p_size > 20 THEN 'refine' ELSE 'harvest' END AS decision FROM part")
+def b12_region_decision(spark: SparkSession, sf: str) -> DataFrame:
+    """Drop a region without novelty, refine a large dense one, harvest the rest."""
+    return D.table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 7 == 0, "drop").when((F.col("p_retailprice") > 1000) & (F.col("p_size") > 20), "refine").otherwise("harvest").alias("decision"))
+
+
+@query("b14_optimizer_eligible", "SELECT p_partkey FROM part WHERE p_type IN ('ECONOMY', 'STANDARD') AND p_size > 10 AND p_partkey % 2 = 0")
+def b14_optimizer_eligible(spark: SparkSession, sf: str) -> DataFrame:
+    return D.table(spark, sf, "part").where(F.col("p_type").isin("ECONOMY", "STANDARD") & (F.col("p_size") > 10) & (F.col("p_partkey") % 2 == 0)).select("p_partkey")
+
+
+_CELL_SCORE = "1.0 / sqrt(1.0 + a) + 1.5 * (1.0 - d) + CASE WHEN r > 0 THEN q / r ELSE 0.5 END"
+
+
+@query("k12_cell_scores", f"""
+WITH c AS (SELECT p_type AS mechanism, p_brand AS institution, count(*) AS a, CAST(sum(p_size) AS BIGINT) AS r, coalesce(sum(p_partkey % (p_size + 1)) / nullif(sum(p_size), 0), 0) AS d, CAST(sum(p_partkey % 7 % (p_size + 1)) AS BIGINT) AS q FROM part GROUP BY ALL)
+SELECT mechanism, institution, round({_CELL_SCORE}, 8) AS score FROM c""")
+def k12_cell_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The score of each search cell (batches with diversity are picked by greedy_diverse)."""
+    from yearmask.plans.analytics import cells
+
+    c = cells(spark, sf).groupBy("mechanism", "institution").agg(F.count("*").alias("a"), F.sum("results").alias("r"), A.ratio(F.sum("duplicates"), F.sum("results")).alias("d"), F.sum("qualified").alias("q"))
+    return c.select("mechanism", "institution", F.round(A.cell_score(F.col("a"), F.col("d"), F.lit(0.0), F.lit(0.0), F.col("q"), F.col("r")), 8).alias("score"))

@@ -1 +1,83 @@
-"""Queries."""
+"""Streaming queries: each reads its table as a stream and gives the same rows as a batch would."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from yearmask.functions import hosts as H
+from yearmask.operators import eed as E
+from yearmask.plans import derived as D
+from yearmask.plans.registry import query
+from yearmask.streaming import evidence as S
+
+
+def file_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of files: one file or a folder of them."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+    options = {} if folder else {"pathGlobFilter": f"{name}.parquet"}
+    return spark.readStream.schema(schema).options(**options).option("maxFilesPerTrigger", 16).parquet(path if folder else sf_dir)
+
+
+_LOGGED = D.LOG + ", b AS (SELECT DISTINCT host, year FROM log WHERE lane = 'R'), f AS (SELECT host, year, arg_min(source_id, seq) AS source_id, arg_min(lane, seq) AS lane FROM log GROUP BY host, year), novel AS (SELECT f.* FROM f LEFT JOIN b USING (host, year) WHERE b.host IS NULL)"
+
+
+def _novel(spark: SparkSession, sf: str) -> DataFrame:
+    t = F.expr(D.TLD.format(k="CAST(l_partkey % 25 AS INT)"))
+    rows = file_stream(spark, sf, "lineitem").select(
+        F.concat(F.lit("p"), F.col("l_partkey"), F.lit("."), t).alias("host"), F.year("l_shipdate").alias("year"), F.concat(F.lit("s"), F.col("l_suppkey") % 60).alias("source_id"), F.col("l_returnflag").alias("lane"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_partkey").alias("part"),
+    ).where("year between 1996 and 2001")
+    base = D.log(spark, sf).where("lane = 'R'").select("host", "year").distinct()
+    return S.incremental_novelty(rows, base, S.work_folder(spark, "novelty"))
+
+
+@query("t1_incremental_novelty", f"WITH {_LOGGED}, {D.WEIGHTS} SELECT year, lane, count(*) AS host_years, CAST(sum(coalesce(weight, 0)) AS DOUBLE) AS eed FROM novel LEFT JOIN weights ON weights.tld = {D.TLD_OF} GROUP BY year, lane")
+def t1_incremental_novelty(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals over the sink of the incremental stream. Another baseline means another folder: replay from zero."""
+    return E.report(_novel(spark, sf), D.weights(spark, sf), [["year", "lane"]]).drop("level")
+
+
+@query("t3_readiness_gates", f"""
+WITH {_LOGGED}, {D.WEIGHTS}, n AS (SELECT year, sum(coalesce(weight, 0)) AS eed FROM novel LEFT JOIN weights ON weights.tld = {D.TLD_OF} GROUP BY year), k AS (SELECT year, sum(coalesce(weight, 0)) AS eed FROM b LEFT JOIN weights ON weights.tld = {D.TLD_OF} GROUP BY year)
+SELECT year, CAST(n.eed AS DOUBLE) AS novel_eed, n.eed >= k.eed * CAST(0.045 AS DECIMAL(6,4)) AS prewarm, n.eed >= k.eed * CAST(0.05 AS DECIMAL(6,4)) AS formal, n.eed >= k.eed * CAST(0.0525 AS DECIMAL(6,4)) AS dispatch FROM n JOIN k USING (year)""")
+def t3_readiness_gates(spark: SparkSession, sf: str) -> DataFrame:
+    """The gates (90 % of formal, 5 %, 5.25 %) over the sink of T1."""
+    w = F.coalesce("weight", F.lit(0)).cast(E.WEIGHT)
+
+    def weighed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("tld", H.tld(F.col("host"))).join(D.weights(spark, sf), "tld", "left").groupBy("year").agg(F.sum(w).alias("e"))
+
+    n = weighed(_novel(spark, sf)).withColumnRenamed("e", "n")
+    k = weighed(D.log(spark, sf).where("lane = 'R'").select("host", "year").distinct()).withColumnRenamed("e", "k")
+    gates = {g: E.passes(F.col("n"), F.col("k"), r).alias(g) for g, r in (("prewarm", "0.045"), ("formal", "0.05"), ("dispatch", "0.0525"))}
+    return n.join(k, "year").select("year", F.col("n").cast("double").alias("novel_eed"), *gates.values())
+
+
+@query("t4_first_wins", f"WITH {_LOGGED} SELECT host, year, source_id, lane FROM novel")
+def t4_first_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """T4: the first row of each host-year of the stream."""
+    return _novel(spark, sf).select("host", "year", "source_id", "lane")
+
+
+@query("t5_candidate_status", f"""
+WITH {D.CAPTURES} SELECT host, coalesce(arg_min(CASE status WHEN 'F' THEN 'VERIFIED' ELSE 'REJECTED' END, seq) FILTER (WHERE status IN ('F', 'P')), 'ACTIVE') AS status FROM captures WHERE host IS NOT NULL GROUP BY host""")
+def t5_candidate_status(spark: SparkSession, sf: str) -> DataFrame:
+    """T5 over a table: what each candidate has come to."""
+    events = D.captures(spark, sf).where("host is not null").select("host", "seq", F.when(F.col("status") == "F", "VERIFIED").when(F.col("status") == "P", "REJECTED").otherwise("ACTIVE").alias("status"))
+    return S.candidate_status_batch(events)
+
+
+@query("t6_live_suppressions", f"""
+WITH {D.RUNS}, l AS (SELECT source, arg_max(ts + INTERVAL 3 DAY, ts) AS expires_at FROM runs WHERE kind = 'error' GROUP BY source) SELECT 'SOURCE' AS scope, source AS key, expires_at FROM l WHERE expires_at > TIMESTAMP '2024-02-01'""")
+def t6_live_suppressions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = D.runs(spark, sf).where("kind = 'error'").select(F.lit("SOURCE").alias("scope"), F.col("source").alias("key"), F.col("ts").alias("set_at"), F.expr("ts + interval 3 days").alias("expires_at"))
+    return S.live_suppressions(rows, F.lit("2024-02-01").cast("timestamp"))
+
+
+@query("t7_running_counters", "SELECT event_type AS name, CAST(sum(event_id % 9) AS BIGINT) AS total, arg_max(event_id % 9, ts) AS last, max(event_id % 9) AS highest, min(event_id % 9) AS lowest, count(*) AS n FROM events GROUP BY event_type")
+def t7_running_counters(spark: SparkSession, sf: str) -> DataFrame:
+    rows = file_stream(spark, sf, "events").select(F.col("event_type").alias("name"), (F.col("event_id") % 9).alias("value"), "ts")
+    return S.running_counters(rows, S.work_folder(spark, "counters"))
