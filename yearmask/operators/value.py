@@ -48,6 +48,11 @@ def scout_priority(level: Column, volume: Column, direct: Column, overlap: Colum
     return scale * F.log1p(F.greatest(F.lit(1), F.coalesce(hint, F.lit(1))).cast("double")) * F.greatest(F.lit(0.01), 1.0 - overlap) * quality * (1.0 + 4.0 * direct) * F.greatest(F.lit(0.05), confidence) / F.greatest(F.lit(0.1), 1.0 + access + adapter)
 
 
+def source_value(direct: Column, descendants: Column, uncertainty: Column, overlap: Column, cost: Column) -> Column:
+    """D3: what a source is worth a second."""
+    return F.greatest(F.lit(0.0), direct + descendants + uncertainty) * F.greatest(F.lit(0.0), 1.0 - overlap) / F.greatest(F.lit(1e-6), cost)
+
+
 def unseen(observed: DataFrame, group: str, key: str) -> DataFrame:
     """Per group the observations, distinct keys, keys seen once and twice, the unseen share (Good-Turing) and
     the opportunity, which is that share of what was observed. Two levels: keys are counted before groups."""

@@ -283,14 +283,6 @@ def k16_window_offsets(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("p_partkey", "room", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("win")).select("p_partkey", F.col("win").cast("long").alias("win"), F.floor(F.col("win") * F.col("room") / 3).cast("long").alias("offset"))
 
 
-@query("b8_admission", """
-SELECT p_partkey, CASE WHEN p_size < 5 THEN 'volume_too_small' WHEN p_partkey % 10 < 2 THEN 'not_enumerable' WHEN p_retailprice < 950 THEN 'low_confidence' ELSE 'admitted' END AS reason FROM part""")
-def b8_admission(spark: SparkSession, sf: str) -> DataFrame:
-    """Why a proposal is turned down: the first floor that it misses."""
-    floors = [(F.col("p_size") < 5, "volume_too_small"), (F.col("p_partkey") % 10 < 2, "not_enumerable"), (F.col("p_retailprice") < 950, "low_confidence")]
-    return D.table(spark, sf, "part").select("p_partkey", F.coalesce(*[F.when(c, F.lit(r)) for c, r in floors], F.lit("admitted")).alias("reason"))
-
-
 @query("b9_suppression", f"""
 WITH {D.RUNS}, s AS (SELECT 'SOURCE' AS scope, source AS key, max(ts) AS expires FROM runs WHERE kind = 'error' AND k = 7 GROUP BY source UNION ALL SELECT 'FAMILY', kind, TIMESTAMP '2024-01-20' FROM runs WHERE kind = 'signup' GROUP BY kind)
 SELECT run_id, CASE WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'SOURCE' AND key = source AND expires > r.ts) THEN 'SOURCE' WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'FAMILY' AND key = kind AND expires > r.ts) THEN 'FAMILY' ELSE 'none' END AS reason FROM runs r""")
@@ -321,12 +313,6 @@ def b11_early_rules(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("source", F.when(F.col("stage") < 2, "early_accept").when(F.col("zeros") * 2 > F.col("n"), "early_reject").otherwise("continue").alias("decision"))
 
 
-@query("b12_region_decision", "SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'drop' WHEN p_retailprice > 1000 AND p_size > 20 THEN 'refine' ELSE 'harvest' END AS decision FROM part")
-def b12_region_decision(spark: SparkSession, sf: str) -> DataFrame:
-    """Drop a region without novelty, refine a large dense one, harvest the rest."""
-    return D.table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 7 == 0, "drop").when((F.col("p_retailprice") > 1000) & (F.col("p_size") > 20), "refine").otherwise("harvest").alias("decision"))
-
-
 @query("b14_optimizer_eligible", "SELECT p_partkey FROM part WHERE p_type IN ('ECONOMY', 'STANDARD') AND p_size > 10 AND p_partkey % 2 = 0")
 def b14_optimizer_eligible(spark: SparkSession, sf: str) -> DataFrame:
     return D.table(spark, sf, "part").where(F.col("p_type").isin("ECONOMY", "STANDARD") & (F.col("p_size") > 10) & (F.col("p_partkey") % 2 == 0)).select("p_partkey")
