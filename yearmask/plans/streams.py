@@ -25,13 +25,17 @@ def file_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _LOGGED = D.LOG + ", b AS (SELECT DISTINCT host, year FROM log WHERE lane = 'R'), f AS (SELECT host, year, arg_min(source_id, seq) AS source_id, arg_min(lane, seq) AS lane FROM log GROUP BY host, year), novel AS (SELECT f.* FROM f LEFT JOIN b USING (host, year) WHERE b.host IS NULL)"
 
 
-def _novel(spark: SparkSession, sf: str) -> DataFrame:
+def log_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The capture log of derived.log, as a stream."""
     t = F.expr(D.TLD.format(k="CAST(l_partkey % 25 AS INT)"))
-    rows = file_stream(spark, sf, "lineitem").select(
+    return file_stream(spark, sf, "lineitem").select(
         F.concat(F.lit("p"), F.col("l_partkey"), F.lit("."), t).alias("host"), F.year("l_shipdate").alias("year"), F.concat(F.lit("s"), F.col("l_suppkey") % 60).alias("source_id"), F.col("l_returnflag").alias("lane"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_partkey").alias("part"),
     ).where("year between 1996 and 2001")
+
+
+def _novel(spark: SparkSession, sf: str) -> DataFrame:
     base = D.log(spark, sf).where("lane = 'R'").select("host", "year").distinct()
-    return S.incremental_novelty(rows, base, S.work_folder(spark, "novelty"))
+    return S.incremental_novelty(log_stream(spark, sf), base, S.work_folder(spark, "novelty"))
 
 
 @query("t1_incremental_novelty", f"WITH {_LOGGED}, {D.WEIGHTS} SELECT year, lane, count(*) AS host_years, CAST(sum(coalesce(weight, 0)) AS DOUBLE) AS eed FROM novel LEFT JOIN weights ON weights.tld = {D.TLD_OF} GROUP BY year, lane")
