@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearmask.llm.common import materialize
@@ -19,25 +19,34 @@ RANGE, FAN = 1 << 15, 16
 
 
 def records_of(pages: DataFrame, per_archive: int = 256) -> DataFrame:
-    """(archive, record_id, offset, length, record): each page as one WARC resource record, laid out in archives.
+    """(archive, record_id, length, sha256, record): each page as one WARC resource record, dealt to archives.
 
     Archives hold ``per_archive`` consecutive page ids, so their size is bounded; pages with a null id are dealt out by a
     hash over archives with negative numbers. Null urls and contents count as empty; repeated rows are repeated records.
-    Within an archive records are ordered by id, then by a digest of the record.
     """
     html, url = F.coalesce("html", F.lit("")), F.coalesce("url", F.lit(""))
     name = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), name, F.lit(">\r\nWARC-Target-URI: "), url, F.lit("\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit("\r\n\r\n"))
-    made = pages.select(F.coalesce(F.floor(F.col("page_id") / per_archive).cast("long"), (-1 - F.pmod(F.xxhash64(url, html), F.lit(4096))).cast("long")).alias("archive"), F.col("page_id").alias("record_id"), F.concat(head, html, F.lit("\r\n\r\n")).alias("record"))
-    sized = made.withColumn("length", F.octet_length("record").cast("long")).withColumn("sha256", F.sha2("record", 256))
+    archive = F.coalesce(F.floor(F.col("page_id") / per_archive).cast("long"), (-1 - F.pmod(F.xxhash64(url, html), F.lit(4096))).cast("long"))
+    made = pages.select(archive.alias("archive"), F.col("page_id").alias("record_id"), F.concat(head, html, F.lit("\r\n\r\n")).alias("record"))
+    return made.select("archive", "record_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("sha256"), "record")
+
+
+def laid_out(records: DataFrame, *more: str) -> DataFrame:
+    """(archive, record_id, offset, length, sha256, more): where each record begins in its archive.
+
+    Records are ordered by id, then by digest. Only these narrow rows are dealt to archives: the records' bytes are
+    hashed where they are read and never shuffled.
+    """
+    narrow = records.select("archive", "record_id", "length", "sha256", *more)
     before = Window.partitionBy("archive").orderBy("record_id", "sha256").rowsBetween(Window.unboundedPreceding, -1)
-    return sized.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+    return narrow.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
 
 
 def leaves(records: DataFrame) -> DataFrame:
     """(archive, level, node, hash): level 0, one leaf a record, its node the offset. A record that lies at the offset of
     another (repeated rows of a replica's listing) is hashed with it."""
-    own = records.select("archive", F.col("offset").alias("node"), F.sha2(F.concat_ws(":", F.lit("leaf"), F.col("offset"), F.col("length"), F.sha2("record", 256)), 256).alias("hash"))
+    own = records.select("archive", F.col("offset").alias("node"), F.sha2(F.concat_ws(":", F.lit("leaf"), "offset", "length", "sha256"), 256).alias("hash"))
     return own.groupBy("archive", "node").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("hash")), ""), 256).alias("hash")).select("archive", F.lit(0).alias("level"), "node", "hash")
 
 
@@ -67,8 +76,8 @@ def levels_for(size: int) -> int:
 
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
-    """The records that differ between two replicas (archive, offset, length, record, record_id): archive, offset,
-    record_id, length, status (``corrupt``, ``missing`` from the replica, or ``extra`` in it) and both digests.
+    """The records that differ between the listings (archive, offset, length, sha256, record_id) of two replicas: archive,
+    offset, record_id, length, status (``corrupt``, ``missing`` from the replica, or ``extra`` in it) and both digests.
 
     Roots are compared first; the children of nodes that differ, or that one side lacks, are compared next, so equal
     branches are never visited below the point where they are known to be equal. Empty inputs give no rows.
@@ -82,18 +91,19 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
         if differing is not None:
             up = F.floor(F.col("node") / (RANGE if n == 0 else FAN)).cast("long")
             a, b = (x.withColumn("up", up).join(differing, ["archive", "up"], "left_semi").drop("up") for x in (a, b))
-        differing = a.join(b, ["archive", "node"], "full_outer").where(~F.col("ha").eqNullSafe(F.col("hb"))).select("archive", F.col("node").alias("up"))
+        found = a.join(b, ["archive", "node"], "full_outer").where(~F.col("ha").eqNullSafe(F.col("hb"))).select("archive", F.col("node").alias("up"))
+        differing, _ = materialize(found, "differing")  # what a level leaves is small; the next level starts from it
     at = differing.select("archive", F.col("up").alias("offset"))
-    p = primary.join(at, ["archive", "offset"], "left_semi").groupBy("archive", "offset").agg(F.min("record_id").alias("id_a"), F.max("length").alias("len_a"), F.min(F.sha2("record", 256)).alias("sha256"))
-    r = replica.join(at, ["archive", "offset"], "left_semi").groupBy("archive", "offset").agg(F.min("record_id").alias("id_b"), F.max("length").alias("len_b"), F.min(F.sha2("record", 256)).alias("replica_sha256"))
+    p = primary.join(at, ["archive", "offset"], "left_semi").groupBy("archive", "offset").agg(F.min("record_id").alias("id_a"), F.max("length").alias("len_a"), F.min("sha256").alias("sha256"))
+    r = replica.join(at, ["archive", "offset"], "left_semi").groupBy("archive", "offset").agg(F.min("record_id").alias("id_b"), F.max("length").alias("len_b"), F.min("sha256").alias("replica_sha256"))
     both = p.join(r, ["archive", "offset"], "full_outer")
     status = F.when(F.col("replica_sha256").isNull(), "missing").when(F.col("sha256").isNull(), "extra").otherwise("corrupt")
     return both.select("archive", "offset", F.coalesce("id_a", "id_b").alias("record_id"), F.coalesce("len_a", "len_b").alias("length"), status.alias("status"), "sha256", "replica_sha256")
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica with known faults, for audits of the audit: record ids of 13 modulo 97 have their last content byte
-    changed, ids of 7 modulo 193 are lost; null ids are sound."""
-    kept = records.where(F.coalesce(F.pmod("record_id", F.lit(193)) != 7, F.lit(True)))
+def damaged_digest() -> Column:
+    """The digest of a record (record_id, record, sha256) in a replica with known faults, for audits of the audit: records
+    of ids 13 modulo 97 have their last content byte changed, those of 7 modulo 193 are lost (null); null ids are sound."""
     hurt = F.concat(F.substring(F.col("record"), F.lit(1), F.length("record") - 5), F.lit("#\r\n\r\n"))
-    return kept.withColumn("record", F.when(F.pmod("record_id", F.lit(97)) == 13, hurt).otherwise(F.col("record")))
+    lost = F.coalesce(F.pmod("record_id", F.lit(193)) == 7, F.lit(False))
+    return F.when(~lost, F.when(F.pmod("record_id", F.lit(97)) == 13, F.sha2(hurt, 256)).otherwise(F.col("sha256")))
