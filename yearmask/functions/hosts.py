@@ -57,7 +57,7 @@ def year_of(c: Column) -> Column:
 
 def bit(year: Column) -> Column:
     """The mask bit of a year; 0 outside of the window."""
-    return F.coalesce(F.when(year.between(FIRST_YEAR, LAST_YEAR), F.expr("1").cast("int") * F.pow(F.lit(2), year - FIRST_YEAR).cast("int")), F.lit(0))
+    return F.coalesce(F.when(year.between(FIRST_YEAR, LAST_YEAR), F.pow(F.lit(2), year - FIRST_YEAR).cast("int")), F.lit(0))
 
 
 def years_in(mask: Column) -> Column:

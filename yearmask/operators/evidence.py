@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from yearmask.functions.hosts import ALL_YEARS, bit, classify_source, normalize_host, novel_mask, years_in
+from yearmask.functions.hosts import ALL_YEARS, bit, classify_source, host_of, normalize_host, novel_mask, year_of, years_in
 
 
 def mask_by_host(host_years: DataFrame, host: str = "host", year: str = "year") -> DataFrame:
@@ -101,8 +101,6 @@ def bound_contract(capsules: DataFrame, contracts: DataFrame) -> DataFrame:
 
 def semantic_errors(capsules: DataFrame) -> DataFrame:
     """B1: the list of what is wrong with each capsule, and whether it is accepted (nothing is)."""
-    from yearmask.functions.hosts import host_of, year_of
-
     checks = [
         (F.col("hostname").isNull() | ~normalize_host(F.col("hostname")).eqNullSafe(F.col("hostname")), "hostname_invalid"),
         (~F.coalesce(F.col("year").between(1996, 2001), F.lit(False)), "year_out_of_window"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yearmask.functions import hosts as H
@@ -143,8 +143,6 @@ WITH {D.RUNS}, r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY ts
 SELECT kind, count(*) AS episodes, count(*) FILTER (WHERE eed > 0) AS new_sources, CAST(coalesce(min(rn) FILTER (WHERE eed > 0) - 1, count(*)) AS BIGINT) AS zero_streak FROM r WHERE rn <= 12 GROUP BY kind""")
 def g27_recent_supply(spark: SparkSession, sf: str) -> DataFrame:
     """The last twelve episodes of each kind, and how many of the newest found nothing."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("kind").orderBy(F.desc("ts"), F.desc("run_id"))
     last = D.runs(spark, sf).withColumn("rn", F.row_number().over(w)).where("rn <= 12")
     return last.groupBy("kind").agg(F.count("*").alias("episodes"), F.count_if(F.col("eed") > 0).alias("new_sources"), F.coalesce(F.min(F.when(F.col("eed") > 0, F.col("rn") - 1)).cast("long"), F.count("*")).alias("zero_streak"))
@@ -202,8 +200,6 @@ WITH {D.RUNS}, r AS (SELECT kind, cost, row_number() OVER (PARTITION BY kind ORD
 SELECT kind, max(cost) FILTER (WHERE i = floor((n - 1) * 0.5)) AS median, max(cost) FILTER (WHERE i = floor((n - 1) * 0.95)) AS p95, max(cost) AS highest FROM r GROUP BY kind""")
 def g35_latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     """Percentiles at index floor((n - 1) * q). Values are counted first, so the window sees distinct values only."""
-    from pyspark.sql import Window
-
     counts = D.runs(spark, sf).groupBy("kind", "cost").agg(F.count("*").alias("c"))
     w = Window.partitionBy("kind").orderBy("cost")
     ranked = counts.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy("kind")))
@@ -249,8 +245,6 @@ WITH {D.VALID}, o AS (SELECT source_id, seq, host[1:2] AS h, CASE WHEN lag(host[
 g AS (SELECT *, sum(starts) OVER (PARTITION BY source_id ORDER BY seq) AS run FROM o) SELECT source_id, CAST(run AS BIGINT) AS run, min(h) AS head, count(*) AS n, min(seq) AS first_seq FROM g GROUP BY source_id, run""")
 def w5_host_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Runs of equal neighbours in each source's order; what comes again later is a run of its own."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("source_id").orderBy("seq")
     rows = D.valid_captures(spark, sf).select("source_id", "seq", F.substring("host", 1, 2).alias("h"))
     marked = rows.withColumn("starts", (~F.lag("h").over(w).eqNullSafe(F.col("h"))).cast("int")).withColumn("run", F.sum("starts").over(w))
@@ -271,8 +265,6 @@ def w6_ewma(spark: SparkSession, sf: str) -> DataFrame:
 WITH {D.RUNS} SELECT source, run_id, CAST((row_number() OVER (PARTITION BY source ORDER BY ts, run_id) - 1) % 5 AS INT) AS shape, CAST((row_number() OVER (PARTITION BY source ORDER BY ts, run_id) - 1) % 3 AS INT) AS phrase FROM runs""")
 def w7_query_shapes(spark: SparkSession, sf: str) -> DataFrame:
     """Shape and phrase of each episode by its place within its cell."""
-    from pyspark.sql import Window
-
     i = F.row_number().over(Window.partitionBy("source").orderBy("ts", "run_id")) - 1
     return D.runs(spark, sf).withColumn("i", i).select("source", "run_id", F.pmod("i", F.lit(5)).alias("shape"), F.pmod("i", F.lit(3)).alias("phrase"))
 
@@ -388,8 +380,6 @@ def k13_ucb(spark: SparkSession, sf: str) -> DataFrame:
 WITH {D.VALID}, c AS (SELECT source_id, host[1:3] AS family, count(*) AS hits FROM valid GROUP BY ALL) SELECT source_id, family, hits FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY hits DESC, family) AS rn FROM c WHERE hits >= 2) WHERE rn <= 8""")
 def k17_top_families(spark: SparkSession, sf: str) -> DataFrame:
     """Of each cell at most eight families with two hits or more."""
-    from pyspark.sql import Window
-
     c = D.valid_captures(spark, sf).groupBy("source_id", F.substring("host", 1, 3).alias("family")).agg(F.count("*").alias("hits")).where("hits >= 2")
     w = Window.partitionBy("source_id").orderBy(F.desc("hits"), "family")
     return c.withColumn("rn", F.row_number().over(w)).where("rn <= 8").drop("rn")

@@ -63,8 +63,12 @@ BASE = VALID + ", baseline AS (SELECT DISTINCT host, year FROM valid WHERE statu
 BITS = "CAST(bit_or(1 << CAST(year - 1996 AS INT)) AS INT)"
 
 
+#: the window as a range of times, which reaches the scan's row groups; a filter on year() would not
+IN_WINDOW = "{c} >= timestamp '1996-01-01' and {c} < timestamp '2002-01-01'"
+
+
 def valid_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captures(spark, sf_dir).where("host is not null and year between 1996 and 2001")
+    return captures(spark, sf_dir).where(IN_WINDOW.format(c="ts")).where("host is not null")
 
 
 def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,11 +94,11 @@ TLD_OF = "list_extract(string_split(host, '.'), -1)"
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A larger capture log, one a line item: host, year, source_id, lane, seq, n (quantity)."""
     t = F.expr(TLD.format(k="CAST(l_partkey % 25 AS INT)"))
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = table(spark, sf_dir, "lineitem").where(IN_WINDOW.format(c="l_shipdate"))
+    return rows.select(
         F.concat(F.lit("p"), F.col("l_partkey"), F.lit("."), t).alias("host"), F.year("l_shipdate").alias("year"), F.concat(F.lit("s"), F.col("l_suppkey") % 60).alias("source_id"),
         F.col("l_returnflag").alias("lane"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_quantity").alias("n"),
     )
-    return rows.where("year between 1996 and 2001")
 
 
 LOG = f"""log AS (

@@ -53,7 +53,7 @@ def b2_acquisition_lanes(spark: SparkSession, sf: str) -> DataFrame:
 @query("b3_contribution_buckets", f"""
 WITH {CAPSULES}, l AS (SELECT {_LANE} AS lane FROM capsules) SELECT CASE lane WHEN 'DIRECT_ANNUAL' THEN 'direct_annual' WHEN 'VERIFIED_CANDIDATE' THEN 'verified_candidate' ELSE 'other_restricted' END AS bucket, count(*) AS n FROM l GROUP BY 1""")
 def b3_contribution_buckets(spark: SparkSession, sf: str) -> DataFrame:
-    return capsules(spark, sf).groupBy(V.bucket(V.lane(F.col("bound"))).alias("bucket"), ).agg(F.count("*").alias("n"))
+    return capsules(spark, sf).groupBy(V.bucket(V.lane(F.col("bound"))).alias("bucket")).agg(F.count("*").alias("n"))
 
 
 @query("b5_contract_resolution", """

@@ -28,9 +28,9 @@ _LOGGED = D.LOG + ", b AS (SELECT DISTINCT host, year FROM log WHERE lane = 'R')
 def log_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The capture log of derived.log, as a stream."""
     t = F.expr(D.TLD.format(k="CAST(l_partkey % 25 AS INT)"))
-    return file_stream(spark, sf, "lineitem").select(
+    return file_stream(spark, sf, "lineitem").where(D.IN_WINDOW.format(c="l_shipdate")).select(
         F.concat(F.lit("p"), F.col("l_partkey"), F.lit("."), t).alias("host"), F.year("l_shipdate").alias("year"), F.concat(F.lit("s"), F.col("l_suppkey") % 60).alias("source_id"), F.col("l_returnflag").alias("lane"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_partkey").alias("part"),
-    ).where("year between 1996 and 2001")
+    )
 
 
 def _novel(spark: SparkSession, sf: str) -> DataFrame:
