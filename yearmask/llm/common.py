@@ -115,21 +115,22 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node with an edge: root is the smallest node that it reaches.
 
     Alternating stars: each round links every larger neighbour of a node to the node's smallest neighbour, then every
-    node's smaller neighbours to the smallest of them. Minima are pre-aggregated and joined, so a node with very many
-    neighbours is split by adaptive skew joins rather than gathered. Edges may repeat and may be loops.
+    node's smaller neighbours to the smallest of them. Minima are pre-aggregated, written, and joined as a plain table, so
+    adaptive skew joins can split a node with very many neighbours; none is gathered. Edges may repeat and may be loops.
     """
     spark = edges.sparkSession
     now, path = materialize(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(contract, "a long, b long"), "edges")
     while not is_stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
+        low, low_path = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m")), "lows")
         # a node u with smallest neighbour m: its larger neighbours v go to m
         large = both.where("b > a").join(low, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         # now each node has only smaller neighbours on its right; all of them go to the smallest
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least.withColumnRenamed("a", "k"), F.col("a") == F.col("k")).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         after, new_path = materialize(small.where("a <> b").distinct().mapInArrow(contract, "a long, b long"), "edges")
-        discard(spark, path)
+        for old in (path, low_path):
+            discard(spark, old)
         now, path = after, new_path
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root")).distinct()
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
