@@ -85,7 +85,7 @@ class PerfectHash:
 class Codec:
     """Encodes and decodes. Caches are bounded and only save time: a full cache is emptied."""
 
-    def __init__(self, vocabulary: list[bytes], pattern: str, cache: int = 400_000):
+    def __init__(self, vocabulary: list[bytes], pattern: str, cache: int = 800_000):
         self.words, self.pattern, self.most = vocabulary, pattern, cache
         self.hash = PerfectHash(vocabulary)
         self.start()
@@ -93,10 +93,11 @@ class Codec:
     def start(self) -> None:
         self.match = regex.compile(self.pattern).findall
         self.ranks = {w: i for i, w in enumerate(self.words)}
+        self.byte = [self.ranks[bytes((x,))] for x in range(256)]
         self.two = [[self.ranks.get(bytes((x, y)), -1) for y in range(256)] for x in range(256)]
-        self.text_of = [str(i) for i in range(len(self.words))]
+        self.name_of = [b"%d" % i for i in range(len(self.words))]
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.chunks: dict[str, tuple[int, ...]] = {}  # what follows a space, by the text after it
 
     def __getstate__(self) -> tuple:
         return self.words, self.pattern, self.most, self.hash
@@ -115,6 +116,7 @@ class Codec:
         skipped, once the pair at its place has another rank."""
         n, rank, two = len(piece), self.ranks.get, self.two
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        ids = [self.byte[x] for x in piece]
         pair = [two[x][y] for x, y in zip(piece, piece[1:])]  # the rank of the pair that starts here, -1 if none
         pair.append(-1)
         heap = [r * n + i for i, r in enumerate(pair) if r >= 0]
@@ -123,6 +125,7 @@ class Codec:
             r, i = divmod(heappop(heap), n)
             if pair[i] != r:
                 continue
+            ids[i] = r  # a merged token's id is its rank
             gone = after[i]
             j = after[i] = after[gone]
             pair[gone] = -1
@@ -140,39 +143,47 @@ class Codec:
                     heappush(heap, r * n + p)
         out, i = [], 0
         while i < n:
-            out.append(self.ranks[piece[i : after[i]]])
+            out.append(ids[i])
             i = after[i]
         return out
 
+    def fresh(self, piece: str) -> tuple[int, ...]:
+        raw = piece.encode()
+        i = self.whole(raw)
+        return (i,) if i >= 0 else tuple(self.merge(raw))
+
     def piece(self, text: str) -> tuple[int, ...]:
-        got = self.pieces.get(text)
+        """The ids of one match of the pattern. Those that begin with a space share the cache of what follows a space."""
+        cache, key = (self.chunks, text[1:]) if text[0] == " " else (self.pieces, text)
+        got = cache.get(key)
         if got is None:
-            raw = text.encode()
-            i = self.whole(raw)
-            got = (i,) if i >= 0 else tuple(self.merge(raw))
-            if len(text) < 64:
-                if len(self.pieces) >= self.most:
-                    self.pieces.clear()
-                self.pieces[text] = got
+            got = self.fresh(text)
+            self.keep(cache, key, got)
         return got
 
-    def chunk(self, text: str) -> tuple[int, ...]:
-        matches = self.match(text)
-        got = self.piece(matches[0]) if len(matches) == 1 else tuple(chain.from_iterable(map(self.piece, matches)))
-        if len(text) < 64:
-            if len(self.chunks) >= self.most:
-                self.chunks.clear()
-            self.chunks[text] = got
+    def keep(self, cache: dict[str, tuple[int, ...]], key: str, ids: tuple[int, ...]) -> None:
+        if len(key) < 64:
+            if len(cache) >= self.most:
+                cache.clear()
+            cache[key] = ids
+
+    def spaced(self, text: str) -> tuple[int, ...]:
+        """The ids of a space and the text after it. Letters alone are one match of the pattern."""
+        whole = " " + text
+        got = self.fresh(whole) if text.isalpha() else tuple(chain.from_iterable(map(self.piece, self.match(whole))))
+        self.keep(self.chunks, text, got)
         return got
 
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
         first, *rest = SPACE.split(text)
-        known, chunk, out = self.chunks.get, self.chunk, []
-        for part in chain((first,), map(" ".__add__, rest)):
-            got = known(part)
-            out += chunk(part) if got is None else got
+        out = list(chain.from_iterable(map(self.piece, self.match(first))))
+        got = list(map(self.chunks.get, rest))
+        if None in got:
+            spaced = self.spaced
+            got = [spaced(t) if g is None else g for g, t in zip(got, rest, strict=True)]
+        out.extend(chain.from_iterable(got))
         return out
 
     def decode(self, ids: list[int]) -> bytes:
@@ -212,14 +223,14 @@ def token_digests(docs: DataFrame, codec: Codec, keep_ids: bool = False) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value
-        name, digest = c.text_of.__getitem__, hashlib.sha256
+        name, digest = c.name_of.__getitem__, hashlib.sha256
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 n, of_ids, of_bytes, kept = [], [], [], []
                 for t in part.column(1):
                     ids = c.encode(t.as_py() or "")
                     n.append(len(ids))
-                    of_ids.append(digest(",".join(map(name, ids)).encode()).hexdigest())
+                    of_ids.append(digest(b",".join(map(name, ids))).hexdigest())
                     of_bytes.append(digest(c.decode(ids)).hexdigest())
                     if keep_ids:
                         kept.append(np.array(ids, dtype=np.int32))
