@@ -25,8 +25,9 @@ from yearmask.llm.common import LOWER_ASCII, materialize, text_bytes
 WORDS = bytes(LOWER_ASCII[c] if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 
-#: bytes of windows in one automaton; a larger benchmark is scanned for in several passes
-BLOCK_BYTES = 24_000_000
+#: bytes of windows in one automaton, which takes some 45 bytes of memory for each; a larger benchmark is scanned for in
+#: several passes
+BLOCK_BYTES = 4_000_000
 
 HIT = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 OUT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
-
 class TokenLengths:
     """Counts the tokens of texts as a tokenizer of the `tokenizers` library gives them, without added begin or end.
 
