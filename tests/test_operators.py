@@ -150,7 +150,8 @@ def test_sketches(spark):
 def plain_greedy(regions, sets, most, budget):
     width, hashes = M.WIDTH, {}
     for r, values in sets.items():
-        hashes[r] = [min(int(hashlib.md5(f"{s}|{v}".encode()).hexdigest()[:15], 16) for v in values) for s in range(width)]
+        halves = [(int(h[:14], 16), int(h[14:28], 16)) for h in (hashlib.md5(v.encode()).hexdigest() for v in values)]
+        hashes[r] = [min((a + s * b) % M.PRIME for a, b in halves) for s in range(width)]
     picked, spent, covered, union = [], 0.0, 0.0, None
     while len(picked) < most:
         best = None

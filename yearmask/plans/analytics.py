@@ -404,7 +404,7 @@ def k20_recent_origins(spark: SparkSession, sf: str) -> DataFrame:
     return D.runs(spark, sf).groupBy(F.col("source").alias("origin")).agg(F.max("ts").alias("last_seen")).orderBy(F.desc("last_seen"), "origin").limit(16)
 
 
-_SKETCH = f"""WITH {D.LOG}, v AS (SELECT DISTINCT lane || (year % 3) AS grp, host FROM log), s AS (SELECT grp, seed, min(CAST('0x' || substr(md5(concat(seed, '|', host)), 1, 15) AS BIGINT)) AS minimum FROM v, (SELECT unnest(range(64)) AS seed) GROUP BY grp, seed) """
+_SKETCH = f"""WITH {D.LOG}, v AS (SELECT DISTINCT lane || (year % 3) AS grp, host FROM log), s AS (SELECT grp, seed, min((CAST('0x' || substr(md5(host), 1, 14) AS BIGINT) + seed * CAST('0x' || substr(md5(host), 15, 14) AS BIGINT)) % 72057594037927931) AS minimum FROM v, (SELECT unnest(range(64)) AS seed) GROUP BY grp, seed) """
 
 
 def _sketch(spark: SparkSession, sf: str) -> DataFrame:

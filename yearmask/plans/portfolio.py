@@ -210,7 +210,7 @@ def b12_region_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("m5_covered_union", f"""
-WITH {D.LOG}, v AS (SELECT DISTINCT host FROM log WHERE lane IN ('N', 'R')) SELECT CAST(seed AS INT) AS seed, min(CAST('0x' || substr(md5(concat(seed, '|', host)), 1, 15) AS BIGINT)) AS minimum FROM v, (SELECT unnest(range(64)) AS seed) GROUP BY seed""")
+WITH {D.LOG}, v AS (SELECT DISTINCT host FROM log WHERE lane IN ('N', 'R')) SELECT CAST(seed AS INT) AS seed, min((CAST('0x' || substr(md5(host), 1, 14) AS BIGINT) + seed * CAST('0x' || substr(md5(host), 15, 14) AS BIGINT)) % 72057594037927931) AS minimum FROM v, (SELECT unnest(range(64)) AS seed) GROUP BY seed""")
 def m5_covered_union(spark: SparkSession, sf: str) -> DataFrame:
     """M5: the sketch of everything harvested so far (two lanes), from the sketches of the parts."""
     sketch = M.minhash(D.log(spark, sf).where(F.col("lane").isin("N", "R")).select("lane", "host"), "lane", "host")
