@@ -243,3 +243,14 @@ def test_entry_without_the_training_data_package(spark, monkeypatch):
         assert entry.entry(spark).count() > 0
     finally:
         sys.modules.pop("__spark_entry__", None)
+
+
+def test_rejected_batch_finds_long_cycles_and_deep_rows(spark):
+    ring = [(i, (i + 1) % 7) for i in range(7)]
+    chain = [(i, i + 1) for i in range(20, 26)]  # six edges in a row
+    edges = [*ring, *chain, (10, 11), (11, 12), (12, 13), (13, 14), (30, 30), (31, 32), (31, 32), (40, 41), (41, 99), (99, 40), (50, 0)]
+    nodes = {x for e in edges for x in e} - {99}
+    got = G.rejected_batch(spark.createDataFrame(edges, "parent long, child long"), spark.createDataFrame([(x,) for x in nodes], "node long"))
+    want = {e: "cycle" for e in ring} | {e: "depth" for e in chain} | {(30, 30): "self_edge", (31, 32): "duplicate", (41, 99): "unknown_node", (99, 40): "unknown_node", (50, 0): "depth"}
+    rows = got.collect()
+    assert len(rows) == len(want) and {(r.parent, r.child): r.reason for r in rows} == want

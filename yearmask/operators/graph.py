@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearmask.functions.hosts import META_TERMS, RESOURCE_TERMS, canonical_url, is_bulk, link_hits
+from yearmask.streaming.evidence import work_folder
 
 
 def reach(edges: DataFrame, hops: int) -> DataFrame:
@@ -42,6 +43,63 @@ def rejected_edges(edges: DataFrame, nodes: DataFrame, hops: int) -> DataFrame:
     return marked.withColumn("reason", reason).where("reason is not null").select("parent", "child", "reason")
 
 
+def stored(pairs: DataFrame, what: str) -> DataFrame:
+    """The rows, written to the shared folder once and read back."""
+    path = work_folder(pairs.sparkSession, what)
+    pairs.write.parquet(path)
+    return pairs.sparkSession.read.schema(pairs.schema).parquet(path)
+
+
+def walk_lengths(edges: DataFrame, most: int) -> DataFrame:
+    """(node, hops) of all nodes with an edge into them: the length of the longest walk that ends there, ``most`` if it is
+    longer still. Round k keeps nodes, not pairs of nodes: those that an edge joins to a node of round k - 1."""
+    out = step = edges.select(F.col("child").alias("node")).distinct()
+    out = out.withColumn("hops", F.lit(1))
+    for k in range(2, most + 1):
+        step = edges.join(step, F.col("parent") == F.col("node"), "left_semi").select(F.col("child").alias("node")).distinct()
+        out = out.unionByName(step.withColumn("hops", F.lit(k)))
+    return out.groupBy("node").agg(F.max("hops").alias("hops"))
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """(root, node) of all nodes that a walk of any length reaches, each pair once. A round doubles the length; the loop
+    ends when a round finds no new pair."""
+    now = stored(edges.select(F.col("parent").alias("root"), F.col("child").alias("node")).distinct(), "reach")
+    n = now.count()
+    while True:
+        far = now.alias("a").join(now.alias("b"), F.col("a.node") == F.col("b.root")).select("a.root", "b.node")
+        now, before = stored(now.unionByName(far).distinct(), "reach"), n
+        n = now.count()
+        if n == before:
+            return now
+
+
+def rejected_batch(edges: DataFrame, nodes: DataFrame, max_graph_hops: int = 4) -> DataFrame:
+    """Edges with the first reason why a batch may not have them: self edges, unknown ends, repeated ones, cycles of
+    any length, and more than ``max_graph_hops`` edges in a row through the edge.
+
+    Edges that could never be stored (self edges, unknown ends) take no part in cycles and rows of edges. The batch is
+    judged as one graph: all edges of a cycle are rejected, and walks that a cycle makes endless are too long.
+    """
+    known = nodes.select("node").distinct()
+    seen = edges.groupBy("parent", "child").agg(F.count("*").alias("n"))
+    for end in ("parent", "child"):
+        seen = seen.join(known.select(F.col("node").alias(end), F.lit(True).alias(f"has_{end}")), end, "left")
+    seen = stored(seen, "batch")
+    graph = seen.where("parent <> child and has_parent and has_child").select("parent", "child")
+    above = walk_lengths(graph, max_graph_hops).select(F.col("node").alias("parent"), F.col("hops").alias("above"))
+    below = walk_lengths(graph.select(F.col("child").alias("parent"), F.col("parent").alias("child")), max_graph_hops).select(F.col("node").alias("child"), F.col("hops").alias("below"))
+    hops = F.coalesce("above", F.lit(0)) + 1 + F.coalesce("below", F.lit(0))
+    deep = stored(graph.join(above, "parent", "left").join(below, "child", "left").withColumn("hops", hops).where(F.col("hops") > max_graph_hops), "deep")
+    # a walk may go round a cycle for ever, so only edges with the longest walks on both sides can lie on one
+    core = deep.where((F.col("above") == max_graph_hops) & (F.col("below") == max_graph_hops))
+    back = closure(core).select(F.col("root").alias("child"), F.col("node").alias("parent"), F.lit(True).alias("back"))
+    marked = seen.join(deep.select("parent", "child", "hops"), ["parent", "child"], "left").join(back, ["parent", "child"], "left")
+    unknown = F.col("has_parent").isNull() | F.col("has_child").isNull()
+    reason = F.when(F.col("parent") == F.col("child"), "self_edge").when(unknown, "unknown_node").when(F.col("n") > 1, "duplicate").when(F.col("back"), "cycle").when(F.col("hops").isNotNull(), "depth")
+    return marked.withColumn("reason", reason).where("reason is not null").select("parent", "child", "reason")
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_url, url, anchor) of each link of raw pages, addresses made absolute and canonical."""
     found = F.regexp_extract_all("html", F.lit(r"(?i)(<a\s[^>]*href=\"[^\"]*\"[^>]*>[^<]*)"), 1)

@@ -467,6 +467,20 @@ def p3_rejected_edges(spark: SparkSession, sf: str) -> DataFrame:
     return G.rejected_edges(edges, s.where("s_suppkey % 9 <> 5").select(F.col("s_suppkey").alias("node")), 3)
 
 
+@query("p3_rejected_batch", """
+WITH RECURSIVE e AS (SELECT s_suppkey AS parent, s_nationkey * 3 + 1 AS child, s_suppkey % 9 <> 5 AS known FROM supplier), n AS (SELECT parent AS node FROM e WHERE known),
+b AS (SELECT parent, child, count(*) AS n, parent IN (SELECT node FROM n) AND child IN (SELECT node FROM n) AS known FROM e GROUP BY parent, child), g AS (SELECT parent, child FROM b WHERE parent <> child AND known),
+w(root, node) AS (SELECT parent, child FROM g UNION SELECT w.root, g.child FROM w JOIN g ON g.parent = w.node),
+up(node, hops) AS (SELECT child, 1 FROM g UNION SELECT g.child, hops + 1 FROM up JOIN g ON g.parent = up.node WHERE hops < 5), down(node, hops) AS (SELECT parent, 1 FROM g UNION SELECT g.parent, hops + 1 FROM down JOIN g ON g.child = down.node WHERE hops < 5)
+SELECT parent, child, reason FROM (SELECT parent, child, CASE WHEN parent = child THEN 'self_edge' WHEN NOT known THEN 'unknown_node' WHEN n > 1 THEN 'duplicate' WHEN EXISTS (SELECT 1 FROM w WHERE w.root = b.child AND w.node = b.parent) THEN 'cycle'
+  WHEN coalesce((SELECT max(hops) FROM up WHERE node = b.parent), 0) + 1 + coalesce((SELECT max(hops) FROM down WHERE node = b.child), 0) > 4 THEN 'depth' END AS reason FROM b) WHERE reason IS NOT NULL""")
+def p3_rejected_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 in full: cycles of any length and the limit of hops, which ``p3_rejected_edges`` does not look for."""
+    s = D.table(spark, sf, "supplier")
+    edges = s.select(F.col("s_suppkey").alias("parent"), (F.col("s_nationkey") * 3 + 1).cast("long").alias("child"))
+    return G.rejected_batch(edges, s.where("s_suppkey % 9 <> 5").select(F.col("s_suppkey").alias("node")))
+
+
 @query("d1_mixing_fraction", f"""
 WITH {D.RUNS} SELECT run_id, CASE WHEN k % 10 = 0 OR kind = 'signup' THEN (k % 10) / 10 ELSE (1 - least(1.0, requests / 50.0)) * ((k % 10) / 10) + least(1.0, requests / 50.0) * least(0.95, greatest(0.05, CASE WHEN eed + cost <= 0 THEN (k % 10) / 10 ELSE cost / (eed + cost) END)) END AS fraction FROM runs""")
 def d1_mixing_fraction(spark: SparkSession, sf: str) -> DataFrame:
