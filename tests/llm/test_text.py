@@ -78,6 +78,28 @@ def test_chat_round_trip(spark, partitions):
     assert (digests[5].n_turns, digests[5].loss_chars, digests[5].loss_sha256) == (200, len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_chat_long_conversations_stay_in_parts(spark, partitions):
+    rows = [(4, i, ["user", "assistant"][i % 2], f"<|{i}|> " + "é" * (i % 90)) for i in range(400)] + [(c, 0, "assistant", "short") for c in (1, 2, 3, 8, 9)] + [(None, i, "user", "none " * 30) for i in range(9)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        parts = chat.format_parts(chat.events_of(turns), most=500)
+        got = {r.conv_id: r for r in chat.part_digests(parts).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(len(r.formatted) for r in parts.collect()) < 500 + 250  # a turn more at most
+    assert parts.where("conv_id = 4").count() > 40
+    assert set(got) == {1, 2, 3, 4, 8, 9, None}
+    for conv, row in got.items():
+        want = [(r, t) for c, _, r, t in rows if c == conv]
+        loss = "".join(t for r, t in want if r == "assistant")
+        every = "".join(f"{r}\n{t}\n" for r, t in want)
+        assert (row.n_turns, row.turns_sha256, row.loss_chars, row.loss_sha256) == (len(want), hashlib.sha256(every.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert row.formatted_chars == sum(len(chat.render(r, t)) for r, t in want)
+
+
 def test_statistics_and_rules(spark):
     assert quality.statistics(b"") == quality.statistics(b" \n ") == [0.0] * len(quality.STATISTICS)
     r = random.Random(2)

@@ -26,7 +26,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
     trial = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat.turn_digests(chat.format_conversations(chat.events_of(turns.unionByName(trial))))
+    return chat.part_digests(chat.format_parts(chat.events_of(turns.unionByName(trial))))
 
 
 def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
