@@ -254,3 +254,12 @@ def test_rejected_batch_finds_long_cycles_and_deep_rows(spark):
     want = {e: "cycle" for e in ring} | {e: "depth" for e in chain} | {(30, 30): "self_edge", (31, 32): "duplicate", (41, 99): "unknown_node", (99, 40): "unknown_node", (50, 0): "depth"}
     rows = got.collect()
     assert len(rows) == len(want) and {(r.parent, r.child): r.reason for r in rows} == want
+
+
+def test_no_nation_and_no_event_is_left_out(spark, sf):
+    from yearmask.plans import registry
+
+    assert registry.QUERIES["j30_search_cells_all"](spark, sf).count() == 9 * spark.read.parquet(f"{sf}/nation.parquet").count()
+    larger = sf.replace("sf0.001", "sf0.01")  # all 50 sources have events
+    some, every = ({r.source: r.score for r in registry.QUERIES[q](spark, larger).collect()} for q in ("k14_value_ranking", "k14_value_ranking_all"))
+    assert len(some) == len(every) == 50 and all(every[s] > some[s] for s in every)

@@ -13,7 +13,7 @@ from yearmask.operators import sketch as M
 from yearmask.operators import value as A
 from yearmask.plans import derived as D
 from yearmask.plans.flagship import b7_reconcile_candidates
-from yearmask.plans.registry import query
+from yearmask.plans.registry import ORACLES, query
 from yearmask.sources import sinks
 from yearmask.streaming.evidence import work_folder
 
@@ -102,8 +102,19 @@ def j28_stale_credit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("j30_search_cells", "SELECT n_name AS institution, mechanism, period FROM nation, (SELECT unnest(['list', 'dump', 'index']) AS mechanism), (SELECT unnest([1996, 1998, 2000]) AS period) WHERE n_nationkey % 2 = 0")
 def j30_search_cells(spark: SparkSession, sf: str) -> DataFrame:
-    """The seed space, exploded from lists inside each row."""
-    n = D.table(spark, sf, "nation").where("n_nationkey % 2 = 0").select(F.col("n_name").alias("institution"), F.explode(F.array(F.lit("list"), F.lit("dump"), F.lit("index"))).alias("mechanism"))
+    """The seed space of every second nation."""
+    return _search_cells(D.table(spark, sf, "nation").where("n_nationkey % 2 = 0"))
+
+
+@query("j30_search_cells_all", ORACLES["j30_search_cells"].replace(" WHERE n_nationkey % 2 = 0", ""))
+def j30_search_cells_all(spark: SparkSession, sf: str) -> DataFrame:
+    """J30 in full: the seed space of all nations."""
+    return _search_cells(D.table(spark, sf, "nation"))
+
+
+def _search_cells(nations: DataFrame) -> DataFrame:
+    """The seed space, exploded from lists inside each row."""
+    n = nations.select(F.col("n_name").alias("institution"), F.explode(F.array(F.lit("list"), F.lit("dump"), F.lit("index"))).alias("mechanism"))
     return n.select("institution", "mechanism", F.explode(F.array(F.lit(1996), F.lit(1998), F.lit(2000))).alias("period"))
 
 
@@ -152,9 +163,19 @@ WITH RECURSIVE {D.RUNS}, edges AS (SELECT DISTINCT source AS parent, concat('src
 walk(root, node, depth) AS (SELECT parent, child, 1 FROM edges UNION ALL SELECT w.root, e.child, w.depth + 1 FROM walk w JOIN edges e ON e.parent = w.node WHERE w.depth < 3), d AS (SELECT root, sum(e * pow(0.5, depth)) AS reward FROM (SELECT DISTINCT * FROM walk) JOIN h ON source = node GROUP BY root)
 SELECT h.source, round(((s + 1.0::DOUBLE) / (n + 2.0::DOUBLE) * e + coalesce(reward, 0) + greatest(1, e) / sqrt(n + 1.0)) * (1 - n % 5 / 10) / c, 8) AS score FROM h LEFT JOIN d ON d.root = h.source""")
 def k14_value_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    """Direct value, discounted value of descendants and uncertainty, less overlap, by cost."""
-    e = D.table(spark, sf, "events").where("user_id % 50 < 10")
-    edges = e.select(F.concat(F.lit("src"), F.col("user_id") % 50).alias("parent"), F.concat(F.lit("src"), (F.col("user_id") * 7 + 3) % 50).alias("child")).distinct()
+    """K14, D3 with the descendants that a fifth of all events shows."""
+    return _value_ranking(spark, sf, D.table(spark, sf, "events").where("user_id % 50 < 10"))
+
+
+@query("k14_value_ranking_all", ORACLES["k14_value_ranking"].replace(" WHERE user_id % 50 < 10", ""))
+def k14_value_ranking_all(spark: SparkSession, sf: str) -> DataFrame:
+    """K14, D3 in full: with the descendants that all events show."""
+    return _value_ranking(spark, sf, D.table(spark, sf, "events"))
+
+
+def _value_ranking(spark: SparkSession, sf: str, events: DataFrame) -> DataFrame:
+    """Direct value, discounted value of descendants and uncertainty, less overlap, by cost."""
+    edges = events.select(F.concat(F.lit("src"), F.col("user_id") % 50).alias("parent"), F.concat(F.lit("src"), (F.col("user_id") * 7 + 3) % 50).alias("child")).distinct()
     h = D.runs(spark, sf).groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("eed") > 0).alias("s"), F.sum("eed").alias("e"), F.sum("cost").alias("c"))
     d = G.descendant_reward(edges, h.select(F.col("source").alias("node"), F.col("e").alias("reward")), 3).withColumnRenamed("root", "source")
     score = A.source_value((F.col("s") + 1.0) / (F.col("n") + 2.0) * F.col("e"), F.coalesce("descendant_reward", F.lit(0.0)), F.greatest(F.lit(1.0), F.col("e")) / F.sqrt(F.col("n") + 1.0), F.col("n") % 5 / 10, F.col("c"))
