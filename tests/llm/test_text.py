@@ -211,3 +211,10 @@ def test_exchange_finds_planted_classes():
             big[a, b] = rng.poisson(30 if group[b] == (group[a] + 1) % 3 else 1)
     member = language_model.exchange(big, 4, sweeps=20)
     assert all(len(set(member[:40][group == g])) == 1 for g in range(3)) and len(set(member[:40])) == 3
+
+
+def test_exchange_goes_on_until_no_unit_moves():
+    r = np.random.default_rng(3)
+    big = r.poisson(0.3, (200, 200)) * r.integers(1, 9, (200, 200))
+    member = language_model.exchange(big, 12)
+    assert (member == language_model.exchange(big, 12, sweeps=1000)).all() and (member != language_model.exchange(big, 12, sweeps=8)).any()

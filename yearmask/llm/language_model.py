@@ -7,6 +7,7 @@ of the whole training corpus: frequent words travel as a bounded table, all othe
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -105,11 +106,12 @@ def f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 8) -> np.ndarray:
+def exchange(bigrams: np.ndarray, classes: int, sweeps: int | None = None) -> np.ndarray:
     """The class of each unit. The last unit, the end of a text, keeps the last class to itself.
 
     Each sweep takes the units by falling count, out of their class and into the one that gives the greatest likelihood;
-    it ends when no unit moves.
+    it ends when no unit moves, or after ``sweeps`` where they are given. Each move gains more than rounding can feign, so
+    the end is reached.
     """
     n, own = len(bigrams), classes - 1
     order = np.argsort(-bigrams.sum(axis=1), kind="stable")
@@ -122,7 +124,8 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 8) -> np.ndarray:
     big = bigrams.astype(float)
     to, by = big @ one, (one.T @ big).T  # unit -> class, and class -> unit as (unit, class)
     table = one.T @ to
-    for _ in range(sweeps):
+    least = max(1e-9, 1e-12 * float(f(big.sum())))
+    for _ in itertools.count() if sweeps is None else range(sweeps):
         moved = 0
         for u in order:
             a, self_count = member[u], big[u, u]
@@ -142,7 +145,7 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 8) -> np.ndarray:
             rows_k, columns_r = f(rows + k) - f(rows), f(columns + r) - f(columns)
             gain -= (rows_k.sum() - rows_k) + (columns_r.sum() - columns_r)
             c = int(gain[:own].argmax())
-            if gain[c] <= gain[a] + 1e-9:
+            if gain[c] <= gain[a] + least:
                 c = a
             table[c] += r
             table[:, c] += k
