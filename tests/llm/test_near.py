@@ -1,5 +1,6 @@
 """Near-duplicates by fingerprint and by embedding, components, and fixity audits, against brute force."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -161,3 +162,15 @@ def test_fixity_audit(spark):
     assert warc.audit(nothing, nothing).count() == 0
     assert {r.status for r in warc.audit(records, nothing).collect()} == {"missing"}
     laid.unpersist()
+
+
+def test_replica_is_hashed_from_its_own_bytes(spark):
+    rows = [(i, f"http://x/{i}", "é<p>" * (i % 70)) for i in range(300)] + [(13, "http://x/13", "again"), (13, "http://x/13", "and again"), (None, "u", "lost id")]
+    made = warc.records_of(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    rotten = F.when(F.col("record_id") == 40, F.concat(F.lit("X"), F.expr("substring(record, 2)"))).otherwise(F.col("record"))
+    # no digest of the primary reaches the replica, so a fault that nobody planted is found as well
+    replica = warc.laid_out(warc.damaged_records(made).withColumn("record", rotten).withColumn("sha256", F.sha2("record", 256)), "lost", "written", by="written").where("not lost")
+    got = {(r.record_id, r.status) for r in warc.audit(warc.laid_out(made), replica).collect()}
+    assert got == {(i, "missing") for i in (7, 200)} | {(i, "corrupt") for i in (13, 110, 207, 40)}
+    own = warc.damaged_records(made.withColumn("sha256", F.lit("of the primary"))).collect()
+    assert all(r.sha256 == hashlib.sha256(r.record.encode()).hexdigest() and r.length == len(r.record.encode()) for r in own)

@@ -30,11 +30,9 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc.records_of(table(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn("replica", warc.damaged_digest())
-    laid, _ = materialize(warc.laid_out(records, "replica"), "listing")
-    columns = ("archive", "record_id", "offset", "length")
-    primary = laid.select(*columns, "sha256")
-    replica = laid.where("replica is not null").select(*columns, F.col("replica").alias("sha256"))
+    records = warc.records_of(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    primary, _ = materialize(warc.laid_out(records), "listing")
+    replica, _ = materialize(warc.laid_out(warc.damaged_records(records), "lost", "written", by="written").where("not lost").drop("lost", "written"), "replica")
     return warc.audit(primary, replica)
 
 

@@ -32,14 +32,14 @@ def records_of(pages: DataFrame, per_archive: int = 256) -> DataFrame:
     return made.select("archive", "record_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("sha256"), "record")
 
 
-def laid_out(records: DataFrame, *more: str) -> DataFrame:
+def laid_out(records: DataFrame, *more: str, by: str = "sha256") -> DataFrame:
     """(archive, record_id, offset, length, sha256, more): where each record begins in its archive.
 
-    Records are ordered by id, then by digest. Only these narrow rows are dealt to archives: the records' bytes are
+    Records are ordered by id, then by digest, or by another column that says how they were written. Only these narrow rows are dealt to archives: the records' bytes are
     hashed where they are read and never shuffled.
     """
     narrow = records.select("archive", "record_id", "length", "sha256", *more)
-    before = Window.partitionBy("archive").orderBy("record_id", "sha256").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("archive").orderBy("record_id", by).rowsBetween(Window.unboundedPreceding, -1)
     return narrow.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
 
 
@@ -107,3 +107,15 @@ def damaged_digest() -> Column:
     hurt = F.concat(F.substring(F.col("record"), F.lit(1), F.length("record") - 5), F.lit("#\r\n\r\n"))
     lost = F.coalesce(F.pmod("record_id", F.lit(193)) == 7, F.lit(False))
     return F.when(~lost, F.when(F.pmod("record_id", F.lit(97)) == 13, F.sha2(hurt, 256)).otherwise(F.col("sha256")))
+
+
+def damaged_records(records: DataFrame) -> DataFrame:
+    """The records of a replica with the faults of ``damaged_digest``: (archive, record_id, length, sha256, record,
+    written, lost). Lengths and digests are those of the replica's own bytes; ``written`` is the digest of the bytes as
+    they were written, by which they were laid out, and ``lost`` marks records whose place in the archive is a hole."""
+    body = F.col("record")
+    hurt = F.concat(F.substring(body, F.lit(1), F.length(body) - 5), F.lit("#\r\n\r\n"))
+    bytes_now = F.when(F.pmod("record_id", F.lit(97)) == 13, hurt).otherwise(body)
+    lost = F.coalesce(F.pmod("record_id", F.lit(193)) == 7, F.lit(False))
+    changed = records.select("archive", "record_id", bytes_now.alias("record"), F.sha2("record", 256).alias("written"), lost.alias("lost"))
+    return changed.select("archive", "record_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("sha256"), "record", "written", "lost")
