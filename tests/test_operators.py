@@ -263,3 +263,14 @@ def test_no_nation_and_no_event_is_left_out(spark, sf):
     larger = sf.replace("sf0.001", "sf0.01")  # all 50 sources have events
     some, every = ({r.source: r.score for r in registry.QUERIES[q](spark, larger).collect()} for q in ("k14_value_ranking", "k14_value_ranking_all"))
     assert len(some) == len(every) == 50 and all(every[s] > some[s] for s in every)
+
+
+def test_warc_header_query_scans_whole_records(spark, tmp_path):
+    from yearmask.plans import registry
+
+    page = "<p>" * 60 + "\r\n\r\nWARC-Target-URI: http://in.the.page/\r\n\r\nend"
+    spark.createDataFrame([(i, f"http://x/{i}", page if i % 2 else None) for i in range(20)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = registry.QUERIES["a15_warc_headers"](spark, f"file://{tmp_path}")
+    assert {r.url for r in got.collect()} == {f"http://x/{i}" for i in range(20)} and got.count() == 20
+    written = spark.read.text([f.replace("%20", " ") for f in got.inputFiles()], wholetext=True).selectExpr("sum(regexp_count(value, 'end\r\n\r\n'))").first()[0]
+    assert written == 10

@@ -13,6 +13,7 @@ from yearmask.plans.analytics import cells
 from yearmask.plans.registry import query
 from yearmask.sources import lines as L
 from yearmask.sources import sinks
+from yearmask.streaming.evidence import work_folder
 
 _HOST_OF_URL = "regexp_extract(url, '^https?://([^/?#:]+)', 1)"
 _STAMP = "strftime(ts, '%Y%m%d%H%M%S')"
@@ -116,8 +117,11 @@ def a14_mailbox_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("a15_warc_headers", "SELECT url, CASE WHEN page_id % 8 < 6 THEN CAST(1996 + page_id % 8 AS INT) END AS year, CAST(CASE WHEN page_id % 8 < 6 THEN 1 << (page_id % 8)::INT ELSE 0 END AS INT) AS hint_mask, CAST(0 AS INT) AS direct_mask FROM pages")
 def a15_warc_headers(spark: SparkSession, sf: str) -> DataFrame:
-    head = F.concat(F.lit("\r\nWARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nWARC-Date: "), (F.col("page_id") % 8 + 1996).cast("string"), F.lit("-03-04T05:06:07Z\r\n\r\n"), F.substring("html", 1, 100))
-    return L.warc_headers(D.table(spark, sf, "pages").select(head.alias("value")))
+    """The headers of whole records, written as gzipped files and cut out of them again."""
+    head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nWARC-Date: "), (F.col("page_id") % 8 + 1996).cast("string"), F.lit("-03-04T05:06:07Z\r\n\r\n"), F.coalesce("html", F.lit("")), F.lit("\r\n\r\n"))
+    path = work_folder(spark, "warc")
+    D.table(spark, sf, "pages").select(head.alias("value")).write.option("compression", "gzip").text(path)
+    return L.read_warc_headers(spark, path)
 
 
 @query("a16_reference_list", f"WITH {D.CAPTURES} SELECT host, CASE WHEN year BETWEEN 1996 AND 2001 THEN year END AS year FROM captures WHERE host IS NOT NULL")
