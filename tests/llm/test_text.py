@@ -1,9 +1,11 @@
 """Decontamination, chat, quality, language, language model."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -163,6 +165,36 @@ def brute_base(train, text):
     return sum(np.log10((counts.get(w, 0) + 0.1) / (n + 0.1 * (len(counts) + 1))) for w in tokens), len(tokens), sum(w in counts for w in tokens), n
 
 
+def brute_class_scores(train, texts, of, unseen):
+    """log10 probabilities of texts by plain counting, given the class of each known word and of each unseen one."""
+    classes, end = language_model.ALL, language_model.END
+    words = {t: language_model.words_of(t) for t in (*train, *texts)}
+    pairs, count, inside = {}, {}, {end: 0}
+
+    def group(w):
+        return of[w] if w in of else int(unseen[language_model.ending(w)])
+
+    for t in train:
+        for a, b in zip([end, *map(group, words[t])], [*map(group, words[t]), end], strict=True):
+            pairs[a, b] = pairs.get((a, b), 0) + 1
+        for w in words[t]:
+            count[w] = count.get(w, 0) + 1
+    for w, n in count.items():
+        inside[of[w]] = inside.get(of[w], 0) + n
+    kinds = Counter(of.values())
+    out = []
+    for t in texts:
+        total, before = 0.0, end
+        for w in [*words[t], None]:
+            c = end if w is None else group(w)
+            total += math.log10((pairs.get((before, c), 0) + 0.5) / (sum(n for (a, _), n in pairs.items() if a == before) + 0.5 * classes))
+            n, size, types = (len(train), len(train), 0) if w is None else (count.get(w, 0), inside.get(c, 0), kinds[c])
+            total += math.log10((n + 0.1) / (size + 0.1 * (types + 1)))
+            before = c
+        out.append(total)
+    return out
+
+
 @pytest.mark.parametrize("frequent", [1 << 17, 20])
 def test_language_model(spark, monkeypatch, frequent):
     monkeypatch.setattr(language_model.frequent_words, "__defaults__", (frequent,))
@@ -175,35 +207,76 @@ def test_language_model(spark, monkeypatch, frequent):
     rows = [(i, text()) for i in range(120)] + [(200, None), (201, ""), (None, "W1 w2\tunseen\nunseen"), (3, "w1"), (3, "w1"), (202, "rare" * 3000), (203, "é \x0b x\xa0y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", crc_mod("doc_id", 10) == 0).withColumn("score", F.lit(1))
     train = [t for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 10 != 0]
-    model, vocabulary = language_model.train(docs.where("not held_out").select("text"))
-    got = language_model.scored(docs, model, vocabulary).collect()
+    model, rare, full = language_model.train(docs)
+    got = language_model.scored(full, model).collect()
     want = [(i, *brute_base(train, t)) for i, t in rows]
     assert len(got) == len(rows)
     got_key = sorted((str(g.doc_id), g.n_tokens, g.n_known, g.train_tokens, round(g.base_score, 6)) for g in got)
     assert got_key == sorted((str(i), n, k, total, round(b, 6)) for i, b, n, k, total in want)
     held = [g for g in got if g.held_out and g.n_tokens > 5]
     assert sum(g.score for g in held) > sum(g.base_score for g in held)
+    # every word of the training texts has a class, and scores are those of plain counting
+    late = rare.collect()
+    of = {w: int(model.place[i]) for w, i in model.table.places().items()} | {x["word"].encode(): x["class"] for x in late}
+    assert set(of) == {w for t in train for w in language_model.words_of(t)} and len(late) == len(of) - len(model.table)
+    assert all(0 <= c < language_model.CLASSES for c in of.values()) and (frequent < 100) == (len(late) > 1)
+    brute = brute_class_scores([t or "" for t in train], [t or "" for _, t in rows], of, model.unseen)
+    assert sorted((str(g.doc_id), round(g.score, 6)) for g in got) == sorted((str(i), round(b, 6)) for (i, _), b in zip(rows, brute, strict=True))
+    again = language_model.scores_of(docs.withColumn("held_out", F.lit(True)), model, rare).collect()
+    assert sorted((str(g.doc_id), round(g.score, 6)) for g in again) == sorted((str(g.doc_id), round(g.score, 6)) for g in got)
 
 
 def test_language_model_is_a_distribution(spark):
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b a c", "a c b", "c c a"])], "doc_id long, text string")
-    model, _ = language_model.train(docs.select("text"))
-    model.start()
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(["a b a c", "a c b", "c c a"])], "doc_id long, text string, held_out boolean")
+    model, _, full = language_model.train(docs)
     assert np.allclose((10**model.transition).sum(axis=1), 1)
-    mass = np.zeros(language_model.CLASSES)
-    for w in ("a", "b", "c"):
-        mass[model.group[model.place[w.encode()]]] += 10 ** (model.log[model.place[w.encode()]] - model.size[model.group[model.place[w.encode()]]])
-    used = mass > 0
-    assert (mass[used] <= 1 + 1e-9).all()
-    empty, words = language_model.train(docs.limit(0).select("text"))
+    mass = np.zeros(language_model.ALL)
+    for w in (b"a", b"b", b"c"):
+        i = model.table.places()[w]
+        mass[model.place[i]] += 10 ** (np.log10(model.table.counts[i] + 0.1) - model.size[model.place[i]])
+    assert (mass <= 1 + 1e-9).all() and (mass > 0.9).sum() >= 1
+    empty, words, _ = language_model.train(docs.limit(0))
     assert empty.tokens == 0 and words.count() == 0
-    rows = language_model.scored(docs.withColumn("held_out", F.lit(True)), empty, words).collect()
-    assert all(r.n_known == 0 and r.base_score == pytest.approx(0) for r in rows)
+    rows = language_model.scores_of(docs.withColumn("held_out", F.lit(True)), empty, words).collect()
+    assert all(r.n_known == 0 and r.base_score == pytest.approx(0) for r in rows) and len(rows) == 3
+
+
+def test_neighbour_counts_and_class_vectors(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "ROW", 3)
+    monkeypatch.setattr(language_model.neighbour_counts, "__defaults__", (50,))
+    r = random.Random(2)
+    texts = [" ".join(r.choice("abcdefgxyz") for _ in range(r.randint(0, 40))) for _ in range(60)]
+    table = language_model.Table(list("abcdefg"), [1] * 7)
+    found = language_model.neighbour_counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), table).collect()
+    want = Counter()
+    for t in texts:
+        ids = [8, *["abcdefg".find(w) if w in "abcdefg" else 7 for w in t.split()], 8]
+        for a, b in zip(ids, ids[1:], strict=False):
+            want.update([(a, 0, b)] if a < 7 else [])
+            want.update([(b, 1, a)] if b < 7 else [])
+    got = Counter()
+    for x in found:
+        other, n = np.frombuffer(x.other, "<i4"), np.frombuffer(x.n, "<i8")
+        assert len(other) <= 3
+        got.update({(x.word, x.side, int(o)): int(k) for o, k in zip(other, n, strict=True)})
+    assert got == want
+    place = np.array([0, 1, 2, 0, 1, 2, 0, language_model.REST, language_model.END], dtype=np.uint8)
+    rows = spark.createDataFrame(found, language_model.NEIGHBOURS).orderBy("word", "side").toArrow().to_batches(max_chunksize=2)
+    seen = {}
+    for label, after, before in language_model.class_vectors(language_model.neighbour_entries(iter(rows), place)):
+        seen |= {w: (a.copy(), b.copy()) for w, a, b in zip(label.to_pylist(), after, before, strict=True)}
+    for w in range(7):
+        for side in (0, 1):
+            counts = np.zeros(language_model.WIDE)
+            for (own, s, o), n in want.items():
+                if own == w and s == side:
+                    counts[place[o]] += n
+            assert (seen[w][side] == counts).all()
 
 
 def test_exchange_finds_planted_classes():
     rng = np.random.default_rng(1)
-    n = language_model.UNITS
+    n = 1024
     big = np.zeros((n, n), dtype=np.int64)
     group = rng.integers(0, 3, size=40)
     for a in range(40):

@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores: a few files of one row group would otherwise be as few tasks,
+    however dear the work on a row is. Tables with more partitions than cores stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that the cluster names in spark.checkpoint.dir; a folder of our own only where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearmask.llm import bpe, chat, decontaminate, embeddings, language, language_model, oracles, quality, simhash, token_counts, warc
-from yearmask.llm.common import crc_mod, materialize, table
+from yearmask.llm.common import crc_mod, materialize, spread, table
 
 
 @functools.cache
@@ -19,7 +19,7 @@ def codec() -> bpe.Codec:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.token_digests(table(spark, sf_dir, "documents"), codec())
+    return bpe.token_digests(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), codec())
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
         definition = f.read()
     counter = token_counts.TokenLengths(definition, token_counts.frequent_lengths(docs, definition))
@@ -57,9 +57,9 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crc_mod("doc_id", 10) == 0)
-    model, vocabulary = language_model.train(docs.where(~F.col("held_out")).select("text"))
-    return language_model.scored(docs, model, vocabulary)
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("held_out", crc_mod("doc_id", 10) == 0)
+    model, _, full = language_model.train(docs)
+    return language_model.scored(full, model)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_mod("doc_id", 3) == 1)
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).withColumn("held_out", crc_mod("doc_id", 3) == 1)
     model = language.train(docs.where(~F.col("held_out")))
     return language.with_language(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
