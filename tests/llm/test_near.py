@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -98,16 +99,19 @@ def test_near_duplicates_of_nothing(spark):
     assert {r.fingerprint for r in simhash.with_fingerprint(docs).collect()} == {0}
 
 
-@pytest.mark.parametrize("piece", [8192, 9])
-def test_embeddings(spark, monkeypatch, piece):
+@pytest.mark.parametrize(("piece", "crowd", "tile", "plan"), [(8192, 1024, 512, 0), (9, 1024, 3, 0), (9, 4, 512, 1), (8192, 4, 2, 2), (8192, 1024, 512, 4)])
+def test_embeddings(spark, monkeypatch, piece, crowd, tile, plan):
     monkeypatch.setattr(embeddings, "PIECE", piece)
+    monkeypatch.setattr(embeddings, "CROWD", crowd)
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    plans = ((None, *embeddings.PLANS[plan][1:]),)
     rng = np.random.default_rng(4)
     base = rng.normal(size=(60, 32))
     v = [base[i % 60] + rng.normal(size=32) * rng.choice([0.0, 0.05, 0.2, 0.3]) for i in range(300)]
     v = [x.astype(np.float32).tolist() for x in v] + [(2.5 * base[0]).tolist(), None, [], [0.0] * 32, [float("nan")] + [1.0] * 31, [None] + [1.0] * 31, [float("inf")] * 32, [1.0, 2.0], [1.0, 2.0], [1e-320] * 32, [1e200] * 32]
     rows = [(i, x, 1) for i, x in enumerate(v)] + [(None, v[0], 1), (5, v[5], 2)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, kept int")
-    got = embeddings.near_duplicates(df).collect()
+    got = embeddings.near_duplicates(df, plans=plans).collect()
     assert len(got) == len(rows)
     usable = [(i, x) for i, (_, x, _) in enumerate(rows) if rows[i][0] is not None and x and None not in x and np.isfinite(x).all() and np.any(x)]
 
@@ -136,6 +140,35 @@ def test_embeddings(spark, monkeypatch, piece):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_likely_partners_by_brute_force(monkeypatch):
+    monkeypatch.setattr(embeddings, "CROWD", 12)
+    r = np.random.default_rng(8)
+    k = np.sort(np.concatenate([r.integers(0, 60, 300), np.full(40, 7), np.full(13, 61), np.full(12, 62)]))
+    sketch, home = r.integers(0, 1 << 12, len(k)), r.random(len(k)) < 0.5
+    batch = pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.arange(len(k))), pa.array(sketch), pa.array(home)], names=["k", "id", "sketch", "home"])
+    crowds = {x for x in set(k) if (k == x).sum() > 12}
+    want = {i for i in range(len(k)) if k[i] in crowds or any(i != j and k[i] == k[j] and (home[i] or home[j]) and int(sketch[i] ^ sketch[j]).bit_count() <= 3 for j in range(len(k)))}
+    for size in (1, 5, 50, 1000):
+        got = [x for out in embeddings.hopeful(3)(batch.slice(i, size) for i in range(0, len(k), size)) for x in out.column(1).to_pylist()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_near_pairs_meet_and_others_stay_apart(spark):
+    """Pairs at a cosine of 0.9 to 0.92 are found, and the vectors that are fetched for others do not grow with their number."""
+    r = np.random.default_rng(3)
+    d, n = 48, 400
+    x, z = (y / np.linalg.norm(y, axis=1, keepdims=True) for y in r.normal(size=(2, n, d)))
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    cos = r.uniform(0.9001, 0.92, (n, 1))
+    y = cos * x + np.sqrt(1 - cos**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y, r.normal(size=(3000, d))]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for plan in embeddings.PLANS[1:3]:
+        got = {g.vec_id: g for g in embeddings.near_duplicates(df, plans=((None, *plan[1:]),)).collect()}
+        assert sum(got[n + i].component_id == i for i in range(n)) >= 0.95 * n
+        assert all(g.n_links <= 1 for g in got.values()) and all(got[i].kept for i in range(2 * n, len(rows)))
+
+
 def test_lattice_points_are_nearest():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(300, 8)) * 2

@@ -1,15 +1,19 @@
 """Embedding near-duplicates by lattice hashing.
 
-A unit vector is projected at random into 8 dimensions and decoded to the nearest point of the E8 lattice; that cell and
-the next nearest one are its entries in a table. Several tables with projections of their own make it unlikely that a
-near pair shares no cell. Vectors that share a cell, one of them at home in it, are compared by cosine in double
-precision; a pair is counted in the first table, and there in the smallest cell, in which it meets, so counts need no
-list of pairs.
+In each table a unit vector is projected at random into blocks of 8 dimensions, and each block is decoded to the nearest
+point of the E8 lattice. The points of all blocks name the home cell; the next nearest point of the block that lies
+closest to its border names a neighbouring cell, which is probed too. More vectors take finer lattices or more blocks, and
+more tables with them, so cells stay small and near pairs still meet.
+
+Cells are gathered by ids and 64-bit sketches alone. Only vectors that have a likely partner in a cell are fetched, and
+compared by cosine in double precision; a pair is counted in the first table, and there in the smallest cell, in which it
+meets, so counts need no list of pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +23,17 @@ from pyspark.sql import functions as F
 
 from yearmask.llm.common import components, contract, materialize
 
-TABLES, SCALE, SEED = 8, 1.8, 6
+SEED = 6
+#: (vectors up to which it serves, blocks, scale of the lattice, tables): by simulation a pair at a cosine of exactly 0.9
+#: meets with probability 0.98 or more, and a vector meets at most some hundred unrelated ones up to 200,000 vectors, some
+#: thousand up to 1,000,000,000
+PLANS = ((5_000, 1, 2.4, 8), (200_000, 2, 2.1, 22), (5_000_000, 2, 1.8, 36), (1_000_000_000, 2, 1.5, 80), (None, 3, 1.8, 150))
 #: entries of one cell up to this number are compared in its task; more are dealt out in pairs of pieces
 PIECE = 8192
-
-ENTRY = np.dtype([("id", "<i8"), ("w", "<i8"), ("home", "<u4"), ("probe", "<u4"), ("all", "<u4", (TABLES, 2))])
+#: cells beyond this number of entries are groups of near vectors: all of their vectors are fetched
+CROWD = 1024
+#: rows and columns of vectors that are multiplied at once
+TILE = 512
 
 
 def d8(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,28 +51,57 @@ def d8(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def cells(x: np.ndarray) -> np.ndarray:
-    """Hashes (rows, 2) of the nearest E8 point and of the next of the points considered: D8 and D8 + 1/2."""
+MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646C, 0xFD7046C5, 0xB55A4F09)
+
+
+def points(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (rows, 2) of the nearest E8 point and of the next of the points considered, D8 and D8 + 1/2, and how much
+    further the next one is."""
     a, b = d8(x)
     c, d = d8(x - 0.5)
-    points = np.stack([a, b, c + 0.5, d + 0.5], axis=1)
-    order = np.argsort(((x[:, None, :] - points) ** 2).sum(axis=2), axis=1, kind="stable")[:, :2]
-    best = np.rint(2 * np.take_along_axis(points, order[:, :, None], axis=1)).astype(np.int64)
-    h = (best * np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646C, 0xFD7046C5, 0xB55A4F09])).sum(axis=2).astype(np.uint64)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(32)).astype(np.uint32)
-
-
-def codes(unit: np.ndarray) -> np.ndarray:
-    """(rows, TABLES, 2): home and probe cell of each unit vector in each table."""
-    out = np.empty((len(unit), TABLES, 2), dtype=np.uint32)
-    for t in range(TABLES):
-        p = np.random.default_rng([SEED, t, unit.shape[1]]).normal(size=(unit.shape[1], 8)) / SCALE
-        out[:, t] = cells(unit @ p)
+    near = np.stack([a, b, c + 0.5, d + 0.5], axis=1)
+    far = ((x[:, None, :] - near) ** 2).sum(axis=2)
+    order = np.argsort(far, axis=1, kind="stable")[:, :2]
+    best = np.rint(2 * np.take_along_axis(near, order[:, :, None], axis=1)).astype(np.int64)
+    two = np.take_along_axis(far, order, axis=1)
+    return scrambled((best * np.array(MIX)).sum(axis=2).astype(np.uint64)), two[:, 1] - two[:, 0]
+
+
+def scrambled(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def codes(unit: np.ndarray, blocks: int, scale: float, tables: int) -> np.ndarray:
+    """(rows, tables, 2): home and probe cell of each unit vector in each table."""
+    out = np.empty((len(unit), tables, 2), dtype=np.uint32)
+    row = np.arange(len(unit))
+    for t in range(tables):
+        name = np.empty((len(unit), blocks, 2), dtype=np.uint64)
+        gap = np.empty((len(unit), blocks))
+        for j in range(blocks):
+            p = np.random.default_rng([SEED, t, j, unit.shape[1]]).normal(size=(unit.shape[1], 8)) / scale
+            name[:, j], gap[:, j] = points(unit @ p)
+        home, probe = name[:, :, 0], name[:, :, 0].copy()
+        probe[row, gap.argmin(axis=1)] = name[row, gap.argmin(axis=1), 1]
+        for side, cell in enumerate((home, probe)):
+            mixed = (cell * np.array([2 * j + 1 for j in range(blocks)], dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+            out[:, t, side] = (scrambled(mixed) >> np.uint64(32)).astype(np.uint32)
     return out
 
 
+def sketches(unit: np.ndarray) -> np.ndarray:
+    """64 signs of random projections of each unit vector, as a number."""
+    p = np.random.default_rng([SEED, unit.shape[1]]).normal(size=(unit.shape[1], 64))
+    return np.packbits(unit @ p > 0, axis=1).view("<u8").ravel()
+
+
+def sketch_radius(least: float) -> int:
+    """Differing signs that a pair at cosine ``least`` passes with less than 1 in 10,000."""
+    share = float(np.arccos(np.clip(least, -1, 1))) / np.pi
+    return int(np.ceil(64 * share + 4 * np.sqrt(64 * share * (1 - share))))
+
+
 def readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(vec_id, class, v, size): the class of a usable vector is a digest of its numbers, null for any other vector.
     v holds the numbers in single precision where that is exact, else in double precision."""
@@ -87,72 +126,153 @@ def unit_rows(raw: list[bytes], width: int, kind: str) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+CODED = "id long, w long, size int, v binary, codes binary, sketch long"
+
+
+def coded(blocks: int, scale: float, tables: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From (id, w, size, v) to the same with all cells and the sketch of each vector."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
+                size = part.column(2).to_numpy(zero_copy_only=False)
+                raw = part.column(3).to_pylist()
+                wide = np.array([len(x) for x in raw])
+                cells: list[bytes] = [b""] * part.num_rows
+                sketch = np.zeros(part.num_rows, dtype="<u8")
+                for s, b in {(int(x), int(y)) for x, y in zip(size, wide, strict=True)}:
+                    at = np.flatnonzero((size == s) & (wide == b))
+                    u = unit_rows([raw[i] for i in at], s, "<f4" if b == 4 * s else "<f8")
+                    sketch[at] = sketches(u)
+                    for i, c in zip(at, codes(u, blocks, scale, tables), strict=True):
+                        cells[i] = c.tobytes()
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, pa.binary()), pa.array(sketch.view("<i8"))], names=[x.split()[0] for x in CODED.split(", ")])
+
+    return run
+
+
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each cell of each class: key k (shape, table and cell), its entry and its vector."""
+    """From (id, size, codes, sketch), one row for each cell of each vector: key k (shape, table and cell), the id, the
+    sketch, and whether it is at home there."""
     for batch in batches:
-        for part in (batch.slice(i, 2048) for i in range(0, batch.num_rows, 2048)):
-            ids, w = (part.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            size = part.column(3).to_numpy(zero_copy_only=False)
-            raw = np.array(part.column(2).to_pylist(), dtype=object)
-            wide = np.array([len(x) for x in raw])
-            for s, b in {(int(x), int(y)) for x, y in zip(size, wide, strict=True)}:
-                at = np.flatnonzero((size == s) & (wide == b))
-                u = unit_rows(list(raw[at]), s, "<f4" if b == 4 * s else "<f8")
-                c = codes(u)
-                held = np.zeros((len(at), TABLES, 2), dtype=ENTRY)
-                held["id"], held["w"] = ids[at][:, None, None], w[at][:, None, None]
-                held["home"], held["probe"], held["all"] = c[:, :, :1], c[:, :, 1:], c[:, None, None]
-                k = c.astype(np.int64) + (np.arange(TABLES)[None, :, None] << 32) + ((s & 0xFFFFF) << 40)
-                n = len(at) * TABLES * 2
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(k.ravel()), pa.array([x.tobytes() for x in held.ravel()], pa.binary()),
-                    pa.array(np.repeat(raw[at], TABLES * 2).tolist(), pa.binary()), pa.array(np.full(n, s, dtype=np.int32)),
-                ], names=["k", "entry", "v", "size"])
+        for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+            c = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype="<u4").reshape(part.num_rows, -1, 2)
+            size = part.column(1).to_numpy().astype(np.int64) & 0xFFFFF
+            k = c.astype(np.int64) + (np.arange(c.shape[1])[None, :, None] << 32) + (size << 40)[:, None, None]
+            each = c.shape[1] * 2
+            yield pa.RecordBatch.from_arrays([
+                pa.array(k.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), each)), pa.array(np.repeat(part.column(3).to_numpy(), each)), pa.array(np.tile([True, False], len(k) * c.shape[1]))
+            ], names=["k", "id", "sketch", "home"])
+
+
+def hopeful(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over rows (k, id, sketch, home) sorted by k: (k, id) of those that have a partner in their cell within the radius,
+    one of the two at home. Cells beyond CROWD pass as they are."""
+
+    def likely(k: np.ndarray, sketch: np.ndarray, home: np.ndarray) -> np.ndarray:
+        keep = np.zeros(len(k), dtype=bool)
+        for step in range(1, CROWD):
+            i = np.flatnonzero(k[step:] == k[:-step])  # pairs of a cell by their distance in the sorted order
+            if not len(i):
+                break
+            i = i[(home[i] | home[i + step]) & (np.bitwise_count(sketch[i] ^ sketch[i + step]) <= radius)]
+            keep[i] = keep[i + step] = True
+        return keep
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        crowd: int | None = None  # the cell at hand, once it is known to be one
+
+        def out(columns: list[np.ndarray], keep: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(columns[0][keep]), pa.array(columns[1][keep])], names=["k", "id"])
+
+        for batch in chain(batches, [None]):
+            if batch is None:
+                if held is None:
+                    return
+                columns, rest = held, [x[:0] for x in held]
+            else:
+                new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                columns = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+                if not len(columns[0]):
+                    continue
+                last = int(np.searchsorted(columns[0], columns[0][-1]))
+                if len(columns[0]) - last > CROWD:
+                    crowd, last = int(columns[0][-1]), len(columns[0])
+                elif columns[0][-1] == crowd:
+                    last = len(columns[0])
+                columns, rest = [x[:last] for x in columns], [x[last:] for x in columns]
+            k = columns[0]
+            if len(k):
+                start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+                many = np.repeat((np.diff(np.append(start, len(k))) > CROWD) | (k[start] == crowd), np.diff(np.append(start, len(k))))
+                keep = many.copy()
+                few = ~many
+                keep[few] = likely(k[few], columns[2][few].view(np.uint64), columns[3][few])
+                yield out(columns, keep)
+            held = rest
 
+    return run
 
-class Cell:
-    """The entries of one cell, or of a piece of one."""
 
-    def __init__(self, entry: list[bytes], v: list[bytes], size: int):
-        self.e = np.frombuffer(b"".join(entry), dtype=ENTRY)
-        self.raw, self.size, self.entry = v, size, entry
-        f4 = np.array([len(x) == 4 * size for x in v])
+class Cell:
+    """The vectors of one cell, or of a piece of one, those with equal homes together."""
+
+    def __init__(self, ids: list[int], w: list[int], v: list[bytes], codes: list[bytes], size: int):
+        c = np.frombuffer(b"".join(codes), dtype="<u4").reshape(len(ids), -1, 2)
+        order = np.lexsort(c[:, :4, 0].T[::-1])
+        self.ids, self.w = np.array(ids, dtype=np.int64)[order], np.array(w, dtype=np.int64)[order]
+        self.home, self.probe = np.ascontiguousarray(c[order, :, 0]), np.ascontiguousarray(c[order, :, 1])
+        f4 = np.array([len(x) == 4 * size for x in v])[order]
         self.u = np.empty((len(v), size))
         for mask, kind in ((f4, "<f4"), (~f4, "<f8")):
             if mask.any():
-                self.u[mask] = unit_rows([x for x, m in zip(v, mask, strict=True) if m], size, kind)
+                self.u[mask] = unit_rows([v[i] for i in order[mask]], size, kind)
+
+    def tiles(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Slices, with the least and the greatest home of each table in them."""
+        for at in range(0, len(self.ids), TILE):
+            home = self.home[at : at + TILE]
+            yield slice(at, at + TILE), home.min(axis=0), home.max(axis=0)
 
 
-def linked(left: Cell, right: Cell, same: bool, table: int, cell: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def linked(left: Cell, right: Cell, table: int, cell: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(ids, weights of the others, ids of the others, own weights) of the pairs that are counted here."""
-    b = right.e
-    for at in range(0, len(left.e), 1024):
-        a = left.e[at : at + 1024]
-        i, j = np.nonzero(left.u[at : at + 1024] @ right.u.T >= least)
-        keep = at + i < j if same else np.ones(len(i), dtype=bool)
-        x, y = a[i[keep]], b[j[keep]]
-        home_x, home_y = x["home"] == cell, y["home"] == cell
-        # at least one is at home here; when each is at home in the other's probe cell, the smaller cell counts the pair
-        other = np.where(home_x, y["home"], x["home"])
-        twice = (home_x ^ home_y) & (np.where(home_x, x["probe"], y["probe"]) == other) & (other < cell)
-        keep = (home_x | home_y) & ~twice & (x["id"] != y["id"])
-        x, y = x[keep], y[keep]
-        if table and len(x):
-            p, q = x["all"][:, :table], y["all"][:, :table]
-            met = (p[:, :, 0] == q[:, :, 0]) | (p[:, :, 0] == q[:, :, 1]) | (p[:, :, 1] == q[:, :, 0])
-            keep = ~met.any(axis=1)
-            x, y = x[keep], y[keep]
-        if len(x):
-            yield x["id"], y["w"], y["id"], x["w"]
-
-
-NAMES = ["a", "b", "n", "k", "piece", "size", "entry", "v"]
-FOUND = "a long, b long, n long, k long, piece long, size int, entry array<binary>, v array<binary>"
+    for a, low, high in left.tiles():
+        for b, low_b, high_b in right.tiles():
+            same = left is right
+            if same and b.start < a.start:
+                continue
+            if ((low == high) & (low_b == high_b) & (low == low_b))[:table].any():
+                continue  # all of these have met before
+            i, j = np.nonzero(left.u[a] @ right.u[b].T >= least)
+            i, j = i + a.start, j + b.start
+            if same:
+                i, j = i[i < j], j[i < j]
+            home_i, home_j = left.home[i, table], right.home[j, table]
+            at_i, at_j = home_i == cell, home_j == cell
+            # one is at home here; when each is at home in the other's probe cell, the smaller cell counts the pair
+            other = np.where(at_i, home_j, home_i)
+            twice = (at_i ^ at_j) & (np.where(at_i, left.probe[i, table], right.probe[j, table]) == other) & (other < cell)
+            keep = (at_i | at_j) & ~twice & (left.ids[i] != right.ids[j])
+            i, j = i[keep], j[keep]
+            for t in range(table):
+                if not len(i):
+                    break
+                p, q = left.home[i, t], right.home[j, t]
+                met = (p == q) | (p == right.probe[j, t]) | (q == left.probe[i, t])
+                i, j = i[~met], j[~met]
+            if len(i):
+                yield left.ids[i], right.w[j], right.ids[j], left.w[i]
+
+
+NAMES = ["a", "b", "n", "k", "piece", "size", "ids", "ws", "vs", "codes"]
+FOUND = "a long, b long, n long, k long, piece long, size int, ids array<long>, ws array<long>, vs array<binary>, codes array<binary>"
 
 
 def rows(**columns: pa.Array) -> pa.RecordBatch:
     n = len(next(iter(columns.values())))
-    types = [pa.int64()] * 5 + [pa.int32()] + [pa.list_(pa.binary())] * 2
+    types = [pa.int64()] * 5 + [pa.int32()] + [pa.list_(pa.int64())] * 2 + [pa.list_(pa.binary())] * 2
     return pa.RecordBatch.from_arrays([columns.get(x, pa.nulls(n, t)) for x, t in zip(NAMES, types, strict=True)], names=NAMES)
 
 
@@ -189,31 +309,32 @@ def place(k: int) -> tuple[int, int]:
 
 
 def compare_cells(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Over rows (k, entry, v, size) sorted by k: links (a, b) and weights (a, n); of cells beyond PIECE, pieces."""
+    """Over rows (k, id, w, v, codes, size) sorted by k: links (a, b) and weights (a, n); of cells beyond PIECE, pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
         key, held, number = None, [], 0
 
         def piece() -> pa.RecordBatch:
-            e, v, s = zip(*held, strict=True)
-            return rows(k=pa.array([key]), piece=pa.array([number]), size=pa.array([s[0]], pa.int32()), entry=pa.array([list(e)], pa.list_(pa.binary())), v=pa.array([list(v)], pa.list_(pa.binary())))
+            ids, w, v, c, s = map(list, zip(*held, strict=True))
+            numbers, raw = pa.list_(pa.int64()), pa.list_(pa.binary())
+            return rows(k=pa.array([key]), piece=pa.array([number]), size=pa.array(s[:1], pa.int32()), ids=pa.array([ids], numbers), ws=pa.array([w], numbers), vs=pa.array([v], raw), codes=pa.array([c], raw))
 
         def done() -> Iterator[pa.RecordBatch]:
             if number and held:
                 yield piece()
             elif len(held) > 1:
-                e, v, s = zip(*held, strict=True)
-                c = Cell(list(e), list(v), s[0])
-                for x in linked(c, c, True, *place(key), least):
+                ids, w, v, c, s = map(list, zip(*held, strict=True))
+                cell = Cell(ids, w, v, c, s[0])
+                for x in linked(cell, cell, *place(key), least):
                     yield from tally.add(*x)
 
         for batch in batches:
-            for k, e, v, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for k, *entry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if k != key:
                     yield from done()
                     key, held, number = k, [], 0
-                held.append((e, v, s))
+                held.append(entry)
                 if len(held) == PIECE:
                     yield piece()
                     held, number = [], number + 1
@@ -228,33 +349,42 @@ def compare_pieces(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         tally = Tally()
         for batch in batches:
             for i in range(batch.num_rows):
-                k, p, q, s, e1, v1, e2, v2 = (c[i].as_py() for c in batch.columns)
-                for x in linked(Cell(e1, v1, s), Cell(e2, v2, s), p == q, *place(k), least):
+                k, p, q, s, *both = (c[i].as_py() for c in batch.columns)
+                left = Cell(*both[:4], s)
+                for x in linked(left, left if p == q else Cell(*both[4:], s), *place(k), least):
                     yield from tally.add(*x)
         yield from tally.out()
 
     return run
 
 
-def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.9) -> DataFrame:
+def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.9, plans: tuple = PLANS) -> DataFrame:
     """vec_id, n_links, component_id and kept for each row of vectors.
 
     Links are pairs with a cosine of at least ``least`` that meet in a cell. Vectors that are null, empty, zero or hold
     null or non-finite numbers link with nothing, nor do rows with a null id; vectors of different lengths never link.
     Equal vectors are one node with a weight: copies link with each other and with what any of them links with. The
     component is the smallest id reachable; a row with a null id has none and is not kept.
+
+    ``plans`` are for cosines of about 0.9; the number of distinct vectors chooses one.
     """
     base = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("e")).mapInArrow(readable, "vec_id long, class string, v binary, size int")
     nodes = base.where("class is not null and vec_id is not null").groupBy("class").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w"), F.first("v").alias("v"), F.first("size").alias("size"))
     nodes, _ = materialize(nodes, "vectors")
-    keyed = nodes.select("rep", "w", "v", "size").mapInArrow(entries, "k long, entry binary, v binary, size int")
-    found, _ = materialize(keyed.repartition("k").sortWithinPartitions("k").mapInArrow(compare_cells(least), FOUND), "cells")
-    pieces = found.where("k is not null").select("k", "piece", "size", "entry", "v")
+    n = nodes.count()
+    blocks, scale, tables = next(p[1:] for p in plans if p[0] is None or n <= p[0])
+    known, _ = materialize(nodes.select(F.col("rep").alias("id"), "w", "size", "v").mapInArrow(coded(blocks, scale, tables), CODED), "codes")
+    keyed = known.select("id", "size", "codes", "sketch").mapInArrow(entries, "k long, id long, sketch long, home boolean")
+    hopes = keyed.repartition("k").sortWithinPartitions("k").mapInArrow(hopeful(sketch_radius(least)), "k long, id long")
+    fetched = hopes.join(known.select("id", "w", "v", "codes", "size"), "id").select("k", "id", "w", "v", "codes", "size")
+    found, _ = materialize(fetched.repartition("k").sortWithinPartitions("k").mapInArrow(compare_cells(least), FOUND), "cells")
+    pieces = found.where("k is not null").select("k", "piece", "size", "ids", "ws", "vs", "codes")
     found = found.where("k is null").select("a", "b", "n")
     if not pieces.isEmpty():
         x, y = pieces.alias("x"), pieces.alias("y")
         both = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.piece") <= F.col("y.piece")))
-        dealt = both.select("x.k", F.col("x.piece").alias("p"), F.col("y.piece").alias("q"), "x.size", F.col("x.entry").alias("e1"), F.col("x.v").alias("v1"), F.col("y.entry").alias("e2"), F.col("y.v").alias("v2")).repartition("k", "p", "q")
+        sides = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in ("ids", "ws", "vs", "codes")]
+        dealt = both.select("x.k", F.col("x.piece").alias("p"), F.col("y.piece").alias("q"), "x.size", *sides).repartition("k", "p", "q")
         more, _ = materialize(dealt.mapInArrow(compare_pieces(least), FOUND).select("a", "b", "n"), "cells")
         found = found.unionByName(more)
     weights = found.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
