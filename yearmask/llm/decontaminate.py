@@ -10,6 +10,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -25,8 +26,8 @@ from yearmask.llm.common import LOWER_ASCII, materialize, text_bytes
 WORDS = bytes(LOWER_ASCII[c] if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 
-#: bytes of windows in one automaton, which takes some 45 bytes of memory for each; a larger benchmark is scanned for in
-#: several passes
+#: bytes of windows and item ids in one automaton, which takes some 45 bytes of memory for each; a larger benchmark is
+#: scanned for in several passes
 BLOCK_BYTES = 4_000_000
 
 HIT = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
@@ -36,27 +37,45 @@ def normalised(text: bytes) -> list[bytes]:
     return text.translate(WORDS).split()
 
 
-def windows(text: bytes, width: int) -> set[bytes]:
-    """The item's windows, each as its words with a space before, between and after them."""
+def windows(text: bytes, width: int) -> Iterator[bytes]:
+    """The item's windows in order, each as its words with a space before, between and after them."""
     words = normalised(text)
-    if not words:
-        return set()
-    return {b" " + b" ".join(words[i : i + width]) + b" " for i in range(max(1, len(words) - width + 1))}
+    if words:
+        for i in range(max(1, len(words) - width + 1)):
+            yield b" " + b" ".join(words[i : i + width]) + b" "
+
+
+def item_windows(benchmark: DataFrame, item: str, text: str, width: int) -> DataFrame:
+    """(window, item): the distinct windows of each item. A long item's windows leave its task in small batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, t in zip(batch.column(0), text_bytes(batch.column(1)), strict=True):
+                found = windows(t, width)
+                while some := list(set(islice(found, 5_000))):
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([i.as_py()] * len(some), pa.string())], names=["window", "item"])
 
+    return benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).mapInArrow(run, "window binary, item string").distinct()
 
-def blocks(benchmark: DataFrame, item: str, text: str, width: int) -> Iterator[dict[bytes, list[str]]]:
-    """window -> ids of the items that have it, in blocks of a bounded size, read from Spark one partition at a time."""
-    held: dict[bytes, list[str]] = {}
-    size = 0
-    for row in benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).distinct().toLocalIterator():
-        for w in windows((row.t or "").encode(), width):
-            size += 0 if w in held else len(w)
-            held.setdefault(w, []).append(row.i)
-        if size >= BLOCK_BYTES:
-            yield held
-            held, size = {}, 0
-    if held:
-        yield held
+
+class Blocks:
+    """The windows of a benchmark, dealt by a hash of window and item into blocks of about BLOCK_BYTES at most, ids
+    included: neither a long item nor a window that very many items share can outgrow one. Only one block at a time
+    reaches the driver."""
+
+    def __init__(self, benchmark: DataFrame, item: str, text: str, width: int):
+        self.pairs, _ = materialize(item_windows(benchmark, item, text, width), "windows")
+        size = self.pairs.agg(F.sum(F.length("window") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0] or 0
+        self.number = -(-size // BLOCK_BYTES)
+
+    def __iter__(self) -> Iterator[dict[bytes, list[str]]]:
+        place = F.pmod(F.xxhash64("window", "item"), F.lit(self.number)) if self.number else F.lit(0)
+        for b in range(self.number):
+            held: dict[bytes, list[str]] = {}
+            for r in self.pairs.where(place == b).collect():
+                held.setdefault(bytes(r["window"]), []).append(r["item"])
+            if held:
+                yield held
 
 
 AUTOMATA: dict[str, ahocorasick.Automaton] = {}
@@ -130,16 +149,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     wordless texts have no words and no hits; items without words never match; an item with a null id marks words but
     has no id to list. Repeated rows stay, repeated items count once. Columns of the new names are replaced.
 
-    The windows of a benchmark are a block of bounded bytes, broadcast; texts are scanned once, without a shuffle. A
-    benchmark past the bound takes one pass a block, each keeping only the hit words of the texts that it hits.
+    Windows are made, counted and dealt into blocks in Spark. One block, of bounded bytes, is broadcast, and texts are
+    scanned once, without a shuffle. A benchmark past the bound takes one pass a block, each keeping only the hit words of
+    the texts that it hits.
     """
-    some = list(_first_two(blocks(benchmark, item, item_text, width)))
-    if len(some) < 2:
-        return one_pass(docs, some[0] if some else {b" \n ": []}, text, spans)
+    blocks = Blocks(benchmark, item, item_text, width)
+    if blocks.number < 2:
+        return one_pass(docs, next(iter(blocks), {b" \n ": []}), text, spans)
     numbered, _ = materialize(docs.drop("n_words", "n_hit", "items", "spans").withColumn("__row", F.monotonically_increasing_id()), "rows")
     texts = numbered.select("__row", F.col(text).alias("__text"))
     passes = []
-    for block in blocks(benchmark, item, item_text, width):
+    for block in blocks:
         hits, _ = materialize(one_pass(texts, block, "__text", True).where("n_hit > 0").select("__row", "items", "spans"), "hits")
         passes.append(hits)
     every = passes[0]
@@ -151,11 +171,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     return joined.withColumns({"items": F.coalesce("items", F.array().cast("array<string>"))}).mapInArrow(_merge_spans(text), T.StructType([*[f for f in numbered.schema.fields if f.name != "__row"], *T._parse_datatype_string(HIT).fields]))
 
 
-def _first_two(x: Iterator) -> Iterator:
-    for _, y in zip(range(2), x, strict=False):
-        yield y
-
-
 def _merge_spans(text: str):
     """Joins the spans of several passes and counts the words in them."""
 

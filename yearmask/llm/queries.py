@@ -46,7 +46,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), width=10, spans=False)
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), width=10)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), decontaminate.items_digest().alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
     )
