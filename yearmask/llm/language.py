@@ -52,6 +52,7 @@ class Model:
     languages: list[str]
     weights: np.ndarray  # (BUCKETS + 1, languages), inverse document frequencies multiplied in; the last row is the bias
     temperature: float
+    usual: float = 0.0  # a score that all but 1 in 500 texts of known languages reach, with a margin if few were seen
 
     def logits(self, text: str | None) -> np.ndarray | None:
         g = grams(text)
@@ -91,7 +92,7 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
     return n, df
 
 
-def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = 4, alpha: float = 2.0, beta: float = 1.0, l1: float = 0.002, l2: float = 0.002) -> np.ndarray:
+def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = 4, alpha: float = 2.0, beta: float = 0.05, l1: float = 0.002, l2: float = 0.002) -> np.ndarray:
     """Weights (BUCKETS + 1, classes) from rows of (features, values, class), one step a row, in the order given."""
     z, n = np.zeros((BUCKETS + 1, classes)), np.zeros((BUCKETS + 1, classes))
 
@@ -120,19 +121,26 @@ def temperature(logits: np.ndarray, classes: np.ndarray) -> float:
     return best[1]
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1500, seed: int = 10) -> Model:
-    """A model of the non-null languages of docs. ``per_language`` bounds the rows that the weights are fitted on.
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1500, most: int = 12_000, seed: int = 10) -> Model:
+    """A model of the non-null languages of docs, at most 1,000 of them (more are an error).
 
-    Rows without letters are left out; without any row there are no languages, and every prediction is ``und``.
+    The weights are fitted on about ``per_language`` texts of each language, fewer if there would be more than ``most`` in
+    all. They are drawn by a hash of the text, copies counting once, so a table gives the same model however its rows are
+    dealt and ordered, and a text with many copies is one text. Rows without letters are left out; without any row there
+    are no languages, and every prediction is ``und``.
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(1001).collect()}
+    if len(counts) > 1000:
+        raise ValueError("more than 1,000 languages")
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((BUCKETS + 1, 0)), 1.0)
     n, df = document_frequencies(known)
     idf = np.log((n + 1) / (df + 1)) + 1
-    sample = known.sampleBy("lang", {k: min(1.0, per_language / v) for k, v in counts.items()}, seed)
+    each = min(per_language, max(1, most // len(languages)))
+    bound = F.element_at(F.create_map(*[F.lit(x) for k, v in counts.items() for x in (k, int(min(1.0, each / v) * (1 << 30)))]), F.col("lang"))
+    sample = known.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) < bound).distinct()
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,18 +148,23 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
                 g = grams(t.as_py())
                 if g is not None:
                     at, c = np.unique(g, return_counts=True)
-                    yield pa.RecordBatch.from_pydict({"at": pa.array([at.astype(np.int32)], pa.list_(pa.int32())), "c": pa.array([c.astype(np.int32)], pa.list_(pa.int32())), "lang": [k.as_py()]})
+                    yield pa.RecordBatch.from_pydict({"at": pa.array([at.astype("<i4").tobytes()], pa.binary()), "c": pa.array([c.astype("<i4").tobytes()], pa.binary()), "lang": [k.as_py()]})
 
     rows = []
-    for r in sample.mapInArrow(features, "at array<int>, c array<int>, lang string").toLocalIterator():
-        at, c = np.array(r["at"]), np.array(r["c"], dtype=float)
+    for r in sample.mapInArrow(features, "at binary, c binary, lang string").toLocalIterator():  # at most some ``most`` rows of 8 bytes a bucket
+        at, c = np.frombuffer(r["at"], dtype="<i4"), np.frombuffer(r["c"], dtype="<i4").astype(float)
         rows.append((np.append(at, BUCKETS), np.append(idf[at] * c / c.sum(), 1.0), languages.index(r["lang"])))
     rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes(), r[1].tobytes()))  # the same whatever order they came in
     rows = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
     fit, held = [r for i, r in enumerate(rows) if i % 5], rows[::5]
     w = follow_the_leader(fit or held, len(languages))
-    t = temperature(np.array([x @ w[at] for at, x, _ in held]), np.array([k for _, _, k in held])) if held else 1.0
-    return Model(languages, (w * np.append(idf, 1.0)[:, None]).astype(np.float32), t)
+    if not held:
+        return Model(languages, (w * np.append(idf, 1.0)[:, None]).astype(np.float32), 1.0)
+    logits = np.array([x @ w[at] for at, x, _ in held])
+    t = temperature(logits, np.array([k for _, _, k in held]))
+    scores = 1 / np.exp((logits - logits.max(axis=1, keepdims=True)) / t).sum(axis=1)
+    usual = float(np.quantile(scores, 0.002, method="lower")) * (1 - len(held) ** -0.5)
+    return Model(languages, (w * np.append(idf, 1.0)[:, None]).astype(np.float32), t, usual)
 
 
 def with_language(docs: DataFrame, model: Model, text: str = "text", name: str = "lang_pred", score: str = "score") -> DataFrame:
