@@ -12,48 +12,73 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearmask.llm import bpe, decontaminate, language, quality, simhash
-from yearmask.llm.common import crc_mod, materialize, table
+from yearmask.llm.common import crc_mod, materialize, spread, table
 from yearmask.llm.queries import codec
 
-#: a language is rejected when its probability is no better than this many times chance
-LEAST_OVER_CHANCE = 1.1
+#: a language is rejected when all others together are likelier, by calibrated probabilities, and texts of known languages
+#: are hardly ever so uncertain
+LEAST_SCORE = 0.5
+
+
+def apart(docs: DataFrame) -> DataFrame:
+    """docs under names that no stage gives to columns of its own."""
+    return docs.select([F.col(c).alias(f"d_{c}") for c in docs.columns])
+
+
+def as_before(marked: DataFrame, docs: DataFrame) -> DataFrame:
+    return marked.select([F.col(f"d_{c}").alias(c) for c in docs.columns])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a language: those that have letters, and whose best language stands out at all."""
+    """Keeps documents whose language is known: they have letters, and one language is likelier than all others together.
+
+    Null, empty and letterless texts go. Repeated rows are judged alike and stay or go together; whole texts count,
+    however long. An empty table, or one without any label to learn from, keeps nothing.
+    """
+    docs = spread(docs)
     model = language.train(docs.where(crc_mod("doc_id", 3) != 1).select("text", "lang"))
     if not model.languages:
         return docs.where(F.lit(False))
-    known = language.with_language(docs, model, name="__lang", score="__score")
-    least = LEAST_OVER_CHANCE / len(model.languages) if len(model.languages) > 1 else 0.0
-    return known.where((F.col("__lang") != "und") & (F.col("__score") >= least)).select(docs.columns)
+    known = language.with_language(apart(docs), model, text="d_text", name="lang", score="score")
+    return as_before(known.where((F.col("lang") != "und") & (F.col("score") >= min(LEAST_SCORE, model.usual))), docs)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that are predicted to be of good quality (score >= 0.3)."""
-    stats, _ = materialize(quality.with_statistics(docs.select("doc_id", "text").where(crc_mod("doc_id", 5) != 0)).drop("text"), "statistics")
-    model = quality.train(stats, table(spark, sf_dir, "labels"))
-    scored = quality.with_quality(quality.with_statistics(docs), model, threshold=0.3, score="__score", predicted="__predicted")
-    return scored.where("__predicted = 1").select(docs.columns)
+    """Keeps documents that are predicted to be of good quality (score >= 0.3).
+
+    Null and empty texts have statistics of 0 and are scored like any other; rows with null ids are scored, never learned
+    from. Repeated rows stay or go together. Without labels of both kinds all documents have the same score.
+    """
+    known = quality.labelled(docs.select("doc_id", "text").where(crc_mod("doc_id", 5) != 0), table(spark, sf_dir, "labels"))
+    model = quality.train_on(quality.with_statistics(known).drop("text"))
+    scored = quality.with_quality(quality.with_statistics(apart(docs), text="d_text"), model, threshold=0.3)
+    return as_before(scored.where("predicted = 1"), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates: the one of the smallest doc_id."""
-    printed, _ = materialize(simhash.with_fingerprint(docs, name="__print").withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "printed")
-    grouped = simhash.near_duplicates(printed.select("doc_id", F.col("__print").alias("fingerprint")), radius=4)
+    """Keeps one document of each group of near-duplicates: the one of the smallest doc_id.
+
+    Texts without words all have fingerprint 0 and are one group. A null id counts as the largest, so such a row stays only
+    if its group has no other; of rows with the same id and fingerprint one stays, whichever.
+    """
+    printed = simhash.with_fingerprint(apart(docs), text="d_text").withColumn("id", F.coalesce(F.col("d_doc_id").cast("string"), F.lit("")))
+    printed, _ = materialize(printed, "printed")
+    grouped = simhash.near_duplicates(printed.select(F.col("d_doc_id").alias("doc_id"), "fingerprint"), radius=4)
     first = grouped.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")).alias("x"))
-    keep = first.select(F.coalesce(F.col("x.doc_id").cast("string"), F.lit("")).alias("__id"), F.col("x.fingerprint").alias("__print"))
-    return printed.join(keep, ["__id", "__print"], "left_semi").dropDuplicates(["__id", "__print"]).select(docs.columns)
+    keep = first.select(F.coalesce(F.col("x.doc_id").cast("string"), F.lit("")).alias("id"), F.col("x.fingerprint").alias("fingerprint"))
+    return as_before(printed.join(keep, ["id", "fingerprint"], "left_semi").dropDuplicates(["id", "fingerprint"]), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents without any window of a benchmark item."""
-    marked = decontaminate.contaminated(docs.withColumnsRenamed({c: f"d_{c}" for c in docs.columns}), table(spark, sf_dir, "benchmark"), text="d_text", spans=False)
-    return marked.where("n_hit = 0").select([F.col(f"d_{c}").alias(c) for c in docs.columns])
+    """Keeps documents without any window of a benchmark item. Null, empty and wordless texts have no windows and stay;
+    repeated rows stay or go together. An empty benchmark keeps everything."""
+    marked = decontaminate.contaminated(apart(docs), table(spark, sf_dir, "benchmark"), text="d_text")
+    return as_before(marked.where("n_hit = 0"), docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, the ids, and the digests of the ids and of what they decode to."""
+    """doc_id, n_tokens, the ids, and the digests of the ids and of what they decode to, a row for each document. A null
+    text is an empty one."""
     return bpe.token_digests(docs, codec(), keep_ids=True)
 
 

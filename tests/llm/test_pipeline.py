@@ -2,14 +2,20 @@
 
 import base64
 import hashlib
+import math
+import zlib
+from collections import Counter
 
 import duckdb
 import public_tokenizers
+import pytest
 import tiktoken
+import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from yearmask.llm import decontaminate, queries, simhash
+from yearmask.llm import decontaminate, language, language_model, queries, simhash
+from yearmask.llm.common import crc_mod
 
 
 def test_every_operator_has_one_query():
@@ -38,7 +44,7 @@ def test_stages_against_plain_versions(spark, sf):
         rows, before = out.collect(), docs.collect()
         ids = {r.doc_id for r in rows}
         if name == "language ID":
-            assert {100_000, 100_001}.isdisjoint(ids) and len(rows) >= len(before) - 3
+            assert {100_000, 100_001}.isdisjoint(ids) and len(rows) >= 0.95 * len(before)
         if name == "quality classifier":
             label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
             known = [r.doc_id for r in before if r.doc_id in label]
@@ -65,6 +71,97 @@ def test_stages_against_plain_versions(spark, sf):
     assert len(last) > 100
 
 
+def test_uncertain_languages_go(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    half = [t.text[:60] for t in docs.where("lang = 'en'").limit(1).collect() + docs.where("lang = 'de'").limit(1).collect()]
+    docs = docs.unionByName(spark.createDataFrame([(100_000 + i, t, None, "x", 8) for i, t in enumerate(["e", "un", " ".join(half), "-"])], docs.schema))
+    model = language.train(docs.where(crc_mod("doc_id", 3) != 1).select("text", "lang"))
+    least = min(corpus_pipeline.LEAST_SCORE, model.usual)
+    want = {r.doc_id for r in docs.collect() if model.predict(r.text)[1] >= least}
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, docs, sf).collect()} == want
+    assert least > 0.25 and 0.95 * docs.count() < len(want) < docs.count()
+
+
+def test_stages_take_any_rows(spark, sf):
+    """Null ids, nulls in every column, repeated rows, very long texts, and columns named like the stages' own."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(150)
+    long = " ".join(docs.first().text.split() * 400)
+    odd = [(None, docs.first().text, None, None, None), (None, None, None, None, None), (7_000, long, "en", "x", 1), (7_000, long, "en", "x", 1), (7_001, "", "en", "x", 0), (7_002, "\n" * 9, None, "x", 9)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    for clash in ("__print", "__score", "lang_pred", "d_text", "s_n_words", "n_hit"):
+        docs = docs.withColumn(clash, F.lit("mine"))
+    before = docs.collect()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert {x for r in rows for x in r[5:]} <= {"mine"}
+        # every row is one of those that came in, and repeated rows are treated alike but by the near-duplicate stage
+        seen = Counter(map(repr, before))
+        kept = Counter(map(repr, rows))
+        assert all(kept[k] <= seen[k] for k in kept) and (name == "SimHash near-dedup" or all(kept[k] == seen[k] for k in kept))
+        assert name != "SimHash near-dedup" or sum(r.doc_id == 7_000 for r in rows) <= 1
+        assert name != "benchmark decontamination" or sum(r.text is None for r in rows) == 1
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    assert len(last) == len(before) and sum(r.n_tokens == 0 for r in last) == 2
+
+
+def test_registered_queries_against_libraries_and_plain_versions(spark, sf):
+    """The queries that SQL cannot express, with their own splits and parameters, over the whole small table."""
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    mod = {d: zlib.crc32(str(d).encode()) for d in docs}
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    e = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def rows(name):
+        got = queries.QUERIES[name](spark, sf).collect()
+        assert sorted(r.doc_id for r in got) == sorted(docs)
+        return {r.doc_id: r for r in got}
+
+    for d, r in rows("op1_bpe").items():
+        ids = e.encode_ordinary(docs[d].text or "")
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(docs[d].text or ""))
+    plain = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for d, r in rows("op5_token_counts").items():
+        n = len(plain.encode(docs[d].text or "", add_special_tokens=False))
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((docs[d].text or "").encode()), n, n > 2048)
+    train = [r.text for d, r in docs.items() if mod[d] % 10]
+    words = Counter(w for t in train for w in [*language_model.words_of(t), None])
+    total = sum(words.values())
+    got = rows("op7_language_model")
+    for d, r in got.items():
+        own = [*language_model.words_of(docs[d].text), None]
+        base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (len(words) + 1))) for w in own)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (mod[d] % 10 == 0, len(own), sum(words[w] > 0 for w in own), total)
+        assert r.base_score == pytest.approx(base)
+    held = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = rows("op8_quality")
+    assert all(r.held_out == (mod[d] % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for d, r in got.items())
+    known = [d for d in got if d in label and got[d].held_out]
+    assert sum(got[d].predicted == label[d] for d in known) >= 0.9 * len(known)
+    got = rows("op9_simhash")
+    prints = {d: simhash.fingerprint((r.text or "").encode()) % (1 << 64) for d, r in docs.items()}
+    root = {}
+    for d in sorted(prints):  # reach everything from the smallest id on
+        todo = [] if d in root else [d]
+        while todo:
+            x = todo.pop()
+            root[x] = d
+            todo += [y for y in prints if y not in root and y not in todo and (prints[x] ^ prints[y]).bit_count() <= 4]
+    assert {d: (r.fingerprint, r.component_id) for d, r in got.items()} == {d: (f"{p:016x}", root[d]) for d, p in prints.items()}
+    got = rows("op10_language")
+    assert all(r.held_out == (mod[d] % 3 == 1) and 0 <= r.score <= 1 for d, r in got.items())
+    known = [d for d, r in got.items() if r.held_out and docs[d].lang]
+    assert sum(got[d].lang_pred == docs[d].lang for d in known) >= 0.97 * len(known) > 40
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_run_is_the_stages_in_order(spark, sf):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "quality classifier", "SimHash near-dedup", "benchmark decontamination", "byte-level BPE"]
     got = corpus_pipeline.run(spark, sf)

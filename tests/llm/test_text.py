@@ -39,6 +39,20 @@ def test_decontamination_as_plain_search(spark, monkeypatch, block):
         assert words == row.n_hit
 
 
+def test_blocks_are_bounded_whatever_the_items(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60_000)
+    r = random.Random(6)
+    shared = sentence(r, 10)
+    items = [(0, " ".join(f"{r.choice(WORDS)} u{i}" for i in range(3_000)))] + [(i, shared) for i in range(1, 1_500)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks = decontaminate.Blocks(bench, "item_id", "text", 10)
+    sizes = [sum(len(w) + len(i) for w, ids in b.items() for i in ids) for b in blocks]
+    assert blocks.number > 5 and max(sizes) < 1.5 * 60_000
+    docs = spark.createDataFrame([(1, f"before {shared} after"), (2, items[0][1][500:2_000]), (3, "clean")], "doc_id long, text string")
+    for row in decontaminate.contaminated(docs, bench).withColumn("d", decontaminate.items_digest()).collect():
+        assert (row.n_words, row.n_hit, len(row["items"]), row.d) == decontaminate.brute_force(row.text, items)
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(docs, bench).select("n_words", "n_hit").first() == (2, 0)
@@ -119,6 +133,9 @@ def test_statistics_and_rules(spark):
     assert 0 < len(model.rules) < 120
     sampled = quality.train(stats, labels, most=60)
     assert sampled.rules
+    for x in got:  # the column expression against a plain evaluation of the rules
+        margin = model.intercept + sum(w for rule, w in zip(model.rules, model.weights, strict=True) if all((x[f"s_{quality.STATISTICS[f]}"] > t) == above for f, t, above in rule))
+        assert x.score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-12) and x.predicted == int(x.score >= 0.3)
     none = quality.train(stats, labels.limit(0))
     assert {round(x.score, 6) for x in quality.with_quality(stats, none).collect()} == {0.5}
     assert quality.with_quality(stats.limit(0), model).count() == 0
@@ -152,6 +169,36 @@ def test_temperature_calibrates():
     assert abs(language.temperature(z * 5, k) - 5) < 0.5
 
 
+def plain_prediction(model, text):
+    """The most likely language and its probability, gram by gram."""
+    letters = [c if c.isalpha() else " " for c in (text or "").lower()]
+    if not any(c != " " for c in letters):
+        return "und", 0.0
+    points = [32, *[ord(c) for c in re.sub(" +", " ", "".join(letters))], 32]
+    total, n = np.zeros(len(model.languages)), 0
+    for size in (1, 2, 3):
+        for i in range(len(points) - size + 1):
+            h = points[i]
+            for p in points[i + 1 : i + size]:
+                h = h * 0x01000193 % 2**32 ^ p
+            total += model.weights[h * language.SPREAD[size - 1] % 2**32 >> 16]
+            n += 1
+    z = (total / n + model.weights[-1]) / model.temperature
+    p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    return model.languages[int(p.argmax())], float(p.max())
+
+
+def test_language_of_any_layout_and_by_plain_prediction(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    one, many = language.train(docs.coalesce(1), per_language=20), language.train(docs.orderBy(F.desc("text")).repartition(40), per_language=20)
+    assert (one.weights == many.weights).all() and one.temperature == many.temperature and one.languages == many.languages
+    copies = docs.unionByName(docs.limit(1).crossJoin(spark.range(3_000)).drop("id"))
+    assert language.train(copies, per_language=20).languages == one.languages
+    for r in language.with_language(docs.limit(60).unionByName(spark.createDataFrame([(1, "  12 3", None), (2, None, None), (3, "é", None)], docs.schema)), one).collect():
+        want = plain_prediction(one, r.text)
+        assert r.lang_pred == want[0] and r.score == pytest.approx(want[1], abs=1e-4)
+
+
 def brute_base(train, text):
     def words(t):
         return re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))

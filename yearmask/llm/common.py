@@ -28,12 +28,17 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a folder of our own only where it is unset."""
+    """The shared folder that spark.checkpoint.dir names. Without it, a local session gets a folder of its own, which goes
+    with the process; on a cluster that would scatter files over machines, so it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         root = getattr(scratch_root, "own", None)
         if root is None:
-            root = scratch_root.own = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+            folder = tempfile.TemporaryDirectory(prefix="spark-", dir="/tmp")
+            scratch_root.held, root = folder, "file://" + folder.name
+            scratch_root.own = root
     return root.rstrip("/")
 
 

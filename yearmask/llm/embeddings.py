@@ -5,7 +5,7 @@ point of the E8 lattice. The points of all blocks name the home cell; the next n
 closest to its border names a neighbouring cell, which is probed too. More vectors take finer lattices or more blocks, and
 more tables with them, so cells stay small and near pairs still meet.
 
-Cells are gathered by ids and 64-bit sketches alone. Only vectors that have a likely partner in a cell are fetched, and
+Cells are gathered by ids and sketches of 128 signs alone. Only vectors that have a likely partner in a cell are fetched, and
 compared by cosine in double precision; a pair is counted in the first table, and there in the smallest cell, in which it
 meets, so counts need no list of pairs.
 """
@@ -25,9 +25,10 @@ from yearmask.llm.common import components, contract, materialize
 
 SEED = 6
 #: (vectors up to which it serves, blocks, scale of the lattice, tables): by simulation a pair at a cosine of exactly 0.9
-#: meets with probability 0.98 or more, and a vector meets at most some hundred unrelated ones up to 200,000 vectors, some
-#: thousand up to 1,000,000,000
-PLANS = ((5_000, 1, 2.4, 8), (200_000, 2, 2.1, 22), (5_000_000, 2, 1.8, 36), (1_000_000_000, 2, 1.5, 80), (None, 3, 1.8, 150))
+#: meets with probability 0.98 or more, and a vector meets some 30 unrelated ones at a step's end up to 1,000,000 vectors,
+#: and some 1,000 at 1,000,000,000
+PLANS = ((5_000, 1, 2.4, 8), (20_000, 2, 2.1, 22), (50_000, 2, 1.95, 28), (120_000, 2, 1.8, 36), (1_000_000, 3, 2.1, 64), (10_000_000, 3, 1.8, 145), (None, 4, 2.1, 196))
+SKETCH = 128
 #: entries of one cell up to this number are compared in its task; more are dealt out in pairs of pieces
 PIECE = 8192
 #: cells beyond this number of entries are groups of near vectors: all of their vectors are fetched
@@ -91,15 +92,15 @@ def codes(unit: np.ndarray, blocks: int, scale: float, tables: int) -> np.ndarra
 
 
 def sketches(unit: np.ndarray) -> np.ndarray:
-    """64 signs of random projections of each unit vector, as a number."""
-    p = np.random.default_rng([SEED, unit.shape[1]]).normal(size=(unit.shape[1], 64))
-    return np.packbits(unit @ p > 0, axis=1).view("<u8").ravel()
+    """(rows, 2): the signs of SKETCH random projections of each unit vector, as two numbers."""
+    p = np.random.default_rng([SEED, unit.shape[1]]).normal(size=(unit.shape[1], SKETCH))
+    return np.packbits(unit @ p > 0, axis=1).view("<i8")
 
 
 def sketch_radius(least: float) -> int:
     """Differing signs that a pair at cosine ``least`` passes with less than 1 in 10,000."""
     share = float(np.arccos(np.clip(least, -1, 1))) / np.pi
-    return int(np.ceil(64 * share + 4 * np.sqrt(64 * share * (1 - share))))
+    return int(np.ceil(SKETCH * share + 4 * np.sqrt(SKETCH * share * (1 - share))))
 
 
 def readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +127,7 @@ def unit_rows(raw: list[bytes], width: int, kind: str) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-CODED = "id long, w long, size int, v binary, codes binary, sketch long"
+CODED = "id long, w long, size int, v binary, codes binary, first long, second long"
 
 
 def coded(blocks: int, scale: float, tables: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -139,20 +140,20 @@ def coded(blocks: int, scale: float, tables: int) -> Callable[[Iterator[pa.Recor
                 raw = part.column(3).to_pylist()
                 wide = np.array([len(x) for x in raw])
                 cells: list[bytes] = [b""] * part.num_rows
-                sketch = np.zeros(part.num_rows, dtype="<u8")
+                sketch = np.zeros((part.num_rows, 2), dtype=np.int64)
                 for s, b in {(int(x), int(y)) for x, y in zip(size, wide, strict=True)}:
                     at = np.flatnonzero((size == s) & (wide == b))
                     u = unit_rows([raw[i] for i in at], s, "<f4" if b == 4 * s else "<f8")
                     sketch[at] = sketches(u)
                     for i, c in zip(at, codes(u, blocks, scale, tables), strict=True):
                         cells[i] = c.tobytes()
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, pa.binary()), pa.array(sketch.view("<i8"))], names=[x.split()[0] for x in CODED.split(", ")])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, pa.binary()), *map(pa.array, np.ascontiguousarray(sketch.T))], names=[x.split()[0] for x in CODED.split(", ")])
 
     return run
 
 
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (id, size, codes, sketch), one row for each cell of each vector: key k (shape, table and cell), the id, the
+    """From (id, size, codes, first, second), one row for each cell of each vector: key k (shape, table and cell), the id, the
     sketch, and whether it is at home there."""
     for batch in batches:
         for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
@@ -161,21 +162,21 @@ def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k = c.astype(np.int64) + (np.arange(c.shape[1])[None, :, None] << 32) + (size << 40)[:, None, None]
             each = c.shape[1] * 2
             yield pa.RecordBatch.from_arrays([
-                pa.array(k.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), each)), pa.array(np.repeat(part.column(3).to_numpy(), each)), pa.array(np.tile([True, False], len(k) * c.shape[1]))
-            ], names=["k", "id", "sketch", "home"])
+                pa.array(k.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), each)), *[pa.array(np.repeat(part.column(i).to_numpy(), each)) for i in (3, 4)], pa.array(np.tile([True, False], len(k) * c.shape[1]))
+            ], names=["k", "id", "first", "second", "home"])
 
 
 def hopeful(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Over rows (k, id, sketch, home) sorted by k: (k, id) of those that have a partner in their cell within the radius,
+    """Over rows (k, id, first, second, home) sorted by k: (k, id) of those that have a partner in their cell within the radius,
     one of the two at home. Cells beyond CROWD pass as they are."""
 
-    def likely(k: np.ndarray, sketch: np.ndarray, home: np.ndarray) -> np.ndarray:
+    def likely(k: np.ndarray, first: np.ndarray, second: np.ndarray, home: np.ndarray) -> np.ndarray:
         keep = np.zeros(len(k), dtype=bool)
         for step in range(1, CROWD):
             i = np.flatnonzero(k[step:] == k[:-step])  # pairs of a cell by their distance in the sorted order
             if not len(i):
                 break
-            i = i[(home[i] | home[i + step]) & (np.bitwise_count(sketch[i] ^ sketch[i + step]) <= radius)]
+            i = i[(home[i] | home[i + step]) & (np.bitwise_count(first[i] ^ first[i + step]) + np.bitwise_count(second[i] ^ second[i + step]) <= radius)]
             keep[i] = keep[i + step] = True
         return keep
 
@@ -208,7 +209,7 @@ def hopeful(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 many = np.repeat((np.diff(np.append(start, len(k))) > CROWD) | (k[start] == crowd), np.diff(np.append(start, len(k))))
                 keep = many.copy()
                 few = ~many
-                keep[few] = likely(k[few], columns[2][few].view(np.uint64), columns[3][few])
+                keep[few] = likely(k[few], columns[2][few].view(np.uint64), columns[3][few].view(np.uint64), columns[4][few])
                 yield out(columns, keep)
             held = rest
 
@@ -374,7 +375,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     n = nodes.count()
     blocks, scale, tables = next(p[1:] for p in plans if p[0] is None or n <= p[0])
     known, _ = materialize(nodes.select(F.col("rep").alias("id"), "w", "size", "v").mapInArrow(coded(blocks, scale, tables), CODED), "codes")
-    keyed = known.select("id", "size", "codes", "sketch").mapInArrow(entries, "k long, id long, sketch long, home boolean")
+    keyed = known.select("id", "size", "codes", "first", "second").mapInArrow(entries, "k long, id long, first long, second long, home boolean")
     hopes = keyed.repartition("k").sortWithinPartitions("k").mapInArrow(hopeful(sketch_radius(least)), "k long, id long")
     fetched = hopes.join(known.select("id", "w", "v", "codes", "size"), "id").select("k", "id", "w", "v", "codes", "size")
     found, _ = materialize(fetched.repartition("k").sortWithinPartitions("k").mapInArrow(compare_cells(least), FOUND), "cells")

@@ -178,22 +178,31 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, rate: flo
     return Ensemble([rules[i] for i in kept], [float(w[i]) for i in kept], b)
 
 
-def train(stats: DataFrame, labels: DataFrame, most: int = 40_000, seed: int = 8) -> Ensemble:
-    """Fits on rows of ``stats`` (doc_id and the statistics) that have a label in ``labels`` (doc_id, quality 0 or 1).
+def labelled(docs: DataFrame, labels: DataFrame, most: int = 40_000, seed: int = 8) -> DataFrame:
+    """Rows of docs (doc_id and more) that have a label in ``labels`` (doc_id, quality 0 or 1), with the label as ``__y``.
 
-    At most about ``most`` labelled rows reach the driver: more are sampled down to that number. Null labels and ids are
-    left out; a document with several labels counts once for each.
+    At most about ``most`` distinct labels take part: more are drawn by a hash of the id. They are broadcast, so docs are
+    not shuffled. Null labels and ids are left out; a document with several labels is there once for each.
     """
-    names = [f"s_{s}" for s in STATISTICS]
-    known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y"))
+    known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y")).distinct()
     n = known.count()
-    joined = stats.join(known, F.col("doc_id") == F.col("__id")).select("__id", "__y", *names)
     if n > most:
-        joined = joined.where(F.pmod(F.xxhash64(F.col("__id"), F.lit(seed)), F.lit(1 << 30)) < F.lit(int(most / n * (1 << 30))))
-    got = joined.toPandas().sort_values(["__id", "__y", *names], kind="stable")
+        known = known.where(F.pmod(F.xxhash64(F.col("__id"), F.lit(seed)), F.lit(1 << 30)) < F.lit(int(most / n * (1 << 30))))
+    return docs.join(F.broadcast(known), F.col("doc_id") == F.col("__id")).drop("__id")
+
+
+def train_on(stats: DataFrame) -> Ensemble:
+    """Fits on rows of (doc_id, the statistics, __y) as of ``labelled``; repeated rows count once."""
+    names = [f"s_{s}" for s in STATISTICS]
+    got = stats.select("doc_id", "__y", *names).distinct().toPandas().sort_values(["doc_id", "__y", *names], kind="stable")
     return fit(got[names].to_numpy(dtype=float), got["__y"].to_numpy())
 
 
+def train(stats: DataFrame, labels: DataFrame, most: int = 40_000, seed: int = 8) -> Ensemble:
+    """Fits on the rows of ``stats`` (doc_id and the statistics) that ``labelled`` draws."""
+    return train_on(labelled(stats, labels, most, seed))
+
+
 def with_quality(stats: DataFrame, model: Ensemble, threshold: float = 0.3, score: str = "score", predicted: str = "predicted") -> DataFrame:
     """Adds the score and predicted (1 if score >= threshold, else 0). Null and empty texts have statistics of 0 and are
     scored like any other; every row stays."""
