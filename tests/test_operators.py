@@ -1,5 +1,6 @@
 """Small tables with the cases that matter, invariances, and streams against batches."""
 
+import base64
 import hashlib
 import importlib
 import sys
@@ -257,14 +258,45 @@ def test_rejected_batch_finds_long_cycles_and_deep_rows(spark):
 
 
 def test_no_nation_and_no_event_is_left_out(spark, sf):
-    from yearmask.plans import registry
+    from yearmask.plans import portfolio, registry
 
-    assert registry.QUERIES["j30_search_cells_all"](spark, sf).count() == 9 * spark.read.parquet(f"{sf}/nation.parquet").count()
+    assert registry.QUERIES["j30_search_cells"](spark, sf).count() == 9 * spark.read.parquet(f"{sf}/nation.parquet").count()
     larger = sf.replace("sf0.001", "sf0.01")  # all 50 sources have events
-    some, every = ({r.source: r.score for r in registry.QUERIES[q](spark, larger).collect()} for q in ("k14_value_ranking", "k14_value_ranking_all"))
+    every = {r.source: r.score for r in registry.QUERIES["k14_value_ranking"](spark, larger).collect()}
+    fifth = portfolio.value_ranking(spark, larger, spark.read.parquet(f"{larger}/events.parquet").where("user_id % 50 < 10"))
+    some = {r.source: r.score for r in fifth.collect()}
     assert len(some) == len(every) == 50 and all(every[s] > some[s] for s in every)
 
 
+def test_a_source_without_valid_lines_is_audited(spark):
+    from yearmask.plans import evidence
+
+    rows = spark.createDataFrame([("a", "x.org"), ("a", "x.org"), ("a", "y.org"), ("a", None), ("b", None), ("b", None)], "source_id string, host string")
+    base = spark.createDataFrame([("x.org", 1997)], "host string, year int")
+    got = evidence.source_audit(rows, base, spark.createDataFrame([("y.org",)], "host string")).collect()
+    assert sorted(map(tuple, got)) == [("a", 4, 3, 1, 1, 2, 1, 1, 0), ("b", 2, 0, 2, 0, 0, 0, 0, 0)]
+
+
+def test_quoted_cells_and_mailboxes(spark, tmp_path):
+    rows = ['n,"a;b, c",x.org,1998', '"x ""y"", z",1997-02-03," y.org "', "plain,http://z.org/a,2001", '"open,w.org,1996', "", '"";"",v.org']
+    got = L.read_delimited(spark.createDataFrame([(r,) for r in rows], "value string")).collect()
+    assert [(r.host, r.year) for r in got] == [("x.org", 1998), ("y.org", 1997), ("z.org", 2001), ("w.org", 1996), ("v.org", None)]
+    cells = L.read_delimited(spark.createDataFrame([('"a|b"|"q.org"|"1999"',)], "value string"), delimiter="|", host_column=1, year_column=2).collect()
+    assert [(r.host, r.year) for r in cells] == [("q.org", 1999)]
+    encoded = base64.encodebytes(b"see http://in.base64.org/x today " * 3).decode()
+    links = " ".join(f"http://many.org/{i}" for i in range(100))
+    (tmp_path / "box").write_text(
+        f"From a@b Mon\nDate: Mon, 5 May 1997 10:00\nSubject: x\n\n>From me: http://one.org/a\nFrom here on http://two.org/.\n\nFrom c@d Tue\nDate: 6 May 1998\nContent-Type: multipart/mixed\n\n--p\nContent-Type: text/plain\nContent-Transfer-Encoding: base64\n\n{encoded}\n--p\nContent-Transfer-Encoding: quoted-printable\n\nhttp://soft.o=\nrg/?a=3Db\n\nFrom e@f Wed\nDate: 1999\nDate: 2000\n\nhttp://twice.org/\n\nFrom g@h\nDate: 1 Jan 2001\n\n{links}\n"
+    )
+    messages = L.read_mailbox(spark, f"file://{tmp_path}/box")
+    found = {(r.year, r.url) for r in L.mail_messages(messages).collect()}
+    assert messages.count() == 4
+    assert {u for y, u in found if y == 1997} == {"http://one.org/a", "http://two.org/"}
+    assert {"http://in.base64.org/x", "http://soft.org/?a=b"} <= {u for y, u in found if y == 1998}
+    assert sum(y == 2001 for y, _ in found) == 100 and not any("twice" in u for _, u in found)
+    assert sum(r.year == 2001 for r in L.mail_messages(messages, most=64).collect()) == 64
+
+
 def test_warc_header_query_scans_whole_records(spark, tmp_path):
     from yearmask.plans import registry
 

@@ -124,10 +124,11 @@ def g25_provider_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct addresses and datasets of each provider, exclusive and shared. Rows are cut to one per provider and
     host first, so the distinct counts need no expansion of raw rows."""
     rows = D.valid_captures(spark, sf)
-    pairs = rows.groupBy("provider", "host").agg(F.collect_set("raw").alias("raws"), F.count("*").alias("n"), F.sum("cost").alias("c"))
+    distinct = rows.groupBy("provider", "host", "raw").agg(F.count("*").alias("n"), F.sum(F.col("cost").cast("decimal(28,6)")).alias("c"))
+    pairs = distinct.groupBy("provider", "host").agg(F.count("*").alias("raws"), F.sum("n").alias("n"), F.sum("c").alias("c"))
     n = pairs.groupBy("host").agg(F.count("*").alias("providers"))
     j = pairs.join(n, "host")
-    return j.groupBy("provider").agg(F.sum(F.size("raws")).alias("urls"), F.count("*").alias("datasets"), F.count_if(F.col("providers") == 1).alias("exclusive"), F.count_if(F.col("providers") > 1).alias("shared"), F.round(F.sum("c") / F.sum("n"), 4).alias("mean_cost"))
+    return j.groupBy("provider").agg(F.sum("raws").alias("urls"), F.count("*").alias("datasets"), F.count_if(F.col("providers") == 1).alias("exclusive"), F.count_if(F.col("providers") > 1).alias("shared"), F.round(F.sum("c").cast("double") / F.sum("n"), 4).alias("mean_cost"))
 
 
 @query("g26_cell_saturation", f"""

@@ -329,17 +329,24 @@ def g11_counts_by_state(spark: SparkSession, sf: str) -> DataFrame:
 WITH {D.BASE}, c AS (SELECT DISTINCT host FROM valid WHERE provider = 'ia'), u AS (SELECT source_id, raw, host, count(*) AS n FROM captures GROUP BY ALL),
 h AS (SELECT source_id, host, sum(n) AS n FROM u WHERE host IS NOT NULL GROUP BY ALL),
 v AS (SELECT source_id, CAST(sum(n) AS BIGINT) AS valid, count(*) AS unique_hosts, count(*) FILTER (WHERE host IN (SELECT host FROM baseline)) AS in_baseline, count(*) FILTER (WHERE host NOT IN (SELECT host FROM baseline) AND host IN (SELECT host FROM c)) AS in_candidates FROM h GROUP BY 1),
-r AS (SELECT source_id, CAST(sum(n) AS BIGINT) AS raw_lines FROM u GROUP BY 1)
-SELECT source_id, raw_lines, valid, raw_lines - valid AS invalid, valid - unique_hosts AS duplicates, unique_hosts, in_baseline, in_candidates, unique_hosts - in_baseline - in_candidates AS remainder FROM r JOIN v USING (source_id)""")
+r AS (SELECT source_id, CAST(sum(n) AS BIGINT) AS raw_lines FROM u GROUP BY 1),
+a AS (SELECT source_id, raw_lines, coalesce(valid, 0) AS valid, coalesce(unique_hosts, 0) AS unique_hosts, coalesce(in_baseline, 0) AS in_baseline, coalesce(in_candidates, 0) AS in_candidates FROM r LEFT JOIN v USING (source_id))
+SELECT source_id, raw_lines, valid, raw_lines - valid AS invalid, valid - unique_hosts AS duplicates, unique_hosts, in_baseline, in_candidates, unique_hosts - in_baseline - in_candidates AS remainder FROM a""")
 def g12_source_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw, valid, invalid, duplicate and unique hosts of each source, and what of them is known."""
-    rows = D.captures(spark, sf)
+    """Raw, valid, invalid, duplicate and unique hosts of each source, and what of them is known. A source without any
+    valid line has a row too."""
+    return source_audit(D.captures(spark, sf), D.baseline(spark, sf), D.valid_captures(spark, sf).where("provider = 'ia'"))
+
+
+def source_audit(rows: DataFrame, baseline: DataFrame, candidates: DataFrame) -> DataFrame:
+    """G12 of rows (source_id, host; null: not valid), baseline host-years and candidate hosts."""
     per_host = rows.groupBy("source_id", "host").agg(F.count("*").alias("n"))
-    known = V.resolve(per_host.where("host is not null"), V.mask_by_host(D.baseline(spark, sf)), D.valid_captures(spark, sf).where("provider = 'ia'"))
+    known = V.resolve(per_host.where("host is not null"), V.mask_by_host(baseline), candidates)
     base = F.col("baseline_mask") != 0
     v = known.groupBy("source_id").agg(F.sum("n").alias("valid"), F.count("*").alias("unique_hosts"), F.count_if(base).alias("in_baseline"), F.count_if(~base & F.col("is_candidate")).alias("in_candidates"))
     r = per_host.groupBy("source_id").agg(F.sum("n").alias("raw_lines"))
-    return r.join(v, "source_id").select("source_id", "raw_lines", "valid", (F.col("raw_lines") - F.col("valid")).alias("invalid"), (F.col("valid") - F.col("unique_hosts")).alias("duplicates"), "unique_hosts", "in_baseline", "in_candidates", (F.col("unique_hosts") - F.col("in_baseline") - F.col("in_candidates")).alias("remainder"))
+    a = r.join(v, "source_id", "left").fillna(0, ["valid", "unique_hosts", "in_baseline", "in_candidates"])
+    return a.select("source_id", "raw_lines", "valid", (F.col("raw_lines") - F.col("valid")).alias("invalid"), (F.col("valid") - F.col("unique_hosts")).alias("duplicates"), "unique_hosts", "in_baseline", "in_candidates", (F.col("unique_hosts") - F.col("in_baseline") - F.col("in_candidates")).alias("remainder"))
 
 
 @query("g37_reconciliation", f"""

@@ -109,10 +109,12 @@ def a13_mail_urls(spark: SparkSession, sf: str) -> DataFrame:
 @query("a14_mailbox_messages", """
 SELECT CAST(1996 + page_id % 6 AS INT) AS year, url FROM pages WHERE page_id % 4 <> 0""")
 def a14_mailbox_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages with exactly one Date header, in the window."""
+    """Messages with exactly one Date header, in the window, out of mailbox files that hold all of them."""
     date = F.concat(F.lit("Date: Mon, 5 May "), (F.col("page_id") % 6 + 1996).cast("string"), F.lit(" 10:00:00 +0000\n"))
-    text = F.concat(F.lit("a@b Mon May 5\n"), date, F.when(F.col("page_id") % 4 == 0, date).otherwise(""), F.lit("Subject: x\n\nlook <"), "url", F.lit("> now\n"))
-    return L.mail_messages(D.table(spark, sf, "pages").select(text.alias("value")))
+    text = F.concat(F.lit("From a@b Mon May 5\n"), date, F.when(F.col("page_id") % 4 == 0, date).otherwise(""), F.lit("Subject: x\n\n>From here look <"), "url", F.lit("> now\n"))
+    path = work_folder(spark, "mailbox")
+    D.table(spark, sf, "pages").select(text.alias("value")).write.option("lineSep", "\n").text(path)
+    return L.mail_messages(L.read_mailbox(spark, path))
 
 
 @query("a15_warc_headers", "SELECT url, CASE WHEN page_id % 8 < 6 THEN CAST(1996 + page_id % 8 AS INT) END AS year, CAST(CASE WHEN page_id % 8 < 6 THEN 1 << (page_id % 8)::INT ELSE 0 END AS INT) AS hint_mask, CAST(0 AS INT) AS direct_mask FROM pages")

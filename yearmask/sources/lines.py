@@ -56,8 +56,12 @@ def read_jsonl(lines: DataFrame, host_field: str | None = None, time_field: str
 
 
 def read_delimited(lines: DataFrame, delimiter: str = ",", host_column: int | None = None, year_column: int | None = None) -> DataFrame:
-    """Host and year of delimited rows: of the bound columns, else of the first cells that hold one."""
-    cells = F.transform(F.split("value", f"[{delimiter}]"), strip)
+    """Host and year of delimited rows: of the bound columns, else of the first cells that hold one. A cell in double
+    quotes may hold delimiters, and doubled quotes for one; a quote that is not closed on its line is an ordinary one."""
+    cell = f'(?:^|[{delimiter}])(\\s*"(?:[^"]|"")*"\\s*(?=[{delimiter}]|$)|[^{delimiter}]*)'
+    quoted = F.regexp_extract_all("value", F.lit(cell), 1)
+    plain = F.transform(quoted, lambda x: F.when(strip(x).rlike('^".*"$') & (F.length(strip(x)) > 1), F.replace(F.substring(strip(x), F.lit(2), F.length(strip(x)) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+    cells = F.transform(plain, strip)
     rows = lines.withColumn("c", cells)
     host = host_of(F.get("c", F.lit(host_column))) if host_column is not None else F.get(F.filter(F.transform("c", host_of), lambda x: x.isNotNull()), F.lit(0))
     year = year_of(F.get("c", F.lit(year_column))) if year_column is not None else F.get(F.filter(F.transform("c", year_of), lambda x: x.isNotNull()), F.lit(0))
@@ -90,9 +94,13 @@ def read_directory_dump(lines: DataFrame) -> DataFrame:
     return lines.select(strip(raw).alias("url")).where(F.col("url").rlike(r"(?i)^https?://[^/?#:]+"))
 
 
-def read_mail_urls(lines: DataFrame, most: int = 64) -> DataFrame:
-    """The URLs of each row, at most ``most``, and nothing else of it."""
-    return lines.select(F.explode(F.slice(clean_urls(F.col("value")), 1, most)).alias("url"))
+def first(urls: Column, most: int | None) -> Column:
+    return urls if most is None else F.slice(urls, 1, most)
+
+
+def read_mail_urls(lines: DataFrame, most: int | None = None) -> DataFrame:
+    """The URLs of each row, the first ``most`` if a bound is given, and nothing else of it."""
+    return lines.select(F.explode(first(clean_urls(F.col("value")), most)).alias("url"))
 
 
 def read_reference_list(lines: DataFrame) -> DataFrame:
@@ -134,12 +142,33 @@ def warc_headers(records: DataFrame) -> DataFrame:
     return records.select(uri.alias("url"), year.alias("year"), bit(year).alias("hint_mask"), F.lit(0).alias("direct_mask")).where(F.col("url") != "")
 
 
-def mail_messages(messages: DataFrame) -> DataFrame:
-    """URL and year of mailbox messages (value: one message without its envelope's ``From ``): exactly one Date header."""
-    head = F.split("value", r"\n\s*\n", 2)[0]
+def read_mailbox(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file) of the messages of mbox files: each begins after a line ``From ...``, which goes; a blank line or
+    the start of the file stands before that line, and ``>From`` in a text is no such line. Files are split between tasks
+    at those lines, never read whole."""
+    cut = spark.read.option("lineSep", "\n\nFrom ").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    envelope = F.regexp_replace("value", r"^(?:From )?[^\n]*(?:\n|\z)", "")
+    return cut.select(envelope.alias("value"), "file").where("value <> ''")
+
+
+def decoded_parts(text: Column) -> Column:
+    """The text of a message with what hides URLs undone: soft line breaks and escapes of quoted-printable, and parts in
+    base64 (lines of it after a header that says so)."""
+    plain = F.replace(F.replace(F.regexp_replace(text, r"=\r?\n", ""), F.lit("=3D"), F.lit("=")), F.lit("=3d"), F.lit("="))
+    quoted = F.when(text.rlike(r"(?im)^Content-Transfer-Encoding:\s*quoted-printable"), plain).otherwise(text)
+    blocks = F.regexp_extract_all(text, F.lit(r"(?i)Content-Transfer-Encoding:\s*base64[^\n]*\n(?:[^\n]+\n)*\r?\n((?:[A-Za-z0-9+/=]+\r?\n?)+)"), 1)
+    opened = F.transform(blocks, lambda b: F.coalesce(F.try_to_binary(F.regexp_replace(b, r"\s", ""), F.lit("base64")).cast("string"), F.lit("")))
+    return F.concat_ws("\n", quoted, F.array_join(opened, "\n"))
+
+
+def mail_messages(messages: DataFrame, most: int | None = None) -> DataFrame:
+    """URL and year of mailbox messages (value: one message without its envelope's ``From ``): exactly one Date header
+    with a year in the window. URLs come from all MIME parts, the first ``most`` if a bound is given."""
+    head = F.split("value", r"\r?\n[ \t]*\r?\n", 2)[0]
     dates = F.regexp_extract_all(head, F.lit(r"(?im)^Date:\s*([^\n]+)"), 1)
     year = in_window(F.regexp_extract(F.get(dates, F.lit(0)), r"\b(\d{4})\b", 1).try_cast("int"))
-    return messages.withColumn("dates", dates).withColumn("year", year).where("size(dates) = 1 and year is not null").select("year", F.explode(F.slice(clean_urls(F.col("value")), 1, 64)).alias("url"))
+    dated = messages.withColumn("dates", dates).withColumn("year", year).where("size(dates) = 1 and year is not null")
+    return dated.select("year", F.explode(first(clean_urls(decoded_parts(F.col("value"))), most)).alias("url"))
 
 
 def sniff(lines: DataFrame, key: str = "file", sample: int = 200) -> DataFrame:

@@ -14,9 +14,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 
 def work_folder(spark: SparkSession, what: str) -> str:
-    """A new folder under the shared one that the cluster names; under a local one only where none is named."""
+    """A new folder under the shared one that the cluster names. Only a local session may do without one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
