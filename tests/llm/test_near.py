@@ -85,7 +85,8 @@ def test_near_duplicates_with_hot_keys(spark, monkeypatch, piece, small):
             chain ^= 1 << b
     signed = [x - (1 << 64) if x >> 63 else x for x in prints]
     rows = [(i + 10, x, "extra") for i, x in enumerate(signed)] + [(None, signed[0], "no id"), (None, 123456789, "alone")]
-    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, fingerprint long, root string").drop("root")).collect()
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, fingerprint long, root string").withColumns({c: F.lit("mine") for c in ("group", "component_id", "first", "node")})).collect()
+    assert {(g.root, g.node, g["first"]) for g in got} == {(x, "mine", "mine") for x in ("extra", "no id", "alone")}
     assert len(got) == len(rows)
     links = [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
     root = union_find(len(prints), links)
@@ -197,6 +198,15 @@ def test_fixity_audit(spark):
     laid.unpersist()
 
 
+def test_records_longer_than_a_range(spark):
+    rows = [(i, f"http://x/{i}", "é" * (70_000 if i % 5 == 0 else 10)) for i in range(60)]
+    made = warc.records_of(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    listing = warc.laid_out(made)
+    assert listing.where(F.col("length") > warc.RANGE).count() == 12
+    bad = listing.withColumn("sha256", F.when(F.col("record_id").isin(10, 11), F.lit("rotten")).otherwise(F.col("sha256")))
+    assert {(r.record_id, r.status) for r in warc.audit(listing, bad).collect()} == {(10, "corrupt"), (11, "corrupt")}
+
+
 def test_replica_is_hashed_from_its_own_bytes(spark):
     rows = [(i, f"http://x/{i}", "é<p>" * (i % 70)) for i in range(300)] + [(13, "http://x/13", "again"), (13, "http://x/13", "and again"), (None, "u", "lost id")]
     made = warc.records_of(spark.createDataFrame(rows, "page_id long, url string, html string"))

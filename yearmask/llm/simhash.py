@@ -272,8 +272,10 @@ def near_duplicates(prints: DataFrame, radius: int = 4) -> DataFrame:
     smallest fingerprint of the component, to rows of (doc_id, fingerprint). Rows with a null doc_id take part and are
     never named; a component of such rows alone has null.
 
-    Rows collapse to distinct fingerprints first, so exact copies cost one node however many there are.
+    Rows collapse to distinct fingerprints first, so exact copies cost one node however many there are. Repeated rows stay,
+    other columns too, but for those of the new names, which are replaced; an empty table gives none.
     """
+    prints = prints.drop("component_id", "group")
     nodes, _ = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "nodes")
     parts = components(links(nodes.select("fingerprint"), radius))
     linked = parts.join(nodes, F.col("node") == F.col("fingerprint"))
