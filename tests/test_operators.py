@@ -198,6 +198,17 @@ def test_graph(spark):
     assert got == {"a": 8 / 2 + 4 / 2 + 4 / 4 + 2 / 4 + 2 / 8, "b": 4 / 2 + 2 / 4, "c": 1.0}
 
 
+def test_links_of_every_form(spark):
+    html = """<A HREF='a.html'>one <b>bold</b></A><a class=x href=../up>two</a><a href="?q=1">q</a><a href="//other.org/x">proto</a>
+<a href="#top">f</a><a href="mailto:a@b">m</a><a href=''>e</a><a name="n">none</a><a href="/root"><img src="i">pic</a><a href=http://bare.org/y>open"""
+    pages = spark.createDataFrame([("http://x.org/d/e/p.html?z=1", html), ("http://y.org", "<a href=b>x</a>")], "url string, html string")
+    got = {(r.url, r.anchor) for r in G.page_links(pages).collect()}
+    assert got == {
+        ("http://x.org/d/e/a.html", "one bold"), ("http://x.org/d/up", "two"), ("http://x.org/d/e/p.html?q=1", "q"), ("http://other.org/x", "proto"),
+        ("http://x.org/root", "pic"), ("http://bare.org/y", "open"), ("http://y.org/b", "x"),
+    }
+
+
 def test_link_promotion(spark):
     html = '<a href="/data/index.html">Archive of links</a> <a href="http://y.org/x.csv.gz">x</a> <a href="/one">nothing</a>'
     pages = spark.createDataFrame([("http://x.org/p1", html), ("http://x.org/p2", html.replace("/one", "/two")), ("http://x.org/p3", None)], "url string, html string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearmask.functions.hosts import META_TERMS, RESOURCE_TERMS, canonical_url, is_bulk, link_hits
+from yearmask.functions.hosts import META_TERMS, RESOURCE_TERMS, canonical_url, is_bulk, link_hits, strip
 from yearmask.streaming.evidence import work_folder
 
 
@@ -100,14 +100,32 @@ def rejected_batch(edges: DataFrame, nodes: DataFrame, max_graph_hops: int = 4)
     return marked.withColumn("reason", reason).where("reason is not null").select("parent", "child", "reason")
 
 
+def absolute(href: Column, page: Column) -> Column:
+    """The address that a link of a page means: whole, without scheme, from the root, a query, or relative to the page's
+    folder; null for fragments, empty links and schemes that are not HTTP."""
+    scheme, base = F.regexp_extract(page, "^(https?):", 1), F.regexp_extract(page, "^(https?://[^/?#]+)", 1)
+    path = F.regexp_extract(page, "^https?://[^/?#]+([^?#]*)", 1)
+    folder = F.concat(base, F.when(path.contains("/"), F.regexp_extract(path, "^(.*/)", 1)).otherwise("/"))
+    return (
+        F.when(href.rlike("(?i)^https?://"), href)
+        .when(href.rlike("(?i)^[a-z][a-z0-9+.-]*:") | (href == "") | href.startswith("#"), None)
+        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
+        .when(href.startswith("/"), F.concat(base, href))
+        .when(href.startswith("?"), F.concat(base, path, href))
+        .otherwise(F.concat(folder, href))
+    )
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(page_url, url, anchor) of each link of raw pages, addresses made absolute and canonical."""
-    found = F.regexp_extract_all("html", F.lit(r"(?i)(<a\s[^>]*href=\"[^\"]*\"[^>]*>[^<]*)"), 1)
+    """(page_url, url, anchor) of each link of raw pages, addresses made absolute and canonical, anchors without the
+    tags in them. Addresses may stand in double quotes, in single ones or in none; a link ends at its closing tag, at the
+    next link or with the page."""
+    found = F.regexp_extract_all("html", F.lit(r"(?is)(<a\s[^>]*>.*?)(?=</a\s*>|<a\s|\z)"), 1)
     rows = pages.select(F.col("url").alias("page_url"), F.explode(found).alias("a"))
-    href, anchor = F.regexp_extract("a", r"(?i)href=\"([^\"]*)\"", 1), F.regexp_extract("a", r">([^<]*)\z", 1)
-    base = F.regexp_extract("page_url", r"^(https?://[^/?#]+)", 1)
-    full = F.when(href.rlike(r"(?i)^https?://"), href).when(href.startswith("/"), F.concat(base, href))
-    return rows.select("page_url", canonical_url(full).alias("url"), anchor.alias("anchor")).where("url is not null")
+    attributes, inner = F.regexp_extract("a", r"(?is)^<a(\s[^>]*)>", 1), F.regexp_extract("a", r"(?s)^[^>]*>(.*)\z", 1)
+    forms = [F.regexp_extract(attributes, rf"(?is)\shref\s*=\s*{form}", 1) for form in ('"([^"]*)"', "'([^']*)'", "([^\\s\"'>]+)")]
+    href = strip(F.greatest(*forms))  # one of them at most is not empty
+    return rows.select("page_url", canonical_url(absolute(href, F.col("page_url"))).alias("url"), F.regexp_replace(inner, "<[^>]*>", "").alias("anchor")).where("url is not null")
 
 
 def link_summary(links: DataFrame) -> DataFrame:
