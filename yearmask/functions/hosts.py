@@ -96,9 +96,14 @@ def clean_path(path: Column) -> Column:
     return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(path.endswith("/") & (F.size(kept) > 0), "/").otherwise(""))
 
 
+def ascii_host(host: Column) -> Column:
+    """A host beyond ASCII in its ASCII form (IDNA 2003); null if it has none. Other hosts never reach the converter."""
+    return F.when(host.rlike(r"[^\x00-\x7F]"), F.lower(F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), host))).otherwise(host)
+
+
 def canonical_url(c: Column) -> Column:
-    """Lower-case scheme and host, no default port, no fragment, a clean path, the query kept; null for other schemes,
-    user information or no host. Hosts beyond ASCII are only lower-cased."""
+    """Lower-case scheme and host, the host in ASCII, no default port, no fragment, a clean path, the query kept; null
+    for other schemes, user information, no host or one without an ASCII form."""
     t = strip(c)
     scheme = F.lower(F.regexp_extract(t, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
     place = F.regexp_extract(t, r"^[^/]*//([^/?#]*)", 1)
@@ -106,7 +111,7 @@ def canonical_url(c: Column) -> Column:
     default = (port == "") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
     path = F.regexp_extract(t, r"^[^/]*//[^/?#]*([^?#]*)", 1)
     query = F.regexp_extract(t, r"^[^?#]*(\?[^#]+)", 1)
-    return F.when(scheme.isin("http", "https") & (url_host(t) != "") & ~place.contains("@"), F.concat(scheme, F.lit("://"), url_host(t), F.when(default, "").otherwise(F.concat(F.lit(":"), port)), clean_path(path), query))
+    return F.when(scheme.isin("http", "https") & (url_host(t) != "") & ~place.contains("@"), F.concat(scheme, F.lit("://"), ascii_host(url_host(t)), F.when(default, "").otherwise(F.concat(F.lit(":"), port)), clean_path(path), query))
 
 
 #: fixed values: query parameters that only track

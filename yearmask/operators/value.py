@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from yearmask.operators.ordered import BLOCK, in_blocks, previous
+
 #: fixed values: prior host-years a request by kind, prior strength, retry penalty
 PRIORS = (("EXACT", 0.25), ("RANGE", 0.5), ("DOMAIN", 1.0), ("RDAP", 0.5))
 PRIOR_STRENGTH, RETRY_PENALTY = 4.0, 0.25
@@ -91,10 +93,11 @@ def ewma(values: Column, alpha: float = 0.6) -> Column:
 
 
 def deltas(samples: DataFrame, name: str, order: str, value: str) -> DataFrame:
-    """Change of a counter from sample to sample, and whether it was reset; the first sample has none."""
-    w = Window.partitionBy(name).orderBy(order)
-    before = F.lag(value).over(w)
-    return samples.withColumn("delta", F.col(value) - before).withColumn("reset", F.col(value) < before)
+    """Change of a counter from sample to sample by a number ``order``, and whether it was reset; the first sample
+    has none. A counter with most of the samples is split by ranges of the order."""
+    rows = previous(in_blocks(samples, F.col(order)), name, [order], value, "__previous")
+    out = rows.withColumn("delta", F.col(value) - F.col("__previous")).withColumn("reset", F.col(value) < F.col("__previous"))
+    return out.drop("__previous", BLOCK)
 
 
 def ucb(rewards: DataFrame, name: str, episodes: str, rate: str, exploration: float = 0.5) -> DataFrame:

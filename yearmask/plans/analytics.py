@@ -9,6 +9,7 @@ from yearmask.functions import hosts as H
 from yearmask.operators import eed as E
 from yearmask.operators import evidence as V
 from yearmask.operators import graph as G
+from yearmask.operators import ordered as O
 from yearmask.operators import sketch as M
 from yearmask.operators import value as A
 from yearmask.plans import derived as D
@@ -202,8 +203,8 @@ SELECT kind, max(cost) FILTER (WHERE i = floor((n - 1) * 0.5)) AS median, max(co
 def g35_latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     """Percentiles at index floor((n - 1) * q). Values are counted first, so the window sees distinct values only."""
     counts = D.runs(spark, sf).groupBy("kind", "cost").agg(F.count("*").alias("c"))
-    w = Window.partitionBy("kind").orderBy("cost")
-    ranked = counts.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy("kind")))
+    total = counts.groupBy("kind").agg(F.sum("c").alias("n"))
+    ranked = O.running_sum(O.in_blocks(counts, F.col("cost")), "kind", ["cost"], "c", "upto").join(total, "kind")
     at = {q: F.min(F.when(F.col("upto") > F.floor((F.col("n") - 1) * q), F.col("cost"))) for q in (0.5, 0.95)}
     return ranked.groupBy("kind").agg(at[0.5].alias("median"), at[0.95].alias("p95"), F.max("cost").alias("highest"))
 
@@ -246,9 +247,9 @@ WITH {D.VALID}, o AS (SELECT source_id, seq, host[1:2] AS h, CASE WHEN lag(host[
 g AS (SELECT *, sum(starts) OVER (PARTITION BY source_id ORDER BY seq) AS run FROM o) SELECT source_id, CAST(run AS BIGINT) AS run, min(h) AS head, count(*) AS n, min(seq) AS first_seq FROM g GROUP BY source_id, run""")
 def w5_host_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Runs of equal neighbours in each source's order; what comes again later is a run of its own."""
-    w = Window.partitionBy("source_id").orderBy("seq")
-    rows = D.valid_captures(spark, sf).select("source_id", "seq", F.substring("host", 1, 2).alias("h"))
-    marked = rows.withColumn("starts", (~F.lag("h").over(w).eqNullSafe(F.col("h"))).cast("int")).withColumn("run", F.sum("starts").over(w))
+    rows = O.in_blocks(D.valid_captures(spark, sf).select("source_id", "seq", F.substring("host", 1, 2).alias("h")), F.col("seq"))
+    near = O.previous(rows, "source_id", ["seq"], "h", "before")
+    marked = O.running_sum(near.withColumn("starts", (~F.col("before").eqNullSafe(F.col("h"))).cast("int")), "source_id", ["seq"], "starts", "run")
     return marked.groupBy("source_id", "run").agg(F.min("h").alias("head"), F.count("*").alias("n"), F.min("seq").alias("first_seq"))
 
 
@@ -266,8 +267,8 @@ def w6_ewma(spark: SparkSession, sf: str) -> DataFrame:
 WITH {D.RUNS} SELECT source, run_id, CAST((row_number() OVER (PARTITION BY source ORDER BY ts, run_id) - 1) % 5 AS INT) AS shape, CAST((row_number() OVER (PARTITION BY source ORDER BY ts, run_id) - 1) % 3 AS INT) AS phrase FROM runs""")
 def w7_query_shapes(spark: SparkSession, sf: str) -> DataFrame:
     """Shape and phrase of each episode by its place within its cell."""
-    i = F.row_number().over(Window.partitionBy("source").orderBy("ts", "run_id")) - 1
-    return D.runs(spark, sf).withColumn("i", i).select("source", "run_id", F.pmod("i", F.lit(5)).alias("shape"), F.pmod("i", F.lit(3)).alias("phrase"))
+    rows = O.numbered(O.in_blocks(D.runs(spark, sf), O.seconds("ts")), "source", ["ts", "run_id"], "i")
+    return rows.select("source", "run_id", F.pmod("i", F.lit(5)).cast("int").alias("shape"), F.pmod("i", F.lit(3)).cast("int").alias("phrase"))
 
 
 @query("w8_counter_deltas", f"""

@@ -19,9 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw dated captures, one an order: seq, raw host, host (null if invalid), year, ts, source_id, provider, kind, cost."""
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+def captures(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Raw dated captures, one an order (of the table, or of a stream of it): seq, raw host, host (null if invalid), year, ts,
+    source_id, provider, kind, cost."""
+    orders, customer = orders or table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).withColumn("t", F.expr(TLD.format(k="c_nationkey")))
     k = F.col("o_custkey")
     raw = (

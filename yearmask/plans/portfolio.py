@@ -142,17 +142,36 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@query("k11_greedy_portfolio")
+_REGION_PICKS, _BUDGET_SHARE = 6, 4
+
+
+def _greedy_sql() -> str:
+    """The picks one after the other, each from the sketches and sizes of those before it."""
+    steps = ["won0 AS MATERIALIZED (SELECT NULL::INT AS pick, NULL::VARCHAR AS region, 0::DOUBLE AS bytes, 0::DOUBLE AS fresh, 0::DOUBLE AS added WHERE FALSE)"]
+    for i in range(_REGION_PICKS):
+        steps.append(f"u{i} AS MATERIALIZED (SELECT seed, min(minimum) AS u FROM sketch WHERE region IN (SELECT region FROM won{i}) GROUP BY seed)")
+        steps.append(f"c{i} AS MATERIALIZED (SELECT coalesce(sum(bytes), 0) AS spent, coalesce(sum(fresh), 0) AS covered FROM won{i})")
+        steps.append(f"""j{i} AS MATERIALIZED (SELECT region, count(*) FILTER (WHERE minimum = u) / 64 AS j FROM sketch JOIN u{i} USING (seed) GROUP BY region)""")
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r.region, items, bytes, least(items, covered, coalesce(j, 0) * (items + covered) / (1 + coalesce(j, 0))) AS shared, eed FROM r LEFT JOIN j{i} USING (region), c{i} WHERE bytes > 0 AND eed > 0 AND bytes <= budget - spent AND r.region NOT IN (SELECT region FROM won{i}))""")
+        best = f"SELECT {i} AS pick, region, bytes, greatest(0, items - shared) AS fresh, round(eed * greatest(0, 1 - least(1, shared / items)), 8) AS added, round(eed * greatest(0, 1 - least(1, shared / items)) / bytes, 12) AS rate FROM a{i}"
+        steps.append(f"won{i + 1} AS MATERIALIZED (SELECT * FROM won{i} UNION ALL (SELECT pick, region, bytes, fresh, added FROM ({best}) WHERE added > 0 ORDER BY rate DESC, region LIMIT 1))")
+    return ", ".join(steps)
+
+
+@query("k11_greedy_portfolio", f"""
+WITH {D.LOG}, hashed AS (SELECT DISTINCT source_id AS region, CAST('0x' || substr(md5(host), 1, 14) AS BIGINT) AS a, CAST('0x' || substr(md5(host), 15, 14) AS BIGINT) AS b FROM log),
+sketch AS MATERIALIZED (SELECT region, seed, min((a + seed * b) % 72057594037927931) AS minimum FROM hashed, (SELECT unnest(range(64)) AS seed) GROUP BY region, seed),
+g AS (SELECT source_id AS region, CAST(count(DISTINCT host) AS DOUBLE) AS items, CAST(sum(n) AS DOUBLE) AS eed, count(*) * 100.0::DOUBLE AS bytes FROM log GROUP BY source_id),
+r AS MATERIALIZED (SELECT *, (SELECT sum(bytes) FROM g) / {_BUDGET_SHARE} AS budget FROM g), {_greedy_sql()} SELECT pick, region, added FROM won{_REGION_PICKS}""")
 def k11_greedy_portfolio(spark: SparkSession, sf: str) -> DataFrame:
-    """The regions (sources) of a portfolio in the order of their picks. Greedy and iterative: no SQL twin;
-    a test holds it against a plain version."""
+    """The regions (sources) of a portfolio in the order of their picks."""
     rows = D.log(spark, sf)
     regions = rows.groupBy(F.col("source_id").alias("region")).agg(F.countDistinct("host").alias("items"), F.sum("n").alias("eed"), (F.count("*") * 100.0).alias("bytes"))
     sketch = M.minhash(rows.select(F.col("source_id").alias("region"), "host"), "region", "host")
     # each pick asks both again: written once, so the log is scanned and hashed once
     regions, sketch = written(regions, "regions"), written(sketch, "sketch")
-    budget = (regions.agg(F.sum("bytes")).first()[0] or 0.0) / 4
-    picked = P.greedy(regions, sketch, 6, budget)
+    budget = (regions.agg(F.sum("bytes")).first()[0] or 0.0) / _BUDGET_SHARE
+    picked = P.greedy(regions, sketch, _REGION_PICKS, budget)
     return spark.createDataFrame([(i, r["region"], float(r["added"])) for i, r in enumerate(picked)], "pick int, region string, added double")
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearmask.functions import hosts as H
+from yearmask.operators import scouting as C
+from yearmask.operators import search as Q
 from yearmask.operators import value as A
 from yearmask.operators.eed import growth
 from yearmask.plans import derived as D
@@ -217,7 +219,7 @@ def s10_result_identity(spark: SparkSession, sf: str) -> DataFrame:
 def s12_relevance(spark: SparkSession, sf: str) -> DataFrame:
     """.45 for the mechanism, .35 for the year, .20 for the kind of artifact."""
     mechanism, year, artifact = F.col("p_size") % 2 == 1, F.col("p_partkey") % 2 == 1, F.col("p_partkey") % 3 == 2
-    return D.table(spark, sf, "part").select("p_partkey", (0.45 * mechanism.cast("int") + 0.35 * year.cast("int") + 0.2 * artifact.cast("int")).alias("relevance"))
+    return D.table(spark, sf, "part").select("p_partkey", Q.relevance_of(mechanism, year, artifact).alias("relevance"))
 
 
 @query("s14_year_siblings", """
@@ -225,21 +227,19 @@ SELECT s_suppkey, concat('http://x.example/', s_suppkey, '/list-', y, '.txt') AS
 def s14_year_siblings(spark: SparkSession, sf: str) -> DataFrame:
     """The other years' addresses of a file with one target year in its name."""
     url = F.concat(F.lit("http://x.example/"), "s_suppkey", F.lit("/list-"), F.col("s_suppkey") % 6 + 1996, F.lit(".txt"))
-    rows = D.table(spark, sf, "supplier").select("s_suppkey", url.alias("url")).withColumn("years", F.array_distinct(F.regexp_extract_all(F.regexp_extract("url", r"([^/]*)\z", 1), F.lit(r"(?<!\d)(199[6-9]|200[01])(?!\d)"), 1))).where("size(years) = 1")
-    return rows.select("s_suppkey", "url", F.col("years")[0].alias("y"), F.explode(F.sequence(F.lit(1996), F.lit(2001))).alias("o")).where("cast(y as int) <> o").select("s_suppkey", F.regexp_replace("url", F.concat(F.lit(r"(?<!\d)"), "y", F.lit(r"(?!\d)")), F.col("o").cast("string")).alias("sibling"))
+    return C.year_siblings(D.table(spark, sf, "supplier").select("s_suppkey", url.alias("url")), "url").select("s_suppkey", "sibling")
 
 
 @query("s15_template_expansion", "SELECT concat('http://', lower(replace(n_name, '_', '-')), '.example/', y, '/', f) AS url FROM nation, (SELECT unnest(range(1996, 2002)) AS y), (SELECT unnest(['hosts.txt', 'urls.gz']) AS f)")
 def s15_template_expansion(spark: SparkSession, sf: str) -> DataFrame:
     """A template over finite lists; lists are literals of the plan, so the expansion is bounded by its row count."""
     n = D.table(spark, sf, "nation").select(F.lower(F.replace("n_name", F.lit("_"), F.lit("-"))).alias("v"))
-    years = n.select("v", F.explode(F.sequence(F.lit(1996), F.lit(2001))).alias("y")).select("v", "y", F.explode(F.array(F.lit("hosts.txt"), F.lit("urls.gz"))).alias("f"))
-    return years.select(F.concat(F.lit("http://"), "v", F.lit(".example/"), "y", F.lit("/"), "f").alias("url"))
+    return C.expand_template(n, "http://{v}.example/{y}/{f}", {"y": range(1996, 2002), "f": ["hosts.txt", "urls.gz"]}).select("url")
 
 
 @query("s16_payload_hash", f"WITH {D.VALID} SELECT seq, sha256(concat(host, chr(31), year, chr(31), source_id)) AS payload_hash FROM valid")
 def s16_payload_hash(spark: SparkSession, sf: str) -> DataFrame:
-    return D.valid_captures(spark, sf).select("seq", F.sha2(F.concat_ws("\x1f", "host", "year", "source_id"), 256).alias("payload_hash"))
+    return D.valid_captures(spark, sf).select("seq", C.payload_hash("host", "year", "source_id").alias("payload_hash"))
 
 
 @query("s17_action_kinds", f"""
@@ -261,9 +261,8 @@ r AS (SELECT host, provider, -ln((CAST('0x' || substr(sha256(concat(host, '|', p
 SELECT host, string_agg(provider, '>' ORDER BY s, provider) AS providers FROM r GROUP BY host""")
 def s19_provider_order(spark: SparkSession, sf: str) -> DataFrame:
     """Weighted rendezvous order of providers for each host: by -ln(u) / weight, inside the row."""
-    score = lambda p, w: F.struct((-F.log((F.conv(F.substring(F.sha2(F.concat("host", F.lit("|"), F.lit(p)), 256), 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))) / w).alias("s"), F.lit(p).alias("p"))
-    order = F.array_sort(F.array(score("ia", 1.0), score("arquivo", 0.5), score("mirror", 0.25)))
-    return D.valid_captures(spark, sf).select("host").distinct().select("host", F.array_join(F.transform(order, lambda x: x.p), ">").alias("providers"))
+    order = C.provider_order(F.col("host"), {"ia": 1.0, "arquivo": 0.5, "mirror": 0.25})
+    return D.valid_captures(spark, sf).select("host").distinct().select("host", F.array_join(order, ">").alias("providers"))
 
 
 @query("s20_growth", f"""
@@ -277,16 +276,15 @@ def s20_growth(spark: SparkSession, sf: str) -> DataFrame:
 def s22_region_bisect(spark: SparkSession, sf: str) -> DataFrame:
     """Two children of each byte range, without overlap."""
     p = D.table(spark, sf, "part").select("p_partkey", (F.col("p_size") * 100 + 1).alias("end"))
-    half = F.floor(F.col("end") / 2)
-    child = lambda c, a, b: F.struct((F.col("p_partkey") * 2 + c).alias("child"), a.cast("int").alias("low"), b.cast("int").alias("high"))
-    return p.select("p_partkey", F.explode(F.array(child(0, F.lit(0), half), child(1, half, F.col("end")))).alias("x")).select("p_partkey", "x.*")
+    half = p.select("p_partkey", F.explode(C.bisect(F.lit(0), F.col("end"))).alias("x"))
+    return half.select("p_partkey", (F.col("p_partkey") * 2 + F.col("x.side")).alias("child"), F.col("x.low").cast("int").alias("low"), F.col("x.high").cast("int").alias("high"))
 
 
 @query("k16_window_offsets", "SELECT p_partkey, i AS win, CAST(i * (p_size * 1000 - 100) // 3 AS BIGINT) AS \"offset\" FROM part, (SELECT unnest(range(4)) AS i)")
 def k16_window_offsets(spark: SparkSession, sf: str) -> DataFrame:
     """Evenly spaced sample windows of a byte range, the first at its start and the last at its end."""
     p = D.table(spark, sf, "part").select("p_partkey", (F.col("p_size") * 1000 - 100).alias("room"))
-    return p.select("p_partkey", "room", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("win")).select("p_partkey", F.col("win").cast("long").alias("win"), F.floor(F.col("win") * F.col("room") / 3).cast("long").alias("offset"))
+    return p.select("p_partkey", F.explode(C.window_offsets(F.col("room"), 4)).alias("x")).select("p_partkey", "x.*")
 
 
 @query("b9_suppression", f"""
@@ -307,7 +305,7 @@ SELECT source_id, CASE WHEN hosts >= 100 AND novel >= 10 AND novel >= 0.01 * hos
 def b10_scout_verdict(spark: SparkSession, sf: str) -> DataFrame:
     """Warm or hold, by 100 hosts, 10 novel ones and 1 %."""
     m = D.log(spark, sf).select("source_id", "host", "lane").distinct().groupBy("source_id", "host").agg(F.bool_or(F.col("lane") == "N").alias("n")).groupBy("source_id").agg(F.count("*").alias("hosts"), F.count_if("n").alias("novel"))
-    return m.select("source_id", F.when((F.col("hosts") >= 100) & (F.col("novel") >= 10) & (F.col("novel") >= 0.01 * F.col("hosts")), "WARM").otherwise("HOLD").alias("verdict"))
+    return m.select("source_id", C.verdict(F.col("hosts"), F.col("novel"), F.lit(C.LEAST_EED)).alias("verdict"))
 
 
 @query("b11_early_rules", f"""
@@ -324,6 +322,85 @@ def b14_optimizer_eligible(spark: SparkSession, sf: str) -> DataFrame:
     return D.table(spark, sf, "part").where(F.col("p_type").isin("ECONOMY", "STANDARD") & (F.col("p_size") > 10) & (F.col("p_partkey") % 2 == 0)).select("p_partkey")
 
 
+@query("b11_sample_decisions", f"""
+WITH {D.LOG}, s AS (SELECT unnest([1, 2, 3]) AS stage), k AS (SELECT source_id, stage, host, count(*) AS c, bool_or(lane = 'N') AS novel FROM log, s WHERE seq % 4 <= stage GROUP BY ALL),
+m AS (SELECT source_id, stage, count(*) AS hosts, count(*) FILTER (WHERE novel) AS novel, 0.25 * count(*) FILTER (WHERE novel) AS eed, count(*) FILTER (WHERE c = 1) / sum(c) AS unseen FROM k GROUP BY ALL),
+d AS (SELECT *, hosts >= 100 AND novel >= 10 AND novel / hosts >= 0.01 AND eed >= 1 AS warm FROM m),
+e AS (SELECT *, CASE WHEN warm AND novel >= 40 AND novel / hosts >= 0.04 AND eed >= 4 THEN 'early_accept' WHEN NOT warm AND hosts >= 100 AND unseen <= 0.01 AND (novel < 10 OR eed < 1) THEN 'early_reject' END AS decision FROM d)
+SELECT source_id, coalesce(arg_min(decision, stage) FILTER (WHERE decision IS NOT NULL), 'continue') AS decision, min(stage) FILTER (WHERE decision IS NOT NULL) AS settled_at FROM e GROUP BY source_id""")
+def b11_sample_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """B11 over growing samples of each source's log (half, three quarters, all of it): the first that settles it."""
+    staged = D.log(spark, sf).withColumn("stage", F.explode(F.sequence(F.greatest(F.lit(1), F.col("seq") % 4).cast("int"), F.lit(3))))
+    k = staged.groupBy("source_id", "stage", "host").agg(F.count("*").alias("c"), F.bool_or(F.col("lane") == "N").alias("is_novel"))
+    m = k.groupBy("source_id", "stage").agg(F.count("*").alias("hosts"), F.count_if("is_novel").alias("novel"), (F.count_if(F.col("c") == 1) / F.sum("c")).alias("unseen"))
+    settled = m.withColumn("d", C.early(F.col("hosts"), F.col("novel"), 0.25 * F.col("novel"), F.col("unseen")))
+    return C.first_decisions(settled, "source_id", "stage", "d")
+
+
+@query("b14_region_eligible", """
+WITH i AS (SELECT p_partkey, ['CDX', 'CDXJ', 'JSONL'][p_size % 3 + 1] AS form, concat(['', 'file:', 'http:', 'https:', 'ftp:'][p_partkey % 5 + 1], '//h/', p_partkey, ['.cdx', '.cdxj', '.cdx.gz', '.ZIP', '?x=.gz'][p_size % 5 + 1]) AS locator, p_partkey % 7 <> 0 AS direct, CASE WHEN p_partkey % 3 > 0 THEN p_partkey % 3 = 1 END AS ranges FROM part)
+SELECT p_partkey FROM i WHERE direct AND form IN ('CDX', 'CDXJ') AND NOT (ends_with(lower(locator), '.cdx.gz') OR ends_with(lower(locator), '.zip')) AND (starts_with(locator, '//') OR starts_with(locator, 'file:') OR (starts_with(locator, 'http') AND coalesce(ranges, FALSE)))""")
+def b14_region_eligible(spark: SparkSession, sf: str) -> DataFrame:
+    """B14 over indexes of several formats, places and compressions."""
+    k, s = F.col("p_partkey"), F.col("p_size")
+    pick = lambda i, *values: F.element_at(F.array(*map(F.lit, values)), (i + 1).cast("int"))
+    locator = F.concat(pick(k % 5, "", "file:", "http:", "https:", "ftp:"), F.lit("//h/"), k, pick(s % 5, ".cdx", ".cdxj", ".cdx.gz", ".ZIP", "?x=.gz"))
+    return D.table(spark, sf, "part").where(C.region_eligible(pick(s % 3, "CDX", "CDXJ", "JSONL"), locator, k % 7 != 0, F.when(k % 3 > 0, k % 3 == 1))).select("p_partkey")
+
+
+@query("s10_result_keys", """
+WITH r AS (SELECT p_partkey, concat('http://h', p_size, '.example/d/file-', p_partkey, '.txt') AS url, CASE WHEN p_size % 3 = 0 THEN upper(sha256(p_name)) ELSE 'n/a' END AS checksum, CASE WHEN p_size % 3 < 2 THEN p_brand ELSE '' END AS etag, CASE WHEN p_size % 4 > 0 THEN p_size END AS length,
+ CASE WHEN p_partkey % 4 = 0 THEN concat('10.5281/z.', p_partkey) END AS doi, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN 'old' END AS title, CASE WHEN p_size % 2 = 0 THEN lower(p_type) ELSE '' END AS publisher, concat('h', p_size, '.example') AS host FROM part),
+n AS (SELECT *, CASE WHEN length(title) >= 6 THEN title ELSE concat('file ', p_partkey, ' txt') END AS name FROM r)
+SELECT p_partkey, CASE WHEN length(checksum) = 64 THEN concat('artifact:sha256:', lower(checksum)) WHEN etag <> '' AND length IS NOT NULL THEN concat('artifact:etag:', sha256(concat(etag, chr(31), length))) ELSE concat('artifact:url:', sha256(url)) END AS artifact,
+ CASE WHEN doi IS NOT NULL THEN concat('dataset:doi:', doi) WHEN length(title) >= 8 THEN concat('dataset:meta:', sha256(concat(title, chr(31), publisher, chr(31), 'a b|c|'))) ELSE concat('dataset:url:', sha256(url)) END AS dataset,
+ CASE WHEN publisher <> '' AND NOT contains(name, publisher) THEN concat(name, ' | ', publisher) WHEN length(name) < 8 THEN concat(name, ' | ', host) ELSE name END AS family FROM n""")
+def s10_result_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of search results with and without checksums, entity tags, DOIs, titles and publishers."""
+    k, s = F.col("p_partkey"), F.col("p_size")
+    url = F.concat(F.lit("http://h"), s, F.lit(".example/d/file-"), k, F.lit(".txt"))
+    title = F.when(k % 3 == 0, F.concat(F.initcap("p_name"), F.lit("!"))).when(k % 3 == 1, "Old")
+    doi = H.doi(F.when(k % 4 == 0, F.concat(F.lit("https://doi.org/10.5281/Z."), k)))
+    publisher = F.when(s % 2 == 0, F.concat(F.lit(" "), "p_type", F.lit(".")))
+    people = F.array(*map(F.lit, ("A. B", "C", "-", "left out")))
+    artifact = Q.artifact_key(url, F.when(s % 3 == 0, F.upper(F.sha2("p_name", 256))).otherwise("n/a"), F.when(s % 3 < 2, F.col("p_brand")).otherwise(""), F.when(s % 4 > 0, s))
+    return D.table(spark, sf, "part").select("p_partkey", artifact.alias("artifact"), Q.dataset_key(url, doi, title, publisher, people).alias("dataset"), Q.family(url, title, publisher).alias("family"))
+
+
+_ARTIFACTS = " OR ".join(f"contains(t, '{t}')" for t in Q.ARTIFACT_TERMS)
+
+
+@query("s12_text_relevance", rf"""
+WITH p AS (SELECT page_id, lower(html) AS t, url FROM pages)
+SELECT page_id, 0.45 * CAST(contains(t, 'href="/the') OR contains(t, 'mirror') AS INT) + 0.35 * CAST(coalesce(regexp_matches(t, '(1998|825)'), FALSE) OR page_id % 5 = 0 AS INT) + 0.2 * CAST({_ARTIFACTS} OR page_id % 4 = 0 AS INT) AS relevance FROM p""")
+def s12_text_relevance(spark: SparkSession, sf: str) -> DataFrame:
+    """S12 over the whole texts of pages, for a cell with two terms and two years."""
+    k = F.col("page_id")
+    score = Q.relevance(F.col("html"), F.col("url"), F.when(k % 4 == 0, "Dataset").otherwise("article"), F.when(k % 5 == 0, 1998), ('href="/the', "mirror"), (1998, 825))
+    return D.table(spark, sf, "pages").select("page_id", score.alias("relevance"))
+
+
+@query("s7_international_hosts", """
+SELECT p_partkey, concat('https://', CASE p_size % 3 WHEN 0 THEN 'xn--bcher-kva' WHEN 1 THEN 'xn--r8jz45g' ELSE 'plain' END, '.example', CASE WHEN p_partkey % 2 = 0 THEN '' ELSE ':8443' END, '/p/', p_partkey) AS canonical FROM part""")
+def s7_international_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    """Hosts beyond ASCII in their ASCII form."""
+    s = F.col("p_size") % 3
+    url = F.concat(F.lit("HTTPS://"), F.when(s == 0, "BÜCHER").when(s == 1, "例え").otherwise("Plain"), F.lit(".Example:"), F.when(F.col("p_partkey") % 2 == 0, "443").otherwise("8443"), F.lit("/p/"), "p_partkey", F.lit("#x"))
+    return D.table(spark, sf, "part").select("p_partkey", H.canonical_url(url).alias("canonical"))
+
+
+@query("a9_named_formats", """
+SELECT CAST(r_regionkey AS INT) AS file, ['cdxj', 'delimited', 'warc_arc', NULL, 'lines'][r_regionkey + 1] AS format, ['locator', 'content_type', 'content_signature', NULL, 'content_signature'][r_regionkey + 1] AS method FROM region""")
+def a9_named_formats(spark: SparkSession, sf: str) -> DataFrame:
+    """Files known by name, by content type, by signature, not at all, and by their lines."""
+    nation = D.table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").cast("int").alias("file"))
+    customer = D.table(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    host = F.concat(F.lit("c"), "c_custkey", F.lit(".example.com"))
+    value = F.when(F.col("file") == 2, "WARC/1.0").when(F.col("file") == 3, F.concat(F.lit("no host of "), "c_custkey")).otherwise(host)
+    files = D.table(spark, sf, "region").select(F.col("r_regionkey").cast("int").alias("file"), F.when(F.col("r_regionkey") == 0, "http://x.example/a.CDXJ.gz?v=1").otherwise("http://x.example/a").alias("path"), F.when(F.col("r_regionkey") == 1, "Text/CSV; charset=utf-8").alias("media"))
+    return L.detect(customer.select("file", value.alias("value")), files).select("file", "format", "method")
+
+
 _CELL_SCORE = "1.0 / sqrt(1.0 + a) + 1.5 * (1.0 - d) + CASE WHEN r > 0 THEN q / r ELSE 0.5 END"
 
 
@@ -334,3 +411,29 @@ def k12_cell_scores(spark: SparkSession, sf: str) -> DataFrame:
     """The score of each search cell (batches with diversity are picked by greedy_diverse)."""
     c = cells(spark, sf).groupBy("mechanism", "institution").agg(F.count("*").alias("a"), F.sum("results").alias("r"), A.ratio(F.sum("duplicates"), F.sum("results")).alias("d"), F.sum("qualified").alias("q"))
     return c.select("mechanism", "institution", F.round(A.cell_score(F.col("a"), F.col("d"), F.lit(0.0), F.lit(0.0), F.col("q"), F.col("r")), 8).alias("score"))
+
+
+_PICKS = 6
+
+
+def _diverse_sql() -> str:
+    """The picks one after the other: each the best of what is left, less what the picks before it cost."""
+    steps, won = [], "SELECT NULL::VARCHAR AS mechanism, NULL::VARCHAR AS institution, 0 AS pick WHERE FALSE"
+    for i in range(_PICKS):
+        repeats = "0.75 * (SELECT count(*) FROM won{0} w WHERE w.mechanism = s.mechanism) + 0.2 * (SELECT count(*) FROM won{0} w WHERE w.institution = s.institution)".format(i)
+        steps.append(f"won{i} AS MATERIALIZED ({won})")
+        left = f"SELECT s.*, score - ({repeats}) AS adjusted FROM s WHERE NOT EXISTS (SELECT 1 FROM won{i} w WHERE w.mechanism = s.mechanism AND w.institution = s.institution)"
+        won = f"SELECT * FROM won{i} UNION ALL (SELECT mechanism, institution, {i} AS pick FROM ({left}) ORDER BY adjusted DESC, score DESC, key DESC LIMIT 1)"
+    return ", ".join(steps) + f" {won}"
+
+
+@query("k12_diverse_batch", f"""
+WITH c AS (SELECT p_type AS mechanism, p_brand AS institution, count(*) AS a, CAST(sum(p_size) AS BIGINT) AS r, coalesce(sum(p_partkey % (p_size + 1)) / nullif(sum(p_size), 0), 0) AS d, CAST(sum(p_partkey % 7 % (p_size + 1)) AS BIGINT) AS q FROM part GROUP BY ALL),
+s AS MATERIALIZED (SELECT mechanism, institution, concat(mechanism, '|', institution) AS key, round({_CELL_SCORE}, 8) AS score FROM c), {_diverse_sql()}""")
+def k12_diverse_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of six cells, repeats of a mechanism or institution at a cost."""
+    scored = k12_cell_scores(spark, sf).withColumn("key", F.concat_ws("|", "mechanism", "institution"))
+    path = work_folder(spark, "cells")
+    scored.write.parquet(path)  # scored once, asked once a pick
+    picked = A.greedy_diverse(spark.read.schema(scored.schema).parquet(path), "key", "score", "mechanism", "institution", _PICKS)
+    return spark.createDataFrame([(r["mechanism"], r["institution"], i) for i, r in enumerate(picked)], "mechanism string, institution string, pick int")

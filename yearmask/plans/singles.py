@@ -163,11 +163,11 @@ def d4_scout_priority(spark: SparkSession, sf: str) -> DataFrame:
 @query("t2_replay_on_new_authority", f"""
 WITH {D.LOG} SELECT 'old' AS authority, count(*) AS novel FROM (SELECT DISTINCT host, year FROM log EXCEPT SELECT host, year FROM log WHERE lane = 'R') UNION ALL SELECT 'new', count(*) FROM (SELECT DISTINCT host, year FROM log EXCEPT SELECT host, year FROM log WHERE lane = 'A')""")
 def t2_replay_on_new_authority(spark: SparkSession, sf: str) -> DataFrame:
-    """Two authorities, each with a folder (and so a cursor) of its own: the second replays the log from zero."""
-    out = None
+    """Two authorities under one root: the digest of the second is another, so it replays the log from zero."""
+    out, root = None, T.work_folder(spark, "novelty")
     for name, lane in (("old", "R"), ("new", "A")):
         base = D.log(spark, sf).where(F.col("lane") == lane).select("host", "year").distinct()
-        novel = T.incremental_novelty(log_stream(spark, sf), base, T.work_folder(spark, f"novelty-{name}"))
+        novel = T.novelty_under(log_stream(spark, sf), base, D.weights(spark, sf), root)
         one = novel.agg(F.lit(name).alias("authority"), F.count("*").alias("novel"))
         out = one if out is None else out.unionByName(one)
     return out

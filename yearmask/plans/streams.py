@@ -40,7 +40,7 @@ def _novel(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("t1_incremental_novelty", f"WITH {_LOGGED}, {D.WEIGHTS} SELECT year, lane, count(*) AS host_years, CAST(sum(coalesce(weight, 0)) AS DOUBLE) AS eed FROM novel LEFT JOIN weights ON weights.tld = {D.TLD_OF} GROUP BY year, lane")
 def t1_incremental_novelty(spark: SparkSession, sf: str) -> DataFrame:
-    """Totals over the sink of the incremental stream. Another baseline means another folder: replay from zero."""
+    """Totals over the host-years that the incremental stream has kept."""
     return E.report(_novel(spark, sf), D.weights(spark, sf), [["year", "lane"]]).drop("level")
 
 
@@ -74,6 +74,16 @@ def t5_candidate_status(spark: SparkSession, sf: str) -> DataFrame:
     return S.candidate_status_batch(events)
 
 
+@query("t5_status_history", f"""
+WITH {D.CAPTURES}, c AS (SELECT host, seq, provider, CASE status WHEN 'F' THEN 'VERIFIED' WHEN 'P' THEN 'REJECTED' ELSE 'ACTIVE' END AS status FROM captures WHERE host IS NOT NULL)
+SELECT host, 'ACTIVE' AS status, NULL::VARCHAR AS reason, min(seq) AS seq FROM c GROUP BY host UNION ALL SELECT host, arg_min(status, seq), arg_min(provider, seq), min(seq) FROM c WHERE status <> 'ACTIVE' GROUP BY host""")
+def t5_status_history(spark: SparkSession, sf: str) -> DataFrame:
+    """T5 as a stream: every status that each candidate has had, why and since when."""
+    events = D.captures(spark, sf, file_stream(spark, sf, "orders")).where("host is not null")
+    status = F.when(F.col("status") == "F", "VERIFIED").when(F.col("status") == "P", "REJECTED").otherwise("ACTIVE")
+    return S.status_history(events.select("host", "seq", status.alias("status"), F.col("provider").alias("reason")), S.work_folder(spark, "status"))
+
+
 @query("t6_live_suppressions", f"""
 WITH {D.RUNS}, l AS (SELECT source, arg_max(ts + INTERVAL 3 DAY, ts) AS expires_at FROM runs WHERE kind = 'error' GROUP BY source) SELECT 'SOURCE' AS scope, source AS key, expires_at FROM l WHERE expires_at > TIMESTAMP '2024-02-01'""")
 def t6_live_suppressions(spark: SparkSession, sf: str) -> DataFrame:

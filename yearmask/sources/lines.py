@@ -171,24 +171,61 @@ def mail_messages(messages: DataFrame, most: int | None = None) -> DataFrame:
     return dated.select("year", F.explode(first(clean_urls(decoded_parts(F.col("value"))), most)).alias("url"))
 
 
-def sniff(lines: DataFrame, key: str = "file", sample: int = 200) -> DataFrame:
-    """The format of each file and the share of its sampled lines that have it: the first of squid, cdxj, cdx, jsonl,
-    delimited that half of the lines or more have, else lines."""
+def sniff(lines: DataFrame, key: str = "file", least: int = 3, share: float = 0.6, host_share: float = 0.5) -> DataFrame:
+    """The format of each file by its lines, all of them, and the share of them that have it: the first of squid, cdxj,
+    cdx, jsonl, delimited that ``least`` lines and ``share`` of them have, else lines if ``host_share`` of them are hosts,
+    else null. A file whose lines begin WARC records, or an ARC file, is warc_arc."""
     v = strip(F.col("value"))
     is_format = {
         "squid": v.rlike(r"^\d{9,10}\.\d{3}\s+\d+\s+\S+\s+\S+/\d{3}\s"),
         "cdxj": v.rlike(r"^\S+ \d{4,14} \{"),
         "cdx": v.rlike(r"^\S+ \d{4,14} \S*://"),
         "jsonl": v.rlike(r"^\{.*\}\z"),
-        "delimited": v.rlike(r"^[^,;\t]+[,;\t][^,;\t]+"),
+        "delimited": v.rlike(r"^[^,;|\t]+[,;|\t][^,;|\t]+"),
+        "lines": host_of(v).isNotNull(),
     }
-    counts = lines.where(v != "").groupBy(key).agg(F.count("*").alias("n"), *[F.count_if(c).alias(k) for k, c in is_format.items()])
-    name = F.lit("lines")
-    share = F.lit(1.0)
+    record = v.rlike(r"^WARC/\d|^filedesc://")
+    counts = lines.where(v != "").groupBy(key).agg(F.count("*").alias("n"), F.count_if(record).alias("records"), *[F.count_if(c).alias(k) for k, c in is_format.items()])
+    name, part = F.lit(None).cast("string"), F.lit(None).cast("double")
     for k in reversed(is_format):
-        good = F.col(k) * 2 >= F.col("n")
-        name, share = F.when(good, k).otherwise(name), F.when(good, F.col(k) / F.col("n")).otherwise(share)
-    return counts.select(key, name.alias("format"), share.alias("confidence"))
+        good = (F.col(k) >= least) & (F.col(k) >= (host_share if k == "lines" else share) * F.col("n"))
+        name, part = F.when(good, k).otherwise(name), F.when(good, F.col(k) / F.col("n")).otherwise(part)
+    return counts.select(key, F.when(F.col("records") > 0, "warc_arc").otherwise(name).alias("format"), F.when(F.col("records") > 0, 1.0).otherwise(part).alias("confidence"))
+
+
+#: fixed values: formats that a file's ending says, and that a content type says
+NAMED = (
+    ("warc_arc", (".warc", ".warc.gz", ".arc", ".arc.gz")), ("cdxj", (".cdxj", ".cdxj.gz")), ("cdx", (".cdx", ".cdx.gz")), ("jsonl", (".jsonl", ".jsonl.gz", ".ndjson", ".ndjson.gz")),
+    ("delimited", (".csv", ".csv.gz", ".tsv", ".tsv.gz")), ("lines", (".txt", ".txt.gz", ".list", ".list.gz", ".urls", ".urls.gz")),
+)
+MEDIA = (
+    ("warc_arc", ("application/warc", "application/x-warc", "application/arc", "application/x-arc")), ("jsonl", ("application/x-ndjson", "application/ndjson")),
+    ("delimited", ("text/csv", "text/tab-separated-values")),
+)
+
+
+def named_format(path: Column) -> Column:
+    """The format that the ending of a path or address says, else null."""
+    bare = F.lower(F.regexp_extract(path, "^[^?#]*", 0))
+    return F.coalesce(*[F.when(F.greatest(*[bare.endswith(e) for e in ends]), name) for name, ends in NAMED])
+
+
+def media_format(media: Column) -> Column:
+    """The format that a content type says, whatever its parameters, else null."""
+    bare = F.lower(strip(F.substring_index(media, ";", 1)))
+    return F.coalesce(*[F.when(bare.isin(*types), name) for name, types in MEDIA])
+
+
+def detect(lines: DataFrame, files: DataFrame, key: str = "file") -> DataFrame:
+    """(file, format, method, confidence) of files (file, path, media): by name, else by content type, else by their
+    lines (file, value), which are only counted where the others say nothing; nulls where nothing is found."""
+    told = files.withColumn("__name", named_format(F.col("path"))).withColumn("__type", media_format(F.col("media")))
+    unknown = told.where("__name is null and __type is null").select(key)
+    seen = sniff(lines.join(unknown, key, "left_semi"), key).select(key, F.col("format").alias("__seen"), F.col("confidence").alias("__share"))
+    out = told.join(seen, key, "left")
+    method = F.when(F.col("__name").isNotNull(), "locator").when(F.col("__type").isNotNull(), "content_type").when(F.col("__seen").isNotNull(), "content_signature")
+    sure = F.when(F.col("__name").isNotNull(), 1.0).when(F.col("__type").isNotNull(), 0.96).otherwise(F.col("__share"))
+    return out.select(key, F.coalesce("__name", "__type", "__seen").alias("format"), method.alias("method"), sure.alias("confidence"))
 
 
 def infer_fields(lines: DataFrame, key: str = "file", least: int = 3, share: float = 0.9) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 def work_folder(spark: SparkSession, what: str) -> str:
@@ -29,45 +30,56 @@ def drain(stream: DataFrame, folder: str, batch: Callable[[DataFrame, int], None
     stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).foreachBatch(batch).start().awaitTermination()
 
 
-def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+def newest(spark: SparkSession, sink: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """The last state of each key that an update stream has written batch by batch."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(sink)
+    state = [c for c in schema.names if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*state), "batch").alias("__s")).select(*keys, "__s.*")
+
+
+def keep(updates: DataFrame, folder: str, keys: list[str]) -> DataFrame:
+    """Drains a stream of updates into ``folder`` and gives the last state of each key. A batch that runs again overwrites
+    its own part."""
+    sink = f"{folder}/states"
+    drain(updates, folder, lambda rows, number: rows.write.mode("overwrite").parquet(f"{sink}/batch={number}"), "update")
+    return newest(updates.sparkSession, sink, updates.schema, keys)
 
 
 def incremental_novelty(host_years: DataFrame, baseline: DataFrame, folder: str) -> DataFrame:
-    """Novel host-years (host, year and the other columns of their first row) of a stream.
+    """Novel host-years (host, year and the other columns of their first row by ``seq``) of a stream.
 
-    Each batch is cut to its first row a key, joined against the static baseline and against what earlier batches have
-    written. Keys never expire, so they are kept in a table and not in operator state; a batch that runs again overwrites
-    its own part. The table is partitioned by batch: reading it back skips the batch itself.
+    Rows are joined against the static baseline, then a streaming aggregate keeps the first row of each host-year in the
+    state store. A batch reads and writes only the keys that it holds, however long the stream has run. Host-years never
+    expire; a cluster with many of them sets the RocksDB state store, which keeps them on disk.
     """
-    spark, sink = host_years.sparkSession, f"{folder}/novel"
-    fields = StructType([*host_years.schema.fields])
+    names = [c for c in host_years.columns if c not in ("host", "year")]
+    new = host_years.join(baseline.select("host", "year"), ["host", "year"], "left_anti")
+    first = new.groupBy("host", "year").agg(F.min_by(F.struct(*names), "seq").alias("__r")).select("host", "year", "__r.*")
+    return keep(first, folder, ["host", "year"]).select(*host_years.columns)
+
+
+def identity(*tables: DataFrame) -> str:
+    """One digest of tables, whatever the order of their rows and columns: counts and sums of row hashes, so only a
+    row a table is gathered."""
+    marks = []
+    for t in tables:
+        columns = sorted(t.columns)
+        row = t.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), *columns)).alias("x")).first()
+        marks.append(f"{columns}\t{row.n}\t{row.s}\t{row.x}")
+    return hashlib.sha256("\n".join(marks).encode()).hexdigest()
 
-    def batch(rows: DataFrame, number: int) -> None:
-        first = rows.groupBy("host", "year").agg(F.min_by(F.struct(*rows.columns), F.struct("seq")).alias("r")).select("r.*")
-        seen = stored(spark, sink, StructType([*fields, *spark.createDataFrame([], "batch long").schema])).where(F.col("batch") != number)
-        new = first.join(baseline.select("host", "year"), ["host", "year"], "left_anti").join(seen.select("host", "year"), ["host", "year"], "left_anti")
-        new.select(*fields.names).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
-    drain(host_years, folder, batch)
-    return spark.read.schema(StructType([*fields, *spark.createDataFrame([], "batch long").schema])).parquet(sink).select(*fields.names)
+def novelty_under(host_years: DataFrame, baseline: DataFrame, model: DataFrame, root: str) -> DataFrame:
+    """Incremental novelty under an authority, a baseline and a weight model. The cursor lies in a folder named after
+    their digest: the same authority goes on where it ended, another one replays the stream from zero."""
+    return incremental_novelty(host_years, baseline, f"{root.rstrip('/')}/authority-{identity(baseline.select('host', 'year'), model)}")
 
 
 def running_counters(samples: DataFrame, folder: str) -> DataFrame:
     """Counters by name over a stream of (name, value, ts): a sum, last value, largest and smallest. Update mode; the
     sink keeps the newest state of each name."""
-    spark, sink = samples.sparkSession, f"{folder}/counters"
     totals = samples.groupBy("name").agg(F.sum("value").alias("total"), F.max_by("value", "ts").alias("last"), F.max("value").alias("highest"), F.min("value").alias("lowest"), F.count("*").alias("n"))
-
-    def batch(rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{sink}/batch={number}")
-
-    drain(totals, folder, batch, "update")
-    states = spark.read.parquet(sink)
-    return states.groupBy("name").agg(F.max_by(F.struct("total", "last", "highest", "lowest", "n"), "batch").alias("s")).select("name", "s.*")
+    return keep(totals, folder, ["name"])
 
 
 class FirstTerminal(StatefulProcessor):
@@ -100,6 +112,18 @@ def candidate_status_batch(events: DataFrame) -> DataFrame:
     return events.groupBy("host").agg(F.coalesce(F.min_by("status", F.when(terminal, F.col("seq"))), F.lit("ACTIVE")).alias("status"))
 
 
+def status_history(events: DataFrame, folder: str) -> DataFrame:
+    """T5 with history: (host, status, reason, seq), a row for each status that a host (of a stream of host, seq, status,
+    reason) has had: ACTIVE from its first event, then what its first terminal event made it. Later terminal events change
+    nothing. Built-in aggregates hold the state, so no Python and no certain state store are needed."""
+    terminal = F.when(F.col("status") != "ACTIVE", F.col("seq"))
+    own = F.struct("status", "reason", "seq")
+    states = keep(events.groupBy("host").agg(F.min("seq").alias("since"), F.min_by(own, terminal).alias("end")), folder, ["host"])
+    active = F.struct(F.lit("ACTIVE").alias("status"), F.lit(None).cast("string").alias("reason"), F.col("since").alias("seq"))
+    steps = F.explode(F.filter(F.array(active, F.col("end")), lambda x: x.isNotNull())).alias("x")
+    return states.select("host", steps).select("host", "x.*")
+
+
 def live_suppressions(events: DataFrame, now: F.Column) -> DataFrame:
     """The latest suppression (scope, key, set_at, expires_at) of each key that isn't over."""
     last = events.groupBy("scope", "key").agg(F.max_by("expires_at", "set_at").alias("expires_at"))
