@@ -9,7 +9,7 @@ FIRST_YEAR, LAST_YEAR = 1996, 2001
 ALL_YEARS = (1 << (LAST_YEAR - FIRST_YEAR + 1)) - 1
 
 #: fixed value: what a hostname has to match, of at most 253 characters
-HOST_PATTERN = r"^(?:[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\.)+[a-z]{2,63}\z"
+HOST_PATTERN = r"^(?=.{1,253}\z)(?:[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\.)+[a-z]{2,63}\z"
 
 
 #: the characters that are white space in Unicode, and the four separators below U+0020
@@ -22,9 +22,8 @@ def strip(c: Column) -> Column:
 
 
 def normalize_host(c: Column) -> Column:
-    """The hostname in lower case without white space around it, or null."""
-    h = F.lower(strip(c))
-    return F.when((F.length(h) <= 253) & h.rlike(HOST_PATTERN), h)
+    """The hostname in lower case without white space around it, or null. The pattern is tried once a value."""
+    return F.regexp_substr(F.lower(strip(c)), F.lit(HOST_PATTERN))
 
 
 def url_host(c: Column) -> Column:

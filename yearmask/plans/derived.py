@@ -19,10 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt over all cores if they come in fewer parts: a small file of one row group is one task otherwise. Filters
+    and columns still reach the scan; tables of many files stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def captures(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Raw dated captures, one an order (of the table, or of a stream of it): seq, raw host, host (null if invalid), year, ts,
     source_id, provider, kind, cost."""
-    orders, customer = orders or table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders, customer = orders or spread(table(spark, sf_dir, "orders")), table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).withColumn("t", F.expr(TLD.format(k="c_nationkey")))
     k = F.col("o_custkey")
     raw = (
@@ -95,7 +102,7 @@ TLD_OF = "list_extract(string_split(host, '.'), -1)"
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A larger capture log, one a line item: host, year, source_id, lane, seq, n (quantity)."""
     t = F.expr(TLD.format(k="CAST(l_partkey % 25 AS INT)"))
-    rows = table(spark, sf_dir, "lineitem").where(IN_WINDOW.format(c="l_shipdate"))
+    rows = spread(table(spark, sf_dir, "lineitem")).where(IN_WINDOW.format(c="l_shipdate"))
     return rows.select(
         F.concat(F.lit("p"), F.col("l_partkey"), F.lit("."), t).alias("host"), F.year("l_shipdate").alias("year"), F.concat(F.lit("s"), F.col("l_suppkey") % 60).alias("source_id"),
         F.col("l_returnflag").alias("lane"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_quantity").alias("n"),
