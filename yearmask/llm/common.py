@@ -9,11 +9,13 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: bytes that end a word, by the rule ``[^\x20\x09-\x0D]+`` on text with A-Z lower-cased
 LOWER_ASCII = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: A-Z in lower case; what is no digit, letter or byte above 0x7F becomes a space: words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``
+WORDS = bytes(LOWER_ASCII[c] if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +74,18 @@ def each_batch(f: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> Callab
     return run
 
 
+def word_pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in order (``WORDS``), in lists from about ``size`` bytes of it at a time: however long the text
+    is, its words are never all held. No word is cut."""
+    at = 0
+    while at < len(text):
+        end = min(at + size, len(text))
+        while end < len(text) and WORDS[text[end]] != 32:
+            end += 1
+        yield text[at:end].translate(WORDS).split()
+        at = end
+
+
 def row_numbers(n: int, seen: list[int]) -> np.ndarray:
     """Numbers for the next n rows of this task, unique over all tasks and the same when a task runs again."""
     first = (TaskContext.get().partitionId() << 36) + seen[0]
@@ -84,6 +98,25 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str, within: str | None = None) -> DataFrame:
+    """Adds the place of each row in an order, from 0 without gaps: over the whole table, or for each value of a column
+    that is never null. Rows that tie are numbered as they were read.
+
+    No value and no run of ties is sorted in one task: rows are dealt into ranges of value, order and the row's own number,
+    written sorted, and each range adds what the ranges before it hold, one small row for each range and value. Rows are
+    shuffled once, so they should be narrow, and read twice, so they should be a table.
+    """
+    keys = [*([F.col(within)] if within else []), *order, F.col("__row")]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    stored, _ = materialize(dealt.withColumn("__at", F.monotonically_increasing_id()).drop("__row"), "numbered")
+    stored = stored.withColumns({"__part": F.shiftright("__at", 33), "__within": F.col(within) if within else F.lit(0)})
+    held = stored.groupBy("__within", "__part").agg(F.min("__at").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("__within").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    held = held.select("__within", "__part", (before - F.col("first")).alias("__shift"))  # at most a row for each range and one for each value
+    return stored.join(F.broadcast(held), ["__within", "__part"]).withColumn(name, F.col("__at") + F.col("__shift")).drop("__within", "__part", "__at", "__shift")
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, smallest node of its part) for each node that isn't the smallest: the same parts with fewer edges."""
     nodes, index = np.unique(np.concatenate([a, b]), return_inverse=True)

@@ -20,10 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yearmask.llm.common import LOWER_ASCII, materialize, text_bytes
+from yearmask.llm.common import WORDS, materialize, text_bytes
 
-#: A-Z in lower case; what is no digit, letter or byte above 0x7F becomes a space: words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``
-WORDS = bytes(LOWER_ASCII[c] if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 
 #: bytes of windows and item ids in one automaton, which takes some 45 bytes of memory for each; a larger benchmark is

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearmask.llm import bpe, chat, decontaminate, embeddings, language, language_model, oracles, quality, simhash, token_counts, warc
+from yearmask.llm import bpe, chat, decontaminate, embeddings, language, language_model, lexical, oracles, quality, resampling, sharding, simhash, token_counts, warc
 from yearmask.llm.common import crc_mod, materialize, spread, table
 
 
@@ -81,6 +81,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.with_language(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text")
+    return resampling.drawn(docs, target, percent=25, seed=7, least_words=20).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return lexical.best_documents(docs, items, k=20)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = sharding.listing(table(spark, sf_dir, "documents").select("doc_id", "text"), [1.0] * 24)
+    return listed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -92,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_language": op10_language,
+    "op11_resampling": op11_resampling,
+    "op12_search": op12_search,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLES: dict[str, str] = {
@@ -99,4 +117,7 @@ ORACLES: dict[str, str] = {
     "op3_chat": oracles.CHAT,
     "op4_warc_fixity": oracles.WARC,
     "op6_embeddings": oracles.EMBEDDINGS,
+    "op11_resampling": oracles.RESAMPLE,
+    "op12_search": oracles.SEARCH,
+    "op13_sharding": oracles.SHARDS,
 }
