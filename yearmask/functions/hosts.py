@@ -134,21 +134,30 @@ def origin(c: Column) -> Column:
     return F.regexp_extract(canonical_url(c), r"^(https?://[^/?#]+)", 1)
 
 
+#: fixed values: the forms of a DOI, of a year and of a version. Keys made of what is left have to be the same wherever they
+#: are made, so these are given and not chosen here.
+DOI_FORM = r"(?i)^(?:https?://(?:dx\.)?doi\.org/)?(10\.\d{4,9}/\S+)$"
+YEAR_FORM = r"\b(?:199[0-9]|200[0-9])\b"
+VERSION_FORM = r"\b(?:v(?:ersion)?\s*)?\d+(?:\.\d+){0,3}\b"
+
+
 def doi(c: Column) -> Column:
-    """The DOI that a text is, with or without its resolver's address, in lower case, else null. A DOI is a prefix
-    of ``10.`` and four to nine digits, a slash, and anything without white space."""
-    bare = F.regexp_replace(F.lower(strip(c)), "^https?://(dx[.])?doi[.]org/", "")
-    registrant, name = F.substring_index(bare, "/", 1), F.regexp_extract(bare, "^[^/]*/(.*)$", 1)
-    return F.when(registrant.rlike("^10[.][0-9]{4,9}$") & (name != "") & ~bare.rlike(r"\s"), bare)
+    """The DOI that a text is, with or without its resolver's address, in lower case, else null. Full stops, commas and
+    semicolons at its end aren't part of it."""
+    found = F.lower(F.regexp_extract(F.rtrim(strip(c), F.lit(".,;")), DOI_FORM, 1))
+    return F.when(found != "", found)
+
+
+def first_doi(identifiers: Column) -> Column:
+    """The first of several identifiers that is a DOI; null ones and others are passed over."""
+    return F.get(F.filter(F.transform(identifiers, doi), lambda d: d.isNotNull()), F.lit(0))
 
 
 def family_label(title: Column) -> Column:
-    """The words of a title in lower case, without years (1990 to 2009) and without versions: numbers of up to four
-    parts between dots, after ``v`` or ``version`` or alone."""
-    number = "[0-9]+(?:[.][0-9]+){0,3}"
-    bare = F.regexp_replace(F.lower(title), "\\b(?:199|200)[0-9]\\b", " ")
-    bare = F.regexp_replace(bare, f"\\b(?:(?:version|v)\\s*)?{number}\\b", " ")
-    return F.array_join(F.filter(F.split(bare, "[^a-z0-9]"), lambda w: w != ""), " ")
+    """The words of a title in lower case without years and versions, with single spaces between them."""
+    words = F.concat_ws(" ", F.split(F.lower(title), "[^a-z0-9]+"))
+    bare = F.regexp_replace(F.regexp_replace(words, YEAR_FORM, " "), VERSION_FORM, " ")
+    return F.when(title.isNotNull(), F.trim(F.regexp_replace(bare, " +", " ")))
 
 
 def classify_action(provider: Column, year_from: Column, year_to: Column, policy: Column) -> Column:
@@ -162,27 +171,25 @@ def fraction_selected(host: Column, fraction: float) -> Column:
     return head < F.lit(int(fraction * (1 << 60)))
 
 
-#: fixed values: which names mean which scope, the first that holds; anything else is local discovery. Names are held
-#: against letters and digits run together (joined), or against words between underscores (worded).
-SCOPES = (
-    ("COMMON_CRAWL_CORPUS_EXCLUDED", "joined has", ("commoncrawl",)),
-    ("COMMON_CRAWL_CORPUS_EXCLUDED", "worded begins", ("cc_",)),
-    ("ISC_REFERENCE", "joined begins", ("isc",)),
-    ("ISC_REFERENCE", "joined has", ("iscreference", "networkwizards")),
-    ("OFFICIAL_POOL", "worded is", ("official_pool", "candidate_pool", "v3_candidate_pool")),
-)
+#: fixed values: what names of sources hold that mean a scope
+EXCLUDED_NAME, REFERENCE_NAMES, POOLS = "commoncrawl", ("iscreference", "networkwizards"), ("official_pool", "candidate_pool", "v3_candidate_pool")
 
 
 def classify_source(source_id: Column) -> Column:
-    """The scope that a source's name implies, by the table above."""
+    """The scope that a source's name implies: a pool by its whole name, the reference by its beginning or a name in it,
+    the excluded corpus by its name or the prefix ``cc``, local discovery otherwise. Only letters and digits count."""
     words = F.filter(F.split(F.lower(source_id), "[^a-z0-9]"), lambda w: w != "")
-    form = {"joined": F.array_join(words, ""), "worded": F.array_join(words, "_")}
-    test = {"has": Column.contains, "begins": Column.startswith, "is": Column.__eq__}
-    scope = F.lit("LOCAL_DISCOVERY")
-    for name, rule, values in reversed(SCOPES):
-        subject, kind = rule.split()
-        scope = F.when(F.greatest(*[test[kind](form[subject], v) for v in values], F.lit(False)), name).otherwise(scope)
-    return scope
+    letters = F.array_join(words, "")
+    pool = F.array_join(words, "_").isin(*POOLS)
+    reference = letters.startswith("isc") | letters.contains(REFERENCE_NAMES[0]) | letters.contains(REFERENCE_NAMES[1])
+    excluded = letters.contains(EXCLUDED_NAME) | ((F.size(words) > 1) & (words[0] == "cc"))
+    return (
+        F.when(~pool & ~reference & ~excluded, "LOCAL_DISCOVERY")
+        .when(excluded, "COMMON_CRAWL_CORPUS_EXCLUDED")
+        .when(pool, "OFFICIAL_POOL")
+        .when(reference, "ISC_REFERENCE")
+        .otherwise("LOCAL_DISCOVERY")
+    )
 
 
 def parse_size(c: Column) -> Column:

@@ -13,7 +13,9 @@ from yearmask.operators.eed import growth
 from yearmask.plans import derived as D
 from yearmask.plans.analytics import cells
 from yearmask.plans.registry import query
+from yearmask.sources import framing as R
 from yearmask.sources import lines as L
+from yearmask.sources import mail
 from yearmask.sources import sinks
 from yearmask.streaming.evidence import work_folder
 
@@ -111,21 +113,46 @@ def a13_mail_urls(spark: SparkSession, sf: str) -> DataFrame:
 @query("a14_mailbox_messages", """
 SELECT CAST(1996 + page_id % 6 AS INT) AS year, url FROM pages WHERE page_id % 4 <> 0""")
 def a14_mailbox_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages with exactly one Date header, in the window, out of mailbox files that hold all of them."""
+    """Messages with exactly one Date header, in the window, out of mailbox files that hold all of them: plain ones,
+    nested ones with an attachment, and quoted-printable ones."""
     date = F.concat(F.lit("Date: Mon, 5 May "), (F.col("page_id") % 6 + 1996).cast("string"), F.lit(" 10:00:00 +0000\n"))
-    text = F.concat(F.lit("From a@b Mon May 5\n"), date, F.when(F.col("page_id") % 4 == 0, date).otherwise(""), F.lit("Subject: x\n\n>From here look <"), "url", F.lit("> now\n"))
+    plain = F.concat(F.lit("Subject: x\n\n>From here look <"), "url", F.lit("> now\n"))
+    encoded = F.base64(F.concat(F.lit("see <"), "url", F.lit(">")).cast("binary"))
+    attached = F.lit("--in\nContent-Type: text/plain\nContent-Disposition: attachment; filename=x.txt\n\nhttp://attached.example/\n--in--\n")
+    nested = F.concat(
+        F.lit("MIME-Version: 1.0\nContent-Type: multipart/mixed; boundary=out\n\n--out\nContent-Type: multipart/alternative; boundary=in\n\n--in\nContent-Type: text/html; charset=iso-8859-1\nContent-Transfer-Encoding: base64\n\n"),
+        encoded, F.lit("\n"), attached, F.lit("--out--\n"),
+    )
+    quoted = F.concat(F.lit("MIME-Version: 1.0\nContent-Type: text/plain\nContent-Transfer-Encoding: quoted-printable\n\n=3C"), F.replace(F.replace(F.col("url"), F.lit("="), F.lit("=3D")), F.lit("/"), F.lit("=2F=\n")), F.lit("=3E\n"))
+    form = F.col("page_id") % 3
+    text = F.concat(F.lit("From a@b Mon May 5\n"), date, F.when(F.col("page_id") % 4 == 0, date).otherwise(""), F.when(form == 0, plain).when(form == 1, nested).otherwise(quoted))
     path = work_folder(spark, "mailbox")
     D.table(spark, sf, "pages").select(text.alias("value")).write.option("lineSep", "\n").text(path)
-    return L.mail_messages(L.read_mailbox(spark, path))
+    return mail.mail_messages(L.read_mailbox(spark, path))
 
 
 @query("a15_warc_headers", "SELECT url, CASE WHEN page_id % 8 < 6 THEN CAST(1996 + page_id % 8 AS INT) END AS year, CAST(CASE WHEN page_id % 8 < 6 THEN 1 << (page_id % 8)::INT ELSE 0 END AS INT) AS hint_mask, CAST(0 AS INT) AS direct_mask FROM pages")
 def a15_warc_headers(spark: SparkSession, sf: str) -> DataFrame:
-    """The headers of whole records, written as gzipped files and cut out of them again."""
-    head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nWARC-Date: "), (F.col("page_id") % 8 + 1996).cast("string"), F.lit("-03-04T05:06:07Z\r\n\r\n"), F.coalesce("html", F.lit("")), F.lit("\r\n\r\n"))
-    path = work_folder(spark, "warc")
-    D.table(spark, sf, "pages").select(head.alias("value")).write.option("compression", "gzip").text(path)
-    return L.read_warc_headers(spark, path)
+    """The headers of the records of WARC/1.0, WARC/1.1 (gzipped) and ARC files, contents of which quote headers."""
+    path = _archives(spark, sf)
+    return R.read_warc_headers(spark, f"{path}/*")
+
+
+def _archives(spark: SparkSession, sf: str) -> str:
+    """Pages as archive files: those of odd ids as WARC/1.0, of ids 0 modulo 4 as ARC, and 2 modulo 4 as WARC/1.1."""
+    year, k = (F.col("page_id") % 8 + 1996).cast("string"), F.col("page_id")
+    quoted = F.lit("WARC/1.0\r\nWARC-Target-URI: http://quoted.example/\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nhttp://quoted.example/ 10.0.0.1 19990101000000 text/html 3\nabc\n")
+    body = F.concat(F.when(k % 5 == 0, quoted).otherwise(F.lit("")), F.coalesce("html", F.lit("")))
+    length = F.octet_length(body).cast("string")
+
+    def warc(version: str) -> F.Column:
+        return F.concat(F.lit(f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nWARC-Date: "), year, F.lit("-03-04T05:06:07Z\r\nContent-Length: "), length, F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
+
+    arc = F.concat("url", F.lit(" 10.0.0.1 "), year, F.lit("0304050607 text/html "), length, F.lit("\n"), body)
+    path, pages = work_folder(spark, "archives"), D.table(spark, sf, "pages")
+    for name, rows, record, form in (("warc", k % 2 == 1, warc("1.0"), "none"), ("arc", k % 4 == 0, arc, "none"), ("members", k % 4 == 2, warc("1.1"), "gzip")):
+        pages.where(rows).select(record.alias("value")).write.option("compression", form).text(f"{path}/{name}")
+    return path
 
 
 @query("a16_reference_list", f"WITH {D.CAPTURES} SELECT host, CASE WHEN year BETWEEN 1996 AND 2001 THEN year END AS year FROM captures WHERE host IS NOT NULL")
@@ -203,25 +230,6 @@ def s8_result_urls(spark: SparkSession, sf: str) -> DataFrame:
     return D.table(spark, sf, "pages").select("page_id", H.canonical_result_url(F.col("url")).alias("canonical"))
 
 
-@query("s10_result_identity", """
-SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN concat('sha256:', sha256(p_name)) WHEN p_size % 3 = 1 THEN concat('etag:', p_brand, ':', p_size) ELSE concat('url:http://x.example/', p_partkey) END AS artifact,
- CASE WHEN p_partkey % 2 = 0 THEN concat('10.5281/z.', p_partkey) ELSE concat('meta:', sha256(p_name)) END AS dataset, p_name AS family FROM part""")
-def s10_result_identity(spark: SparkSession, sf: str) -> DataFrame:
-    """Artifact, dataset and family of search results."""
-    p, s = D.table(spark, sf, "part"), F.col("p_size") % 3
-    artifact = F.coalesce(F.when(s == 0, F.concat(F.lit("sha256:"), F.sha2("p_name", 256))), F.when(s == 1, F.concat(F.lit("etag:"), "p_brand", F.lit(":"), "p_size")), F.concat(F.lit("url:http://x.example/"), "p_partkey"))
-    ident = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("https://doi.org/10.5281/Z."), "p_partkey"))
-    title = F.concat(F.initcap("p_name"), F.lit(" (1998) v2.1"))
-    return p.select("p_partkey", artifact.alias("artifact"), F.coalesce(H.doi(ident), F.concat(F.lit("meta:"), F.sha2("p_name", 256))).alias("dataset"), H.family_label(title).alias("family"))
-
-
-@query("s12_relevance", "SELECT p_partkey, 0.45 * (p_size % 2) + 0.35 * (p_partkey % 2) + 0.2 * (p_partkey % 3 // 2) AS relevance FROM part")
-def s12_relevance(spark: SparkSession, sf: str) -> DataFrame:
-    """.45 for the mechanism, .35 for the year, .20 for the kind of artifact."""
-    mechanism, year, artifact = F.col("p_size") % 2 == 1, F.col("p_partkey") % 2 == 1, F.col("p_partkey") % 3 == 2
-    return D.table(spark, sf, "part").select("p_partkey", Q.relevance_of(mechanism, year, artifact).alias("relevance"))
-
-
 @query("s14_year_siblings", """
 SELECT s_suppkey, concat('http://x.example/', s_suppkey, '/list-', y, '.txt') AS sibling FROM supplier, (SELECT unnest(range(1996, 2002)) AS y) WHERE y <> 1996 + s_suppkey % 6""")
 def s14_year_siblings(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,15 +296,17 @@ def k16_window_offsets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("b9_suppression", f"""
-WITH {D.RUNS}, s AS (SELECT 'SOURCE' AS scope, source AS key, max(ts) AS expires FROM runs WHERE kind = 'error' AND k = 7 GROUP BY source UNION ALL SELECT 'FAMILY', kind, TIMESTAMP '2024-01-20' FROM runs WHERE kind = 'signup' GROUP BY kind)
-SELECT run_id, CASE WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'SOURCE' AND key = source AND expires > r.ts) THEN 'SOURCE' WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'FAMILY' AND key = kind AND expires > r.ts) THEN 'FAMILY' ELSE 'none' END AS reason FROM runs r""")
+WITH {D.RUNS}, s AS (SELECT 'SOURCE' AS scope, source AS key, max(ts) AS expires FROM runs WHERE kind = 'error' GROUP BY source UNION ALL SELECT 'FAMILY', kind, TIMESTAMP '2024-01-20' FROM runs WHERE kind = 'signup' GROUP BY kind UNION ALL SELECT 'ORIGIN', concat('o', requests), TIMESTAMP '2024-01-25' FROM runs WHERE eed > 450 GROUP BY requests)
+SELECT run_id, CASE WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'SOURCE' AND key = source AND expires > r.ts) THEN 'SOURCE' WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'FAMILY' AND key = kind AND expires > r.ts) THEN 'FAMILY' WHEN EXISTS (SELECT 1 FROM s WHERE scope = 'ORIGIN' AND key = concat('o', requests) AND expires > r.ts) THEN 'ORIGIN' ELSE 'none' END AS reason FROM runs r""")
 def b9_suppression(spark: SparkSession, sf: str) -> DataFrame:
-    """The suppression, not yet over, that holds a row back."""
+    """The suppression of a source, a family or an origin, not yet over, that holds a row back."""
     r = D.runs(spark, sf)
-    by_source = r.where("kind = 'error' and k = 7").groupBy("source").agg(F.max("ts").alias("s_until"))
+    by_source = r.where("kind = 'error'").groupBy("source").agg(F.max("ts").alias("s_until"))
     by_family = r.where("kind = 'signup'").select("kind", F.lit("2024-01-20").cast("timestamp").alias("f_until")).distinct()
-    j = r.join(by_source, "source", "left").join(by_family, "kind", "left")
-    return j.select("run_id", F.when(F.col("s_until") > F.col("ts"), "SOURCE").when(F.col("f_until") > F.col("ts"), "FAMILY").otherwise("none").alias("reason"))
+    by_origin = r.where("eed > 450").select(F.concat(F.lit("o"), "requests").alias("origin"), F.lit("2024-01-25").cast("timestamp").alias("o_until")).distinct()
+    j = r.withColumn("origin", F.concat(F.lit("o"), "requests")).join(by_source, "source", "left").join(by_family, "kind", "left").join(by_origin, "origin", "left")
+    reason = F.when(F.col("s_until") > F.col("ts"), "SOURCE").when(F.col("f_until") > F.col("ts"), "FAMILY").when(F.col("o_until") > F.col("ts"), "ORIGIN").otherwise("none")
+    return j.select("run_id", reason.alias("reason"))
 
 
 @query("b10_scout_verdict", f"""
@@ -308,20 +318,6 @@ def b10_scout_verdict(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("source_id", C.verdict(F.col("hosts"), F.col("novel"), F.lit(C.LEAST_EED)).alias("verdict"))
 
 
-@query("b11_early_rules", f"""
-WITH {D.RUNS}, s AS (SELECT source, min(k % 4) FILTER (WHERE eed > 100) AS accept_stage, count(*) FILTER (WHERE eed = 0) AS zeros, count(*) AS n FROM runs GROUP BY source)
-SELECT source, CASE WHEN accept_stage < 2 THEN 'early_accept' WHEN zeros * 2 > n THEN 'early_reject' ELSE 'continue' END AS decision FROM s""")
-def b11_early_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """Decisions from the sample stages seen so far."""
-    s = D.runs(spark, sf).groupBy("source").agg(F.min(F.when(F.col("eed") > 100, F.col("k") % 4)).alias("stage"), F.count_if(F.col("eed") == 0).alias("zeros"), F.count("*").alias("n"))
-    return s.select("source", F.when(F.col("stage") < 2, "early_accept").when(F.col("zeros") * 2 > F.col("n"), "early_reject").otherwise("continue").alias("decision"))
-
-
-@query("b14_optimizer_eligible", "SELECT p_partkey FROM part WHERE p_type IN ('ECONOMY', 'STANDARD') AND p_size > 10 AND p_partkey % 2 = 0")
-def b14_optimizer_eligible(spark: SparkSession, sf: str) -> DataFrame:
-    return D.table(spark, sf, "part").where(F.col("p_type").isin("ECONOMY", "STANDARD") & (F.col("p_size") > 10) & (F.col("p_partkey") % 2 == 0)).select("p_partkey")
-
-
 @query("b11_sample_decisions", f"""
 WITH {D.LOG}, s AS (SELECT unnest([1, 2, 3]) AS stage), k AS (SELECT source_id, stage, host, count(*) AS c, bool_or(lane = 'N') AS novel FROM log, s WHERE seq % 4 <= stage GROUP BY ALL),
 m AS (SELECT source_id, stage, count(*) AS hosts, count(*) FILTER (WHERE novel) AS novel, 0.25 * count(*) FILTER (WHERE novel) AS eed, count(*) FILTER (WHERE c = 1) / sum(c) AS unseen FROM k GROUP BY ALL),
@@ -360,7 +356,8 @@ def s10_result_keys(spark: SparkSession, sf: str) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("p_size")
     url = F.concat(F.lit("http://h"), s, F.lit(".example/d/file-"), k, F.lit(".txt"))
     title = F.when(k % 3 == 0, F.concat(F.initcap("p_name"), F.lit("!"))).when(k % 3 == 1, "Old")
-    doi = H.doi(F.when(k % 4 == 0, F.concat(F.lit("https://doi.org/10.5281/Z."), k)))
+    found = F.when(k % 4 == 0, F.concat(F.lit("https://doi.org/10.5281/Z."), k, F.lit(".,")))
+    doi = H.first_doi(F.array(F.lit("urn:x"), found, F.when(k % 4 == 0, "10.9999/second")))
     publisher = F.when(s % 2 == 0, F.concat(F.lit(" "), "p_type", F.lit(".")))
     people = F.array(*map(F.lit, ("A. B", "C", "-", "left out")))
     artifact = Q.artifact_key(url, F.when(s % 3 == 0, F.upper(F.sha2("p_name", 256))).otherwise("n/a"), F.when(s % 3 < 2, F.col("p_brand")).otherwise(""), F.when(s % 4 > 0, s))
@@ -401,16 +398,16 @@ def a9_named_formats(spark: SparkSession, sf: str) -> DataFrame:
     return L.detect(customer.select("file", value.alias("value")), files).select("file", "format", "method")
 
 
-_CELL_SCORE = "1.0 / sqrt(1.0 + a) + 1.5 * (1.0 - d) + CASE WHEN r > 0 THEN q / r ELSE 0.5 END"
+_CELL_SCORE = "1.0 / sqrt(1.0 + a) + 1.5 * (1.0 - d) + CASE WHEN cost > 0 AND eed > 0 THEN eed / cost WHEN r > 0 THEN q / r ELSE 0.5 END"
 
 
 @query("k12_cell_scores", f"""
-WITH c AS (SELECT p_type AS mechanism, p_brand AS institution, count(*) AS a, CAST(sum(p_size) AS BIGINT) AS r, coalesce(sum(p_partkey % (p_size + 1)) / nullif(sum(p_size), 0), 0) AS d, CAST(sum(p_partkey % 7 % (p_size + 1)) AS BIGINT) AS q FROM part GROUP BY ALL)
+WITH c AS (SELECT p_type AS mechanism, p_brand AS institution, count(*) AS a, CAST(sum(p_size) AS BIGINT) AS r, coalesce(sum(p_partkey % (p_size + 1)) / nullif(sum(p_size), 0), 0) AS d, CAST(sum(p_partkey % 7 % (p_size + 1)) AS BIGINT) AS q, sum(CASE WHEN p_partkey % 3 = 0 THEN p_retailprice * 2 ELSE 0 END) AS eed, sum(p_retailprice) AS cost FROM part GROUP BY ALL)
 SELECT mechanism, institution, round({_CELL_SCORE}, 8) AS score FROM c""")
 def k12_cell_scores(spark: SparkSession, sf: str) -> DataFrame:
     """The score of each search cell (batches with diversity are picked by greedy_diverse)."""
-    c = cells(spark, sf).groupBy("mechanism", "institution").agg(F.count("*").alias("a"), F.sum("results").alias("r"), A.ratio(F.sum("duplicates"), F.sum("results")).alias("d"), F.sum("qualified").alias("q"))
-    return c.select("mechanism", "institution", F.round(A.cell_score(F.col("a"), F.col("d"), F.lit(0.0), F.lit(0.0), F.col("q"), F.col("r")), 8).alias("score"))
+    c = cells(spark, sf).groupBy("mechanism", "institution").agg(F.count("*").alias("a"), F.sum("results").alias("r"), A.ratio(F.sum("duplicates"), F.sum("results")).alias("d"), F.sum("qualified").alias("q"), F.sum("eed").alias("eed"), F.sum("cost").alias("cost"))
+    return c.select("mechanism", "institution", F.round(A.cell_score(F.col("a"), F.col("d"), F.col("eed"), F.col("cost"), F.col("q"), F.col("r")), 8).alias("score"))
 
 
 _PICKS = 6
@@ -428,7 +425,7 @@ def _diverse_sql() -> str:
 
 
 @query("k12_diverse_batch", f"""
-WITH c AS (SELECT p_type AS mechanism, p_brand AS institution, count(*) AS a, CAST(sum(p_size) AS BIGINT) AS r, coalesce(sum(p_partkey % (p_size + 1)) / nullif(sum(p_size), 0), 0) AS d, CAST(sum(p_partkey % 7 % (p_size + 1)) AS BIGINT) AS q FROM part GROUP BY ALL),
+WITH c AS (SELECT p_type AS mechanism, p_brand AS institution, count(*) AS a, CAST(sum(p_size) AS BIGINT) AS r, coalesce(sum(p_partkey % (p_size + 1)) / nullif(sum(p_size), 0), 0) AS d, CAST(sum(p_partkey % 7 % (p_size + 1)) AS BIGINT) AS q, sum(CASE WHEN p_partkey % 3 = 0 THEN p_retailprice * 2 ELSE 0 END) AS eed, sum(p_retailprice) AS cost FROM part GROUP BY ALL),
 s AS MATERIALIZED (SELECT mechanism, institution, concat(mechanism, '|', institution) AS key, round({_CELL_SCORE}, 8) AS score FROM c), {_diverse_sql()}""")
 def k12_diverse_batch(spark: SparkSession, sf: str) -> DataFrame:
     """A batch of six cells, repeats of a mechanism or institution at a cost."""

@@ -14,6 +14,7 @@ from yearmask.plans.analytics import cells
 from yearmask.plans.evidence import CAPSULES, _ORIGINS, capsules, origin_logs
 from yearmask.plans.registry import query
 from yearmask.plans.streams import log_stream
+from yearmask.sources import framing as R
 from yearmask.sources import lines as L
 from yearmask.streaming import evidence as T
 
@@ -27,6 +28,18 @@ def a1_line_scan(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("year").agg(F.count("*").alias("lines"), F.sum(F.length("value")).cast("long").alias("chars"))
 
 
+@query("a1_line_locators", f"WITH {D.CAPTURES} SELECT year, CAST(seq // 8192 AS BIGINT) AS chunk, row_number() OVER (PARTITION BY year, seq // 8192 ORDER BY seq) AS line, raw AS value FROM captures")
+def a1_line_locators(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: lines with their place in their file. Files hold a year's captures of some orders; half of them are gzipped."""
+    path = T.work_folder(spark, "numbered")
+    rows = D.captures(spark, sf).select("year", F.floor(F.col("seq") / 8192).alias("chunk"), "seq", F.col("raw").alias("value"))
+    for form, part in (("none", "chunk % 2 = 0"), ("gzip", "chunk % 2 = 1")):
+        rows.where(part).repartition("year", "chunk").sortWithinPartitions("year", "chunk", "seq").drop("seq").write.partitionBy("year", "chunk").option("compression", form).text(f"{path}/{form}")
+    read = R.read_numbered_lines(spark, f"{path}/*/*/*")
+    told = [F.regexp_extract("locator", rf"{name}=(\d+)/", 1).cast(kind).alias(name) for name, kind in (("year", "int"), ("chunk", "long"))]
+    return read.select(*told, F.regexp_extract("locator", r":(\d+)\z", 1).cast("long").alias("line"), "value")
+
+
 @query("a11_host_column_inference", "SELECT CAST(r_regionkey AS INT) AS file, CASE WHEN r_regionkey % 2 = 0 THEN 'where' END AS hosts_field FROM region")
 def a11_host_column_inference(spark: SparkSession, sf: str) -> DataFrame:
     """The host column of each file; none where two are equally good."""
@@ -126,7 +139,7 @@ def s9_source_keys(spark: SparkSession, sf: str) -> DataFrame:
 def s11_doi_and_family(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("p_partkey") % 3
     bare = F.concat(F.lit("10."), F.col("p_size") + 1000, F.lit("/Part."), "p_partkey")
-    text = F.when(k == 0, bare).when(k == 1, F.concat(F.lit(" https://dx.doi.org/"), bare)).otherwise(F.concat(F.lit("see "), bare))
+    text = F.when(k == 0, F.concat(bare, F.lit(".;"))).when(k == 1, F.concat(F.lit(" https://dx.doi.org/"), bare)).otherwise(F.concat(F.lit("see "), bare))
     title = F.concat(F.upper("p_name"), F.lit(", version 3.1 [2001]"))
     return D.table(spark, sf, "part").select("p_partkey", H.doi(text).alias("doi"), H.family_label(title).alias("family"))
 

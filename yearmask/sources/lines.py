@@ -82,7 +82,7 @@ def read_squid(lines: DataFrame) -> DataFrame:
     f = F.split(strip(F.col("value")), r"\s+")
     stamp = F.get("f", F.lit(0)).try_cast("double")
     rows = lines.withColumn("f", f).withColumn("year", in_window(F.year(F.timestamp_seconds(stamp)))).where((stamp >= 0) & F.col("year").isNotNull())
-    field = F.get(F.filter(F.slice("f", 2, 1 << 20), lambda x: x.startswith("http://") | x.startswith("https://")), F.lit(0))
+    field = F.get(F.filter(F.slice("f", F.lit(2), F.greatest(F.size("f"), F.lit(1))), lambda x: x.startswith("http://") | x.startswith("https://")), F.lit(0))
     return rows.withColumn("url", F.get(clean_urls(field), F.lit(0))).where(F.col("url").isNotNull()).select("url", "year")
 
 
@@ -128,20 +128,6 @@ def registration_years(responses: DataFrame) -> DataFrame:
     return responses.withColumn("date", F.array_min(dates)).withColumn("year", year_of(F.col("date"))).where("year is not null").select("domain", "year", "date")
 
 
-def read_warc_headers(spark: SparkSession, path: str) -> DataFrame:
-    """Target URI, and capture year as a hint, of each record of uncompressed or gzipped WARC files. Direct masks
-    are always 0. Records are cut at ``WARC/1.0``; content that holds the same bytes cuts them wrongly."""
-    records = spark.read.option("lineSep", "WARC/1.0").text(path).where(F.col("value").contains("WARC-Target-URI"))
-    return warc_headers(records)
-
-
-def warc_headers(records: DataFrame) -> DataFrame:
-    head = F.split("value", r"\r?\n\r?\n", 2)[0]
-    uri = strip(F.regexp_extract(head, r"(?im)^WARC-Target-URI:\s*<?([^>\s]+)", 1))
-    year = in_window(F.regexp_extract(head, r"(?im)^WARC-Date:\s*(\d{4})", 1).try_cast("int"))
-    return records.select(uri.alias("url"), year.alias("year"), bit(year).alias("hint_mask"), F.lit(0).alias("direct_mask")).where(F.col("url") != "")
-
-
 def read_mailbox(spark: SparkSession, path: str) -> DataFrame:
     """(value, file) of the messages of mbox files: each begins after a line ``From ...``, which goes; a blank line or
     the start of the file stands before that line, and ``>From`` in a text is no such line. Files are split between tasks
@@ -151,26 +137,6 @@ def read_mailbox(spark: SparkSession, path: str) -> DataFrame:
     return cut.select(envelope.alias("value"), "file").where("value <> ''")
 
 
-def decoded_parts(text: Column) -> Column:
-    """The text of a message with what hides URLs undone: soft line breaks and escapes of quoted-printable, and parts in
-    base64 (lines of it after a header that says so)."""
-    plain = F.replace(F.replace(F.regexp_replace(text, r"=\r?\n", ""), F.lit("=3D"), F.lit("=")), F.lit("=3d"), F.lit("="))
-    quoted = F.when(text.rlike(r"(?im)^Content-Transfer-Encoding:\s*quoted-printable"), plain).otherwise(text)
-    blocks = F.regexp_extract_all(text, F.lit(r"(?i)Content-Transfer-Encoding:\s*base64[^\n]*\n(?:[^\n]+\n)*\r?\n((?:[A-Za-z0-9+/=]+\r?\n?)+)"), 1)
-    opened = F.transform(blocks, lambda b: F.coalesce(F.try_to_binary(F.regexp_replace(b, r"\s", ""), F.lit("base64")).cast("string"), F.lit("")))
-    return F.concat_ws("\n", quoted, F.array_join(opened, "\n"))
-
-
-def mail_messages(messages: DataFrame, most: int | None = None) -> DataFrame:
-    """URL and year of mailbox messages (value: one message without its envelope's ``From ``): exactly one Date header
-    with a year in the window. URLs come from all MIME parts, the first ``most`` if a bound is given."""
-    head = F.split("value", r"\r?\n[ \t]*\r?\n", 2)[0]
-    dates = F.regexp_extract_all(head, F.lit(r"(?im)^Date:\s*([^\n]+)"), 1)
-    year = in_window(F.regexp_extract(F.get(dates, F.lit(0)), r"\b(\d{4})\b", 1).try_cast("int"))
-    dated = messages.withColumn("dates", dates).withColumn("year", year).where("size(dates) = 1 and year is not null")
-    return dated.select("year", F.explode(first(clean_urls(decoded_parts(F.col("value"))), most)).alias("url"))
-
-
 def sniff(lines: DataFrame, key: str = "file", least: int = 3, share: float = 0.6, host_share: float = 0.5) -> DataFrame:
     """The format of each file by its lines, all of them, and the share of them that have it: the first of squid, cdxj,
     cdx, jsonl, delimited that ``least`` lines and ``share`` of them have, else lines if ``host_share`` of them are hosts,

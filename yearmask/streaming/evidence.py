@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,14 +15,22 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
-def work_folder(spark: SparkSession, what: str) -> str:
-    """A new folder under the shared one that the cluster names. Only a local session may do without one."""
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder that the cluster names. Only a local session may do without one: it gets one of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|\Z)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+        root = LOCAL.setdefault("root", "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return root.rstrip("/")
+
+
+LOCAL: dict[str, str] = {}
+
+
+def work_folder(spark: SparkSession, what: str) -> str:
+    """A new folder under the shared one."""
+    return f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
 
 
 def drain(stream: DataFrame, folder: str, batch: Callable[[DataFrame, int], None], mode: str = "append") -> None:
