@@ -12,6 +12,7 @@ from yearmask.operators import sampling as S
 from yearmask.operators.value import posterior
 from yearmask.plans import derived as D
 from yearmask.plans.registry import query
+from yearmask.sources.index import BaselineIndex, input_digest
 
 
 @query("novel_eed_report", f"""
@@ -151,6 +152,20 @@ def j1_batch_resolve(spark: SparkSession, sf: str) -> DataFrame:
     return V.resolve(rows.select("host").distinct(), V.mask_by_host(D.baseline(spark, sf)), rows.where("provider = 'ia'"))
 
 
+@query("j1_index_resolve", _RESOLVE + """
+SELECT h.host, coalesce(m.year_mask, 0) AS baseline_mask, c.host IS NOT NULL AS is_candidate FROM (SELECT DISTINCT host FROM valid) h LEFT JOIN m USING (host) LEFT JOIN c USING (host)""")
+def j1_index_resolve(spark: SparkSession, sf: str) -> DataFrame:
+    """The index is written for a state of the input once; later calls only probe it."""
+    rows = D.valid_captures(spark, sf)
+    return baseline_index(spark, sf).resolve(rows.select("host").distinct())
+
+
+def baseline_index(spark: SparkSession, sf: str) -> BaselineIndex:
+    rows = D.valid_captures(spark, sf)
+    index = BaselineIndex.named(spark, input_digest(spark, f"{sf}/orders.parquet", f"{sf}/customer.parquet"))
+    return index.build(D.baseline(spark, sf), rows.where("provider = 'ia'").select("host"))
+
+
 @query("j2_novel_masks", _RESOLVE + f"""
 , e AS (SELECT host, {D.BITS} AS year_mask FROM valid GROUP BY host)
 SELECT host, CAST(e.year_mask & ~coalesce(m.year_mask, 0) & 63 AS INT) AS novel_mask, e.year_mask FROM e LEFT JOIN m USING (host) WHERE e.year_mask & ~coalesce(m.year_mask, 0) & 63 <> 0""")
