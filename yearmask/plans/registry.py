@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from yearmask.plans import analytics, evidence, flagship, portfolio, scans, singles, streams  # noqa: F401
+    from yearmask.plans import analytics, evidence, flagship, portfolio, reports, scans, singles, streams  # noqa: F401
 
 
 load()
