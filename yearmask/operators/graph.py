@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +23,9 @@ def reach(edges: DataFrame, hops: int) -> DataFrame:
 
 
 def depth_of(edges: DataFrame, hops: int) -> DataFrame:
-    """The largest distance to a descendant within ``hops``."""
-    return reach(edges, hops).groupBy("root").agg(F.max("depth").alias("max_depth"))
+    """The largest distance to a descendant within ``hops``. Nodes are kept, not pairs of nodes."""
+    below = edges.select(F.col("child").alias("parent"), F.col("parent").alias("child"))
+    return walk_lengths(below, hops).select(F.col("node").alias("root"), F.col("hops").alias("max_depth"))
 
 
 def descendant_reward(edges: DataFrame, rewards: DataFrame, hops: int, discount: float = 0.5) -> DataFrame:
@@ -30,19 +34,6 @@ def descendant_reward(edges: DataFrame, rewards: DataFrame, hops: int, discount:
     return joined.groupBy("root").agg(F.sum(F.col("reward") * F.pow(F.lit(discount), "depth")).alias("descendant_reward"))
 
 
-def rejected_edges(edges: DataFrame, nodes: DataFrame, hops: int) -> DataFrame:
-    """Edges with the reason why a batch may not have them: self edges, repeated ones, unknown ends, cycles within
-    ``hops``."""
-    seen = edges.groupBy("parent", "child").agg(F.count("*").alias("n"))
-    known = nodes.select("node").distinct()
-    for end in ("parent", "child"):
-        seen = seen.join(known.select(F.col("node").alias(end), F.lit(True).alias(f"has_{end}")), end, "left")
-    back = reach(edges.where("parent <> child"), hops).select(F.col("root").alias("child"), F.col("node").alias("parent"), F.lit(True).alias("back")).distinct()
-    marked = seen.join(back, ["parent", "child"], "left")
-    reason = F.when(F.col("parent") == F.col("child"), "self_edge").when(F.col("has_parent").isNull() | F.col("has_child").isNull(), "unknown_node").when(F.col("n") > 1, "duplicate").when(F.col("back"), "cycle")
-    return marked.withColumn("reason", reason).where("reason is not null").select("parent", "child", "reason")
-
-
 def stored(pairs: DataFrame, what: str) -> DataFrame:
     """The rows, written to the shared folder once and read back."""
     path = work_folder(pairs.sparkSession, what)
@@ -61,17 +52,93 @@ def walk_lengths(edges: DataFrame, most: int) -> DataFrame:
     return out.groupBy("node").agg(F.max("hops").alias("hops"))
 
 
-def closure(edges: DataFrame) -> DataFrame:
-    """(root, node) of all nodes that a walk of any length reaches, each pair once. A round doubles the length; the loop
-    ends when a round finds no new pair."""
-    now = stored(edges.select(F.col("parent").alias("root"), F.col("child").alias("node")).distinct(), "reach")
-    n = now.count()
+def spread_largest(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, value): the largest value of a node and of all nodes that a walk leads from to it. nodes: (node, value).
+
+    A round takes the values of the neighbours before a node, and of one node further back, twice as far each time: so a
+    chain or a ring of n nodes takes some log2(n) rounds, other graphs at most as many as their longest shortest walk.
+    Values are pre-aggregated before they meet a node with very many neighbours.
+    """
+    far = edges.groupBy(F.col("child").alias("node")).agg(F.min("parent").alias("far"))
+    now = stored(nodes.join(far, "node", "left").select("node", "value", "far"), "spread")
     while True:
-        far = now.alias("a").join(now.alias("b"), F.col("a.node") == F.col("b.root")).select("a.root", "b.node")
-        now, before = stored(now.unionByName(far).distinct(), "reach"), n
-        n = now.count()
-        if n == before:
-            return now
+        near = edges.join(now.select(F.col("node").alias("parent"), F.col("value").alias("v")), "parent").groupBy(F.col("child").alias("node")).agg(F.max("v").alias("near"))
+        back = now.select(F.col("node").alias("far"), F.col("value").alias("leap"), F.col("far").alias("further"))
+        step = now.join(near, "node", "left").join(back, "far", "left")
+        after = stored(step.select("node", F.greatest("value", "near", "leap").alias("value"), F.coalesce("further", "far").alias("far"), (F.greatest("value", "near", "leap") != F.col("value")).alias("moved")), "spread")
+        if after.where("moved").isEmpty():
+            return after.select("node", "value")
+        now = after.drop("moved")
+
+
+def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of the nodes on cycles of a graph that fits a task: nodes by the time that a walk is done with
+    them, then walks against the edges from the last of them."""
+    after: dict[int, list[int]] = {}
+    before: dict[int, list[int]] = {}
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            after.setdefault(a, []).append(b)
+            before.setdefault(b, []).append(a)
+    order, seen = [], set()
+    for start in after:
+        stack = [(start, iter(after[start]))] if start not in seen else []
+        seen.add(start)
+        while stack:
+            node, rest = stack[-1]
+            following = next((x for x in rest if x not in seen), None)
+            if following is None:
+                order.append(node)
+                stack.pop()
+            else:
+                seen.add(following)
+                stack.append((following, iter(after.get(following, ()))))
+    component: dict[int, int] = {}
+    for root in reversed(order):
+        stack = [root] if root not in component else []
+        while stack:
+            node = stack.pop()
+            if node not in component:
+                component[node] = root
+                stack += [x for x in before.get(node, ()) if x not in component]
+    names = list(component)
+    yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([component[n] for n in names], pa.int64())], names=["node", "component"])
+
+
+def strong_components(edges: DataFrame, seed: int = 3, rest: int = 200_000) -> DataFrame:
+    """(node, component) of the nodes that lie on cycles: two are in one component iff walks lead from each to the other.
+
+    Colouring: nodes get numbers by a hash, and each the largest number of any node that leads to it. The node of that
+    number, and those of its colour that lead back to it, are a component. Edges between colours lie on no cycle and go,
+    as do the nodes that are settled; what is left is coloured anew. Rows are nodes and edges, never pairs of nodes: output
+    and every table on the way are linear in the graph, whatever its cycles. Once no more than ``rest`` edges are left, one
+    task finishes them. Nodes are 64-bit numbers.
+    """
+    left = stored(edges.where("parent <> child").select(F.col("parent").cast("long"), F.col("child").cast("long")).distinct(), "edges")
+    found: list[DataFrame] = []
+    round_ = 0
+    while (n := left.count()) > rest:
+        nodes = left.select(F.explode(F.array("parent", "child")).alias("node")).distinct()
+        number = F.struct(F.xxhash64("node", F.lit(seed + round_)).alias("h"), F.col("node").alias("n"))
+        colour = stored(spread_largest(left, nodes.select("node", number.alias("value"))), "colours")
+        a, b = (colour.select(F.col("node").alias(end), F.col("value").alias(f"{end}_colour")) for end in ("parent", "child"))
+        same = stored(left.join(a, "parent").join(b, "child").where("parent_colour = child_colour").select("parent", "child"), "edges")
+        inside = same.select(F.explode(F.array("parent", "child")).alias("node")).distinct()
+        begin = inside.join(colour, "node").select("node", (F.col("value.n") == F.col("node")).cast("int").alias("value"))
+        backward = same.select(F.col("child").alias("parent"), F.col("parent").alias("child"))
+        settled = spread_largest(backward, begin).where("value = 1").select("node")
+        component = stored(settled.join(colour, "node").select("node", F.col("value.n").alias("component")), "components")
+        found.append(component)
+        gone = component.select("node")
+        left = stored(same.join(gone.withColumnRenamed("node", "parent"), "parent", "left_anti").join(gone.withColumnRenamed("node", "child"), "child", "left_anti"), "edges")
+        round_ += 1
+    last = left.coalesce(1) if n else left
+    every = last.mapInArrow(finish, "node long, component long")
+    for component in found:
+        every = every.unionByName(component)
+    every = stored(every, "components")
+    size = every.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return every.join(size, "component", "left_semi").select("node", "component")
 
 
 def rejected_batch(edges: DataFrame, nodes: DataFrame, max_graph_hops: int = 4) -> DataFrame:
@@ -93,7 +160,9 @@ def rejected_batch(edges: DataFrame, nodes: DataFrame, max_graph_hops: int = 4)
     deep = stored(graph.join(above, "parent", "left").join(below, "child", "left").withColumn("hops", hops).where(F.col("hops") > max_graph_hops), "deep")
     # a walk may go round a cycle for ever, so only edges with the longest walks on both sides can lie on one
     core = deep.where((F.col("above") == max_graph_hops) & (F.col("below") == max_graph_hops))
-    back = closure(core).select(F.col("root").alias("child"), F.col("node").alias("parent"), F.lit(True).alias("back"))
+    within = strong_components(core.select("parent", "child"))
+    first, second = (within.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component")) for end in ("parent", "child"))
+    back = core.select("parent", "child").join(first, "parent").join(second, "child").where("parent_component = child_component").select("parent", "child", F.lit(True).alias("back"))
     marked = seen.join(deep.select("parent", "child", "hops"), ["parent", "child"], "left").join(back, ["parent", "child"], "left")
     unknown = F.col("has_parent").isNull() | F.col("has_child").isNull()
     reason = F.when(F.col("parent") == F.col("child"), "self_edge").when(unknown, "unknown_node").when(F.col("n") > 1, "duplicate").when(F.col("back"), "cycle").when(F.col("hops").isNotNull(), "depth")

@@ -39,6 +39,65 @@ def similarity(sketch: DataFrame, group: str, width: int = WIDTH) -> DataFrame:
     return pairs.groupBy(F.col(f"a.{group}").alias("left"), F.col(f"b.{group}").alias("right")).agg((F.count("*") / F.lit(width)).alias("jaccard"))
 
 
+#: minima of a band: two groups of a Jaccard estimate of 0.5 share one of 32 bands of 2 with a chance of 0.9999
+BAND = 2
+
+
+def sketch_classes(sketch: DataFrame, group: str) -> DataFrame:
+    """(group, minima, class): the minima of each group in the order of the seeds, and a group that stands for all with the
+    same minima. Copies of a set are one class, so that they aren't compared with one another."""
+    whole = sketch.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("seed", "minimum"))), lambda x: x.minimum).alias("minima"))
+    first = whole.groupBy("minima").agg(F.min(group).alias("class"))
+    return whole.join(first, "minima")
+
+
+def estimate(a: Column, b: Column) -> Column:
+    """The share of equal minima of two sketches, of the width of the narrower."""
+    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
+    return equal / F.least(F.size(a), F.size(b))
+
+
+def bands(classes: DataFrame, size: int = BAND) -> DataFrame:
+    """(band, key, class, minima): a row for each band of each class."""
+    one = classes.where(F.col("__group") == F.col("class"))
+    keys = F.transform(F.sequence(F.lit(0), F.floor(F.size("minima") / size).cast("int") - 1), lambda i: F.xxhash64(F.slice("minima", i * size + 1, size)))
+    return one.select("class", "minima", F.posexplode(keys).alias("band", "key"))
+
+
+def similar(sketch: DataFrame, group: str, least: float = 0.5, size: int = BAND) -> tuple[DataFrame, DataFrame]:
+    """M3 for very many groups: (left, right, jaccard) of classes whose estimate is ``least`` or more, and (group, class).
+
+    Groups with the same minima are one class of similarity 1, and pairs are between classes. Candidates share a band of
+    ``size`` minima, so a minimum that very many groups have makes no pairs by itself; each candidate's whole sketches are
+    compared. Pairs of lower similarity, which are most, are never made. Groups without values aren't listed.
+    """
+    classes = sketch_classes(sketch, group).withColumnRenamed(group, "__group")
+    keyed = bands(classes, size)
+    a, b = keyed.alias("a"), keyed.select("band", "key", F.col("class").alias("other")).alias("b")
+    pairs = a.join(b, ["band", "key"]).where(F.col("class") < F.col("other")).select(F.col("class").alias("left"), F.col("other").alias("right")).distinct()
+    one = classes.where(F.col("__group") == F.col("class")).select("class", "minima")
+    both = pairs.join(one.select(F.col("class").alias("left"), F.col("minima").alias("x")), "left").join(one.select(F.col("class").alias("right"), F.col("minima").alias("y")), "right")
+    found = both.select("left", "right", estimate(F.col("x"), F.col("y")).alias("jaccard")).where(F.col("jaccard") >= least)
+    return found, classes.select(F.col("__group").alias(group), "class")
+
+
+def overlap_penalty(candidates: DataFrame, active: DataFrame, group: str, size: int = BAND) -> DataFrame:
+    """M3: (group, penalty): the highest similarity of each candidate to any active group that shares a band of ``size``
+    minima with it and has a sketch of the same width, else 0.
+
+    With bands of 1 no similarity is missed, but a minimum that very many groups have joins them all; bands of 2 miss next
+    to none of 0.5 or more. Groups of the same minima are compared once.
+    """
+    asked, known = (sketch_classes(x, group).withColumnRenamed(group, "__group") for x in (candidates, active))
+    a = bands(asked, size).select("band", "key", F.col("class").alias("c"))
+    b = bands(known, size).select("band", "key", F.col("class").alias("k"))
+    pairs = a.join(b, ["band", "key"]).select("c", "k").distinct()
+    x, y = (one.where(F.col("__group") == F.col("class")).select(F.col("class").alias(name), F.col("minima").alias(f"m_{name}")) for one, name in ((asked, "c"), (known, "k")))
+    met = pairs.join(x, "c").join(y, "k").where(F.size("m_c") == F.size("m_k"))
+    highest = met.groupBy(F.col("c").alias("class")).agg(F.max(estimate(F.col("m_c"), F.col("m_k"))).alias("penalty"))
+    return asked.join(highest, "class", "left").select(F.col("__group").alias(group), F.coalesce("penalty", F.lit(0.0)).alias("penalty"))
+
+
 def intersection(left: Column, right: Column, jaccard: Column) -> Column:
     """U8: the size of an intersection from two sizes and a Jaccard estimate, no larger than either."""
     return F.least(left.cast("double"), right.cast("double"), jaccard * (left + right) / (1 + jaccard))

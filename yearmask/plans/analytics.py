@@ -47,14 +47,14 @@ def g16_attempt_cost(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("g17_action_value", f"""
-WITH {D.RUNS}, k AS (SELECT unnest(['click', 'view', 'error', 'never']) AS kind), c AS (SELECT kind, sum(cost) AS cost, CAST(sum(requests) AS BIGINT) AS requests FROM runs GROUP BY kind), r AS (SELECT kind, round(sum(eed), 4) AS eed FROM runs WHERE run_id % 2 = 0 GROUP BY kind)
+WITH {D.RUNS}, k AS (SELECT unnest(['click', 'view', 'error', 'never']) AS kind), c AS (SELECT kind, sum(cost) AS cost, CAST(sum(requests) AS BIGINT) AS requests FROM runs GROUP BY kind), r AS (SELECT kind, round(sum(eed), 4) AS eed FROM runs GROUP BY kind)
 SELECT kind, coalesce(cost, 0) AS cost, coalesce(requests, 0) AS requests, coalesce(eed, 0) AS eed, coalesce(eed / nullif(requests, 0), 0) AS eed_per_request FROM k LEFT JOIN c USING (kind) LEFT JOIN r USING (kind)""")
 def g17_action_value(spark: SparkSession, sf: str) -> DataFrame:
     """Cost and reward of every kind of action, also of kinds without either."""
     r = D.runs(spark, sf)
     kinds = spark.range(1).select(F.explode(F.array(*map(F.lit, ("click", "view", "error", "never")))).alias("kind"))
     cost = r.groupBy("kind").agg(F.sum("cost").alias("cost"), F.sum("requests").alias("requests"))
-    reward = r.where("run_id % 2 = 0").groupBy("kind").agg(F.round(F.sum("eed"), 4).alias("eed"))
+    reward = r.groupBy("kind").agg(F.round(F.sum("eed"), 4).alias("eed"))
     j = kinds.join(cost, "kind", "left").join(reward, "kind", "left").fillna(0, ["cost", "requests", "eed"])
     return j.withColumn("eed_per_request", A.ratio(F.col("eed"), F.col("requests")))
 
@@ -66,13 +66,13 @@ def g18_strategy_rewards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("g19_task_rewards", f"""
-WITH {D.RUNS}, c AS (SELECT kind, count(*) AS tasks, sum(cost) AS cost FROM runs GROUP BY kind), r AS (SELECT kind, count(*) AS rewards, round(sum(eed), 4) AS credited FROM runs WHERE k % 2 = 0 GROUP BY kind)
+WITH {D.RUNS}, c AS (SELECT kind, count(*) AS tasks, sum(cost) AS cost FROM runs GROUP BY kind), r AS (SELECT kind, count(*) AS rewards, round(sum(eed), 4) AS credited FROM runs WHERE eed > 0 GROUP BY kind)
 SELECT kind, tasks, cost, coalesce(rewards, 0) AS rewards, coalesce(credited, 0) AS credited FROM c LEFT JOIN r USING (kind)""")
 def g19_task_rewards(spark: SparkSession, sf: str) -> DataFrame:
     """Costs and rewards are summed apart, so the join multiplies neither."""
     r = D.runs(spark, sf)
     c = r.groupBy("kind").agg(F.count("*").alias("tasks"), F.sum("cost").alias("cost"))
-    w = r.where("k % 2 = 0").groupBy("kind").agg(F.count("*").alias("rewards"), F.round(F.sum("eed"), 4).alias("credited"))
+    w = r.where("eed > 0").groupBy("kind").agg(F.count("*").alias("rewards"), F.round(F.sum("eed"), 4).alias("credited"))
     return c.join(w, "kind", "left").fillna(0, ["rewards", "credited"])
 
 
@@ -95,12 +95,12 @@ def g21_saturation(spark: SparkSession, sf: str) -> DataFrame:
     return A.saturation(m, "origin", "eed", "observed", least_observed=100)
 
 
-_CELLS = """cells AS (SELECT p_type AS mechanism, p_brand AS institution, p_size % 4 AS period, p_size AS results, p_partkey % (p_size + 1) AS duplicates, p_partkey % 7 % (p_size + 1) AS qualified, p_retailprice AS cost FROM part)"""
+_CELLS = """cells AS (SELECT p_type AS mechanism, p_brand AS institution, p_size % 4 AS period, p_size AS results, p_partkey % (p_size + 1) AS duplicates, p_partkey % 7 % (p_size + 1) AS qualified, p_partkey % 5 % (p_size + 1) AS families, p_retailprice AS cost FROM part)"""
 
 
 def cells(spark: SparkSession, sf: str) -> DataFrame:
     p = D.table(spark, sf, "part")
-    return p.select(F.col("p_type").alias("mechanism"), F.col("p_brand").alias("institution"), (F.col("p_size") % 4).alias("period"), F.col("p_size").cast("long").alias("results"), (F.col("p_partkey") % (F.col("p_size") + 1)).alias("duplicates"), (F.col("p_partkey") % 7 % (F.col("p_size") + 1)).alias("qualified"), F.col("p_retailprice").alias("cost"))
+    return p.select(F.col("p_type").alias("mechanism"), F.col("p_brand").alias("institution"), (F.col("p_size") % 4).alias("period"), F.col("p_size").cast("long").alias("results"), (F.col("p_partkey") % (F.col("p_size") + 1)).alias("duplicates"), (F.col("p_partkey") % 7 % (F.col("p_size") + 1)).alias("qualified"), (F.col("p_partkey") % 5 % (F.col("p_size") + 1)).alias("families"), F.when(F.col("p_partkey") % 3 == 0, F.col("p_retailprice") * 2).otherwise(0.0).alias("eed"), F.col("p_retailprice").alias("cost"))
 
 
 @query("g23_search_rollup", f"""
@@ -133,11 +133,11 @@ def g25_provider_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("g26_cell_saturation", f"""
-WITH {_CELLS}, s AS (SELECT mechanism, institution, count(*) AS attempts, CAST(sum(results) AS BIGINT) AS results, coalesce(sum(duplicates) / nullif(sum(results), 0), 0) AS d, coalesce(sum(qualified) / nullif(sum(results), 0), 0) AS q FROM cells GROUP BY ALL)
-SELECT mechanism, institution, CASE WHEN results = 0 THEN attempts >= 4 WHEN attempts < 3 OR results < 30 THEN FALSE ELSE (d >= 0.9 AND q <= 0.05) OR q <= 0.01 END AS saturated FROM s""")
+WITH {_CELLS}, s AS (SELECT mechanism, institution, count(*) AS attempts, CAST(sum(results) AS BIGINT) AS results, coalesce(sum(duplicates) / nullif(sum(results), 0), 0) AS d, coalesce(sum(qualified) / nullif(sum(results), 0), 0) AS q, coalesce(sum(families) / nullif(sum(results), 0), 0) AS f FROM cells GROUP BY ALL)
+SELECT mechanism, institution, CASE WHEN results = 0 THEN attempts >= 4 WHEN attempts < 3 OR results < 30 THEN FALSE ELSE (d >= 0.9 AND f <= 0.05) OR q <= 0.01 END AS saturated FROM s""")
 def g26_cell_saturation(spark: SparkSession, sf: str) -> DataFrame:
-    s = cells(spark, sf).groupBy("mechanism", "institution").agg(F.count("*").alias("a"), F.sum("results").alias("r"), A.ratio(F.sum("duplicates"), F.sum("results")).alias("d"), A.ratio(F.sum("qualified"), F.sum("results")).alias("q"))
-    return s.select("mechanism", "institution", A.cell_state(F.col("a"), F.col("r"), F.col("d"), F.col("q"), F.col("q"), F.lit(4)).alias("saturated"))
+    s = cells(spark, sf).groupBy("mechanism", "institution").agg(F.count("*").alias("a"), F.sum("results").alias("r"), A.ratio(F.sum("duplicates"), F.sum("results")).alias("d"), A.ratio(F.sum("qualified"), F.sum("results")).alias("q"), A.ratio(F.sum("families"), F.sum("results")).alias("f"))
+    return s.select("mechanism", "institution", A.cell_state(F.col("a"), F.col("r"), F.col("d"), F.col("f"), F.col("q"), F.lit(4)).alias("saturated"))
 
 
 @query("g27_recent_supply", f"""
@@ -236,9 +236,9 @@ def g41_closed_runs(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count("*").alias("runs"), F.count_if(F.col("eed") <= 0).alias("zero_runs"), F.round(F.sum("eed"), 4).alias("eed"), F.sum(F.col("requests") + F.greatest(F.lit(0.0), F.col("cost") - 3)).alias("cost"))
 
 
-@query("g42_learning_summary", f"WITH {D.RUNS}, s AS (SELECT source, sum(eed) FILTER (WHERE k < 20) AS eed FROM runs GROUP BY source) SELECT count(*) AS sources, count(*) FILTER (WHERE eed > 100) AS positive, round(sum(eed), 4) AS eed FROM s")
+@query("g42_learning_summary", f"WITH {D.RUNS}, s AS (SELECT source, sum(eed) AS eed FROM runs GROUP BY source) SELECT count(*) AS sources, count(*) FILTER (WHERE eed > 100) AS positive, round(sum(eed), 4) AS eed FROM s")
 def g42_learning_summary(spark: SparkSession, sf: str) -> DataFrame:
-    s = D.runs(spark, sf).groupBy("source").agg(F.sum(F.when(F.col("k") < 20, F.col("eed"))).alias("e"))
+    s = D.runs(spark, sf).groupBy("source").agg(F.sum("eed").alias("e"))
     return s.agg(F.count("*").alias("sources"), F.count_if(F.col("e") > 100).alias("positive"), F.round(F.sum("e"), 4).alias("eed"))
 
 
@@ -428,6 +428,33 @@ def m3_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return M.similarity(_sketch(spark, sf), "grp")
 
 
+_GROUPS = f"""WITH {D.LOG}, v AS (SELECT DISTINCT unnest(['l' || lane || (year % 3), source_id, 'y' || year]) AS grp, host FROM log), s AS (SELECT grp, seed, min((CAST('0x' || substr(md5(host), 1, 14) AS BIGINT) + seed * CAST('0x' || substr(md5(host), 15, 14) AS BIGINT)) % 72057594037927931) AS minimum FROM v, (SELECT unnest(range(64)) AS seed) GROUP BY grp, seed),
+m AS (SELECT grp, list(minimum ORDER BY seed) AS minima FROM s GROUP BY grp), c AS (SELECT min(grp) AS grp, minima FROM m GROUP BY minima), band AS (SELECT grp, i, minima[2 * i + 1:2 * i + 2] AS key FROM c, range(32) r(i)) """
+
+
+def _groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches of the hosts of each source, year, and lane and third of years."""
+    groups = F.array(F.concat(F.lit("l"), "lane", F.col("year") % 3), "source_id", F.concat(F.lit("y"), "year"))
+    return M.minhash(D.log(spark, sf).select(F.explode(groups).alias("grp"), "host"), "grp", "host")
+
+
+@query("m3_similar_groups", _GROUPS + """
+, pairs AS (SELECT DISTINCT a.grp AS l, b.grp AS r FROM band a JOIN band b ON a.i = b.i AND a.key = b.key AND a.grp < b.grp), j AS (SELECT l, r, list_sum(list_transform(range(1, 65), lambda i: CAST(x.minima[i] = y.minima[i] AS INT))) / 64 AS jaccard FROM pairs JOIN c x ON x.grp = l JOIN c y ON y.grp = r)
+SELECT l AS "left", r AS "right", jaccard FROM j WHERE jaccard >= 0.5""")
+def m3_similar_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """M3 by bands: only groups that are likely to be similar are compared."""
+    return M.similar(_groups(spark, sf), "grp")[0]
+
+
+@query("m3_overlap_penalty", _GROUPS + """
+, pairs AS (SELECT DISTINCT a.grp AS l, b.grp AS r FROM band a JOIN band b ON a.i = b.i AND a.key = b.key WHERE a.grp[1:1] = 's' AND b.grp[1:1] <> 's'), j AS (SELECT l, list_sum(list_transform(range(1, 65), lambda i: CAST(x.minima[i] = y.minima[i] AS INT))) / 64 AS jaccard FROM pairs JOIN c x ON x.grp = l JOIN c y ON y.grp = r)
+SELECT grp, coalesce((SELECT max(jaccard) FROM j WHERE l = grp), 0) AS penalty FROM m WHERE grp[1:1] = 's'""")
+def m3_overlap_penalty(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: how much of what is active each candidate source repeats at most."""
+    sketches = _groups(spark, sf)
+    return M.overlap_penalty(sketches.where("grp like 's%'"), sketches.where("grp not like 's%'"), "grp")
+
+
 @query("m4_containment", _SKETCH + """
 , n AS (SELECT grp, count(*) AS n FROM v GROUP BY grp), j AS (SELECT a.grp AS l, b.grp AS r, count(*) / 64 AS jaccard FROM s a JOIN s b ON a.seed = b.seed AND a.minimum = b.minimum AND a.grp < b.grp GROUP BY 1, 2)
 SELECT l AS "left", r AS "right", least(x.n, y.n, jaccard * (x.n + y.n) / (1 + jaccard)) AS shared, least(1.0, least(x.n, y.n, jaccard * (x.n + y.n) / (1 + jaccard)) / x.n) AS containment FROM j JOIN n x ON x.grp = l JOIN n y ON y.grp = r""")
@@ -458,17 +485,6 @@ def p2_descendant_reward(spark: SparkSession, sf: str) -> DataFrame:
     return G.descendant_reward(edges, rewards, 4)
 
 
-@query("p3_rejected_edges", """
-WITH RECURSIVE e AS (SELECT s_suppkey AS parent, s_nationkey * 3 + 1 AS child FROM supplier), n AS (SELECT s_suppkey AS node FROM supplier WHERE s_suppkey % 9 <> 5),
-w(root, node, depth) AS (SELECT parent, child, 1 FROM e WHERE parent <> child UNION ALL SELECT w.root, e.child, w.depth + 1 FROM w JOIN e ON e.parent = w.node AND e.parent <> e.child WHERE w.depth < 3)
-SELECT parent, child, reason FROM (SELECT parent, child, CASE WHEN parent = child THEN 'self_edge' WHEN parent NOT IN (SELECT node FROM n) OR child NOT IN (SELECT node FROM n) THEN 'unknown_node' WHEN count(*) > 1 THEN 'duplicate'
-  WHEN EXISTS (SELECT 1 FROM w WHERE w.root = e.child AND w.node = e.parent) THEN 'cycle' END AS reason FROM e GROUP BY parent, child) WHERE reason IS NOT NULL""")
-def p3_rejected_edges(spark: SparkSession, sf: str) -> DataFrame:
-    s = D.table(spark, sf, "supplier")
-    edges = s.select(F.col("s_suppkey").alias("parent"), (F.col("s_nationkey") * 3 + 1).cast("long").alias("child"))
-    return G.rejected_edges(edges, s.where("s_suppkey % 9 <> 5").select(F.col("s_suppkey").alias("node")), 3)
-
-
 @query("p3_rejected_batch", """
 WITH RECURSIVE e AS (SELECT s_suppkey AS parent, s_nationkey * 3 + 1 AS child, s_suppkey % 9 <> 5 AS known FROM supplier), n AS (SELECT parent AS node FROM e WHERE known),
 b AS (SELECT parent, child, count(*) AS n, parent IN (SELECT node FROM n) AND child IN (SELECT node FROM n) AS known FROM e GROUP BY parent, child), g AS (SELECT parent, child FROM b WHERE parent <> child AND known),
@@ -477,7 +493,7 @@ up(node, hops) AS (SELECT child, 1 FROM g UNION SELECT g.child, hops + 1 FROM up
 SELECT parent, child, reason FROM (SELECT parent, child, CASE WHEN parent = child THEN 'self_edge' WHEN NOT known THEN 'unknown_node' WHEN n > 1 THEN 'duplicate' WHEN EXISTS (SELECT 1 FROM w WHERE w.root = b.child AND w.node = b.parent) THEN 'cycle'
   WHEN coalesce((SELECT max(hops) FROM up WHERE node = b.parent), 0) + 1 + coalesce((SELECT max(hops) FROM down WHERE node = b.child), 0) > 4 THEN 'depth' END AS reason FROM b) WHERE reason IS NOT NULL""")
 def p3_rejected_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """P3 in full: cycles of any length and the limit of hops, which ``p3_rejected_edges`` does not look for."""
+    """Cycles of any length and the limit of hops; a ninth of the nodes is planted as unknown."""
     s = D.table(spark, sf, "supplier")
     edges = s.select(F.col("s_suppkey").alias("parent"), (F.col("s_nationkey") * 3 + 1).cast("long").alias("child"))
     return G.rejected_batch(edges, s.where("s_suppkey % 9 <> 5").select(F.col("s_suppkey").alias("node")))

@@ -118,12 +118,14 @@ def j7_exact_harvest(spark: SparkSession, sf: str) -> DataFrame:
     return j.groupBy("source_id").agg(F.count("*").alias("witnesses"), F.count("b").alias("known"), F.count_if(F.col("b").isNull() & F.col("p").isNotNull()).alias("proven"), F.count_if(F.col("b").isNull() & F.col("p").isNull()).alias("kept"))
 
 
-_ORIGINS = f"{D.VALID}, o AS (SELECT host, year, ts, source_id, 'run' AS origin, seq FROM valid WHERE seq % 2 = 0 UNION ALL SELECT host, year, ts, source_id, 'task', seq FROM valid WHERE seq % 3 = 0)"
+_ORIGINS = f"{D.VALID}, o AS (SELECT host, year, ts, source_id, 'run' AS origin, seq FROM valid WHERE seq % 2 = 0 UNION ALL SELECT host, year, ts, source_id, 'task', seq FROM valid WHERE seq % 2 = 1 OR seq % 3 = 0)"
 
 
 def origin_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every capture is in the log of runs, in that of tasks, or in both."""
     rows = D.valid_captures(spark, sf).select("host", "year", "ts", "source_id", "seq")
-    return rows.where("seq % 2 = 0").withColumn("origin", F.lit("run")).unionByName(rows.where("seq % 3 = 0").withColumn("origin", F.lit("task")))
+    run, task = F.col("seq") % 2 == 0, (F.col("seq") % 2 == 1) | (F.col("seq") % 3 == 0)
+    return rows.withColumn("origin", F.explode(F.array_compact(F.array(F.when(run, "run"), F.when(task, "task")))))
 
 
 @query("j9_first_touch", f"""
@@ -134,12 +136,13 @@ def j9_first_touch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("j10_attribution", f"""
-WITH {D.VALID}, hy AS (SELECT DISTINCT host, year FROM valid), p AS (SELECT host, year, arg_min(kind, seq) AS kind FROM valid WHERE seq % 4 = 0 GROUP BY ALL), l AS (SELECT host, year, arg_min(kind, seq) AS kind FROM valid WHERE seq % 4 = 1 GROUP BY ALL)
+WITH {D.VALID}, hy AS (SELECT DISTINCT host, year FROM valid), p AS (SELECT host, year, arg_min(kind, seq) AS kind FROM valid WHERE status = 'F' GROUP BY ALL), l AS (SELECT host, year, arg_min(kind, seq) AS kind FROM valid WHERE status = 'O' GROUP BY ALL)
 SELECT host, year, coalesce(p.kind, l.kind, '__unattributed__') AS kind, CASE WHEN p.kind IS NOT NULL THEN 'proof' WHEN l.kind IS NOT NULL THEN 'ledger' ELSE 'none' END AS side FROM hy LEFT JOIN p USING (host, year) LEFT JOIN l USING (host, year)""")
 def j10_attribution(spark: SparkSession, sf: str) -> DataFrame:
-    """The task kind of each host-year; the proof's provenance goes before the ledger's."""
+    """The task kind of each host-year; the proof's provenance goes before the ledger's. Closed orders stand for proofs,
+    open ones for the ledger, and those under way for rows without provenance."""
     rows = D.valid_captures(spark, sf)
-    side = {n: rows.where(f"seq % 4 = {i}").groupBy("host", "year").agg(F.min_by("kind", "seq").alias(n)) for i, n in enumerate(("p", "l"))}
+    side = {n: rows.where(F.col("status") == s).groupBy("host", "year").agg(F.min_by("kind", "seq").alias(n)) for s, n in (("F", "p"), ("O", "l"))}
     j = rows.select("host", "year").distinct().join(side["p"], ["host", "year"], "left").join(side["l"], ["host", "year"], "left")
     return j.select("host", "year", F.coalesce("p", "l", F.lit("__unattributed__")).alias("kind"), F.when(F.col("p").isNotNull(), "proof").when(F.col("l").isNotNull(), "ledger").otherwise("none").alias("side"))
 
@@ -188,13 +191,13 @@ def j15_registration_backfill(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("j16_run_closure", f"""
-WITH {_TASKS}, r AS (SELECT host, min(year_from) AS first_year, count(*) AS created FROM tasks WHERE seq % 2 = 0 GROUP BY host)
+WITH {_TASKS}, r AS (SELECT host, min(year_from) AS first_year, count(*) AS created FROM tasks GROUP BY host)
 SELECT r.host, r.created, count(t.seq) AS later, count(t.seq) FILTER (WHERE t.state IN ('PASS', 'EMPTY_EXHAUSTIVE', 'INVALID')) AS terminal, count(t.seq) FILTER (WHERE t.state = 'PASS') AS proofs
 FROM r LEFT JOIN tasks t ON t.host = r.host AND t.year_from >= r.first_year GROUP BY r.host, r.created""")
 def j16_run_closure(spark: SparkSession, sf: str) -> DataFrame:
     """Tasks of each run that came at or after it: an equi-join with an inequality beside it."""
     t = tasks(spark, sf)
-    r = t.where("seq % 2 = 0").groupBy("host").agg(F.min("year_from").alias("first_year"), F.count("*").alias("created"))
+    r = t.groupBy("host").agg(F.min("year_from").alias("first_year"), F.count("*").alias("created"))
     a, b = r.alias("r"), t.alias("t")
     j = a.join(b, (F.col("r.host") == F.col("t.host")) & (F.col("t.year_from") >= F.col("r.first_year")), "left")
     return j.groupBy("r.host", "created").agg(F.count("seq").alias("later"), F.count_if(F.col("state").isin("PASS", "EMPTY_EXHAUSTIVE", "INVALID")).alias("terminal"), F.count_if(F.col("state") == "PASS").alias("proofs"))
@@ -254,11 +257,11 @@ def j26_active_host_years(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("j27_highest_sequence", f"""
-WITH {D.VALID}, p AS (SELECT DISTINCT source_id, host, year FROM valid WHERE seq % 2 = 0 UNION SELECT source_id, host, year FROM valid WHERE seq % 5 = 0), l AS (SELECT host, year, max(seq) AS seq FROM valid GROUP BY ALL)
+WITH {D.VALID}, p AS (SELECT DISTINCT source_id, host, year FROM valid), l AS (SELECT host, year, max(seq) AS seq FROM valid GROUP BY ALL)
 SELECT source_id, max(seq) AS seq FROM p JOIN l USING (host, year) GROUP BY source_id""")
 def j27_highest_sequence(spark: SparkSession, sf: str) -> DataFrame:
     rows = D.valid_captures(spark, sf)
-    p = rows.where("seq % 2 = 0 or seq % 5 = 0").select("source_id", "host", "year").distinct()
+    p = rows.select("source_id", "host", "year").distinct()
     last = rows.groupBy("host", "year").agg(F.max("seq").alias("seq"))
     return p.join(last, ["host", "year"]).groupBy("source_id").agg(F.max("seq").alias("seq"))
 

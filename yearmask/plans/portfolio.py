@@ -85,14 +85,14 @@ def j25_reward_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("j28_stale_credit", f"""
-WITH {D.RUNS}, a AS (SELECT k AS episode, CASE WHEN run_id % 4 = 0 THEN NULL ELSE concat('sig', run_id % 2) END AS signature, run_id % 7 = 0 AS legacy, source, eed AS credit FROM runs), final AS (SELECT DISTINCT source FROM runs WHERE kind = 'purchase' AND k < 30),
+WITH {D.RUNS}, a AS (SELECT k AS episode, CASE WHEN run_id % 4 = 0 THEN NULL ELSE concat('sig', run_id % 2) END AS signature, run_id % 7 = 0 AS legacy, source, eed AS credit FROM runs), final AS (SELECT DISTINCT source FROM runs WHERE kind = 'purchase'),
 s AS (SELECT episode, sum(credit) AS stale FROM a WHERE (NOT legacy AND coalesce(signature, '') <> 'sig1') OR (legacy AND source NOT IN (SELECT source FROM final)) GROUP BY episode), t AS (SELECT episode, sum(credit) * 0.8 AS total FROM a GROUP BY episode)
 SELECT episode, round(greatest(0, total - coalesce(stale, 0)), 4) AS credit FROM t LEFT JOIN s USING (episode)""")
 def j28_stale_credit(spark: SparkSession, sf: str) -> DataFrame:
     """Credit of each episode less what another authority gave, not below zero."""
     r, i = D.runs(spark, sf), F.col("run_id")
     a = r.select(F.col("k").alias("episode"), F.when(i % 4 != 0, F.concat(F.lit("sig"), i % 2)).alias("signature"), (i % 7 == 0).alias("legacy"), "source", F.col("eed").alias("credit"))
-    final = r.where("kind = 'purchase' and k < 30").select("source").distinct()
+    final = r.where("kind = 'purchase'").select("source").distinct()
     other = a.where(~F.col("legacy") & ~F.col("signature").eqNullSafe(F.lit("sig1")))
     orphan = a.where("legacy").join(final, "source", "left_anti")
     stale = other.select("episode", "credit").unionByName(orphan.select("episode", "credit")).groupBy("episode").agg(F.sum("credit").alias("stale"))
