@@ -198,6 +198,31 @@ def test_fixity_audit(spark):
     laid.unpersist()
 
 
+def test_hot_archives_are_laid_out_in_ranges(spark):
+    """Ids that are null or repeated put most records into one archive; clashing columns of the pages are left out."""
+    r = random.Random(4)
+    pages = [(r.choice([None, 3, 3, 3, i]), f"http://h/{i % 7}", "x" * r.randrange(40)) for i in range(900)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({c: F.lit("mine") for c in ("archive", "record", "offset", "level", "node", "__part", "__n")})
+    made = warc.records_of(frame).cache()
+    got = warc.laid_out(made).collect()
+    by = {}
+    for x in got:
+        by.setdefault(x.archive, []).append(x)
+    assert sum(map(len, by.values())) == 900 and max(map(len, by.values())) > 300
+    for rows in by.values():
+        rows.sort(key=lambda x: x.offset)
+        at = 0
+        for x in rows:
+            assert x.offset == at
+            at += x.length
+        keys = [(x.record_id is not None, x.record_id or 0, x.sha256) for x in rows]
+        assert keys == sorted(keys)
+    listing = warc.laid_out(made)
+    assert warc.audit(listing, listing).count() == 0
+    twice = listing.unionByName(listing.where("record_id = 3").limit(2))
+    assert warc.audit(listing, twice).count() == 2 and warc.audit(twice, twice).count() == 0
+
+
 def test_records_longer_than_a_range(spark):
     rows = [(i, f"http://x/{i}", "é" * (70_000 if i % 5 == 0 else 10)) for i in range(60)]
     made = warc.records_of(spark.createDataFrame(rows, "page_id long, url string, html string"))

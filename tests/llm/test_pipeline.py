@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -14,13 +15,13 @@ import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from yearmask.llm import decontaminate, language, language_model, queries, simhash
+from yearmask.llm import decontaminate, language, language_model, quality, queries, simhash
 from yearmask.llm.common import crc_mod
 
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_queries_with_sql_twins(spark, sf):
@@ -158,6 +159,82 @@ def test_registered_queries_against_libraries_and_plain_versions(spark, sf):
     assert sum(got[d].lang_pred == docs[d].lang for d in known) >= 0.97 * len(known) > 40
 
 
+def plain_quality(model, text):
+    """The score of a text by its own statistics, rule by rule."""
+    x = quality.statistics((text or "").encode())
+    margin = model.intercept + sum(w for rule, w in zip(model.rules, model.weights, strict=True) if all((x[f] > t) == above for f, t, above in rule))
+    return 1 / (1 + math.exp(-margin))
+
+
+def plain_language(model, text):
+    """Language and score of a text, n-gram by n-gram."""
+    kept = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    if not kept.strip():
+        return "und", 0.0
+    points = [ord(c) for c in " " + re.sub(" +", " ", kept) + " "]
+    found = Counter()
+    for n, spread in zip((1, 2, 3), language.SPREAD, strict=True):
+        for i in range(len(points) - n + 1):
+            h = points[i]
+            for c in points[i + 1 : i + n]:
+                h = (h * 0x01000193 & 0xFFFFFFFF) ^ c
+            found[(h * spread & 0xFFFFFFFF) >> 16] += 1
+    z = model.weights[-1].astype(float) + sum(c * model.weights[b].astype(float) for b, c in found.items()) / found.total()
+    e = [math.exp((x - max(z)) / model.temperature) for x in z]
+    return model.languages[e.index(max(e))], max(e) / sum(e)
+
+
+def test_quality_and_language_row_by_row(spark, sf):
+    """Every row of both registered queries is what a plain evaluation of the fitted model gives."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    model = quality.train(quality.with_statistics(docs.where(crc_mod("doc_id", 5) != 0)), spark.read.parquet(f"{sf}/labels.parquet"))
+    assert model.rules
+    for r in queries.QUERIES["op8_quality"](spark, sf).collect():
+        want = plain_quality(model, text[r.doc_id])
+        assert r.score == pytest.approx(want, abs=1e-12) and r.predicted == int(want >= 0.3)
+    model = language.train(docs.where(crc_mod("doc_id", 3) != 1))
+    for r in queries.QUERIES["op10_language"](spark, sf).collect():
+        name, score = plain_language(model, text[r.doc_id])
+        assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-3)
+
+
+def test_the_pipeline_from_end_to_end(spark, sf):
+    """run() against plain versions of all five stages, one after the other, over the whole small table."""
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.train(table.where(crc_mod("doc_id", 3) != 1).select("text", "lang"))
+    kept = [d for d, r in docs.items() if (p := plain_language(model, r.text))[0] != "und" and p[1] >= min(corpus_pipeline.LEAST_SCORE, model.usual)]
+    left = table.where(F.col("doc_id").isin(kept))
+    rules = quality.train(quality.with_statistics(left.where(crc_mod("doc_id", 5) != 0)), spark.read.parquet(f"{sf}/labels.parquet"))
+    kept = [d for d in kept if plain_quality(rules, docs[d].text) >= 0.3]
+    prints = {d: simhash.fingerprint(docs[d].text.encode()) % (1 << 64) for d in sorted(kept)}
+    group = {}
+    for d in prints:
+        todo = [] if d in group else [d]
+        while todo:
+            x = todo.pop()
+            group[x] = d
+            todo += [y for y in prints if y not in group and y not in todo and (prints[x] ^ prints[y]).bit_count() <= 4]
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    kept = [d for d in sorted(set(group.values())) if decontaminate.brute_force(docs[d].text, bench)[1] == 0]
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    e = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: list(r.ids) for r in corpus_pipeline.run(spark, sf).collect()}
+    assert sorted(got) == kept and all(got[d] == e.encode_ordinary(docs[d].text) for d in kept)
+
+
+def test_near_dedup_keeps_the_same_of_tied_rows(spark, sf):
+    """Rows of one id and one fingerprint that differ: whatever their order, the same one stays."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20)
+    first = docs.first()
+    ties = [(first.doc_id, first.text + end, lang, "x", n) for n, (end, lang) in enumerate([(" ", "a"), ("\n", "b"), ("", "c"), (" \n ", "d"), (" ", "a")])]
+    both = docs.unionByName(spark.createDataFrame(ties, docs.schema))
+    seen = {repr(sorted(map(repr, corpus_pipeline.near_dedup(spark, both.orderBy(F.rand(s)).repartition(n), sf).collect()))) for s, n in ((1, 1), (2, 5), (3, 3))}
+    assert len(seen) == 1
+
+
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -116,6 +117,46 @@ def test_chat_long_conversations_stay_in_parts(spark, partitions):
         assert row.formatted_chars == sum(len(chat.render(r, t)) for r, t in want)
 
 
+def test_chat_of_very_long_texts(spark):
+    """Work in proportion to the length: eight million characters in seconds, twice the length in about twice the time."""
+    took = []
+    for n in (1, 4, 8):
+        text = "word <|im_end|> é\U0001f600 " * (n * 1_000_000 // 20)
+        frame = spark.createDataFrame([(1, 0, "user", "ask"), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+        began = time.time()
+        row = chat.part_digests(chat.format_parts(chat.events_of(frame))).first()
+        took.append(time.time() - began)
+        assert (row.n_turns, row.loss_chars, row.loss_sha256) == (2, len(text), hashlib.sha256(text.encode()).hexdigest())
+    assert took[2] < 60 and took[2] < 4 * took[1] + 5
+
+
+def test_labels_with_very_many_texts_reach_the_driver_in_bounds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(y)) or quality.Ensemble([], [], 0.0))
+    docs = spark.createDataFrame([(i % 2, "w " * (i + 1)) for i in range(1500)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int")
+    stats = quality.with_statistics(docs).cache()
+    for most in (2, 300, 5000):
+        quality.train(stats, labels, most=most)
+    assert seen[0] < 20 and 200 < seen[1] < 400 and seen[2] == 1500
+    again = stats.repartition(7)
+    quality.train(again, labels, most=300)
+    assert seen[3] == seen[1]
+
+
+def test_long_texts_reach_the_driver_in_bounds(spark):
+    r = random.Random(2)
+    docs = [("".join(r.choice("abcdefghijklmnopqrstuvwxyzäöüß ") for _ in range(r.choice([50, 20_000]))), r.choice(["a", "b"])) for _ in range(120)]
+    frame = spark.createDataFrame(docs, "text string, lang string")
+    chosen, _ = language.drawn_features(frame, 60_000, 1)
+    sizes = [len(x.at) // 4 for x in chosen.collect()]
+    whole = [len(x.at) // 4 for x in language.drawn_features(frame, 1 << 40, 1)[0].collect()]
+    assert len(whole) == 120 and 0 < len(sizes) < 120 and sum(sizes) < 60_000 + max(whole)
+    assert Counter(sizes) == Counter(len(x.at) // 4 for x in language.drawn_features(frame.repartition(5), 60_000, 1)[0].collect())
+    model = language.train(frame, most_features=60_000)
+    assert model.languages == ["a", "b"]
+
+
 def test_statistics_and_rules(spark):
     assert quality.statistics(b"") == quality.statistics(b" \n ") == [0.0] * len(quality.STATISTICS)
     r = random.Random(2)

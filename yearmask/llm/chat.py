@@ -66,7 +66,8 @@ def turns_of(formatted: str) -> Iterator[tuple[str, str]]:
 
 def events_of(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", piece: int = 256) -> DataFrame:
     """The log that whole turns would have left: each row opens a message of its own; assistants stream, break off,
-    start again and stream the text in pieces; others write and then edit. Null roles and texts count as empty.
+    start again and stream the text in pieces; others write and then edit. Null roles and texts count as empty. The work is
+    in proportion to the length of a text, which has to fit a row.
 
     Rows of one turn number stay separate turns, ordered by a hash of role and text, then by their place in the input.
     """
@@ -78,8 +79,8 @@ def events_of(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
         return F.struct(F.lit(seq).cast("long").alias("seq") if isinstance(seq, int) else seq.cast("long").alias("seq"), F.lit(kind).alias("kind"), body.alias("body"))
 
     base = turns.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("message"), stream.alias("stream"), r.alias("role"), t.alias("text"))
-    pieces = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("text") - 1) / F.lit(piece))).cast("int"))
-    streamed = F.transform(pieces, lambda i: event(i + 3, DELTA, F.substring(F.col("text"), i * piece + 1, F.lit(piece))))
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{piece}}}"), F.lit(0))  # the text is gone through once, however long
+    streamed = F.transform(pieces, lambda body, i: event(i + 3, DELTA, body))
     assistant = F.concat(F.array(event(0, OPEN, F.lit("")), event(1, DELTA, F.substring(F.col("text"), F.lit(1), F.lit(16))), event(2, REGENERATE, F.lit(""))), streamed)
     other = F.array(event(0, OPEN, F.lit("")), event(1, DELTA, F.substring(F.col("text"), F.lit(1), F.lit(16))), event(2, EDIT, F.col("text")))
     log = base.select("conv_id", "message", "stream", "role", F.explode(F.when(F.col("role") == "assistant", assistant).otherwise(other)).alias("e"))

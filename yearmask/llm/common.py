@@ -98,13 +98,14 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-def numbered(rows: DataFrame, order: list[Column], name: str, within: str | None = None) -> DataFrame:
+def numbered(rows: DataFrame, order: list[Column], name: str, within: str | None = None, keep_part: bool = False) -> DataFrame:
     """Adds the place of each row in an order, from 0 without gaps: over the whole table, or for each value of a column
     that is never null. Rows that tie are numbered as they were read.
 
     No value and no run of ties is sorted in one task: rows are dealt into ranges of value, order and the row's own number,
     written sorted, and each range adds what the ranges before it hold, one small row for each range and value. Rows are
-    shuffled once, so they should be narrow, and read twice, so they should be a table.
+    shuffled once, so they should be narrow, and read twice, so they should be a table. ``__part``, the range of each row,
+    stays if it is asked for.
     """
     keys = [*([F.col(within)] if within else []), *order, F.col("__row")]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -114,7 +115,18 @@ def numbered(rows: DataFrame, order: list[Column], name: str, within: str | None
     held = stored.groupBy("__within", "__part").agg(F.min("__at").alias("first"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("__within").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     held = held.select("__within", "__part", (before - F.col("first")).alias("__shift"))  # at most a row for each range and one for each value
-    return stored.join(F.broadcast(held), ["__within", "__part"]).withColumn(name, F.col("__at") + F.col("__shift")).drop("__within", "__part", "__at", "__shift")
+    return stored.join(F.broadcast(held), ["__within", "__part"]).withColumn(name, F.col("__at") + F.col("__shift")).drop("__within", "__at", "__shift", *([] if keep_part else ["__part"]))
+
+
+def carried(rows: DataFrame, order: list[Column], within: str, size: str, name: str) -> DataFrame:
+    """Adds the sum of ``size`` (a long) over the rows before each row in an order, inside each value of a column that is
+    never null: what ``numbered`` does for counts, and split in the same way."""
+    at = numbered(rows, order, "__n", within, keep_part=True)
+    held = at.groupBy(within, "__part").agg(F.sum(size).alias("__sum"))
+    before = F.coalesce(F.sum("__sum").over(Window.partitionBy(within).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.coalesce(F.sum(size).over(Window.partitionBy(within, "__part").orderBy("__n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = held.select(within, "__part", before.alias("__shift"))
+    return at.withColumn("__inside", inside).join(shift, [within, "__part"]).withColumn(name, (F.col("__inside") + F.col("__shift")).cast("long")).drop("__n", "__part", "__inside", "__shift")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

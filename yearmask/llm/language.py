@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yearmask.llm.common import discard, materialize
+
 BUCKETS = 1 << 16
 #: an odd multiplier for each length of n-gram
 SPREAD = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
@@ -121,11 +123,34 @@ def temperature(logits: np.ndarray, classes: np.ndarray) -> float:
     return best[1]
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1500, most: int = 12_000, seed: int = 10) -> Model:
+def drawn_features(sample: DataFrame, most: int, seed: int) -> tuple[DataFrame, str]:
+    """(at, c, lang) of sampled texts, by a hash of the text as many as have about ``most`` features in all: long texts make
+    fewer rows, never a larger driver. The one that begins beyond the bound is the first that is left out."""
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, k, h in zip(*batch.columns, strict=True):
+                g = grams(t.as_py())
+                if g is not None:
+                    at, c = np.unique(g, return_counts=True)
+                    yield pa.RecordBatch.from_pydict({"at": pa.array([at.astype("<i4").tobytes()], pa.binary()), "c": pa.array([c.astype("<i4").tobytes()], pa.binary()), "lang": [k.as_py()], "n": pa.array([len(at)], pa.int64()), "h": [h.as_py()]})
+
+    hashed = sample.select("text", "lang", F.xxhash64("text", F.lit(seed + 1)).alias("h"))
+    stored, path = materialize(hashed.mapInArrow(features, "at binary, c binary, lang string, n long, h long"), "features")
+    total = 0
+    for h, n in stored.select("h", "n").orderBy("h").collect():  # two numbers for each sampled text
+        if total >= most:
+            return stored.where(F.col("h") < h).select("at", "c", "lang"), path
+        total += n
+    return stored.select("at", "c", "lang"), path
+
+
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1500, most: int = 12_000, seed: int = 10, most_features: int = 24_000_000) -> Model:
     """A model of the non-null languages of docs, at most 1,000 of them (more are an error).
 
     The weights are fitted on about ``per_language`` texts of each language, fewer if there would be more than ``most`` in
-    all. They are drawn by a hash of the text, copies counting once, so a table gives the same model however its rows are
+    all, and no more than have about ``most_features`` features (16 bytes each on the driver), which very long texts have
+    sooner. They are drawn by a hash of the text, copies counting once, so a table gives the same model however its rows are
     dealt and ordered, and a text with many copies is one text. Rows without letters are left out; without any row there
     are no languages, and every prediction is ``und``.
     """
@@ -142,18 +167,12 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     bound = F.element_at(F.create_map(*[F.lit(x) for k, v in counts.items() for x in (k, int(min(1.0, each / v) * (1 << 30)))]), F.col("lang"))
     sample = known.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) < bound).distinct()
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t, k in zip(batch.column(0), batch.column(1), strict=True):
-                g = grams(t.as_py())
-                if g is not None:
-                    at, c = np.unique(g, return_counts=True)
-                    yield pa.RecordBatch.from_pydict({"at": pa.array([at.astype("<i4").tobytes()], pa.binary()), "c": pa.array([c.astype("<i4").tobytes()], pa.binary()), "lang": [k.as_py()]})
-
+    chosen, path = drawn_features(sample, most_features, seed)
     rows = []
-    for r in sample.mapInArrow(features, "at binary, c binary, lang string").toLocalIterator():  # at most some ``most`` rows of 8 bytes a bucket
+    for r in chosen.toLocalIterator():
         at, c = np.frombuffer(r["at"], dtype="<i4"), np.frombuffer(r["c"], dtype="<i4").astype(float)
         rows.append((np.append(at, BUCKETS), np.append(idf[at] * c / c.sum(), 1.0), languages.index(r["lang"])))
+    discard(docs.sparkSession, path)
     rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes(), r[1].tobytes()))  # the same whatever order they came in
     rows = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
     fit, held = [r for i, r in enumerate(rows) if i % 5], rows[::5]

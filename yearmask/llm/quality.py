@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yearmask.llm.common import text_bytes
+from yearmask.llm.common import discard, materialize, text_bytes
 
 UPPER, LOWER, DIGIT, SPACE = (bytes(range(a, b)) for a, b in ((65, 91), (97, 123), (48, 58), (9, 14)))
 HIGH = bytes(range(128, 256))
@@ -191,16 +191,22 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = 40_000, seed: int =
     return docs.join(F.broadcast(known), F.col("doc_id") == F.col("__id")).drop("__id")
 
 
-def train_on(stats: DataFrame) -> Ensemble:
-    """Fits on rows of (doc_id, the statistics, __y) as of ``labelled``; repeated rows count once."""
+def train_on(stats: DataFrame, most: int = 40_000, seed: int = 8) -> Ensemble:
+    """Fits on rows of (doc_id, the statistics, __y) as of ``labelled``; repeated rows count once. About ``most`` rows reach
+    the driver: if ids with many different texts make more, they are drawn by a hash of the row."""
     names = [f"s_{s}" for s in STATISTICS]
-    got = stats.select("doc_id", "__y", *names).distinct().toPandas().sort_values(["doc_id", "__y", *names], kind="stable")
+    known, path = materialize(stats.select("doc_id", "__y", *names).distinct(), "labelled")
+    n = known.count()
+    if n > most:
+        known = known.where(F.pmod(F.xxhash64("doc_id", "__y", *names, F.lit(seed)), F.lit(1 << 30)) < F.lit(int(most / n * (1 << 30))))
+    got = known.toPandas().sort_values(["doc_id", "__y", *names], kind="stable")
+    discard(stats.sparkSession, path)
     return fit(got[names].to_numpy(dtype=float), got["__y"].to_numpy())
 
 
 def train(stats: DataFrame, labels: DataFrame, most: int = 40_000, seed: int = 8) -> Ensemble:
     """Fits on the rows of ``stats`` (doc_id and the statistics) that ``labelled`` draws."""
-    return train_on(labelled(stats, labels, most, seed))
+    return train_on(labelled(stats, labels, most, seed), most, seed)
 
 
 def with_quality(stats: DataFrame, model: Ensemble, threshold: float = 0.3, score: str = "score", predicted: str = "predicted") -> DataFrame:

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearmask.llm.common import materialize
+from yearmask.llm.common import carried, materialize
 
 #: bytes of a lowest range, and how many ranges of a level make one of the next
 RANGE, FAN = 1 << 15, 16
@@ -35,19 +35,22 @@ def records_of(pages: DataFrame, per_archive: int = 256) -> DataFrame:
 def laid_out(records: DataFrame, *more: str, by: str = "sha256") -> DataFrame:
     """(archive, record_id, offset, length, sha256, more): where each record begins in its archive.
 
-    Records are ordered by id, then by digest, or by another column that says how they were written. Only these narrow rows are dealt to archives: the records' bytes are
-    hashed where they are read and never shuffled.
+    Records are ordered by id, then by digest, or by another column that says how they were written; equal ones as they
+    were read. Only these narrow rows are shuffled: the records' bytes are hashed where they are read. An archive of very many
+    records, as repeated or null ids make it, is laid out in ranges (``carried``), never in one task.
     """
-    narrow = records.select("archive", "record_id", "length", "sha256", *more)
-    before = Window.partitionBy("archive").orderBy("record_id", by).rowsBetween(Window.unboundedPreceding, -1)
-    return narrow.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+    narrow, _ = materialize(records.select("archive", "record_id", "length", "sha256", *more), "records")
+    return carried(narrow, [F.col("record_id"), F.col(by)], "archive", "length", "offset")
 
 
 def leaves(records: DataFrame) -> DataFrame:
     """(archive, level, node, hash): level 0, one leaf a record, its node the offset. A record that lies at the offset of
     another (repeated rows of a replica's listing) is hashed with it."""
     own = records.select("archive", F.col("offset").alias("node"), F.sha2(F.concat_ws(":", F.lit("leaf"), "offset", "length", "sha256"), 256).alias("hash"))
-    return own.groupBy("archive", "node").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("hash")), ""), 256).alias("hash")).select("archive", F.lit(0).alias("level"), "node", "hash")
+    words = [F.conv(F.substring("hash", at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 16, 31, 46)]
+    # sums of a digest's parts: the same in any order, added up before the shuffle, and never a list
+    sums = own.groupBy("archive", "node").agg(F.count("*").alias("n"), *[F.sum(w).alias(f"w{i}") for i, w in enumerate(words)])
+    return sums.select("archive", F.lit(0).alias("level"), "node", F.sha2(F.concat_ws(":", "n", "w0", "w1", "w2", "w3"), 256).alias("hash"))
 
 
 def grow(level: DataFrame, n: int) -> DataFrame:
