@@ -59,14 +59,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates: the one of the smallest doc_id.
 
     Texts without words all have fingerprint 0 and are one group. A null id counts as the largest, so such a row stays only
-    if its group has no other; of rows with the same id and fingerprint one stays, whichever.
+    if its group has no other. Of rows with the same id and fingerprint the one whose columns have the smallest hash stays;
+    of equal rows any, which gives the same table.
     """
-    printed = simhash.with_fingerprint(apart(docs), text="d_text").withColumn("id", F.coalesce(F.col("d_doc_id").cast("string"), F.lit("")))
+    own = apart(docs)
+    order = F.xxhash64(F.to_json(F.struct(*own.columns)))
+    printed = simhash.with_fingerprint(own, text="d_text").withColumns({"id": F.coalesce(F.col("d_doc_id").cast("string"), F.lit("")), "order": order, "row": F.monotonically_increasing_id()})
     printed, _ = materialize(printed, "printed")
     grouped = simhash.near_duplicates(printed.select(F.col("d_doc_id").alias("doc_id"), "fingerprint"), radius=4)
     first = grouped.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")).alias("x"))
     keep = first.select(F.coalesce(F.col("x.doc_id").cast("string"), F.lit("")).alias("id"), F.col("x.fingerprint").alias("fingerprint"))
-    return as_before(printed.join(keep, ["id", "fingerprint"], "left_semi").dropDuplicates(["id", "fingerprint"]), docs)
+    rows = printed.select("id", "fingerprint", "order", "row").join(keep, ["id", "fingerprint"], "left_semi").groupBy("id", "fingerprint").agg(F.min(F.struct("order", "row")).alias("x")).select("x.row")
+    return as_before(printed.join(rows, "row", "left_semi"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
