@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import importlib
+import random
 import sys
 from pathlib import Path
 
@@ -188,6 +189,26 @@ def test_greedy_portfolio(spark):
         assert [p["region"] for p in P.greedy(frame, sketch, most, budget)] == plain_greedy(regions, sets, most, budget)
 
 
+def test_greedy_portfolio_is_lazy_and_knows_what_it_cannot_tell(spark):
+    r = random.Random(8)
+    sets = {f"r{i:03}": [f"v{r.randrange(40 + 4 * i)}" for _ in range(30 + i)] for i in range(120)}
+    regions = {k: (len(set(v)), float(len(set(v))) * (i + 1), 100.0 + i) for i, (k, v) in enumerate(sets.items())}
+    frame = spark.createDataFrame([(k, *v) for k, v in regions.items()], "region string, items long, eed double, bytes double")
+    sketch = M.minhash(spark.createDataFrame([(k, v) for k, vs in sets.items() for v in vs], "region string, v string"), "region", "v").cache()
+    scored, every = [], []
+    lazy = [p["region"] for p in P.greedy(frame, sketch, 6, 1e9, first=8, scored=scored)]
+    assert lazy == [p["region"] for p in P.greedy(frame, sketch, 6, 1e9, first=10_000, scored=every)] == plain_greedy(regions, {k: sorted(set(v)) for k, v in sets.items()}, 6, 1e9)
+    assert every == [120, 119, 118, 117, 116, 115] and sum(scored) < sum(every) / 2
+    # without sketches all overlap alike once something is covered; overhead counts against the budget
+    none = sketch.where("false")
+    got = P.greedy(frame, none, 3, 1e9)
+    best = sorted(regions, key=lambda k: (-regions[k][1] / regions[k][2], k))
+    assert [p["region"] for p in got] == best[:3] and got[0]["added"] == got[0]["eed"] and got[1]["added"] == pytest.approx(got[1]["eed"] * (1 - P.UNKNOWN_OVERLAP))
+    assert len(P.greedy(frame, none, 3, 700.0, overhead=200.0)) == 1
+    mixed = P.greedy(frame, sketch.where(F.col("region") != best[0]), 2, 1e9)
+    assert [p["region"] for p in mixed] == best[:2] and mixed[1]["added"] == pytest.approx(mixed[1]["eed"] * (1 - P.UNKNOWN_OVERLAP))
+
+
 def test_diverse_batches(spark):
     scored = spark.createDataFrame([("k1", 3.0, "m", "i"), ("k2", 2.9, "m", "i"), ("k3", 2.2, "n", "i"), ("k4", 0.1, "o", "j")], "key string, score double, mechanism string, institution string")
     assert [r["key"] for r in A.greedy_diverse(scored, "key", "score", "mechanism", "institution", 3)] == ["k1", "k3", "k2"]

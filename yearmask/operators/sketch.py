@@ -98,6 +98,35 @@ def overlap_penalty(candidates: DataFrame, active: DataFrame, group: str, size:
     return asked.join(highest, "class", "left").select(F.col("__group").alias(group), F.coalesce("penalty", F.lit(0.0)).alias("penalty"))
 
 
+#: bits of a fan-out sketch; its counts can only be too low, by what falls onto a bit that is set
+FANOUT_BITS = 63
+
+
+def fanout(children: DataFrame, keys: list[str], child: str) -> DataFrame:
+    """G31 as a sketch: (keys, sketch, children): one bit for each child, by a hash, so that a key of any fan-out is one
+    number. Sketches of batches merge; a child that comes again changes nothing."""
+    bit = F.conv(F.substring(F.md5(F.col(child)), 1, 15), 16, 10).cast("long") % FANOUT_BITS
+    set_bits = F.expr("shiftleft(1L, CAST(__bit AS INT))")
+    rows = children.where(F.col(child).isNotNull()).withColumn("__bit", bit).groupBy(*keys).agg(F.bit_or(set_bits).alias("sketch"))
+    return rows.withColumn("children", F.bit_count("sketch").cast("long"))
+
+
+def merged_fanout(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """The sketches of several batches as one pass over all of them would give."""
+    return sketches.groupBy(*keys).agg(F.bit_or("sketch").alias("sketch")).withColumn("children", F.bit_count("sketch").cast("long"))
+
+
+def distinct_sketch(children: DataFrame, keys: list[str], child: str, lg: int = 12) -> DataFrame:
+    """(keys, sketch): an HLL sketch of the distinct children, 2**lg registers: for counts beyond what 63 bits tell, with a
+    standard error of about 1.04 / sqrt(2**lg), 1.6 %."""
+    return children.groupBy(*keys).agg(F.hll_sketch_agg(child, lg).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, sketch, children) of the HLL sketches of several batches."""
+    return sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch")).withColumn("children", F.hll_sketch_estimate("sketch"))
+
+
 def intersection(left: Column, right: Column, jaccard: Column) -> Column:
     """U8: the size of an intersection from two sizes and a Jaccard estimate, no larger than either."""
     return F.least(left.cast("double"), right.cast("double"), jaccard * (left + right) / (1 + jaccard))

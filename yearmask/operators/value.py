@@ -58,8 +58,13 @@ def source_value(direct: Column, descendants: Column, uncertainty: Column, overl
 def unseen(observed: DataFrame, group: str, key: str) -> DataFrame:
     """Per group the observations, distinct keys, keys seen once and twice, the unseen share (Good-Turing) and
     the opportunity, which is that share of what was observed. Two levels: keys are counted before groups."""
-    per_key = observed.groupBy(group, key).agg(F.count("*").alias("c"))
-    out = per_key.groupBy(group).agg(F.sum("c").alias("observations"), F.count("*").alias("distinct_keys"), F.count_if(F.col("c") == 1).alias("singletons"), F.count_if(F.col("c") == 2).alias("doubletons"))
+    return unseen_of(observed.groupBy(group, key).agg(F.count("*").alias("c")), group, "c")
+
+
+def unseen_of(counts: DataFrame, group: str, count: str, extra: list[Column] | None = None) -> DataFrame:
+    """``unseen`` of keys that are counted already: a row for each group and key. ``extra`` are aggregates to go with it."""
+    c = F.col(count)
+    out = counts.groupBy(group).agg(F.sum(c).alias("observations"), F.count("*").alias("distinct_keys"), F.count_if(c == 1).alias("singletons"), F.count_if(c == 2).alias("doubletons"), *(extra or []))
     share = ratio(F.col("singletons"), F.col("observations"))
     return out.withColumn("unseen_fraction", share).withColumn("opportunity", share * F.greatest(F.lit(1), F.col("distinct_keys")))
 

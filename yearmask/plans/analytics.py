@@ -25,13 +25,14 @@ n AS (SELECT p.source_id, count(*) AS pairs, count(*) FILTER (WHERE b.host IS NU
 SELECT source_id, observations, hosts, singletons, doubletons, pairs, novel_pairs, novel_pair_eed, singletons / observations AS unseen_fraction, singletons / observations * greatest(1, hosts) AS opportunity FROM f JOIN n USING (source_id)""")
 def g13_scout_measurement(spark: SparkSession, sf: str) -> DataFrame:
     """What each source holds, what of it is new, and how much of it is still unseen."""
-    rows = D.log(spark, sf)
-    known = rows.where("lane = 'R'").select("host", "year").distinct().withColumn("known", F.lit(True))
-    seen = A.unseen(rows, "source_id", "host").withColumnRenamed("distinct_keys", "hosts")
-    pairs = rows.select("source_id", "host", "year").distinct().join(known, ["host", "year"], "left").withColumn("tld", H.tld(F.col("host"))).join(D.weights(spark, sf), "tld", "left")
-    new = F.col("known").isNull()
-    n = pairs.groupBy("source_id").agg(F.count("*").alias("pairs"), F.count_if(new).alias("novel_pairs"), F.coalesce(F.sum(F.when(new, F.coalesce("weight", F.lit(0)).cast(E.WEIGHT))), F.lit(0)).cast("double").alias("novel_pair_eed"))
-    return seen.join(n, "source_id")
+    # one scan: what follows is made of the counts of each source, host and year; a host-year has a row a source at most
+    pairs = D.log(spark, sf).groupBy("source_id", "host", "year").agg(F.count("*").alias("c"), F.bool_or(F.col("lane") == "R").alias("r"))
+    marked = pairs.withColumn("known", F.max("r").over(Window.partitionBy("host", "year")))
+    hosts = marked.groupBy("source_id", "host").agg(F.sum("c").alias("c"), F.count("*").alias("pairs"), F.count_if(~F.col("known")).alias("novel_pairs"))
+    weighed = hosts.withColumn("tld", H.tld(F.col("host"))).join(D.weights(spark, sf), "tld", "left")
+    eed = F.col("novel_pairs").cast("decimal(18,0)") * F.coalesce("weight", F.lit(0)).cast(E.WEIGHT)
+    extra = [F.sum("pairs").alias("pairs"), F.sum("novel_pairs").alias("novel_pairs"), F.sum(eed).cast("double").alias("novel_pair_eed")]
+    return A.unseen_of(weighed, "source_id", "c", extra).withColumnRenamed("distinct_keys", "hosts")
 
 
 @query("g15_year_hint_pairs", f"WITH {D.CAPTURES} SELECT DISTINCT host, coalesce(CASE WHEN seq % 3 = 0 THEN year END, 1998) AS year FROM captures WHERE host IS NOT NULL AND (seq % 3 <> 0 OR year BETWEEN 1996 AND 2001)")
@@ -173,6 +174,23 @@ def g31_child_fanout(spark: SparkSession, sf: str) -> DataFrame:
     return hosts.groupBy("parent").agg(F.count("*").alias("children"))
 
 
+@query("g31_fanout_sketch", f"""
+WITH {D.VALID}, h AS (SELECT DISTINCT host, string_split(host, '.') AS l FROM valid), p AS (SELECT host, array_to_string(l[2:], '.') AS parent FROM h WHERE len(l) >= 3 AND NOT (length(list_extract(l, -1)) = 2 AND len(l) < 4))
+SELECT parent, bit_or(1::BIGINT << CAST(CAST('0x' || substr(md5(host), 1, 15) AS BIGINT) % 63 AS INT)) AS sketch, CAST(bit_count(bit_or(1::BIGINT << CAST(CAST('0x' || substr(md5(host), 1, 15) AS BIGINT) % 63 AS INT))) AS BIGINT) AS children FROM p GROUP BY parent""")
+def g31_fanout_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """The sketches of each year's hosts, kept apart and merged."""
+    rows = D.valid_captures(spark, sf).select("year", "host", H.parent_domain(F.col("host")).alias("parent")).where("parent is not null")
+    return M.merged_fanout(G.stored(M.fanout(rows, ["year", "parent"], "host"), "fanout"), ["parent"])
+
+
+@query("k5_sketched_fanout", f"""
+WITH {D.VALID}, h AS (SELECT DISTINCT host, string_split(host, '.') AS l FROM valid), p AS (SELECT host, array_to_string(l[2:], '.') AS parent FROM h WHERE len(l) >= 3 AND NOT (length(list_extract(l, -1)) = 2 AND len(l) < 4)),
+c AS (SELECT parent, CAST(bit_count(bit_or(1::BIGINT << CAST(CAST('0x' || substr(md5(host), 1, 15) AS BIGINT) % 63 AS INT))) AS BIGINT) AS children FROM p GROUP BY parent) SELECT parent, children FROM c WHERE children >= 4 ORDER BY children DESC, parent LIMIT 50""")
+def k5_sketched_fanout(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 over the sketches: parents with four children or more, most first."""
+    return g31_fanout_sketch(spark, sf).where("children >= 4").select("parent", "children").orderBy(F.desc("children"), "parent").limit(50)
+
+
 @query("g32_resource_summary", f"""
 WITH {D.RUNS} SELECT kind AS state, count(*) AS samples, max(cost) AS highest, min(cost) AS lowest, avg(cost) AS mean FROM runs WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20' GROUP BY kind""")
 def g32_resource_summary(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yearmask.functions import hosts as H
@@ -93,14 +93,15 @@ SELECT seq, CAST(direct_mask AS INT) AS direct_mask, CAST((CASE WHEN NOT (allow
 def j6_evidence_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Which years are proven directly, and which are still to be asked for."""
     rows, s = D.valid_captures(spark, sf), F.col("seq")
-    masks = {"official_mask": V.mask_by_host(rows.where("status = 'F'")), "local_mask": V.mask_by_host(rows.where("status = 'O' and seq % 2 = 0"))}
+    own = H.bit(F.col("year"))
+    local = (F.col("status") == "O") & (s % 2 == 0)  # open orders of odd numbers stand for what isn't local
+    masks = rows.groupBy("host").agg(F.bit_or(F.when(F.col("status") == "F", own).otherwise(0)).alias("official_mask"), F.bit_or(F.when(local, own).otherwise(0)).alias("local_mask"))
     o = rows.select(
         s, "host", F.col("year").alias("source_year"), (s % 3 == 0).alias("allow_direct"), F.when(s % 10 == 1, "COMMON_CRAWL_CORPUS_EXCLUDED").otherwise("LOCAL_DISCOVERY").alias("scope"),
         F.when(s % 4 == 0, H.bit(F.col("year"))).otherwise(0).alias("direct_year_mask"), F.when(s % 5 == 0, 3).otherwise(0).alias("year_hint_mask"),
     )
-    for name, m in masks.items():
-        o = o.join(m.withColumnRenamed("year_mask", name), "host", "left")
-    o = o.join(V.coverage_mask(tasks(spark, sf)), "host", "left").fillna(0, ["official_mask", "local_mask", "covered_mask"])
+    known = masks.join(V.coverage_mask(tasks(spark, sf)), "host", "left")
+    o = o.join(known, "host", "left").fillna(0, ["official_mask", "local_mask", "covered_mask"])
     return V.plan(o).select("seq", "direct_mask", "query_mask")
 
 
@@ -338,17 +339,28 @@ SELECT source_id, raw_lines, valid, raw_lines - valid AS invalid, valid - unique
 def g12_source_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Raw, valid, invalid, duplicate and unique hosts of each source, and what of them is known. A source without any
     valid line has a row too."""
-    return source_audit(D.captures(spark, sf), D.baseline(spark, sf), D.valid_captures(spark, sf).where("provider = 'ia'"))
+    inside = F.expr(D.IN_WINDOW.format(c="ts"))
+    marks = D.captures(spark, sf).select("source_id", "host", (inside & (F.col("status") == "F")).alias("base"), (inside & (F.col("provider") == "ia")).alias("candidate"))
+    # one scan: a host has a row a source at most, once they are counted, and what any of them knows all know
+    per_host = marks.groupBy("source_id", "host").agg(F.count("*").alias("n"), F.bool_or("base").alias("base"), F.bool_or("candidate").alias("candidate"))
+    of_host = Window.partitionBy("host")
+    return audit_counts(per_host.select("source_id", "host", "n", F.max("base").over(of_host).alias("base"), F.max("candidate").over(of_host).alias("candidate")))
 
 
 def source_audit(rows: DataFrame, baseline: DataFrame, candidates: DataFrame) -> DataFrame:
     """G12 of rows (source_id, host; null: not valid), baseline host-years and candidate hosts."""
     per_host = rows.groupBy("source_id", "host").agg(F.count("*").alias("n"))
-    known = V.resolve(per_host.where("host is not null"), V.mask_by_host(baseline), candidates)
-    base = F.col("baseline_mask") != 0
-    v = known.groupBy("source_id").agg(F.sum("n").alias("valid"), F.count("*").alias("unique_hosts"), F.count_if(base).alias("in_baseline"), F.count_if(~base & F.col("is_candidate")).alias("in_candidates"))
-    r = per_host.groupBy("source_id").agg(F.sum("n").alias("raw_lines"))
-    a = r.join(v, "source_id", "left").fillna(0, ["valid", "unique_hosts", "in_baseline", "in_candidates"])
+    known = V.resolve(per_host, V.mask_by_host(baseline), candidates)
+    return audit_counts(known.select("source_id", "host", "n", (F.col("baseline_mask") != 0).alias("base"), F.col("is_candidate").alias("candidate")))
+
+
+def audit_counts(hosts: DataFrame) -> DataFrame:
+    """G12 of (source_id, host, n, base, candidate), a row for each source and host and one for all its lines without."""
+    valid, base = F.col("host").isNotNull(), F.col("base") & F.col("host").isNotNull()
+    a = hosts.groupBy("source_id").agg(
+        F.sum("n").alias("raw_lines"), F.coalesce(F.sum(F.when(valid, F.col("n"))), F.lit(0)).alias("valid"), F.count("host").alias("unique_hosts"), F.count_if(base).alias("in_baseline"),
+        F.count_if(valid & ~base & F.col("candidate")).alias("in_candidates"),
+    )
     return a.select("source_id", "raw_lines", "valid", (F.col("raw_lines") - F.col("valid")).alias("invalid"), (F.col("valid") - F.col("unique_hosts")).alias("duplicates"), "unique_hosts", "in_baseline", "in_candidates", (F.col("unique_hosts") - F.col("in_baseline") - F.col("in_candidates")).alias("remainder"))
 
 

@@ -11,6 +11,7 @@ from yearmask.operators import graph as G
 from yearmask.operators import portfolio as P
 from yearmask.operators import sketch as M
 from yearmask.operators import value as A
+from yearmask.operators.evidence import mask_by_host
 from yearmask.plans import derived as D
 from yearmask.plans.flagship import b7_reconcile_candidates
 from yearmask.plans.registry import query
@@ -201,6 +202,39 @@ def a22_annual_output(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(path).groupBy(F.col("year").cast("int").alias("year")).agg(F.count("*").alias("lines"))
 
 
+@query("a22_submission_audit", f"""
+WITH {D.VALID}, f AS (SELECT host, year, arg_min(kind, seq) AS lane FROM valid GROUP BY host, year), m AS (SELECT host, {D.BITS} AS m FROM valid WHERE status <> 'P' GROUP BY host)
+SELECT year, count(*) AS lines, count(*) AS evidence_rows, 0 AS unproven, 0 AS unlisted, count(*) FILTER (WHERE coalesce(m, 0) & CAST(1 << CAST(year - 1996 AS INT) AS INT) = 0) AS not_allowed, 0 AS files_out_of_order,
+ count(*) FILTER (WHERE coalesce(m, 0) & CAST(1 << CAST(year - 1996 AS INT) AS INT) = 0) = 0 AS sound FROM f LEFT JOIN m USING (host) GROUP BY year""")
+def a22_submission_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists, evidence rows and lane counts, written and audited as they are read back. What is allowed is what
+    orders that aren't under way show, so the audit has something to find."""
+    rows = D.valid_captures(spark, sf)
+    path = work_folder(spark, "submission")
+    sinks.write_submission(rows.withColumn("lane", F.col("kind")), path)
+    return sinks.audit_submission(spark, path, mask_by_host(rows.where("status <> 'P'")))
+
+
+@query("a22_lane_counts", f"WITH {D.VALID}, f AS (SELECT host, year, arg_min(kind, seq) AS lane FROM valid GROUP BY host, year) SELECT year, lane, count(*) AS host_years FROM f GROUP BY year, lane")
+def a22_lane_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The host-years of each year and lane, as they are written beside the lists."""
+    path = work_folder(spark, "submission")
+    lanes = sinks.write_submission(D.valid_captures(spark, sf).withColumn("lane", F.col("kind")), path)
+    return spark.read.schema(lanes.schema).parquet(f"{path}/lanes")
+
+
+@query("a24_file_digests", f"""
+WITH {D.VALID}, h AS (SELECT DISTINCT year, seq // 8192 AS chunk, seq, host FROM valid)
+SELECT year, CAST(chunk AS BIGINT) AS chunk, CAST(sum(strlen(host) + 1) AS BIGINT) AS length, sha256(string_agg(host || chr(10), '' ORDER BY seq)) AS sha256 FROM h GROUP BY year, chunk""")
+def a24_file_digests(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes and digests of files of hosts, one for a year's captures of some orders."""
+    path = work_folder(spark, "digests")
+    rows = D.valid_captures(spark, sf).select("year", F.floor(F.col("seq") / 8192).alias("chunk"), "seq", F.col("host").alias("value"))
+    rows.repartition("year", "chunk").sortWithinPartitions("year", "chunk", "seq").drop("seq").write.partitionBy("year", "chunk").text(path)
+    told = [F.regexp_extract("path", rf"{name}=(\d+)/", 1).cast(kind).alias(name) for name, kind in (("year", "int"), ("chunk", "long"))]
+    return sinks.manifest(spark, f"{path}/*/*/*").select(*told, "length", "sha256")
+
+
 @query("a23_candidate_output", f"""
 WITH {D.BASE}, r AS (SELECT coalesce(host, raw) AS h, CASE WHEN host IS NULL THEN 'unparsed' WHEN seq % 11 = 0 THEN 'reference' WHEN seq % 13 = 0 THEN 'excluded' ELSE 'active' END AS bucket, host FROM captures)
 SELECT bucket, count(DISTINCT h) AS hosts FROM r WHERE bucket <> 'active' OR host NOT IN (SELECT host FROM baseline) GROUP BY bucket""")

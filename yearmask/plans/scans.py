@@ -16,6 +16,7 @@ from yearmask.plans.registry import query
 from yearmask.sources import framing as R
 from yearmask.sources import lines as L
 from yearmask.sources import mail
+from yearmask.sources import schema as S
 from yearmask.sources import sinks
 from yearmask.streaming.evidence import work_folder
 
@@ -95,6 +96,36 @@ def a10_field_inference(spark: SparkSession, sf: str) -> DataFrame:
     return L.infer_fields(customer.select("file", F.to_json(record).alias("value")))
 
 
+@query("a10_delimited_inference", """
+SELECT CAST(r_regionkey AS INT) AS file, [',', chr(9), ';', '|', ','][r_regionkey + 1] AS delimiter, r_regionkey % 2 = 0 AS has_header, CASE WHEN r_regionkey < 4 THEN 1 END AS host_column, CASE WHEN r_regionkey < 4 THEN 3 END AS time_column, r_regionkey = 0 AS says_capture, n AS records
+FROM region JOIN (SELECT n_regionkey, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey) ON n_regionkey = r_regionkey""")
+def a10_delimited_inference(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: the delimiter, header, host and time column of customers written as five files: quoted CSV, TSV, with semicolons,
+    with bars, and one with two host columns."""
+    nation = D.table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("file"))
+    rows = D.table(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    site, f = F.concat(F.lit("c"), "c_custkey", F.lit(".example.com")), F.col("file")
+    d = F.element_at(F.array(*map(F.lit, S.DELIMITERS), F.lit(",")), f + 1)
+    quoted = F.concat(F.lit('"'), F.replace(F.col("c_name"), F.lit("#"), F.lit(", ")), F.lit('"'))
+    body = F.concat_ws("\x00", quoted, F.concat(F.lit("http://"), site, F.lit("/")), F.col("c_acctbal").cast("string"), F.lit("1999-05-06"), F.when(f == 4, site).otherwise("x"))
+    head = F.concat_ws("\x00", F.lit("name"), F.when(f == 0, "url").otherwise("site"), F.lit("balance"), F.when(f == 0, "Timestamp").otherwise("seen"), F.lit("rest"))
+    lines = rows.select("file", (F.col("c_custkey") + 2).alias("line"), F.replace(body, F.lit("\x00"), d).alias("value"))
+    heads = nation.select("file").distinct().where("file % 2 = 0").select("file", F.lit(1).cast("long").alias("line"), F.replace(head, F.lit("\x00"), d).alias("value"))
+    return S.infer_columns(lines.unionByName(heads)).select("file", "delimiter", "has_header", "host_column", "time_column", "says_capture", "records")
+
+
+@query("a11_delimited_hosts", """
+SELECT CAST(r_regionkey AS INT) AS file, [',', chr(9), ';', '|', ','][r_regionkey + 1] AS delimiter, CASE WHEN r_regionkey <> 2 THEN 2 END AS host_column FROM region""")
+def a11_delimited_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    """The host column of delimited files without headers; none where two are equally good."""
+    nation = D.table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("file"))
+    rows = D.table(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    site, f = F.concat(F.lit("c"), "c_custkey", F.lit(".example.com")), F.col("file")
+    d = F.element_at(F.array(*map(F.lit, S.DELIMITERS), F.lit(",")), f + 1)
+    value = F.replace(F.concat_ws("\x00", F.when(f == 2, site).otherwise("x"), F.col("c_acctbal").cast("string"), site), F.lit("\x00"), d)
+    return S.infer_host_column(rows.select("file", F.col("c_custkey").alias("line"), value.alias("value")))
+
+
 @query("a12_directory_dump", """
 SELECT url FROM pages WHERE page_id % 3 <> 0""")
 def a12_directory_dump(spark: SparkSession, sf: str) -> DataFrame:
