@@ -100,9 +100,10 @@ def test_near_duplicates_of_nothing(spark):
     assert {r.fingerprint for r in simhash.with_fingerprint(docs).collect()} == {0}
 
 
-@pytest.mark.parametrize(("piece", "crowd", "tile", "plan"), [(8192, 1024, 512, 0), (9, 1024, 3, 0), (9, 4, 512, 1), (8192, 4, 2, 2), (8192, 1024, 512, 6)])
-def test_embeddings(spark, monkeypatch, piece, crowd, tile, plan):
+@pytest.mark.parametrize(("piece", "crowd", "tile", "plan", "crowded"), [(8192, 1024, 512, 0, 2), (9, 1024, 3, 0, 9999), (9, 4, 512, 1, 1), (4, 1024, 512, 0, 2), (8192, 4, 2, 2, 2), (8192, 1024, 512, 6, 2)])
+def test_embeddings(spark, monkeypatch, piece, crowd, tile, plan, crowded):
     monkeypatch.setattr(embeddings, "PIECE", piece)
+    monkeypatch.setattr(embeddings, "CROWDED", crowded)
     monkeypatch.setattr(embeddings, "CROWD", crowd)
     monkeypatch.setattr(embeddings, "TILE", tile)
     plans = ((None, *embeddings.PLANS[plan][1:]),)

@@ -29,6 +29,8 @@ WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 BLOCK_BYTES = 4_000_000
 
 HIT = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
+#: a span by its words too: the first, and the one after the last
+PLACED = HIT.replace("end:long", "end:long,first:long,last:long")
 
 
 def normalised(text: bytes) -> list[bytes]:
@@ -92,16 +94,21 @@ def automaton(shared: Broadcast) -> ahocorasick.Automaton:
     return AUTOMATA[key]
 
 
-def scan(text: bytes, a: ahocorasick.Automaton, spans: bool) -> tuple[int, int, list[str], list[dict]]:
+def in_order(items: set[str | None]) -> list[str | None]:
+    """The ids, sorted; one that is null comes last."""
+    return [*sorted(i for i in items if i is not None), *([None] if None in items else [])]
+
+
+def scan(text: bytes, a: ahocorasick.Automaton, spans: bool) -> tuple[int, int, list[str | None], list[dict]]:
     """(words, hit words, sorted item ids, spans) of one text."""
     words = normalised(text)
     if not words:
         return 0, 0, [], []
     line = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    found: set[str] = set()
+    found: set[str | None] = set()
     runs: list[list[int]] = []
     for end, (size, items) in a.iter(line):
-        found.update(i for i in items if i is not None)
+        found.update(items)
         start = end - size + 1
         while runs and start <= runs[-1][0]:  # ends come in order, so a longer window may cover earlier ones
             runs.pop()
@@ -119,14 +126,19 @@ def scan(text: bytes, a: ahocorasick.Automaton, spans: bool) -> tuple[int, int,
         for s, e in runs:
             first = line.count(" ", 0, s + 1) - 1
             last = first + line.count(" ", s, e + 1) - 2
-            out.append({"start": int(points[places[first][0]]) - 1, "end": int(points[places[last][1] - 1])})
-    return len(words), hit, sorted(found), out
+            out.append({"start": int(points[places[first][0]]) - 1, "end": int(points[places[last][1] - 1]), "first": first, "last": last + 1})
+    return len(words), hit, in_order(found), out
+
 
+def hit_types(placed: bool) -> dict[str, pa.DataType]:
+    span = pa.struct([(x, pa.int64()) for x in (("start", "end", "first", "last") if placed else ("start", "end"))])
+    return {"n_words": pa.int64(), "n_hit": pa.int64(), "items": pa.list_(pa.string()), "spans": pa.list_(span)}
 
-def one_pass(docs: DataFrame, block: dict[bytes, list[str]], text: str, spans: bool) -> DataFrame:
+
+def one_pass(docs: DataFrame, block: dict[bytes, list[str]], text: str, spans: bool, placed: bool = False) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block))
     kept = docs.drop("n_words", "n_hit", "items", "spans")
-    types = {"n_words": pa.int64(), "n_hit": pa.int64(), "items": pa.list_(pa.string()), "spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
+    types = hit_types(placed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(shared)
@@ -136,7 +148,7 @@ def one_pass(docs: DataFrame, block: dict[bytes, list[str]], text: str, spans: b
                 new = [pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), types.values(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *types])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *T._parse_datatype_string(HIT).fields]))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *T._parse_datatype_string(PLACED if placed else HIT).fields]))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", width: int = 10, spans: bool = True) -> DataFrame:
@@ -144,52 +156,54 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     with such windows) and spans (start and end in code points of the text as it is, joined where windows touch).
 
     A window is ``width`` consecutive words of an item; an item of fewer words, but not none, is one window. Null or
-    wordless texts have no words and no hits; items without words never match; an item with a null id marks words but
-    has no id to list. Repeated rows stay, repeated items count once. Columns of the new names are replaced.
+    wordless texts have no words and no hits; items without words never match; items with a null id are one item, which
+    comes last and has no name in a digest. Repeated rows stay, repeated items count once. Columns of the new names are
+    replaced, all others stay.
 
     Windows are made, counted and dealt into blocks in Spark. One block, of bounded bytes, is broadcast, and texts are
-    scanned once, without a shuffle. A benchmark past the bound takes one pass a block, each keeping only the hit words of
-    the texts that it hits.
+    scanned once, without a shuffle. A benchmark past the bound takes one pass a block; what the passes find are narrow rows
+    of word and character numbers, which are put together without the texts and joined to the rows by number.
     """
     blocks = Blocks(benchmark, item, item_text, width)
     if blocks.number < 2:
         return one_pass(docs, next(iter(blocks), {b" \n ": []}), text, spans)
-    numbered, _ = materialize(docs.drop("n_words", "n_hit", "items", "spans").withColumn("__row", F.monotonically_increasing_id()), "rows")
-    texts = numbered.select("__row", F.col(text).alias("__text"))
-    passes = []
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    kept = docs.drop("n_words", "n_hit", "items", "spans")
+    numbered, _ = materialize(kept.withColumn(row, F.monotonically_increasing_id()), "rows")
+    texts = numbered.select(F.col(row).alias("row"), F.col(text).alias("text"))
+    passes: list[DataFrame] = []
     for block in blocks:
-        hits, _ = materialize(one_pass(texts, block, "__text", True).where("n_hit > 0").select("__row", "items", "spans"), "hits")
+        found = one_pass(texts, block, "text", True, placed=True).drop("text")
+        hits, _ = materialize(found if not passes else found.where("n_hit > 0"), "hits")
         passes.append(hits)
     every = passes[0]
     for hits in passes[1:]:
         every = every.unionByName(hits)
-    merged = every.groupBy("__row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    empty = one_pass(numbered, {b" \n ": []}, text, False).drop("n_hit", "items", "spans")
-    joined = empty.join(merged, "__row", "left")
-    return joined.withColumns({"items": F.coalesce("items", F.array().cast("array<string>"))}).mapInArrow(_merge_spans(text), T.StructType([*[f for f in numbered.schema.fields if f.name != "__row"], *T._parse_datatype_string(HIT).fields]))
-
-
-def _merge_spans(text: str):
-    """Joins the spans of several passes and counts the words in them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            for r in rows:
-                spans: list[dict] = []
-                source = r[text] or ""
-                for s in r["spans"] or []:
-                    if spans and not normalised(source[spans[-1]["end"] : s["start"]].encode()):
-                        spans[-1]["end"] = max(spans[-1]["end"], s["end"])
+    gathered = every.groupBy("row").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("items")).alias("items"), F.array_sort(F.flatten(F.collect_list(F.transform("spans", lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"), x["start"].alias("start"), x["end"].alias("end")))))).alias("spans")
+    )  # a row a text, with no more spans than a text has words for each block
+    merged = gathered.mapInArrow(put_together, f"row long, {HIT}").withColumnRenamed("row", row)
+    return numbered.join(merged, row).select(*kept.columns, "n_words", "n_hit", "items", "spans")
+
+
+def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, n_words, items, spans in order) of several passes: each item once, and spans joined where they touch."""
+    types = {"row": pa.int64(), **hit_types(False)}
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            out = []
+            for row, n_words, items, spans in zip(*(c.slice(at, 1000).to_pylist() for c in batch.columns), strict=True):
+                joined: list[dict] = []
+                for s in spans:
+                    if joined and s["first"] <= joined[-1]["last"]:
+                        if s["last"] > joined[-1]["last"]:
+                            joined[-1].update(last=s["last"], end=s["end"])
                     else:
-                        spans.append(dict(s))
-                r["spans"] = spans
-                r["n_hit"] = sum(len(normalised(source[s["start"] : s["end"]].encode())) for s in spans)
-                del r["__row"]
-            schema = pa.schema([*[f for f in batch.schema if f.name not in ("__row", "n_words", "items", "spans")], ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    return run
+                        joined.append(dict(s))
+                out.append((row, n_words, sum(s["last"] - s["first"] for s in joined), in_order(set(items)), [{"start": s["start"], "end": s["end"]} for s in joined]))
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out, strict=True), types.values(), strict=True)], names=list(types))
 
 
 def items_digest(items: str = "items"):
@@ -208,5 +222,5 @@ def brute_force(text: str | None, benchmark: list[tuple[object, str | None]], wi
         for i in range(len(words) - size + 1):
             if tuple(words[i : i + size]) in grams:
                 hit.update(range(i, i + size))
-                items.add(str(item))
-    return len(words), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+                items.add(None if item is None else str(item))
+    return len(words), len(hit), len(items), hashlib.sha256(",".join(sorted(i for i in items if i is not None)).encode()).hexdigest()

@@ -345,6 +345,40 @@ def compare_cells(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return run
 
 
+#: a cell of more than about so many pieces is dealt out before it is sorted; how many vectors are looked at to find such cells
+CROWDED, SAMPLE = 2, 50_000
+
+
+def crowded(known: DataFrame, n: int) -> DataFrame:
+    """(k, pieces) of the cells that hold more than about CROWDED pieces, by the entries of a sample of the vectors: how a
+    cell is dealt out changes no link, so a cell that is missed is only slower. Few can be that large: a row for each."""
+    each = max(1, n // SAMPLE)
+    some = known.where(F.pmod(F.xxhash64("id", F.lit(6)), F.lit(each)) == 0)
+    counts = some.select("id", "size", "codes", "first", "second").mapInArrow(entries, "k long, id long, first long, second long, home boolean").groupBy("k").agg((F.count("*") * each).alias("n"))
+    return counts.where(F.col("n") > CROWDED * PIECE).select("k", F.ceil(F.col("n") / PIECE).cast("long").alias("pieces"))
+
+
+def as_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (k, piece, id, w, v, codes, size) of crowded cells, sorted by cell and piece, to pieces of PIECE at most."""
+    at, held, number = None, [], 0
+
+    def out() -> pa.RecordBatch:
+        ids, w, v, c, s = map(list, zip(*held, strict=True))
+        numbers, raw = pa.list_(pa.int64()), pa.list_(pa.binary())
+        return rows(k=pa.array([at[0]]), piece=pa.array([(at[1] << 20) + number]), size=pa.array(s[:1], pa.int32()), ids=pa.array([ids], numbers), ws=pa.array([w], numbers), vs=pa.array([v], raw), codes=pa.array([c], raw))
+
+    for batch in batches:
+        for k, piece, *entry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (k, piece) != at or len(held) == PIECE:
+                if held:
+                    yield out()
+                number = number + 1 if (k, piece) == at else 0
+                at, held = (k, piece), []
+            held.append(entry)
+    if held:
+        yield out()
+
+
 def compare_pieces(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
@@ -376,16 +410,24 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     blocks, scale, tables = next(p[1:] for p in plans if p[0] is None or n <= p[0])
     known, _ = materialize(nodes.select(F.col("rep").alias("id"), "w", "size", "v").mapInArrow(coded(blocks, scale, tables), CODED), "codes")
     keyed = known.select("id", "size", "codes", "first", "second").mapInArrow(entries, "k long, id long, first long, second long, home boolean")
-    hopes = keyed.repartition("k").sortWithinPartitions("k").mapInArrow(hopeful(sketch_radius(least)), "k long, id long")
+    crowds, _ = materialize(crowded(known, n), "crowds")
+    crowds_there = not crowds.isEmpty()
+    rest = keyed.join(crowds, "k", "left_anti") if crowds_there else keyed
+    hopes = rest.repartition("k").sortWithinPartitions("k").mapInArrow(hopeful(sketch_radius(least)), "k long, id long")
     fetched = hopes.join(known.select("id", "w", "v", "codes", "size"), "id").select("k", "id", "w", "v", "codes", "size")
     found, _ = materialize(fetched.repartition("k").sortWithinPartitions("k").mapInArrow(compare_cells(least), FOUND), "cells")
     pieces = found.where("k is not null").select("k", "piece", "size", "ids", "ws", "vs", "codes")
     found = found.where("k is null").select("a", "b", "n")
+    if crowds_there:  # neither sorted by cell nor gathered: each piece has its own place, and pieces meet by their numbers
+        members = keyed.join(crowds, "k").select("k", F.pmod(F.xxhash64("id"), F.col("pieces")).alias("piece"), "id").join(known.select("id", "w", "v", "codes", "size"), "id")
+        many, _ = materialize(members.select("k", "piece", "id", "w", "v", "codes", "size").repartition("k", "piece").sortWithinPartitions("k", "piece").mapInArrow(as_pieces, FOUND), "crowds")
+        pieces = pieces.unionByName(many.select(pieces.columns))
     if not pieces.isEmpty():
-        x, y = pieces.alias("x"), pieces.alias("y")
-        both = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.piece") <= F.col("y.piece")))
-        sides = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in ("ids", "ws", "vs", "codes")]
-        dealt = both.select("x.k", F.col("x.piece").alias("p"), F.col("y.piece").alias("q"), "x.size", *sides).repartition("k", "p", "q")
+        names = pieces.select("k", "piece")
+        meet = names.alias("x").join(names.alias("y"), (F.col("x.k") == F.col("y.k")) & (F.col("x.piece") <= F.col("y.piece"))).select("x.k", F.col("x.piece").alias("p"), F.col("y.piece").alias("q"))
+        left, right = (pieces.select("k", F.col("piece").alias(number), *(["size"] if side == "x" else []), *[F.col(c).alias(f"{side}_{c}") for c in ("ids", "ws", "vs", "codes")]) for side, number in (("x", "p"), ("y", "q")))
+        both = meet.join(left, ["k", "p"]).join(right, ["k", "q"])
+        dealt = both.select("k", "p", "q", "size", *[f"{side}_{c}" for side in "xy" for c in ("ids", "ws", "vs", "codes")]).repartition("k", "p", "q")
         more, _ = materialize(dealt.mapInArrow(compare_pieces(least), FOUND).select("a", "b", "n"), "cells")
         found = found.unionByName(more)
     weights = found.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
