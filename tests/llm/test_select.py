@@ -51,7 +51,9 @@ def test_word_pieces():
             assert [w.decode() for piece in common.word_pieces(body, size) for w in piece] == words(text)
 
 
-def test_numbered_splits_hot_values(spark):
+@pytest.mark.parametrize("few", [100_000, 1])
+def test_numbered_splits_hot_values(spark, monkeypatch, few):
+    monkeypatch.setattr(common.broadcast_if_few, "__defaults__", (few,))  # values too many to be broadcast are joined
     rows = spark.range(20_000).select(F.when(F.col("id") < 15_000, 0).otherwise(F.col("id") % 5).alias("k"), (F.col("id") % 3).alias("v"), "id")
     got = common.numbered(rows, [F.col("v")], "at", within="k").toPandas()
     for _, part in got.groupby("k"):

@@ -98,6 +98,15 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
+#: rows that are broadcast at most, where their number isn't fixed
+FEW = 100_000
+
+
+def broadcast_if_few(rows: DataFrame, most: int = FEW) -> DataFrame:
+    """rows, to be broadcast if they are counted to be few; more are joined like any other table."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def numbered(rows: DataFrame, order: list[Column], name: str, within: str | None = None, keep_part: bool = False) -> DataFrame:
     """Adds the place of each row in an order, from 0 without gaps: over the whole table, or for each value of a column
     that is never null. Rows that tie are numbered as they were read.
@@ -115,7 +124,7 @@ def numbered(rows: DataFrame, order: list[Column], name: str, within: str | None
     held = stored.groupBy("__within", "__part").agg(F.min("__at").alias("first"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("__within").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     held = held.select("__within", "__part", (before - F.col("first")).alias("__shift"))  # at most a row for each range and one for each value
-    return stored.join(F.broadcast(held), ["__within", "__part"]).withColumn(name, F.col("__at") + F.col("__shift")).drop("__within", "__at", "__shift", *([] if keep_part else ["__part"]))
+    return stored.join(broadcast_if_few(held), ["__within", "__part"]).withColumn(name, F.col("__at") + F.col("__shift")).drop("__within", "__at", "__shift", *([] if keep_part else ["__part"]))
 
 
 def carried(rows: DataFrame, order: list[Column], within: str, size: str, name: str) -> DataFrame:
