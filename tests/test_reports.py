@@ -1,6 +1,7 @@
 """Nested reports against plain recursion, and messages against the mail parser."""
 
 import base64
+import datetime
 import json
 import random
 from email import policy
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from yearmask.functions import hosts as H
 from yearmask.operators import reports as N
+from yearmask.plans import registry
 from yearmask.sources import mail
 
 
@@ -67,6 +69,38 @@ def test_validation_windows(spark):
     assert not got[3].valid and not got[4].valid and got[4].eed_per_day is None
 
 
+def test_reports_opened_side_by_side(spark):
+    """The same rows as by leaves, whatever texts of numbers look like and however deep they lie."""
+    r = random.Random(9)
+    odd = ["1d", " 7 ", "1_0", "0x1p3", "inf", "-Infinity", "+NaN", "NaN", "1.", ".5", "1e400", "٣", "", "-", "0x1", "1e5 f", "true", "1e-3F", "\t2\n"]
+    rows = [(f"s{i % 3}", i, {k: report(r) for k in r.sample("uvwxyz", 4)} | {"eed": i * r.random(), "counters": {"requests": r.randrange(50), "claimed": r.randrange(5), "errors": "3"}}) for i in range(90)]
+    rows += [("odd", i, {"a": [{"b": t}], "a.0.b": 1} if i % 7 == 0 else {"": {"x": 10**30 + i}, "a": [{"b": t}]}) for i, t in enumerate(odd)] + [("few", 1, {}), ("few", 2, {"a": 1}), ("few", 3, {"eed": 4}), ("leaf", 1, 7), ("leaf", 2, {"b": -0.5})]
+    frame = spark.createDataFrame([(s, i, i * 7 % 50, json.dumps(b)) for s, i, b in rows] + [("few", 4, 9, None)], "source string, at long, seconds long, json string")
+    every = N.in_order(frame, "source", "at").cache()
+    values = N.numbers(N.leaves(every.select("source", "number", F.parse_json("json").alias("b")), ["source", "number"], "b"), ["source", "number"])
+    pairs = N.in_pairs(frame, "source", "at").where("number > 0")
+    stepped = N.steps(pairs.select("source", "number", (F.col("seconds") - F.col("before.seconds")).alias("elapsed"), "json", F.col("before.json").alias("old")), "json", "old").cache()
+    same = lambda x: sorted(map(repr, x.collect()))
+    assert same(N.that_differ(N.step_deltas(stepped, "source"))) == same(N.changed(values, every, "source"))
+    assert same(N.that_grew(N.step_deltas(stepped, "source", missing=True))) == same(N.growth(values, every, "source"))
+    assert same(N.step_windows(stepped, "source", F.col("elapsed"))) == same(N.validation_windows(values, every, "source", "seconds"))
+
+
+def test_no_report_is_broadcast(spark, tmp_path):
+    """Rows that grow with the reports may look small as packed files: they are never sent to the driver, nor joined by leaves."""
+    rows = [(i, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=i), i % 60, "click", 1.0, json.dumps({"k": i % 100})) for i in range(400)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"file://{tmp_path}/events.parquet")
+    for name in ("w10_nested_deltas", "w9_nested_growth", "g34_snapshot_windows"):
+        frame = registry.QUERIES[name](spark, f"file://{tmp_path}")
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 1 and "Generate variant" not in plan, name  # what ranges hand on alone
+    every = N.in_order(spark.createDataFrame([("s", i, json.dumps({"a": i})) for i in range(20)], "source string, at long, json string"), "source", "at")
+    values = N.numbers(N.leaves(every.select("source", "number", F.parse_json("json").alias("b")), ["source", "number"], "b"), ["source", "number"])
+    found = N.changed(values, every.select("source", "number"), "source")
+    found.collect()
+    assert found._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") >= 2
+
+
 def nested_message(r, n):
     def text(i):
         word = r.choice(["plain", "grüße", "=3D=", "ß" * 90])

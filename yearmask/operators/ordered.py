@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from yearmask.operators.graph import stored
+
 BLOCK = "__block"
 #: more ranges than this make the expression that finds one long
 MOST_BLOCKS = 1024
@@ -71,3 +73,15 @@ def numbered(rows: DataFrame, key: str, order: list[str], name: str) -> DataFram
     before = handed_on(rows, key, F.count("*"), "sum")
     near = rows.withColumn("__own", F.row_number().over(within(key, order)))
     return with_before(near, key, before).withColumn(name, F.col("__own") + F.col("__before") - 1).drop("__own", "__before")
+
+
+def numbered_with_before(rows: DataFrame, key: str, order: list[str], number: str, name: str) -> DataFrame:
+    """The place of each row within its key, from 0, and the row before it (a struct of the columns of ``rows``; null for a
+    key's first row), by one window. What ranges hand on is written first, so that its size is known where it is joined."""
+    plain = F.struct(*[c for c in rows.columns if c not in (key, BLOCK)])
+    own = rows.groupBy(key, BLOCK).agg(F.count("*").alias("n"), F.max_by(plain, F.struct(*order)).alias("last"))
+    w = Window.partitionBy(key).orderBy(BLOCK)
+    handed = own.select(F.col(key).alias("__key"), F.col(BLOCK).alias("__at"), F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__n"), F.lag("last").over(w).alias("__last"))
+    near = rows.withColumns({"__own": F.row_number().over(within(key, order)), "__lag": F.lag(plain).over(within(key, order))})
+    joined = with_before(near, key, stored(handed, "handed"))
+    return joined.withColumns({number: F.col("__own") + F.col("__n") - 1, name: F.coalesce("__lag", "__last")}).drop("__own", "__lag", "__n", "__last")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearmask.operators import reports as N
-from yearmask.operators.graph import stored
 from yearmask.plans import derived as D
 from yearmask.plans.registry import query
 
@@ -22,8 +21,8 @@ d AS (
   FROM v a FULL OUTER JOIN (SELECT source, number + 1 AS number, path, value FROM v) b USING (source, number, path) WHERE number > 0 AND (source, number) IN (SELECT source, number FROM r)) """
 
 
-def reports(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """A nested report of its source for each event: (source, number, seconds) of all, and the numbers in them."""
+def reports(spark: SparkSession, sf: str) -> DataFrame:
+    """A nested report of its source for each event, but the first: (source, number, elapsed, steps) since the one before."""
     e, i = D.table(spark, sf, "events"), F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     body = F.struct(
@@ -34,23 +33,20 @@ def reports(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     steps = F.concat(F.lit("["), k % 4, F.lit(',{"deep":['), k % 3, F.lit("]}]"))
     json = F.concat(F.rtrim(F.to_json(body), F.lit("}")), F.lit('}},"steps":'), steps, F.lit(',"ok":'), k > 50, F.lit(',"note":"'), F.col("event_type"), F.lit('","text":"'), (k % 5), F.lit('"}'))
     rows = e.select(F.concat(F.lit("src"), F.col("user_id") % 50).alias("source"), i.alias("id"), F.unix_timestamp("ts").alias("seconds"), json.alias("json"))
-    every = stored(N.in_order(rows, "source", "id"), "reports")
-    found = N.leaves(every.select("source", "number", F.parse_json("json").alias("body")), ["source", "number"], "body")
-    return every.select("source", "number", "seconds"), N.numbers(found, ["source", "number"])
+    pairs = N.in_pairs(rows, "source", "id").where("number > 0")
+    return N.steps(pairs.select("source", "number", (F.col("seconds") - F.col("before.seconds")).alias("elapsed"), F.col("json").alias("now"), F.col("before.json").alias("before")), "now", "before")
 
 
 @query("w10_nested_deltas", _REPORTS + "SELECT source, number, path, before, now, now - before AS delta, now < before AS reset FROM d WHERE in_both AND now <> before")
 def w10_nested_deltas(spark: SparkSession, sf: str) -> DataFrame:
     """The numbers of nested reports that differ from those of the report before."""
-    every, values = reports(spark, sf)
-    return N.changed(values, every, "source")
+    return N.that_differ(N.step_deltas(reports(spark, sf), "source"))
 
 
 @query("w9_nested_growth", _REPORTS + "SELECT source, path, sum(now - before) AS growth FROM d WHERE now >= before GROUP BY source, path")
 def w9_nested_growth(spark: SparkSession, sf: str) -> DataFrame:
     """How much each nested counter of a source grew in all, resets left out."""
-    every, values = reports(spark, sf)
-    return N.growth(values, every, "source").groupBy("source", "path").agg(F.sum("delta").alias("growth"))
+    return N.that_grew(N.step_deltas(reports(spark, sf), "source", missing=True)).groupBy("source", "path").agg(F.sum("delta").alias("growth"))
 
 
 @query("g34_snapshot_windows", _REPORTS + """
@@ -62,5 +58,4 @@ SELECT source, number, elapsed, valid, resets, requests, CASE WHEN valid THEN ga
  CASE WHEN claimed > 0 THEN passed / claimed END AS pass_fraction, CASE WHEN requests > 0 THEN throttled / requests END AS throttle_fraction, CASE WHEN requests > 0 THEN errors / requests END AS error_fraction FROM w""")
 def g34_snapshot_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Rates and fractions of the window between each snapshot of a source and the one before."""
-    every, values = reports(spark, sf)
-    return N.validation_windows(values, every, "source", "seconds")
+    return N.step_windows(reports(spark, sf), "source", F.col("elapsed"))
