@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from yearmask.plans import streams
 from yearmask.streaming import evidence as T
 
 EVENT = "scope string, key string, set_at timestamp, expires_at timestamp, reason string"
@@ -36,6 +37,25 @@ def test_suppressions_expire(spark, tmp_path):
     assert states(spark, folder)[("SOURCE", "c")] == (True, "z")  # nothing new: nothing changes
 
 
+def test_batches_keep_to_their_ranges(spark, tmp_path):
+    """However many parts the rows of a range come in, and with ranges of few rows, too."""
+    for n, parts in ((900, 7), (5, 12)):
+        ranges = []
+        stream = streams.in_batches(spark, spark.range(0, n, 1, parts).withColumnRenamed("id", "seq"), "seq")
+        T.drain(stream, f"file://{tmp_path}/{n}", lambda b, _, r=ranges: r.append(sorted(x["seq"] for x in b.collect())))
+        assert sum(ranges, []) == list(range(n)) and len(ranges) == 3
+
+
+def test_first_terminal_event_in_any_batch(spark, tmp_path):
+    folder, schema = f"file://{tmp_path}", "host string, seq long, status string"
+    batches = [[("a", 5, "REJECTED"), ("b", 1, "ACTIVE"), ("c", 2, "VERIFIED")], [("a", 3, "VERIFIED"), ("a", 2, "ACTIVE"), ("c", 4, "REJECTED")], [("a", 4, "REJECTED"), ("b", 9, "REJECTED")]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/in/{n}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
+    found = {tuple(r) for r in T.keep(T.candidate_status(stream), f"{folder}/work", ["host"]).collect()}
+    assert found == {("a", "VERIFIED"), ("b", "REJECTED"), ("c", "VERIFIED")}
+
+
 def test_sinks_are_compacted(spark, tmp_path):
     folder = f"file://{tmp_path}"
     schema = spark.createDataFrame([], "name string, value long, ts long, id long").schema

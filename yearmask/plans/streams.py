@@ -24,13 +24,20 @@ def file_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def in_batches(spark: SparkSession, rows: DataFrame, order: str, n: int = 3) -> DataFrame:
-    """rows as a stream of ``n`` batches in an order: written range after range, read a file's worth of them at a time."""
+    """rows as a stream of ``n`` batches in an order: written range after range, read a range's files at a time. All ranges
+    have equally many files, empty ones where there are too few, since a batch is so many files and nothing else: one that
+    began with some files of a range would bring its later rows before earlier ones."""
     path = S.work_folder(spark, "batches")
     cuts = rows.agg(F.percentile_approx(F.col(order).cast("long"), [i / n for i in range(1, n)])).first()[0] or []
+    where, each = spark._jvm.org.apache.hadoop.fs.Path, spark.sparkContext.defaultParallelism
     for i in range(n):
-        rows.where(place(F.col(order).cast("long"), cuts) == i).write.parquet(f"{path}/{i}")
-    files = spark.read.parquet(f"{path}/*").select(F.input_file_name()).distinct().count()
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-files // n))).parquet(f"{path}/*")
+        rows.where(place(F.col(order).cast("long"), cuts) == i).repartition(each).write.parquet(f"{path}/{i}")
+    files = where(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    counts = [len(files.globStatus(where(f"{path}/{i}/[^_.]*"))) for i in range(n)]
+    for i, count in enumerate(counts):
+        for _ in range(max(counts) - count):
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(f"{path}/{i}")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(counts)).parquet(f"{path}/*")
 
 
 _LOGGED = D.LOG + ", b AS (SELECT DISTINCT host, year FROM log WHERE lane = 'R'), f AS (SELECT host, year, arg_min(source_id, seq) AS source_id, arg_min(lane, seq) AS lane FROM log GROUP BY host, year), novel AS (SELECT f.* FROM f LEFT JOIN b USING (host, year) WHERE b.host IS NULL)"
