@@ -56,6 +56,32 @@ def test_first_terminal_event_in_any_batch(spark, tmp_path):
     assert found == {("a", "VERIFIED"), ("b", "REJECTED"), ("c", "VERIFIED")}
 
 
+def test_statuses_are_held_by_an_aggregate(spark, tmp_path):
+    """No host calls Python, and a stream gives what a table does, also where a status or a number is missing."""
+    folder, schema = f"file://{tmp_path}", "host string, seq long, status string"
+    batches = [[("a", 2, None), ("b", 4, "REJECTED"), ("c", None, "VERIFIED")], [("a", 3, "REJECTED"), ("b", 1, None), ("d", 5, None)]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/in/{n}")
+    stream = T.candidate_status(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*"))
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "Pandas" not in plan and "Python" not in plan
+    found = {tuple(r) for r in T.keep(stream, f"{folder}/work", ["host"]).collect()}
+    table = T.candidate_status_batch(spark.createDataFrame(sum(batches, []), schema)).collect()
+    assert found == {tuple(r) for r in table} == {("a", "REJECTED"), ("b", "REJECTED"), ("c", "ACTIVE"), ("d", "ACTIVE")}
+
+
+def test_captures_of_the_status_stream_are_made_once(spark, sf, monkeypatch):
+    plans, deal = [], streams.in_batches
+
+    def seen(spark, rows, order):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return deal(spark, rows, order)
+
+    monkeypatch.setattr(streams, "in_batches", seen)
+    assert streams.t5_status_stream(spark, sf).count() == streams.t5_candidate_status(spark, sf).count()
+    assert len(plans) == 1 and "Join" not in plans[0] and "regexp" not in plans[0]
+
+
 def test_sinks_are_compacted(spark, tmp_path):
     folder = f"file://{tmp_path}"
     schema = spark.createDataFrame([], "name string, value long, ts long, id long").schema

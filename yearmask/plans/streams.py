@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from yearmask.functions import hosts as H
 from yearmask.operators import eed as E
+from yearmask.operators.graph import stored
 from yearmask.operators.ordered import place
 from yearmask.plans import derived as D
 from yearmask.plans.registry import query
@@ -111,9 +112,10 @@ def t5_candidate_status(spark: SparkSession, sf: str) -> DataFrame:
 @query("t5_status_stream", f"""
 WITH {D.CAPTURES} SELECT host, coalesce(arg_min(CASE status WHEN 'F' THEN 'VERIFIED' ELSE 'REJECTED' END, seq) FILTER (WHERE status IN ('F', 'P')), 'ACTIVE') AS status FROM captures WHERE host IS NOT NULL GROUP BY host""")
 def t5_status_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """T5 as a stateful stream over several batches: the first terminal event stands."""
+    """T5 as a stateful stream over several batches: the first terminal event stands. Captures are made once and filtered as
+    they are read: a filter of hosts above the join would match each host once more in the join, and again for each range."""
     status = F.when(F.col("status") == "F", "VERIFIED").when(F.col("status") == "P", "REJECTED").otherwise("ACTIVE")
-    events = D.captures(spark, sf).where("host is not null").select("host", "seq", status.alias("status"))
+    events = stored(D.captures(spark, sf).select("host", "seq", status.alias("status")), "captures").where("host is not null")
     return S.keep(S.candidate_status(in_batches(spark, events, "seq")), S.work_folder(spark, "statuses"), ["host"])
 
 
